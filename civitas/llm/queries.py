@@ -2,22 +2,34 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from civitas.llm import exact_dedup
+from civitas.llm import chat, exact_dedup, licenses
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    probe = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(chat.PROBE).alias("text")
+    )
+    return chat.digest(chat.format_chat(rows.unionByName(probe)))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(spark, table(spark, sf_dir, "documents"))
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(spark, table(spark, sf_dir, "documents"))
+
+
 def queries():
     return {k: f for k, f in globals().items() if k.startswith("op")}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_exact_dedup": exact_dedup.ORACLE_SQL}
+    return {"op4_chat_formatting": chat.ORACLE_SQL, "op8_exact_dedup": exact_dedup.ORACLE_SQL, "op10_license_scan": licenses.oracle_sql()}
