@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from civitas.llm import chat, exact_dedup, licenses
+from civitas.llm import chat, exact_dedup, licenses, packing
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +23,10 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(spark, table(spark, sf_dir, "documents"))
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(spark, table(spark, sf_dir, "documents")).drop("ids")
+
+
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(spark, table(spark, sf_dir, "documents"))
 
