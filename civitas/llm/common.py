@@ -107,3 +107,21 @@ def span_hash(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     out = prefix[ends] - prefix[starts]
     out *= powers(len(prefix), inverse=True)[starts]
     return mixed(out ^ (ends - starts).astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
+
+
+#: Bytes of text worked on at once; a longer text is worked on in such parts.
+PART = 1 << 21
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
+BREAK = np.zeros(256, bool)
+BREAK[[9, 10, 11, 12, 13, 32]] = True
+
+
+def parts(batch):
+    """Pieces of a record batch of at most PART bytes of text, or of one text."""
+    _, bounds = texts(column(batch, "text"))
+    at = 0
+    while at < batch.num_rows:
+        to = max(at + 1, int(np.searchsorted(bounds, bounds[at] + PART, side="right")) - 1)
+        yield batch.slice(at, to - at)
+        at = to

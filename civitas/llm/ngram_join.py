@@ -27,7 +27,7 @@ import zlib
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from civitas.llm.common import column, mixed, prefix_hash, scratch, span_hash, stored, texts
+from civitas.llm.common import BREAK, LOWER, PART, column, mixed, parts, prefix_hash, scratch, span_hash, stored, texts
 from civitas.llm.graph import components
 
 WORDS = 5
@@ -40,14 +40,8 @@ CHUNK = 1 << 14
 POSTING_COST = 16
 #: The largest size the boundary may take.
 LIGHT_MOST = 24
-#: Bytes of text worked on at once; a longer text is worked on in such parts.
-PART = 1 << 21
 ROUNDS = 2
 
-LOWER = np.arange(256, dtype=np.uint8)
-LOWER[65:91] += 32
-BREAK = np.zeros(256, bool)
-BREAK[[9, 10, 11, 12, 13, 32]] = True
 
 
 def _words(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -111,16 +105,6 @@ def shingles(data: np.ndarray, bounds: np.ndarray) -> list[np.ndarray]:
     return out
 
 
-def parts(batch):
-    """Pieces of a record batch of at most PART bytes of text, or of one text."""
-    _, bounds = texts(column(batch, "text"))
-    at = 0
-    while at < batch.num_rows:
-        to = max(at + 1, int(np.searchsorted(bounds, bounds[at] + PART, side="right")) - 1)
-        yield batch.slice(at, to - at)
-        at = to
-
-
 def class_id(own: np.ndarray) -> int:
     """A 64-bit hash of a set, the same for equal sets."""
     a = np.bitwise_xor.reduce(mixed(own ^ np.uint64(0x51ED270B)), initial=np.uint64(0), keepdims=True)
