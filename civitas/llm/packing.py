@@ -17,6 +17,7 @@ The plan's size depends on the window alone, not on the number of documents.
 
 from __future__ import annotations
 
+import array
 import itertools
 import re
 import zlib
@@ -32,7 +33,7 @@ UNIT = 16
 #: Pieces in a bucket of ranks, about.
 BUCKET = 50_000
 #: Words a worker remembers before it starts anew.
-REMEMBERED = 300_000
+REMEMBERED = 1_000_000
 
 
 def vocabulary(name: str = "word_bpe_49k.json") -> str:
@@ -55,20 +56,21 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.wide = self.tokenizer.get_vocab_size() > 1 << 16
         self.kind = np.dtype("<u4" if self.wide else "<u2")
         self.words: dict[str, bytes] = {}
-        self.runs: dict[str, bytes] = {}
         self.pieces = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+").findall
         self.simple = re.compile(r"[!-įı-ſ]+\Z").match
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
         spare = iter(range(256, 512))
         self.shown = {b: b if b in plain else next(spare) for b in range(256)}
+        self.control = re.compile("[\x7f-\xa0]").search
         self.splits = re.compile(r"[\x20\x09-\x0D]+").split
         self.odd = re.compile("[\x1c-\x1f]").search
 
     def packed(self, ids) -> bytes:
-        return np.array(ids, self.kind).tobytes()
+        return array.array("I" if self.wide else "H", ids).tobytes()
 
     def piece(self, piece: str) -> bytes:
         have = self.words.get(piece)
@@ -76,26 +78,28 @@ class Encoder:
             if len(self.words) >= REMEMBERED:
                 self.words.clear()
             shown = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.shown)
-            have = self.words[piece] = self.packed([t.id for t in self.tokenizer.model.tokenize(shown)])
+            have = self.words[piece] = self.packed([t.id for t in self.model.tokenize(shown)])
         return have
 
     def run(self, run: str) -> bytes:
-        if len(self.runs) >= REMEMBERED:
-            self.runs.clear()
-        if self.simple(run) and "<|" not in run and not re.search("[\x7f-\xa0]", run):
+        plain = run.isascii() or self.simple(run)
+        if plain and run.isalpha():
+            out = self.piece(run.lower())
+        elif plain and run[-1] in ".,;:!?" and run[:-1].isalpha():
+            out = self.piece(run[:-1].lower()) + self.piece(run[-1])
+        elif plain and "<|" not in run and not self.control(run):
             out = b"".join(map(self.piece, self.pieces(run.lower())))
         else:
             out = self.packed(self.tokenizer.encode(run, add_special_tokens=False).ids)
         if len(run) < 64:
-            self.runs[run] = out
+            self.words[run] = out
         return out
 
     def __call__(self, text: str) -> bytes:
         runs = self.splits(text) if self.odd(text) else text.split()
-        get, out = self.runs.get, []
+        get, out = self.words.get, []
         for run in runs:
-            have = get(run)
-            out.append(self.run(run) if have is None else have)
+            out.append(get(run) or self.run(run))
         return b"".join(out)
 
 
