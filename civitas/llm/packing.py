@@ -65,7 +65,6 @@ class Encoder:
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
         spare = iter(range(256, 512))
         self.shown = {b: b if b in plain else next(spare) for b in range(256)}
-        self.control = re.compile("[\x7f-\xa0]").search
         self.splits = re.compile(r"[\x20\x09-\x0D]+").split
         self.odd = re.compile("[\x1c-\x1f]").search
 
@@ -82,12 +81,12 @@ class Encoder:
         return have
 
     def run(self, run: str) -> bytes:
-        plain = run.isascii() or self.simple(run)
+        plain = run.isprintable() and (run.isascii() or self.simple(run))
         if plain and run.isalpha():
             out = self.piece(run.lower())
         elif plain and run[-1] in ".,;:!?" and run[:-1].isalpha():
             out = self.piece(run[:-1].lower()) + self.piece(run[-1])
-        elif plain and "<|" not in run and not self.control(run):
+        elif plain and "<|" not in run:
             out = b"".join(map(self.piece, self.pieces(run.lower())))
         else:
             out = self.packed(self.tokenizer.encode(run, add_special_tokens=False).ids)
