@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from civitas.llm import chat, decontamination, exact_dedup, licenses, ngram_join, packing, quality
+from civitas.llm import chat, decontamination, exact_dedup, licenses, ngram_join, packing, quality, secret_scan
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,6 +33,10 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(table(spark, sf_dir, "documents"), secret_scan.train(secret_scan.examples()))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(spark, table(spark, sf_dir, "documents"))
 
@@ -45,8 +49,14 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(spark, table(spark, sf_dir, "documents"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries():
-    return {k: f for k, f in globals().items() if k.startswith("op")}
+    return {k: f for k, f in globals().items() if k.startswith("op")} | {"pipeline": pipeline}
 
 
 def oracle_sql() -> dict[str, str]:
