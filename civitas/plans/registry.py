@@ -2,56 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from civitas.plans import analyses, functions_queries, merge_queries, page_queries  # noqa: F401  they register themselves
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
 
-Query = Callable[[SparkSession, str], DataFrame]
-
-
-def funnel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Counts of orders that reach each stage, with the share kept from the stage before."""
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
-    closed = F.col("o_orderstatus").isin("F", "P")
-    large = closed & (F.col("o_totalprice") >= 100000)
-    one = orders.agg(
-        F.count(F.lit(1)).alias("s1"),
-        F.count_if(closed).alias("s2"),
-        F.count_if(large).alias("s3"),
-        F.count_if(large & (F.substring("o_orderpriority", 1, 1) <= "2")).alias("s4"),
-    )
-    return one.select(
-        F.inline(
-            F.array(
-                *(
-                    F.struct(
-                        F.lit(k).alias("stage"),
-                        F.col(f"s{k}").alias("n"),
-                        F.round(F.col(f"s{k}") / F.col(f"s{max(1, k - 1)}"), 6).alias("kept"),
-                    )
-                    for k in range(1, 5)
-                )
-            )
-        )
-    )
-
-
-FUNNEL_SQL = """
-WITH o AS (SELECT count(*) s1,
-    count(*) FILTER (WHERE o_orderstatus IN ('F','P')) s2,
-    count(*) FILTER (WHERE o_orderstatus IN ('F','P') AND o_totalprice >= 100000) s3,
-    count(*) FILTER (WHERE o_orderstatus IN ('F','P') AND o_totalprice >= 100000 AND substr(o_orderpriority,1,1) <= '2') s4
-  FROM orders)
-SELECT 1 AS stage, s1 AS n, round(s1 / s1, 6) AS kept FROM o
-UNION ALL SELECT 2, s2, round(s2 / s1, 6) FROM o
-UNION ALL SELECT 3, s3, round(s3 / s2, 6) FROM o
-UNION ALL SELECT 4, s4, round(s4 / s3, 6) FROM o
-"""
-
-
-def queries() -> dict[str, Query]:
-    return {"funnel": funnel}
+def queries():
+    return dict(analyses.QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"funnel": FUNNEL_SQL}
+    return dict(analyses.SQL)
