@@ -1 +1,79 @@
-"""Queries; see analyses."""
+"""The keyed merge on tables derived from supplier: a base and a follow-up with gaps and conflicts."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from civitas.operators import merge as M
+from civitas.plans.analyses import query
+
+SIDES = """b AS (SELECT CAST(s_suppkey AS VARCHAR) AS id, CASE WHEN s_suppkey % 5 = 0 THEN '' ELSE s_name END AS name, '20' || lpad(CAST(10 + s_suppkey % 10 AS VARCHAR), 2, '0') || '-03-01' AS day,
+  CASE WHEN s_suppkey % 2 = 0 THEN 'True' ELSE 'False' END AS flag, 'n' || CAST(s_nationkey AS VARCHAR) AS note FROM supplier),
+f AS (SELECT CAST(s_suppkey AS VARCHAR) AS id, CASE WHEN s_suppkey % 4 = 0 THEN 'None' ELSE upper(s_name) || '!' END AS name, '20' || lpad(CAST(10 + s_suppkey % 7 AS VARCHAR), 2, '0') || '-05-01' AS day,
+  CASE WHEN s_suppkey % 3 = 0 THEN 'yes' ELSE 'no' END AS flag, CASE WHEN s_suppkey % 6 = 0 THEN '' ELSE 'm' || CAST(s_suppkey % 3 AS VARCHAR) END AS note FROM supplier WHERE s_suppkey % 3 <> 1)"""
+
+
+def sides(t):
+    k = F.col("s_suppkey")
+    year = lambda n: F.concat(F.lit("20"), F.lpad((10 + k % n).cast("string"), 2, "0"))
+    base = t.supplier.select(
+        k.cast("string").alias("id"), F.when(k % 5 == 0, "").otherwise(F.col("s_name")).alias("name"), F.concat(year(10), F.lit("-03-01")).alias("day"),
+        F.when(k % 2 == 0, "True").otherwise("False").alias("flag"), F.concat(F.lit("n"), F.col("s_nationkey").cast("string")).alias("note"),
+    )
+    more = t.supplier.where("s_suppkey % 3 <> 1").select(
+        k.cast("string").alias("id"), F.when(k % 4 == 0, "None").otherwise(F.concat(F.upper("s_name"), F.lit("!"))).alias("name"), F.concat(year(7), F.lit("-05-01")).alias("day"),
+        F.when(k % 3 == 0, "yes").otherwise("no").alias("flag"), F.when(k % 6 == 0, "").otherwise(F.concat(F.lit("m"), (k % 3).cast("string"))).alias("note"),
+    )
+    return base, more
+
+
+def merged(rule_name: str, rule_day: str, rule_flag: str, rule_note: str):
+    return lambda t: M.merge(*sides(t), "id", {"name": rule_name, "day": rule_day, "flag": rule_flag, "note": rule_note})
+
+
+def sql(name: str, day: str, flag: str, note: str) -> str:
+    own = lambda c, e: f"CASE WHEN f.id IS NULL THEN b.{c} ELSE {e} END AS {c}"
+    return f"WITH {SIDES} SELECT b.id, {own('name', name)}, {own('day', day)}, {own('flag', flag)}, {own('note', note)} FROM b LEFT JOIN f ON b.id = f.id"
+
+
+FILLED = "CASE WHEN lower({0}) NOT IN ('', 'none', 'null') THEN {0} END"
+TRUE = "lower({0}) IN ('true', '1', 'yes')"
+SHOWN = "CASE WHEN {0} THEN 'True' ELSE 'False' END"
+F_NAME, B_NAME = FILLED.format("f.name"), FILLED.format("b.name")
+F_NOTE, B_NOTE = FILLED.format("f.note"), FILLED.format("b.note")
+LABELS = f"CASE WHEN {B_NOTE} IS NULL OR {F_NOTE} IS NULL OR b.note = f.note THEN coalesce({B_NOTE}, {F_NOTE}, '') ELSE '**Original Response:**' || chr(10) || b.note || chr(10) || chr(10) || '**Current Followup:**' || chr(10) || f.note END"
+
+query("merge_prefer_followup", sql(f"coalesce({F_NAME}, b.name)", "greatest(b.day, f.day)", SHOWN.format(f"({TRUE.format('b.flag')} OR {TRUE.format('f.flag')})"), LABELS))(
+    merged("prefer_followup", "latest_date", "either", "labelled")
+)
+query("merge_prefer_base", sql(f"coalesce({B_NAME}, f.name)", "least(b.day, f.day) || 'T00:00:00'", SHOWN.format(f"({TRUE.format('b.flag')} AND {TRUE.format('f.flag')})"), "f.note"))(
+    merged("prefer_base", "earliest_date", "both", "keep_followup")
+)
+query("merge_keep_base", sql("b.name", f"coalesce({FILLED.format('f.day')}, b.day)", SHOWN.format(f"({TRUE.format('b.flag')} OR {TRUE.format('f.flag')})"), f"coalesce({F_NOTE}, b.note)"))(
+    merged("keep_base", "implementation_date", "promised", "outcome")
+)
+
+
+@query(
+    "merge_violations",
+    f"""WITH {SIDES}, j AS (SELECT b.id, b.name AS bn, f.name AS fn, b.note AS bo, f.note AS fo FROM b JOIN f ON b.id = f.id)
+SELECT 'immutable_changed' AS rule, id AS key, 'name' AS detail FROM j WHERE lower(fn) NOT IN ('', 'none', 'null') AND fn <> bn
+UNION ALL SELECT 'mandatory_missing', id, 'note' FROM j WHERE bo = '' OR fo = ''
+UNION ALL SELECT 'mandatory_missing_in_base', id, 'name' FROM b WHERE name = ''""",
+)
+def merge_violations(t):
+    base, more = sides(t)
+    return M.violations(base, more, "id", immutable=["name"], mandatory_both=["note"], mandatory_base=["name"])
+
+
+JSON_SIDES = """p AS (SELECT n_regionkey AS r, list_sort(list(n_name)) AS x, list_sort(list(n_name) FILTER (WHERE n_nationkey % 2 = 0)) AS b, list_sort(list(n_name) FILTER (WHERE n_nationkey % 3 = 0)) AS f FROM nation GROUP BY 1)"""
+
+
+@query(
+    "merge_json_lists",
+    f"WITH {JSON_SIDES}, u AS (SELECT r, list_concat(coalesce(b, []), list_filter(coalesce(f, []), lambda i: NOT list_contains(coalesce(b, []), i))) AS l FROM p) SELECT CAST(r AS BIGINT) AS r, CASE WHEN len(l) = 0 THEN '' ELSE CAST(to_json(l) AS VARCHAR) END AS merged FROM u",
+)
+def merge_json_lists(t):
+    some = lambda n: F.to_json(F.array_sort(F.collect_list(F.when(F.col("n_nationkey") % n == 0, F.col("n_name")))))
+    rows = t.nation.groupBy(F.col("n_regionkey").cast("long").alias("r")).agg(some(2).alias("b"), some(3).alias("f"))
+    return rows.select("r", M.list_union(F.col("b"), F.col("f")).alias("merged"))

@@ -1 +1 @@
-"""Queries; see analyses."""
+"""Pages: see civitas.sources.pages."""
