@@ -18,7 +18,7 @@ def month_number(c: Column) -> Column:
 
 def _made(year: Column, month: Column, day: Column) -> Column:
     text = F.concat_ws("-", F.lpad(year.cast("string"), 4, "0"), F.lpad(month.cast("string"), 2, "0"), F.lpad(day.cast("string"), 2, "0"))
-    return F.try_to_date(text, "yyyy-MM-dd") if hasattr(F, "try_to_date") else F.to_date(F.try_to_timestamp(text, F.lit("yyyy-MM-dd")))
+    return F.try_to_date(text, "yyyy-MM-dd")
 
 
 def _matched(c: Column, pattern: str, *groups: int) -> tuple[Column, list[Column]]:

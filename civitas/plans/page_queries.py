@@ -1 +1,47 @@
-"""Pages: see civitas.sources.pages."""
+"""Page extraction on the table of raw pages."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from civitas.functions import text as T
+from civitas.operators import pages as P
+from civitas.plans.analyses import query
+from civitas.plans.functions_queries import LADDER
+from civitas.sources import nodes as N, snapshots as S
+
+
+@query("page_titles", r"SELECT page_id, replace(trim(regexp_replace(regexp_extract(html, '<title>([^<]*)</title>', 1), '\s+', ' ', 'g')), '&amp;', '&') AS title, regexp_extract(html, '<html lang=\"([a-z]+)\"', 1) AS lang FROM pages")
+def page_titles(t):
+    rows = N.with_nodes(t.pages)
+    return rows.select("page_id", F.coalesce(N.first_text(F.col("nodes"), "title"), F.lit("")).alias("title"), F.regexp_extract("html", r'<html lang="([a-z]+)"', 1).alias("lang"))
+
+
+@query("page_link_counts", r"SELECT page_id, CAST(len(regexp_extract_all(html, '<a href=')) AS BIGINT) AS n_links, CAST(len(regexp_extract_all(html, '<li>')) AS BIGINT) AS n_items FROM pages")
+def page_link_counts(t):
+    rows = N.with_nodes(t.pages)
+    return rows.select("page_id", F.size(N.links(F.col("nodes"))).cast("long").alias("n_links"), F.size(N.tagged(F.col("nodes"), "li")).cast("long").alias("n_items"))
+
+
+@query("page_validity", "SELECT page_id, length(html) >= 1000 AND contains(lower(html), '<html') AND NOT (length(html) < 10000 AND (contains(lower(html), 'too many requests') OR contains(lower(html), 'rate limit') OR contains(lower(html), 'server inaccessible') OR contains(lower(html), 'page not found') OR contains(lower(html), 'service unavailable'))) AS valid FROM pages")
+def page_validity(t):
+    return t.pages.select("page_id", S.page_is_valid(F.col("html")).alias("valid"))
+
+
+@query("registry_records", None)
+def registry_records(t):
+    named = N.with_nodes(t.pages).withColumn("file_name", F.format_string("2019_%06d_en.html", "page_id"))
+    return P.registry_record(named, "https://example.org/initiatives/")
+
+
+@query("response_records", None)
+def response_records(t):
+    named = N.with_nodes(t.pages).withColumn("file_name", F.format_string("2019_%06d_en.html", "page_id"))
+    return P.response_record(named, LADDER, F.to_date(F.lit("2026-01-13")))
+
+
+@query("page_paragraph_words", None)
+def page_paragraph_words(t):
+    rows = N.with_nodes(t.pages)
+    words = F.aggregate(P.paragraphs(F.col("nodes")), F.lit(0), lambda a, p: a + F.size(F.split(T.normalized(p), " ")))
+    return rows.select("page_id", words.cast("long").alias("n_words"))
