@@ -97,7 +97,7 @@ def registry_date(c: Column) -> Column:
 
 def harvested(c: Column) -> Column:
     """All dates in a text, ends of periods for coarser ones, distinct, in order of appearance."""
-    every = rf"(?i)\d{{1,2}}\s+{MONTH}\s+\d{{4}}|{MONTH}\s+\d{{4}}|\b\d{{1,2}}/\d{{1,2}}/\d{{4}}\b|\b\d{{4}}-\d{{1,2}}-\d{{1,2}}\b|\b(?:19|20)\d{{2}}\b"
+    every = rf"(?i)\d{{1,2}}\s+{MONTH}\s+\d{{4}}|{MONTH}\s+\d{{4}}|\b\d{{1,2}}/\d{{1,2}}/\d{{4}}\b|\b\d{{4}}-\d{{1,2}}-\d{{1,2}}\b|(?<![/\d-])(?:19|20)\d{{2}}(?![/\d-])"
     found = F.transform(F.regexp_extract_all(c, F.lit(every), F.lit(0)), lambda x: parsed_end(x))
     return F.array_distinct(F.filter(found, lambda x: x.isNotNull()))
 
