@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -37,6 +38,16 @@ def stored(spark: SparkSession, df: DataFrame, folder: str, name: str) -> DataFr
     return spark.read.schema(df.schema).parquet(path)
 
 
+def removed(spark: SparkSession, folder: str, *names: str) -> None:
+    """Delete stored tables that no later step reads, and let Spark drop shuffle files nobody refers to."""
+    jvm = spark.sparkContext._jvm
+    for name in names:
+        path = jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}")
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    gc.collect()
+    jvm.System.gc()
+
+
 def texts(array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of an Arrow string or binary array, end to end, and each value's bounds.
 

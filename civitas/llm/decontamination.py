@@ -20,7 +20,8 @@ from civitas.llm.common import scratch, stored
 WINDOW = 8
 #: Words of a window that must not be placeholders.
 LITERAL = 5
-#: Matching windows along one alignment that make a leak (all of them, for shorter items).
+#: Matching windows along one alignment that make a leak; for shorter items half of theirs, as the
+#: words around a passage can change how its first and last word look.
 ENOUGH = 6
 BROADCAST_ROWS = 1_000_000
 
@@ -88,7 +89,7 @@ def leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, window: in
     literal = F.size(F.filter(F.slice("words", F.col("at") + 1, window), lambda w: ~_held(w)))
     base = base.select("item_id", F.col("at").alias("item_at"), "window_hash", literal.alias("literal")).where(F.col("literal") >= LITERAL)
     base = stored(spark, base, folder, "windows")
-    needs = base.groupBy("item_id").agg(F.least(F.countDistinct("item_at"), F.lit(enough)).alias("need"))
+    needs = base.groupBy("item_id").agg(F.least(F.ceil(F.countDistinct("item_at") / 2), F.lit(enough)).alias("need"))
     few = base.count() <= BROADCAST_ROWS
 
     own = windows(docs.select("doc_id", "text"), window, ["doc_id"]).select("doc_id", "at", "window_hash")

@@ -27,7 +27,7 @@ import zlib
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from civitas.llm.common import BREAK, LOWER, PART, column, mixed, parts, prefix_hash, scratch, span_hash, stored, texts
+from civitas.llm.common import BREAK, LOWER, PART, column, mixed, parts, prefix_hash, removed, scratch, span_hash, stored, texts
 from civitas.llm.graph import components
 
 WORDS = 5
@@ -289,10 +289,13 @@ def _lists(blocks: DataFrame) -> DataFrame:
 
 
 def _picked(docs: DataFrame, marks) -> DataFrame:
+    """(cid, task, own): sets of marked classes, once a task."""
+
     def pick(batches):
         import pyarrow as pa
+        from pyspark import TaskContext
 
-        there = marks.value
+        there, task = marks.value, TaskContext.get().partitionId()
         seen: set[int] = set()
         for batch in batches:
             for part in parts(batch):
@@ -304,9 +307,9 @@ def _picked(docs: DataFrame, marks) -> DataFrame:
                         cids.append(cid)
                         sets.append(own.tobytes())
                 if cids:
-                    yield pa.record_batch([pa.array(cids, pa.int64()), pa.array(sets, pa.binary())], ["cid", "own"])
+                    yield pa.record_batch([pa.array(cids, pa.int64()), pa.array([task] * len(cids), pa.int32()), pa.array(sets, pa.binary())], ["cid", "task", "own"])
 
-    return docs.select("text").mapInArrow(pick, "cid long, own binary")
+    return docs.select("text").mapInArrow(pick, "cid long, task int, own binary")
 
 
 class Marks:
@@ -336,8 +339,12 @@ class Marks:
         return out
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) that are links, as (u, v)."""
+def _verified(pairs: DataFrame, sets: DataFrame, owners: DataFrame) -> DataFrame:
+    """The pairs (a, b) that are links, as (u, v).
+
+    owners: for each class the task whose copy of the set counts, so that sets need no
+    exchange of their own to become distinct.
+    """
 
     def compare(batches):
         import pyarrow as pa
@@ -353,9 +360,10 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             keep = pa.array(keep, pa.bool_())
             yield pa.record_batch([column(batch, "a").filter(keep), column(batch, "b").filter(keep)], ["u", "v"])
 
-    left = sets.select(F.col("cid").alias("a"), F.col("own").alias("own_a"))
-    right = sets.select(F.col("cid").alias("b"), F.col("own").alias("own_b"))
-    return pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "own_a", "own_b").mapInArrow(compare, "u long, v long")
+    named = lambda x: sets.select(F.col("cid").alias(x), F.col("task").alias(f"task_{x}"), F.col("own").alias(f"own_{x}"))
+    owner = lambda x: owners.select(F.col("cid").alias(x), F.col("task").alias(f"task_{x}"))
+    routed = pairs.select("a", "b").join(owner("a"), "a").join(owner("b"), "b")
+    return routed.join(named("a"), ["a", "task_a"]).join(named("b"), ["b", "task_b"]).select("a", "b", "own_a", "own_b").mapInArrow(compare, "u long, v long")
 
 
 def similar_groups(spark: SparkSession, docs: DataFrame) -> DataFrame:
@@ -384,9 +392,11 @@ def similar_groups(spark: SparkSession, docs: DataFrame) -> DataFrame:
     heads = heads.where("m > 1 AND (even OR two)").select("key", "v")
     links = stored(spark, keys.join(heads, "key").where("cid <> v").select(F.col("cid").alias("u"), "v"), folder, "links0")
 
+    removed(spark, folder, "postings")
+
     marks = spark.sparkContext.broadcast(Marks.of(lists.select("cid").distinct()))
-    wanted = lists.select("cid").distinct()
-    sets = stored(spark, _picked(docs, marks).dropDuplicates(["cid"]).join(wanted, "cid", "left_semi"), folder, "sets")
+    sets = stored(spark, _picked(docs, marks), folder, "sets")
+    owners = stored(spark, sets.groupBy("cid").agg(F.min("task").alias("task")), folder, "owners")
 
     total = F.col("size_a") + F.col("size_b")
     fits = (DEN * F.least("size_a", "size_b") >= NUM * F.greatest("size_a", "size_b")) & (F.greatest("size_a", "size_b") > light)
@@ -415,7 +425,10 @@ def similar_groups(spark: SparkSession, docs: DataFrame) -> DataFrame:
         if turn < ROUNDS:
             pairs = pairs.groupBy("own").agg(F.max_by(F.struct("cid_a", "cid_b"), F.struct("k", "cid_a", "cid_b")).alias("p")).select("p.*").distinct()
         pairs = stored(spark, pairs.select(F.col("cid_a").alias("a"), F.col("cid_b").alias("b")), folder, f"pairs{turn}")
-        links = links.union(stored(spark, _verified(pairs, sets), folder, f"links{turn + 1}"))
+        links = links.union(stored(spark, _verified(pairs, sets, owners), folder, f"links{turn + 1}"))
+        del roots, named, spread, every, pairs
+        removed(spark, folder, f"named{turn}", f"heads{turn}", f"pairs{turn}")
+    removed(spark, folder, "sets", "lists", "others")
     roots = stored(spark, components(spark, links, folder, "all"), folder, "roots").withColumnRenamed("node", "cid")
 
     found = rows.where("n > 0").join(roots, "cid", "left").select("doc_id", "n", "cid", F.coalesce("root", "cid").alias("root"))
