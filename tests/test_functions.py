@@ -89,3 +89,32 @@ def test_brackets_and_upward(spark):
     ranks = {"low": 0, "mid": 1, "top": 2}
     assert value(spark, R.upward(F.col("x"), F.array(F.lit("mid"), F.lit("top")), ranks), x="low") == "top"
     assert value(spark, R.upward(F.col("x"), F.array(F.lit("mid")), ranks), x="top") == "top"
+
+
+def test_timelines_and_actions(spark):
+    steps = F.from_json(F.col("x"), "array<struct<step:string,date:string>>")
+    told = '[{"step":"Registered","date":"1"},{"step":"Closed","date":"2"},{"step":"Closed","date":"3"}]'
+    assert value(spark, D.step_date(steps, "Closed"), x=told) == "2" and value(spark, D.step_date(steps, "None"), x=told) is None
+    assert value(spark, D.step_map(steps), x=told) == {"Registered": "1", "Closed": "3"}
+    assert value(spark, J.any_step_contains(steps, "clos"), x=told) is True
+    actions = F.from_json(F.col("x"), "array<struct<status:string,description:string,date:string>>")
+    acts = '[{"status":"adopted","description":"A vision","date":"2021"},{"status":"adopted","description":"B","date":"2020"}]'
+    assert value(spark, D.earliest(actions, ["adopted"]), x=acts) == "2020"
+    assert [a["status"] for a in value(spark, J.with_status(actions, "vision", "proposed"), x=acts)] == ["proposed", "adopted"]
+
+
+def test_people_and_sponsors(spark):
+    assert value(spark, J.head_count(F.from_json(F.col("x"), "map<string,int>")), x='{"FR": 2, "DE": 3}') == 5
+    sponsors = F.from_json(F.col("x"), "array<struct<name_of_sponsor:string,amount_in_eur:string>>")
+    got = value(spark, J.sponsor_stats(sponsors), x='[{"name_of_sponsor":"Ann","amount_in_eur":"1,000.50"},{"name_of_sponsor":"Bees Foundation","amount_in_eur":"n/a"}]')
+    assert (got.persons, got.organisations, got.amount) == (1, 1, 1000.5)
+    assert value(spark, J.celex(F.col("x")), x="32019R0128").asDict() == {"year": 2019, "kind": "Regulation", "number": 128}
+    assert value(spark, T.ratio_text(F.col("x").cast("double")), x="0.5") == "2.0x less" and value(spark, T.short_number(F.col("x").cast("double"), "€"), x="1500") == "€1.5K"
+
+
+def test_windows_keep_ties_apart(spark):
+    rows = spark.createDataFrame([("a", 1, 5), ("a", 2, 5), ("b", 3, 1)], "g string, k int, v int")
+    assert {tuple(r) for r in R.keep_first(rows, ["g"], [F.desc("v"), F.asc("k")]).select("g", "k").collect()} == {("a", 1), ("b", 3)}
+    assert {r.g: r.mode_value for r in R.mode(rows, ["g"], "v", least=2).collect()} == {"a": 5, "b": None}
+    assert [r.n for r in R.value_counts(rows, "g").orderBy("g").collect()] == [2, 1]
+    assert [r.n for r in R.histogram(rows, "v", 1, 5, 2).orderBy("bin").collect()] == [1, 2]

@@ -74,3 +74,19 @@ def test_snapshots(spark, tmp_path):
     assert page.n == "2019/000007" and page.html == "<html></html>"
     S.write_csv(spark.createDataFrame([("a", 'q"')], "x string, y string"), str(tmp_path / "out"))
     assert S.read_csv(spark, str(tmp_path / "out")).first()["y"] == 'q"'
+
+
+def test_lists_of_pages(spark):
+    first = spark.createDataFrame([("u1", None, "x"), ("u2", None, "y")], "url string, seen string, note string")
+    later = spark.createDataFrame([("u2", "now"), ("u3", "now")], "url string, seen string")
+    assert {tuple(r) for r in S.rewritten(first, later, "url").collect()} == {("u1", None, "x"), ("u2", "now", "y"), ("u3", "now", None)}
+    urls = spark.createDataFrame([("http://a", "2019/000007"), ("", "2019/000008"), (None, "2019/000009")], "url string, number string")
+    assert [(r.year, r.stem) for r in S.url_list(urls, "url", "number").collect()] == [("2019", "2019_000007")]
+    report = {r.s: (r.n, r.failed) for r in S.status_report(spark.createDataFrame([("a", 1), ("a", 0), ("b", 1)], "s string, f int"), "s", F.col("f") == 1).collect()}
+    assert report == {"a": (2, 1), "b": (1, 1)}
+    number = spark.createDataFrame([("ECI(2019)000007",), ("2019_000007",), ("2019/000007",)], "n string").select(S.normal_number(F.col("n"))).distinct().collect()
+    assert [tuple(r) for r in number] == [("2019/000007",)]
+    known, unknown = P.guarded(spark.createDataFrame([("1",), ("2",)], "registration_number string"), spark.createDataFrame([("1",)], "registration_number string"))
+    assert known.first()[0] == "1" and unknown.first()[0] == "2"
+    page = spark.createDataFrame([("<html>" + "x" * 2000,), ("<html>too many requests" + "x" * 2000,), ("short",), (None,)], "h string")
+    assert [r[0] for r in page.select(S.page_is_valid(F.col("h"))).collect()] == [True, False, False, False]
