@@ -5,7 +5,8 @@ part takes labelled credentials (given, or made by `examples` from publicly docu
 formats), builds a prefix tree of each kind, and merges states whose outgoing
 frequencies do not differ beyond a Hoeffding bound, subtree by subtree. The result is a
 probabilistic automaton for each kind. Every maximal run of credential characters is
-then scored by each automaton against a background of ordinary words; runs that an
+then scored by each automaton against the likeliest of several backgrounds (words, numbers,
+rules); runs that an
 automaton accepts with enough likelihood a character become further spans.
 
 Symbols are the characters themselves at the first `LITERAL` places, where formats keep
@@ -148,18 +149,17 @@ class Automaton:
     literal: int
     moves: list[dict[str, tuple[int, float]]]
 
-    def ratio(self, text: str, background: dict[str, float]) -> float:
-        """Mean log-likelihood ratio a character, or -inf if the text is not accepted."""
+    def ratio(self, text: str, background: tuple[dict[str, float], ...]) -> float:
+        """Mean log-likelihood ratio a character to the likeliest background, or -inf if not accepted."""
         at, total = 0, 0.0
-        for i, s in enumerate(symbols(text, self.literal)):
+        for s in symbols(text, self.literal):
             move = self.moves[at].get(s)
             if move is None:
                 return -math.inf
             at = move[0]
             total += move[1]
-            if s != END:
-                total -= background.get(_class(s) if i < self.literal else s, -5.0)
-        return total / len(text)
+        classes = [_class(c) for c in text]
+        return (total - max(sum(b.get(c, -5.0) for c in classes) for b in background)) / len(text)
 
 
 def infer(kind: str, words: list[str], literal: int = LITERAL, alpha: float = 0.05) -> Automaton:
@@ -194,8 +194,18 @@ def infer(kind: str, words: list[str], literal: int = LITERAL, alpha: float = 0.
     return Automaton(kind, literal, moves)
 
 
-#: Log frequencies of classes in ordinary words, by rule: mostly lower-case letters.
-BACKGROUND = {k: math.log(v) for k, v in {"lower": 0.62, "lower-hex": 0.3, "upper": 0.02, "upper-hex": 0.01, "digit": 0.02, "-": 0.01, ".": 0.01, "_": 0.005, "/": 0.004, "=": 0.001, "+": 0.001}.items()}
+def _logs(**shares: float) -> dict[str, float]:
+    rest = {"lower": 0.01, "lower-hex": 0.01, "upper": 0.01, "upper-hex": 0.01, "digit": 0.01, "-": 0.01, ".": 0.01, "_": 0.005, "/": 0.004, "=": 0.001, "+": 0.001}
+    return {k: math.log(v) for k, v in (rest | {k.replace("_hex", "-hex"): v for k, v in shares.items()}).items()}
+
+
+#: Log frequencies of classes in what is no credential: words, words in capitals, numbers, rules of symbols.
+BACKGROUND = (
+    _logs(lower=0.62, lower_hex=0.3, upper=0.02, digit=0.02),
+    _logs(upper=0.65, upper_hex=0.29),
+    _logs(digit=0.93),
+    _logs() | {k: math.log(0.15) for k in "-._/=+"},
+)
 
 
 def train(labelled: list[tuple[str, str]]) -> list[Automaton]:

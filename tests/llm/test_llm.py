@@ -264,7 +264,7 @@ def test_automata_tell_formats_from_words():
     best = lambda x: max(a.ratio(x, secret_scan.BACKGROUND) for a in automata)
     held = secret_scan.examples(30, seed=99)
     assert np.mean([best(t) >= secret_scan.THRESHOLD for _, t in held]) > 0.95
-    assert all(best(w) < secret_scan.THRESHOLD for w in ("internationalisation", "notwithstanding", "thisisaverylongwordindeedtoolong", "and-then-some-more-words"))
+    assert all(best(w) < secret_scan.THRESHOLD for w in ("internationalisation", "notwithstanding", "thisisaverylongwordindeedtoolong", "and-then-some-more-words", "4807614710343232", "THERHAOUSHEDANDENANOU", "////////////////////", "2024-01-01_00-00-00"))
 
 
 def test_packing(spark):
