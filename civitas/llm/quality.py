@@ -137,17 +137,17 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, sample: int = S
     return train(sorted(examples, key=lambda e: (e[0], len(e[1]), e[1].tobytes())))
 
 
-def score(spark: SparkSession, docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, threshold: float = THRESHOLD) -> DataFrame:
+def score(spark: SparkSession, docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, threshold: float = THRESHOLD, names: tuple[str, str] = ("score", "predicted")) -> DataFrame:
     """The documents with two more columns, score (0 to 1) and predicted (1 where score >= threshold).
 
     A null or empty text has no feature and gets what the bias alone gives. Without any
     label every score is 0.5. Only the text enters a score. All columns and rows of
-    `docs` are kept, repeated ones too; columns of it named score or predicted are
+    `docs` are kept, repeated ones too; columns of it that have one of `names` are
     replaced. An empty table gives no row.
     """
     differences, bias = fit(spark, docs, labels, sample).differences()
     model = spark.sparkContext.broadcast(differences)
-    docs = docs.drop("score", "predicted")
+    docs = docs.drop(*names)
 
     def predict(batches):
         import pyarrow as pa
@@ -163,10 +163,10 @@ def score(spark: SparkSession, docs: DataFrame, labels: DataFrame, sample: int =
                         count += np.bincount(index[doc], minlength=n)
                 value = 1 / (1 + np.exp(-(total / np.maximum(count, 1) + bias)))
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns, pa.array(value), pa.array((value >= threshold).astype(np.int32))], [*part.schema.names, "score", "predicted"]
+                    [*part.columns, pa.array(value), pa.array((value >= threshold).astype(np.int32))], [*part.schema.names, *names]
                 )
 
     from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
-    schema = StructType([*docs.schema.fields, StructField("score", DoubleType()), StructField("predicted", IntegerType())])
+    schema = StructType([*docs.schema.fields, StructField(names[0], DoubleType()), StructField(names[1], IntegerType())])
     return docs.mapInArrow(predict, schema)

@@ -20,7 +20,8 @@ from civitas.llm.quality import score
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier accepts."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return score(spark, docs, labels).where("predicted = 1").select(*docs.columns)
+    scored = score(spark, docs, labels, names=("_quality_score", "_quality_kept"))
+    return scored.where("_quality_kept = 1").select(*docs.columns)
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
