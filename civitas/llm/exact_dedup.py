@@ -62,7 +62,8 @@ def identities(spark: SparkSession, docs: DataFrame, block: int = BLOCK, route=F
     )
     routed = F.transform("blocks", lambda b: route(b))
     rows = stored(spark, cut.select("doc_id", "points", "text_sha256", F.size("blocks").alias("n_blocks"), routed.alias("routes")), folder, "rows")
-    blocks = cut.select(F.explode("blocks").alias("block")).select("block", route("block").alias("route"))
+    # the outer form: the plain one would test the array's size in a filter that cuts every text once more
+    blocks = cut.select(F.explode_outer("blocks").alias("block")).where("block IS NOT NULL").select("block", route("block").alias("route"))
     plain, exact = _first_names(spark, blocks, folder)
 
     one = rows.where("n_blocks <= 1").select("doc_id", "points", "text_sha256", "n_blocks", F.try_element_at("routes", F.lit(1)).alias("route"))
@@ -108,6 +109,7 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, block: int = BLOCK, route=
     named = stored(spark, identities(spark, docs, block, route), folder, "identities")
     best = F.min_by("doc_id", F.struct(-F.col("points"), F.col("doc_id")))
     groups = named.groupBy("n_blocks", "name").agg(best.alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+    groups = stored(spark, groups, folder, "groups")  # as a table, so that Spark can split a hot group in the join
     return named.join(groups, ["n_blocks", "name"]).select(
         "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256"
     )
