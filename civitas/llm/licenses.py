@@ -114,7 +114,7 @@ def scan(spark: SparkSession, docs: DataFrame, known: DataFrame | None = None) -
     """
     known = known_digests(spark) if known is None else known
     settled = docs.select("doc_id", lines(F.col("text")).alias("settled"))
-    each = settled.select("doc_id", F.posexplode(F.split("settled", "\n", -1)).alias("line", "body"))
+    each = settled.select("doc_id", F.posexplode_outer(F.split("settled", "\n", -1)).alias("line", "body"))
     each = each.select("doc_id", F.lit("line").alias("unit"), (F.col("line") + 1).cast("long").alias("line"), F.trim("body").alias("body"))
     whole = settled.where(F.instr("settled", "\n") > 0).select("doc_id", F.lit("text").alias("unit"), F.lit(0).cast("long").alias("line"), joined(F.col("settled")).alias("body"))
     alone = settled.where(F.instr("settled", "\n") == 0).select("doc_id", F.lit("text").alias("unit"), F.lit(0).cast("long").alias("line"), F.trim("settled").alias("body"))
