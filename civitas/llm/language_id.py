@@ -18,7 +18,7 @@ from dataclasses import dataclass, field
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from civitas.llm.common import column, parts, texts
+from civitas.llm.common import column, parts, scratch, stored, texts
 
 WINDOW = 128
 HIDDEN = 8
@@ -28,6 +28,8 @@ TAKEN = 4
 #: Windows that run side by side.
 LANES = 1024
 SALTS = 64
+#: Training documents that are broadcast at most, so that only chosen texts move; beyond it the join shuffles.
+BROADCAST_ROWS = 200_000
 
 
 @dataclass
@@ -176,7 +178,7 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2
 
 
-def training_windows(docs: DataFrame) -> list[tuple[bytes, str]]:
+def training_windows(spark: SparkSession, docs: DataFrame) -> list[tuple[bytes, str]]:
     """Windows of at most PER_LANGUAGE documents a language outside the held-out fold.
 
     Documents are taken by hash order of the id, first within salted parts of a language,
@@ -197,7 +199,8 @@ def training_windows(docs: DataFrame) -> list[tuple[bytes, str]]:
                 some = [data[k * WINDOW : (k + 1) * WINDOW] for k in {j * n // TAKEN for j in range(TAKEN)} if k < n]
                 yield pa.record_batch([pa.array(some, pa.binary()), pa.array([column(batch, "lang")[i].as_py()] * len(some), pa.string())], ["bytes", "lang"])
 
-    chosen = rows.select("doc_id", "text").join(ids.select("doc_id", "lang"), "doc_id")
+    ids = stored(spark, ids.select("doc_id", "lang"), scratch(spark), "chosen")
+    chosen = rows.select("doc_id", "text").join(F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids, "doc_id")
     return sorted((bytes(r[0]), r[1]) for r in chosen.select("text", "lang").mapInArrow(cut, "bytes binary, lang string").collect())
 
 
@@ -244,7 +247,7 @@ def identify(spark: SparkSession, docs: DataFrame) -> DataFrame:
     by name is taken. Repeated rows are returned as often; other columns are ignored;
     an empty table gives no row.
     """
-    net = train(training_windows(docs))
+    net = train(training_windows(spark, docs))
     shared = spark.sparkContext.broadcast(net)
     kind = dict(docs.dtypes)["doc_id"]
     latin = np.zeros(256, bool)
