@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
 import gc
 import os
 import tempfile
+import time
 import uuid
 
 import numpy as np
@@ -44,8 +46,22 @@ def removed(spark: SparkSession, folder: str, *names: str) -> None:
     for name in names:
         path = jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}")
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-    gc.collect()
-    jvm.System.gc()
+    for _ in range(2):  # the second time for what the first has let go of
+        gc.collect()
+        jvm.System.gc()
+        time.sleep(0.5)
+
+
+@contextlib.contextmanager
+def batches_of(spark: SparkSession, rows: int):
+    """Arrow batches of at most so many rows for what runs inside: for rows of many kilobytes."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
 
 
 def texts(array) -> tuple[np.ndarray, np.ndarray]:

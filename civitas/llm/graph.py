@@ -7,6 +7,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from civitas.llm.common import stored
 
 
+def _stars(edges: DataFrame) -> bool:
+    """Whether every node of the links (u, v), u > v, is either a centre or hangs on one centre."""
+    rows, nodes = edges.agg(F.count(F.lit(1)), F.countDistinct("u")).first()
+    return rows == nodes and not edges.select(F.col("v").alias("u")).join(edges.select("u"), "u", "left_semi").take(1)
+
+
 def components(spark: SparkSession, links: DataFrame, folder: str, name: str) -> DataFrame:
     """node, root for every node of links (u, v): root is the smallest node reachable.
 
@@ -16,8 +22,8 @@ def components(spark: SparkSession, links: DataFrame, folder: str, name: str) ->
     by Spark's skew join, since both sides are stored tables.
     """
     edges = stored(spark, links.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), folder, f"{name}0")
-    before, turn = None, 0
-    while True:
+    turn = 0
+    while not _stars(edges):
         turn += 1
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = stored(spark, both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), folder, f"{name}{turn}a")
@@ -26,8 +32,4 @@ def components(spark: SparkSession, links: DataFrame, folder: str, name: str) ->
         least = stored(spark, large.groupBy("u").agg(F.min("v").alias("m")), folder, f"{name}{turn}c")
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v")))
         edges = stored(spark, small.where("u <> v").distinct(), folder, f"{name}{turn}d")
-        now = edges.agg(F.count(F.lit(1)), F.coalesce(F.bit_xor(F.xxhash64("u", "v")), F.lit(0))).first()
-        if now == before:
-            break
-        before = now
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).union(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())

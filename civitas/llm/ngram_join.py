@@ -27,7 +27,7 @@ import zlib
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from civitas.llm.common import BREAK, LOWER, PART, column, mixed, parts, prefix_hash, removed, scratch, span_hash, stored, texts
+from civitas.llm.common import BREAK, LOWER, PART, batches_of, column, mixed, parts, prefix_hash, removed, scratch, span_hash, stored, texts
 from civitas.llm.graph import components
 
 WORDS = 5
@@ -41,6 +41,10 @@ POSTING_COST = 16
 #: The largest size the boundary may take.
 LIGHT_MOST = 24
 ROUNDS = 2
+#: Pairs of whole sets that a task holds at once.
+PAIRS_AT_ONCE = 256
+#: Pairs whose ids are broadcast at most, to pick the sets that must move.
+BROADCAST_ROWS = 500_000
 
 
 
@@ -339,7 +343,7 @@ class Marks:
         return out
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, owners: DataFrame) -> DataFrame:
+def _verified(spark: SparkSession, pairs: DataFrame, sets: DataFrame, owners: DataFrame, folder: str, name: str) -> DataFrame:
     """The pairs (a, b) that are links, as (u, v).
 
     owners: for each class the task whose copy of the set counts, so that sets need no
@@ -360,9 +364,15 @@ def _verified(pairs: DataFrame, sets: DataFrame, owners: DataFrame) -> DataFrame
             keep = pa.array(keep, pa.bool_())
             yield pa.record_batch([column(batch, "a").filter(keep), column(batch, "b").filter(keep)], ["u", "v"])
 
-    named = lambda x: sets.select(F.col("cid").alias(x), F.col("task").alias(f"task_{x}"), F.col("own").alias(f"own_{x}"))
     owner = lambda x: owners.select(F.col("cid").alias(x), F.col("task").alias(f"task_{x}"))
-    routed = pairs.select("a", "b").join(owner("a"), "a").join(owner("b"), "b")
+    routed = stored(spark, pairs.select("a", "b").join(owner("a"), "a").join(owner("b"), "b"), folder, name)
+    few = routed.count() <= BROADCAST_ROWS
+
+    def named(x):
+        own = sets.select(F.col("cid").alias(x), F.col("task").alias(f"task_{x}"), F.col("own").alias(f"own_{x}"))
+        # only sets that are compared move; without the bound the join alone sorts them out
+        return own.join(F.broadcast(routed.select(x, f"task_{x}").distinct()), [x, f"task_{x}"], "left_semi") if few else own
+
     return routed.join(named("a"), ["a", "task_a"]).join(named("b"), ["b", "task_b"]).select("a", "b", "own_a", "own_b").mapInArrow(compare, "u long, v long")
 
 
@@ -425,9 +435,10 @@ def similar_groups(spark: SparkSession, docs: DataFrame) -> DataFrame:
         if turn < ROUNDS:
             pairs = pairs.groupBy("own").agg(F.max_by(F.struct("cid_a", "cid_b"), F.struct("k", "cid_a", "cid_b")).alias("p")).select("p.*").distinct()
         pairs = stored(spark, pairs.select(F.col("cid_a").alias("a"), F.col("cid_b").alias("b")), folder, f"pairs{turn}")
-        links = links.union(stored(spark, _verified(pairs, sets, owners), folder, f"links{turn + 1}"))
+        with batches_of(spark, PAIRS_AT_ONCE):
+            links = links.union(stored(spark, _verified(spark, pairs, sets, owners, folder, f"routed{turn}"), folder, f"links{turn + 1}"))
         del roots, named, spread, every, pairs
-        removed(spark, folder, f"named{turn}", f"heads{turn}", f"pairs{turn}")
+        removed(spark, folder, f"named{turn}", f"heads{turn}", f"pairs{turn}", f"routed{turn}")
     removed(spark, folder, "sets", "lists", "others")
     roots = stored(spark, components(spark, links, folder, "all"), folder, "roots").withColumnRenamed("node", "cid")
 
