@@ -43,6 +43,8 @@ LIGHT_MOST = 24
 ROUNDS = 2
 #: Pairs of whole sets that a task holds at once.
 PAIRS_AT_ONCE = 256
+#: Texts or blocks that Spark hands to a task's Python at once.
+ROWS_AT_ONCE = 500
 #: Pairs whose ids are broadcast at most, to pick the sets that must move.
 BROADCAST_ROWS = 500_000
 
@@ -385,6 +387,11 @@ def similar_groups(spark: SparkSession, docs: DataFrame) -> DataFrame:
     has none, is linked with nothing and is its own component. Rows that repeat a doc_id
     and text agree in all columns. Other columns are ignored; an empty table gives no row.
     """
+    with batches_of(spark, ROWS_AT_ONCE):
+        return _similar_groups(spark, docs)
+
+
+def _similar_groups(spark: SparkSession, docs: DataFrame) -> DataFrame:
     folder = scratch(spark)
     described = stored(spark, _described(docs), folder, "described")
     rows = described.where("chunk IS NULL").select("doc_id", "n", "cid")
