@@ -46,3 +46,23 @@ def test_run_and_empty_table(spark, folder):
     empty = spark.read.parquet(f"{folder}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, folder).count() == 0
+
+
+def test_null_and_repeated_ids_keep_their_own_verdicts(spark, folder, tmp_path):
+    rng = random.Random(9)
+    prose = lambda: " ".join("".join(rng.choice("abcdefghijkl") for _ in range(6)) for _ in range(40))
+    item = spark.read.parquet(f"{folder}/benchmark.parquet").first().text
+    a, b, c, d, e, f = (prose() for _ in range(6))
+    leaky, bare = f"{prose()} {item}", prose()
+    rows = [(None, a), (None, b), (None, a), (7, c), (7, d), (1, c), (7, d + " x"), (8, e), (8, leaky), (None, leaky + " y"), (9, f), (9, f), (9, bare.replace(" ", "", 1)), (9, bare)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    texts = []
+    for i, stage in enumerate((corpus_pipeline.exact_copies, corpus_pipeline.near_copies, corpus_pipeline.decontaminated)):
+        docs = stored(spark, stage(spark, docs, folder), str(tmp_path), f"n{i}")
+        texts.append(sorted(((r.doc_id, r.text) for r in docs.collect()), key=repr))
+    exact = [(None, a), (None, b), (1, c), (7, d), (7, d + " x"), (8, e), (8, leaky), (None, leaky + " y"), (9, f), (9, bare)]
+    assert texts[0] == sorted(exact, key=repr)
+    near = [x for x in texts[1] if x not in ((7, d), (7, d + " x"))]
+    assert near == sorted([(None, a), (None, b), (1, c), (8, e), (None, leaky + " y"), (9, f), (9, bare)], key=repr) and len(texts[1]) == len(near) + 1
+    assert texts[2] == [x for x in texts[1] if x[1] != leaky + " y"]
+    assert {r.doc_id for r in corpus_pipeline.packed(spark, docs, folder).collect()} == {x[0] for x in texts[2]}
