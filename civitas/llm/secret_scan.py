@@ -7,7 +7,11 @@ frequencies do not differ beyond a Hoeffding bound, subtree by subtree. The resu
 probabilistic automaton for each kind. Every maximal run of credential characters is
 then scored by each automaton against the likeliest of several backgrounds (words, numbers,
 rules); runs that an
-automaton accepts with enough likelihood a character become further spans.
+automaton accepts with enough likelihood a character become further spans. Where a run as
+a whole is none (a credential behind a name, a path or a prefix), its parts are scored:
+those that begin with a kind's literal start, or for kinds without one behind a separator,
+and that end before a separator with a length between those of the kind's labelled
+credentials, or at the end of the run with at least the least of these.
 
 Symbols are the characters themselves at the first `LITERAL` places, where formats keep
 their markers, and character classes after them.
@@ -16,6 +20,7 @@ their markers, and character classes after them.
 from __future__ import annotations
 
 import hashlib
+import itertools
 import math
 import random
 import re
@@ -34,7 +39,9 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 KINDS = ("assign", "access", "hex", "learned")
 HINTS = ("passw", "secret", "token", "apikey", "api_key")
 
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-](?:[A-Za-z0-9+/_.=-]{14,})[A-Za-z0-9+/_=-]")
+SEPARATORS = "+/_.=-"
+#: The least length of a run that is scored as a whole, unless labelled credentials are shorter.
+WHOLE = 16
 LITERAL = 4
 #: Log-likelihood ratio a character that makes a span.
 THRESHOLD = 0.5
@@ -148,6 +155,10 @@ class Automaton:
     kind: str
     literal: int
     moves: list[dict[str, tuple[int, float]]]
+    #: The common start of the labelled credentials (as far as it is literal), and their least and greatest length.
+    start: str = ""
+    least: int = WHOLE
+    most: int = WHOLE
 
     def ratio(self, text: str, background: tuple[dict[str, float], ...]) -> float:
         """Mean log-likelihood ratio a character to the likeliest background, or -inf if not accepted."""
@@ -191,7 +202,7 @@ def infer(kind: str, words: list[str], literal: int = LITERAL, alpha: float = 0.
             if to is not None:
                 own[s] = (to, math.log(n / r.count))
         moves.append(own)
-    return Automaton(kind, literal, moves)
+    return Automaton(kind, literal, moves, words[0][:literal], min(map(len, words)), max(map(len, words)))
 
 
 def _logs(**shares: float) -> dict[str, float]:
@@ -216,16 +227,78 @@ def train(labelled: list[tuple[str, str]]) -> list[Automaton]:
     return [infer(k, w, LITERAL if len({x[:LITERAL] for x in w}) == 1 else 0) for k, w in sorted(by.items())]
 
 
-def learned_spans(text: str, automata: list[Automaton], taken: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-    """Accepted candidates that overlap no base span."""
+def candidates(automata: list[Automaton]) -> re.Pattern:
+    """Maximal runs of credential characters as long as the shortest that may be accepted."""
+    least = min([WHOLE, *(a.least for a in automata)])
+    return re.compile(r"[A-Za-z0-9+/_=-](?:[A-Za-z0-9+/_.=-]{%d,}[A-Za-z0-9+/_=-])" % max(least - 2, 0))
+
+
+def _tails(a: Automaton, classes: list[str], places: list[int]) -> dict[int, list[float]]:
+    """For each place the log probability of the rest of the run from each state, in one pass from the end."""
+    wanted, out = set(places), {}
+    rest = [m[END][1] if END in m else -math.inf for m in a.moves]
+    for i in range(len(classes), -1, -1):
+        if i < len(classes):
+            steps = [m.get(classes[i]) for m in a.moves]
+            rest = [-math.inf if s is None else s[1] + rest[s[0]] for s in steps]
+        if i in wanted:
+            out[i] = rest
+    return out
+
+
+def _parts(run: str, a: Automaton, classes: list[str], sums: list[list[float]]) -> list[tuple[int, int]]:
+    """(start, end) of the parts of a run that an automaton accepts: the longest for each start."""
+    last, places = len(run) - a.least, []
+    if a.start:
+        at = run.find(a.start)
+        while -1 < at <= last:
+            places.append(at)
+            at = run.find(a.start, at + 1)
+    else:
+        places = [i for i in range(last + 1) if i == 0 or run[i - 1] in SEPARATORS]
+    if not places:
+        return []
+    good = lambda i, j, total: total - max(s[j] - s[i] for s in sums) >= THRESHOLD * (j - i)
+    far = [i + a.literal for i in places if len(run) - i > a.most]
+    tails = _tails(a, classes, far) if far else {}
+    out = []
+    for i in places:
+        state, total, best = 0, 0.0, None
+        for j in range(i, min(len(run), i + a.most) + 1):
+            if j - i == a.literal and j in tails and good(i, len(run), total + tails[j][state]):
+                best = len(run)
+                break
+            end = a.moves[state].get(END)
+            if end and j - i >= a.least and (j == len(run) or run[j] in SEPARATORS) and good(i, j, total + end[1]):
+                best = j
+            if j == len(run) or (move := a.moves[state].get(run[j] if j - i < a.literal else classes[j])) is None:
+                break
+            state, total = move[0], total + move[1]
+        if best:
+            out.append((i, best))
+    return out
+
+
+def learned_spans(text: str, automata: list[Automaton], taken: list[tuple[int, int, int]], pattern: re.Pattern | None = None) -> list[tuple[int, int, int]]:
+    """Accepted candidates, or else accepted parts of them, that overlap no base span and no other."""
     out = []
     ends = [(s, e) for s, _, e in taken]
-    for m in CANDIDATE.finditer(text):
-        run = m.group()
-        if any(s < m.end() and m.start() < e for s, e in ends):
+    for m in (pattern or candidates(automata)).finditer(text):
+        run, at = m.group(), m.start()
+        near = [(s - at, e - at) for s, e in ends if s < m.end() and at < e]
+        if not near and max((a.ratio(run, BACKGROUND) for a in automata if len(run) >= min(WHOLE, a.least)), default=-math.inf) >= THRESHOLD:
+            out.append((at, 3, m.end()))
+            continue
+        some = [a for a in automata if len(run) >= a.least and (a.start in run if a.start else any(c in SEPARATORS for c in run))]
+        if not some:
             continue
-        if max((a.ratio(run, BACKGROUND) for a in automata), default=-math.inf) >= THRESHOLD:
-            out.append((m.start(), 3, m.end()))
+        classes = [_class(c) for c in run]
+        sums = [[0.0, *itertools.accumulate(b.get(c, -5.0) for c in classes)] for b in BACKGROUND]
+        free = 0
+        for i, j in sorted((p for a in some for p in _parts(run, a, classes, sums)), key=lambda p: (p[0], -p[1])):
+            if i >= free and not any(s < j and i < e for s, e in near):
+                out.append((at + i, 3, at + j))
+                free = j
     return out
 
 
@@ -238,6 +311,7 @@ def scan(docs: DataFrame, automata: list[Automaton]) -> DataFrame:
     are returned as often; other columns are ignored; an empty table gives no row.
     """
     kind = dict(docs.dtypes)["doc_id"]
+    pattern = candidates(automata)
 
     def find(batches):
         import pyarrow as pa
@@ -250,7 +324,7 @@ def scan(docs: DataFrame, automata: list[Automaton]) -> DataFrame:
                 for i, text in enumerate(column(part, "text")):
                     text = text.as_py() or ""
                     base = base_spans(text)
-                    more = learned_spans(text, automata, base)
+                    more = learned_spans(text, automata, base, pattern)
                     for _, k, _ in base + more:
                         counts[i, k] += 1
                     digests.append(hashlib.sha256(joined(base).encode()).hexdigest())

@@ -267,6 +267,18 @@ def test_automata_tell_formats_from_words():
     assert all(best(w) < secret_scan.THRESHOLD for w in ("internationalisation", "notwithstanding", "thisisaverylongwordindeedtoolong", "and-then-some-more-words", "4807614710343232", "THERHAOUSHEDANDENANOU", "////////////////////", "2024-01-01_00-00-00"))
 
 
+def test_credentials_glued_to_keys_and_paths():
+    automata = secret_scan.train(secret_scan.examples())
+    found = lambda x, a=automata: [x[s:e] for s, _, e in secret_scan.learned_spans(x, a, secret_scan.base_spans(x))]
+    stripe, github, aws = "sk_live_" + "a1B2c3D4e5F6g7H8i9J0k1L2", "ghp_" + "Ab1Cd2Ef3Gh4Ij5Kl6Mn7Op8Qr9St0Uv1Wx2", next(c for k, c in secret_scan.examples(1, seed=99) if k == "aws_secret")
+    for before, key, after in (("STRIPE_KEY=", stripe, ""), ("GH_AUTH=", github, ".bak"), ("aws_secret_access_key=", aws, ""), ("/v1/", github, "/x_y"), ("x.y/", stripe, "_old")):
+        assert any(key in f for f in found(f"put {before}{key}{after} there")), before
+    assert key in found(f"AKIA{'A1B2' * 5}/{stripe}")[0]
+    assert found("src/main/java/org/example/project/internal/handlers/RequestHandler.java") == [] and found("=/" * 200_000) == []
+    short = secret_scan.train([("own", f"zq9_{i % 10}X{i % 7}k{i % 3}") for i in range(60)])
+    assert found("a zq9_1X2k0 b", short) == ["zq9_1X2k0"]
+
+
 def test_packing(spark):
     from tokenizers import Tokenizer
 
