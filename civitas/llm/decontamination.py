@@ -1,11 +1,14 @@
 r"""Benchmark decontamination by template canonicalisation, in DataFrame operations only.
 
-Numbers, names (capitalised words inside a sentence) and units after a number become
-typed placeholders; case and punctuation go. Windows of `WINDOW` words of the template
-are hashed and joined between benchmark items and documents. An item leaks where enough
-of its windows match along one alignment and the slots agree: a benchmark value must
-stand for one and the same value of the document throughout. Slots of equal values make
-a verbatim leak, consistently replaced ones a re-parameterised one.
+Numbers, names (capitalised words, also at the start of a sentence) and units after a
+number become typed placeholders; case and punctuation go. Windows of `WINDOW` words of
+the template are hashed and joined between benchmark items and documents, and so are
+windows of the words themselves, in lower case and without placeholders. An item leaks
+where enough of its windows match along one alignment; for templates the slots must agree
+too: a benchmark value must stand for one and the same value of the document throughout.
+Matching words, or slots of equal values, make a verbatim leak, consistently replaced
+slots a re-parameterised one. Items without a window of their own (short ones, or those
+of hardly more than placeholders) are joined as a whole, at their own length.
 
 Only benchmark windows are broadcast, and only after counting them; beyond
 `BROADCAST_ROWS` the join is left to shuffle.
@@ -20,6 +23,9 @@ from civitas.llm.common import scratch, stored
 WINDOW = 8
 #: Words of a window that must not be placeholders.
 LITERAL = 5
+#: The fewest words of an item that is looked for verbatim, and the fewest that are no placeholders
+#: in a template of fewer than `WINDOW` words; what has less is met by chance (see `unsearched`).
+SHORT, SHORT_LITERAL = 3, 4
 #: Matching windows along one alignment that make a leak; for shorter items half of theirs, as the
 #: words around a passage can change how its first and last word look.
 ENOUGH = 6
@@ -28,21 +34,29 @@ BROADCAST_ROWS = 1_000_000
 # Units known after a number.
 UNITS = "kg|g|mg|lb|lbs|oz|km|m|cm|mm|mi|ft|in|l|ml|h|min|s|ms|hz|khz|mhz|ghz|kb|mb|gb|tb|w|kw|v|a|j|kj|n|pa|kpa|°c|°f|k|mol|percent|dollars?|euros?|pounds?|cents?|hours?|minutes?|seconds?|days?|weeks?|months?|years?|meters?|metres?|miles?|feet|inches|liters?|litres?|grams?|kilograms?|kilometers?|kilometres?"
 NUMBER = r"\p{N}+(?:[.,:/]\p{N}+)*"
-NAME = r"(?<=[\p{L}\p{N},;] )\p{Lu}\p{Ll}+(?![\p{L}\p{N}])"
+NAME = r"(?<![\p{L}\p{N}])\p{Lu}\p{Ll}+(?![\p{L}\p{N}])"
+#: Names inside a sentence: only these count against `LITERAL`.
+INNER = r"(?<=[\p{L}\p{N},;] )\p{Lu}\p{Ll}+(?![\p{L}\p{N}])"
 #: Placeholders: private code points, so no text has them by chance; others of their kind are blanked.
 HOLD = {"name": "\ue001", "number": "\ue002", "unit": "\ue003"}
 OWN = "".join(HOLD.values())
 
 
-def template(text: Column) -> Column:
+def template(text: Column, name: str = NAME) -> Column:
     """The words of the canonical template."""
     out = F.translate(F.coalesce(text, F.lit("")), OWN, "   ")
-    out = F.regexp_replace(out, NAME, HOLD["name"])
+    out = F.regexp_replace(out, name, HOLD["name"])
     out = F.regexp_replace(out, NUMBER, f" {HOLD['number']} ")
     out = F.regexp_replace(out, f"(?i)(?<={HOLD['number']} {{1,2}})(?:{UNITS})(?![\\p{{L}}\\p{{N}}])", HOLD["unit"])
     return F.filter(F.split(F.lower(out), rf"[^\p{{L}}\p{{N}}{OWN}]+"), lambda w: w != "")
 
 
+def plain(text: Column) -> Column:
+    """The words themselves, as many as the template has."""
+    blank = F.translate(F.coalesce(text, F.lit("")), OWN, "   ")
+    return F.regexp_extract_all(F.lower(blank), F.lit(rf"{NUMBER}|\p{{L}}+"), F.lit(0))
+
+
 def slot_values(text: Column) -> Column:
     """What the placeholders of the template stand for, in order, in lower case."""
     blank = F.translate(F.coalesce(text, F.lit("")), OWN, "   ")
@@ -54,70 +68,98 @@ def _held(word: Column) -> Column:
     return word.isin(*HOLD.values())
 
 
-def _hashes(words: Column, window: int) -> Column:
-    """A hash for each window of words."""
-    each = F.transform(words, lambda w: F.xxhash64(w))
-    return F.when(
-        F.size(words) >= window,
-        F.transform(F.sequence(F.lit(0), F.size(words) - window), lambda i: F.xxhash64(*(F.get(F.col("hashes"), i + k) for k in range(window)))),
-    ), each
+def _hashes(hashes: Column, window: int) -> Column:
+    """A hash for each window of words, from the words' hashes."""
+    each = lambda i: F.xxhash64(*(F.get(hashes, i + k) for k in range(window))) if window <= WINDOW else F.xxhash64(F.slice(hashes, i + 1, window))
+    return F.when(F.size(hashes) >= window, F.transform(F.sequence(F.lit(0), F.size(hashes) - window), each)).otherwise(F.array().cast("array<long>"))
 
 
-def windows(docs: DataFrame, window: int, keep: list[str]) -> DataFrame:
-    """keep..., words, at, window_hash: one row per window of the texts."""
-    held = docs.select(*keep, template(F.col("text")).alias("words"))
-    own, each = _hashes(F.col("words"), window)
-    held = held.select(*keep, "words", each.alias("hashes")).select(*keep, "words", own.alias("own"))
+def windows(docs: DataFrame, lengths: list[int]) -> DataFrame:
+    """doc_id, at, window_hash: the windows of templates, and those of words that differ from them."""
+    each = lambda c: F.transform(c, lambda w: F.xxhash64(w))
+    held = docs.select("doc_id", each(template(F.col("text"))).alias("t"), each(plain(F.col("text"))).alias("p"))
+    held = held.select("doc_id", *(_hashes(F.col(c), n).alias(f"{c}{n}") for n in lengths for c in "tp"))
+    placed = lambda c: F.transform(c, lambda h, i: F.struct(i.alias("at"), h.alias("window_hash")))
+    more = lambda n: F.filter(placed(F.col(f"p{n}")), lambda x: ~x["window_hash"].eqNullSafe(F.get(F.col(f"t{n}"), x["at"])))
     # the outer form: the plain one would test the array's size in a filter that works all of it out once more
-    return held.select(*keep, "words", F.posexplode_outer("own").alias("at", "window_hash")).where("window_hash IS NOT NULL")
+    out = held.select("doc_id", F.explode_outer(F.concat(*(x for n in lengths for x in (placed(F.col(f"t{n}")), more(n))))).alias("w"))
+    return out.where("w IS NOT NULL").select("doc_id", "w.at", "w.window_hash")
+
+
+def _searched(items: DataFrame, window: int) -> DataFrame:
+    """item_id, form (`words` or `template`), n: the length of the windows an item is looked for by; no row where it cannot be."""
+    words, inner = template(F.col("text")), template(F.col("text"), INNER)
+    literal = lambda w: F.size(F.filter(w, lambda x: ~_held(x)))
+    own = items.select("item_id", F.size(plain(F.col("text"))).alias("size"), F.size(words).alias("n"), literal(words).alias("literal"), inner.alias("inner"))
+    good = F.exists(F.sequence(F.lit(0), F.greatest(F.col("n") - window, F.lit(0))), lambda i: literal(F.slice("inner", i + 1, window)) >= LITERAL) & (F.col("n") >= window)
+    whole = F.when(F.col("literal") >= F.when(F.col("n") >= window, 1).otherwise(SHORT_LITERAL), F.col("n"))
+    words = own.where(F.col("size") >= SHORT).select("item_id", F.lit("words").alias("form"), F.least("size", F.lit(window)).alias("n"))
+    return words.unionByName(own.select("item_id", F.lit("template").alias("form"), F.when(good, window).otherwise(whole).alias("n")).where("n IS NOT NULL"))
+
+
+def unsearched(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+    """item_id, words, template: the items that are not looked for by their words or not by their template."""
+    found = _searched(benchmark, window).groupBy("item_id").agg(*(F.max(F.col("form") == k).alias(k) for k in ("words", "template")))
+    out = benchmark.select("item_id").distinct().join(found, "item_id", "left")
+    return out.select("item_id", *(F.coalesce(k, F.lit(False)).alias(k) for k in ("words", "template"))).where("NOT (words AND template)")
+
+
+def _item_windows(items: DataFrame, searched: DataFrame, lengths: list[int]) -> DataFrame:
+    """item_id, form, n, item_at, window_hash, literal: the windows items are looked for by."""
+    held = items.join(searched, "item_id").withColumn("inner", template(F.col("text"), INNER)).withColumn("words", F.when(F.col("form") == "words", plain(F.col("text"))).otherwise(template(F.col("text"))))
+    held = held.withColumn("hashes", F.transform("words", lambda w: F.xxhash64(w)))
+    own = F.coalesce(*(F.when(F.col("n") == n, _hashes(F.col("hashes"), n)) for n in lengths))
+    held = held.withColumn("own", own).select("item_id", "form", "n", "words", "inner", F.posexplode_outer("own").alias("item_at", "window_hash")).where("window_hash IS NOT NULL")
+    literal = lambda c: F.size(F.filter(F.slice(c, F.col("item_at") + 1, F.col("n")), lambda w: ~_held(w)))
+    held = held.select("item_id", "form", "n", "item_at", "window_hash", literal("words").alias("literal"), literal("inner").alias("inner"), (F.size("words") == F.col("n")).alias("whole"))
+    return held.where((F.col("form") == "words") | F.col("whole") | (F.col("inner") >= LITERAL)).drop("inner", "whole")
 
 
 def leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, enough: int = ENOUGH) -> DataFrame:
     """One row per document and benchmark item that leaks into it: doc_id, item_id, n_windows, n_slots, kind.
 
     kind is `verbatim` or `reparameterised`. Items of the same template and slots count
-    as one, named by the smallest item_id. An item of fewer than `window` words, or of
-    hardly more than placeholders, cannot be told from chance and leaks nowhere; null
-    and empty texts have no window. Rows that repeat a doc_id are taken together. Other
-    columns of either table are ignored; an empty table on either side gives no row.
+    as one, named by the smallest item_id. Items that cannot be told from chance leak
+    nowhere, or only verbatim: `unsearched` lists them. Null and empty texts have no
+    window. Rows that repeat a doc_id are taken together. Other columns of either table
+    are ignored; an empty table on either side gives no row.
     """
     folder = scratch(spark)
     items = benchmark.where("item_id IS NOT NULL").select("item_id", "text", template(F.col("text")).alias("words"), slot_values(F.col("text")).alias("values"))
     items = items.groupBy("words", "values").agg(F.min("item_id").alias("item_id"), F.min_by("text", "item_id").alias("text"))
     items = stored(spark, items.select("item_id", "text"), folder, "items")
-    base = windows(items, window, ["item_id"])
-    literal = F.size(F.filter(F.slice("words", F.col("at") + 1, window), lambda w: ~_held(w)))
-    base = base.select("item_id", F.col("at").alias("item_at"), "window_hash", literal.alias("literal")).where(F.col("literal") >= LITERAL)
-    base = stored(spark, base, folder, "windows")
-    needs = base.groupBy("item_id").agg(F.least(F.ceil(F.countDistinct("item_at") / 2), F.lit(enough)).alias("need"))
+    searched = stored(spark, _searched(items, window), folder, "searched")
+    lengths = sorted({window, *(r[0] for r in searched.select("n").distinct().collect())})
+    base = stored(spark, _item_windows(items, searched, lengths), folder, "windows")
+    needs = base.groupBy("item_id", "form").agg(F.least(F.ceil(F.countDistinct("item_at") / 2), F.lit(enough)).alias("need"))
     few = base.count() <= BROADCAST_ROWS
 
-    own = windows(docs.select("doc_id", "text"), window, ["doc_id"]).select("doc_id", "at", "window_hash")
+    own = windows(docs.select("doc_id", "text"), lengths)
     hits = own.join(F.broadcast(base) if few else base, "window_hash")
-    hits = hits.groupBy("doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("shift")).agg(
+    hits = hits.groupBy("doc_id", "item_id", "form", (F.col("at") - F.col("item_at")).alias("shift")).agg(
         F.countDistinct("item_at").alias("n_windows"),
-        F.countDistinct(F.when(F.col("literal") == window, F.col("item_at"))).alias("n_plain"),
+        F.countDistinct(F.when(F.col("literal") == F.col("n"), F.col("item_at"))).alias("n_plain"),
         F.min("item_at").alias("lo"),
-        (F.max("item_at") + window).alias("hi"),
+        F.max(F.col("item_at") + F.col("n")).alias("hi"),
     )
-    hits = stored(spark, hits.join(needs, "item_id").where("n_windows >= need"), folder, "hits")
+    hits = stored(spark, hits.join(needs, ["item_id", "form"]).where("n_windows >= need"), folder, "hits")
 
     slots = lambda rows, keep: rows.select(
         *keep, F.posexplode(F.filter(F.transform(template(F.col("text")), lambda w, i: F.struct(i.alias("at"), _held(w).alias("held"))), lambda s: s["held"])).alias("k", "s"), slot_values(F.col("text")).alias("values")
     ).select(*keep, F.col("s.at").alias("at"), F.get("values", F.col("k")).alias("value"))
     theirs = slots(items, ["item_id"]).select("item_id", F.col("at").alias("item_at"), F.col("value").alias("item_value"))
-    wanted = hits.join(theirs, "item_id").where("item_at >= lo AND item_at < hi").select("doc_id", "item_id", "shift", "item_value", (F.col("item_at") + F.col("shift")).alias("at"))
+    wanted = hits.where("form = 'template'").join(theirs, "item_id").where("item_at >= lo AND item_at < hi").select("doc_id", "item_id", "shift", "item_value", (F.col("item_at") + F.col("shift")).alias("at"))
     if wanted.take(1):
         some = docs.select("doc_id", "text").join(wanted.select("doc_id").distinct(), "doc_id", "left_semi")
         pairs = wanted.join(slots(some, ["doc_id"]), ["doc_id", "at"])
         each = pairs.groupBy("doc_id", "item_id", "shift", "item_value").agg(
             F.countDistinct("value").alias("values"), F.count(F.lit(1)).alias("n"), F.bool_and(F.col("value") == F.col("item_value")).alias("same")
         )
-        agreed = each.groupBy("doc_id", "item_id", "shift").agg(F.max("values").alias("most"), F.sum("n").alias("n_slots"), F.bool_and("same").alias("same"))
-        hits = hits.join(agreed, ["doc_id", "item_id", "shift"], "left")
+        agreed = each.groupBy("doc_id", "item_id", "shift").agg(F.max("values").alias("most"), F.sum("n").alias("n_slots"), F.bool_and("same").alias("same")).withColumn("form", F.lit("template"))
+        hits = hits.join(agreed, ["doc_id", "item_id", "shift", "form"], "left")
     else:
         hits = hits.select("*", F.lit(None).cast("long").alias("most"), F.lit(None).cast("long").alias("n_slots"), F.lit(None).cast("boolean").alias("same"))
     hits = hits.where("coalesce(most, 1) <= 1 OR n_plain >= need")
     verbatim = F.coalesce("same", F.lit(True))
-    best = hits.groupBy("doc_id", "item_id").agg(F.max(F.struct("n_windows", verbatim.alias("verbatim"), F.coalesce("n_slots", F.lit(0)).alias("n_slots"))).alias("b"))
-    return best.select("doc_id", "item_id", "b.n_windows", "b.n_slots", F.when(F.col("b.verbatim"), "verbatim").otherwise("reparameterised").alias("kind"))
+    best = hits.groupBy("doc_id", "item_id").agg(F.max(F.struct("n_windows", verbatim.alias("verbatim"))).alias("b"), F.max(F.coalesce("n_slots", F.lit(0))).alias("n_slots"))
+    return best.select("doc_id", "item_id", "b.n_windows", "n_slots", F.when(F.col("b.verbatim"), "verbatim").otherwise("reparameterised").alias("kind"))

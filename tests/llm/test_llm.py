@@ -133,6 +133,19 @@ def test_decontamination_plain_prose_in_any_case(spark):
     assert {(r.doc_id, r.item_id) for r in got} == {(i, i) for i, _ in items}
 
 
+def test_decontamination_names_anywhere_and_items_without_windows(spark):
+    tom = "Tom has 5 apples. Tom buys 3 more apples at the shop. Tom eats 2 of them. How many apples does Tom have now?"
+    heavy = "Compute 12 + 7 - 3 + 44 + 9 - 21 + 6 * 8 - 31 + 17 + 5 - 2 + 63 - 11 + 14 + 90 - 4 + 38 + 27"
+    bench = frame(spark, [(1, tom), (2, "Who wrote the play Hamlet in 1601?"), (3, heavy), (4, "too short"), (5, "Is Rome large?")], "item_id long, text string")
+    other = tom.replace("Tom", "Anna").replace("5", "8").replace("3", "6").replace("2", "4")
+    docs = [(1, f"Well.\n{other} ok"), (2, f"so {tom.upper()} ok"), (3, f"so {tom.lower()} ok"), (4, f"as: who wrote the play hamlet in 1601? {heavy.lower()}"), (5, 'He said "Who wrote the play Macbeth in 1606?"'),
+            (6, heavy.replace("12", "13").replace("44", "45")), (7, other.replace("does Anna", "does Eve")), (8, "That is too short, and 1 2 3 4 5 6 7 8 9 10 11 12 13 14 15 16 17 18 19 20"), (9, "IS ROME LARGE")]
+    got = {(r.doc_id, r.item_id): r.kind for r in decontamination.leaks(spark, frame(spark, docs), bench).collect()}
+    same, other = "verbatim", "reparameterised"
+    assert got == {(1, 1): other, (2, 1): same, (3, 1): same, (4, 2): same, (4, 3): same, (5, 2): other, (6, 3): same, (9, 5): same}
+    assert {tuple(r) for r in decontamination.unsearched(bench).collect()} == {(3, True, False), (4, False, False), (5, True, False)}
+
+
 CHAT = "conv_id long, turn long, role string, text string"
 
 
