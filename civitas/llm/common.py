@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import contextlib
+import ctypes
 import gc
 import os
 import tempfile
-import time
 import uuid
 
 import numpy as np
@@ -19,10 +19,13 @@ WHITE = r"[\x20\x09-\x0D]"
 def scratch(spark: SparkSession) -> str:
     """A new folder below spark.checkpoint.dir, which all executors share.
 
-    Only where the session names none (tests on one machine) a temporary folder
-    is made and set.
+    Where the configuration names none, the folder that the context was given counts.
+    Only where there is none either (tests on one machine) a temporary folder is made and set.
     """
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    given = spark.sparkContext._jsc.sc().getCheckpointDir()
+    if not base and given.isDefined():
+        base = given.get()
     if not base:
         base = tempfile.mkdtemp(prefix="civitas-")
         spark.sparkContext.setCheckpointDir(base)
@@ -41,15 +44,19 @@ def stored(spark: SparkSession, df: DataFrame, folder: str, name: str) -> DataFr
 
 
 def removed(spark: SparkSession, folder: str, *names: str) -> None:
-    """Delete stored tables that no later step reads, and let Spark drop shuffle files nobody refers to."""
+    """Delete stored tables that no later step reads."""
     jvm = spark.sparkContext._jvm
     for name in names:
         path = jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}")
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-    for _ in range(2):  # the second time for what the first has let go of
-        gc.collect()
-        jvm.System.gc()
-        time.sleep(0.5)
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Let Spark hand a task's Python BATCH bytes of rows at once, not 10,000 rows of any length.
+
+    A setting of the session, since a plan reads it when it runs, after the operator has returned.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH))
 
 
 @contextlib.contextmanager
@@ -64,6 +71,16 @@ def batches_of(spark: SparkSession, rows: int):
         spark.conf.set(key, before)
 
 
+def trimmed() -> None:
+    """Hand memory that a worker no longer uses back to the system: workers outlive their tasks."""
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def texts(array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of an Arrow string or binary array, end to end, and each value's bounds.
 
@@ -111,7 +128,7 @@ def powers(n: int, inverse: bool = False) -> np.ndarray:
     key = "inverse" if inverse else "base"
     have = _powers.get(key)
     if have is None or len(have) < n:
-        size = max(1 << 16, 1 << (n - 1).bit_length())
+        size = max(PART + (1 << 16), n)
         have = np.full(size, INVERSE if inverse else BASE, np.uint64)
         have[0] = 1
         np.multiply.accumulate(have, out=have)
@@ -136,8 +153,10 @@ def span_hash(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mixed(out ^ (ends - starts).astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
 
 
+#: Bytes of rows that Spark hands to a task's Python at once.
+BATCH = 1 << 22
 #: Bytes of text worked on at once; a longer text is worked on in such parts.
-PART = 1 << 21
+PART = 1 << 19
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 BREAK = np.zeros(256, bool)

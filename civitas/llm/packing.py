@@ -9,8 +9,8 @@
    limited by what is there.
 4. What remains is packed greedily: laid end to end and cut where a sequence is full.
 5. A piece's place follows from its length and its rank among pieces of that length.
-   Ranks are counted within hashed buckets and shifted by the buckets before, so one
-   frequent length never meets in one task.
+   Ranks of a frequent length are counted within hashed buckets and shifted by the
+   buckets before, so that it never meets in one task.
 
 The plan's size depends on the window alone, not on the number of documents.
 """
@@ -26,14 +26,15 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from civitas.llm.common import column, scratch, stored
+from civitas.llm.common import column, parts, scratch, small_batches, stored, trimmed
 
 WINDOW = 2048
 UNIT = 16
-#: Pieces in a bucket of ranks, about.
-BUCKET = 50_000
-#: Words a worker remembers before it starts anew.
-REMEMBERED = 1_000_000
+#: Pieces of one length in a bucket of ranks, about.
+BUCKET = 1_000
+#: Runs and words that a task remembers before it starts anew, all of fewer than `LONG` characters.
+REMEMBERED = 150_000
+LONG = 64
 
 
 def vocabulary(name: str = "word_bpe_49k.json") -> str:
@@ -74,12 +75,17 @@ class Encoder:
     def piece(self, piece: str) -> bytes:
         have = self.words.get(piece)
         if have is None:
-            if len(self.words) >= REMEMBERED:
-                self.words.clear()
             shown = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.shown)
-            have = self.words[piece] = self.packed([t.id for t in self.model.tokenize(shown)])
+            have = self.packed([t.id for t in self.model.tokenize(shown)])
+            self.remember(piece, have)
         return have
 
+    def remember(self, run: str, ids: bytes) -> None:
+        if len(run) < LONG:
+            if len(self.words) >= REMEMBERED:
+                self.words.clear()
+            self.words[run] = ids
+
     def run(self, run: str) -> bytes:
         plain = run.isprintable() and (run.isascii() or self.simple(run))
         if plain and run.isalpha():
@@ -90,12 +96,12 @@ class Encoder:
             out = b"".join(map(self.piece, self.pieces(run.lower())))
         else:
             out = self.packed(self.tokenizer.encode(run, add_special_tokens=False).ids)
-        if len(run) < 64:
-            self.words[run] = out
+        self.remember(run, out)
         return out
 
     def __call__(self, text: str) -> bytes:
-        runs = self.splits(text) if self.odd(text) else text.split()
+        # str.split takes the four separators for white space, the vocabulary does not
+        runs = filter(None, self.splits(text)) if self.odd(text) else text.split()
         get, out = self.words.get, []
         for run in runs:
             out.append(get(run) or self.run(run))
@@ -115,11 +121,12 @@ def tokens(docs: DataFrame, path: str, end_id: int) -> DataFrame:
         encoder = _encoders.get(path) or _encoders.setdefault(path, Encoder(path))
         last = encoder.packed([end_id])
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                ids = [encoder(x or "") + last for x in column(part, "text").to_pylist()]
+            for part in parts(batch):
+                ids = [encoder(x.as_py() or "") + last for x in column(part, "text")]
                 sizes = pa.array([len(x) // encoder.kind.itemsize for x in ids], pa.int64())
                 yield pa.record_batch([column(part, "doc_id"), sizes, pa.array(ids, pa.binary())], ["doc_id", "n_tokens", "ids"])
+        encoder.words.clear()
+        trimmed()
 
     return docs.select("doc_id", "text").mapInArrow(encode, f"doc_id {doc_type}, n_tokens long, ids binary")
 
@@ -260,6 +267,7 @@ def pack(spark: SparkSession, docs: DataFrame, path: str | None = None, end_id:
     """
     path = path or vocabulary()
     folder = scratch(spark)
+    small_batches(spark)
     encoded = tokens(docs, path, end_id).withColumn("uid", F.monotonically_increasing_id())
     encoded.write.option("compression", "zstd").parquet(f"{folder}/tokens")
     encoded = spark.read.schema(encoded.schema).parquet(f"{folder}/tokens")
@@ -270,14 +278,16 @@ def pack(spark: SparkSession, docs: DataFrame, path: str | None = None, end_id:
         lambda k: F.struct((k * window).alias("start"), F.when(k < full, F.lit(window)).otherwise(F.col("n_tokens") % window).cast("long").alias("length")),
     )
     pieces = encoded.select("uid", F.inline(cut))
-    buckets = max(16, pieces.count() // BUCKET)
-    pieces = pieces.withColumn("bucket", F.pmod(F.xxhash64("uid"), F.lit(buckets)).cast("int"))
+    counts = {r[0]: r[1] for r in pieces.groupBy("length").agg(F.count(F.lit(1))).collect()}
+    whole = plan(counts, window)
+    # a row for each length, at most as many as a window has tokens
+    buckets = spark.createDataFrame([(k, -(-n // BUCKET)) for k, n in counts.items()], "length long, buckets long")
+    pieces = pieces.join(F.broadcast(buckets), "length").withColumn("bucket", F.pmod(F.xxhash64("uid"), F.col("buckets")).cast("int")).drop("buckets")
     local = Window.partitionBy("length", "bucket").orderBy("uid", "start")
     pieces = stored(spark, pieces.withColumn("local", F.row_number().over(local) - 1), folder, "pieces")
     sizes = pieces.groupBy("length", "bucket").agg(F.count(F.lit(1)).alias("n"))
     earlier = Window.partitionBy("length").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     shifts = stored(spark, sizes.withColumn("shift", F.coalesce(F.sum("n").over(earlier), F.lit(0))), folder, "shifts")
-    whole = plan({r[0]: r[1] for r in shifts.groupBy("length").agg(F.sum("n")).collect()}, window)
 
     def placed(batches):
         import pyarrow as pa
