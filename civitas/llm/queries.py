@@ -38,7 +38,7 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix_dedup.remove_repeats(spark, table(spark, sf_dir, "documents")).drop("kept")
+    return suffix_dedup.remove_repeats(spark, table(spark, sf_dir, "documents"), texts_too=False)
 
 
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -28,13 +28,16 @@ import hashlib
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from civitas.llm.common import PART, column, mixed, parts, powers, prefix_hash, scratch, stored, texts
+from civitas.llm.common import PART, column, mixed, parts, powers, prefix_hash, scratch, small_batches, stored, texts, trimmed
 
 LENGTH = 400
 #: Anchors, and contexts, that a task holds before it sends them.
 HELD_ANCHORS = 400_000
-HELD_CONTEXTS = 60_000
-BLOCKS_EACH = 4
+HELD_CONTEXTS = 40_000
+#: Anchors that meet in one group, about; a text has one in `LENGTH // 4` bytes.
+GROUP = 100_000
+#: Low bits of a hash that give way to the place in a chunk: the same for all chunks, so that ties fall alike.
+PLACE_BITS = (4 * PART).bit_length()
 ANCHOR = np.dtype([("hash", "<u8"), ("uid", "<i8"), ("at", "<u4"), ("start", "<i8")])
 ENTRY = np.dtype([("shared", "<u2"), ("rest", "<u2"), ("shared_back", "<u2"), ("rest_back", "<u2"), ("many", "?")])
 
@@ -50,7 +53,8 @@ def anchors(data: np.ndarray, bounds: np.ndarray, length: int = LENGTH) -> tuple
     hashes = prefix[k:] - prefix[:-k]
     hashes *= powers(len(prefix), inverse=True)[:n]
     hashes = mixed(hashes)
-    bits = max(1, (n - 1).bit_length())
+    bits = PLACE_BITS
+    assert n < 1 << bits
     key = (hashes >> np.uint64(bits)) << np.uint64(bits) | np.arange(n, dtype=np.uint64)
     rows = -(-n // width)
     full = np.full(rows * width, np.iinfo(np.uint64).max, np.uint64)
@@ -141,6 +145,7 @@ def _anchored(docs: DataFrame, blocks: int, length: int) -> DataFrame:
                     size = 0
         if held:
             yield from flush()
+        trimmed()
 
     return docs.select("uid", "text").mapInArrow(emit, "part int, packed binary, uid long, places array<int>, starts array<long>")
 
@@ -333,6 +338,7 @@ def _runs(texts_with: DataFrame, splits: list[int], length: int) -> DataFrame:
                     yield from flush()
         if held:
             yield from flush()
+        trimmed()
 
     return texts_with.select("uid", "text", "places").mapInArrow(emit, "part int, run long, first int, block binary, entry int, uid long, at int")
 
@@ -381,8 +387,8 @@ def _found(runs: DataFrame, length: int) -> DataFrame:
     return runs.where("part IS NOT NULL").select("part", "run", "first", "block").groupBy("part").applyInArrow(merge, "run long, entry int, lo int, hi int")
 
 
-def remove_repeats(spark: SparkSession, docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """One row per input row: doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (binary).
+def remove_repeats(spark: SparkSession, docs: DataFrame, length: int = LENGTH, texts_too: bool = True) -> DataFrame:
+    """One row per input row: doc_id, n_bytes, n_removed, n_spans, kept_sha256, and with texts_too kept (binary).
 
     Every byte covered by a string of `length` bytes that also starts anywhere else, in
     the same document or another, is removed; strings are judged on the input. A null
@@ -392,12 +398,14 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, length: int = LENGTH) -
     are ignored; an empty table gives no row.
     """
     folder = scratch(spark)
+    small_batches(spark)
     kind = dict(docs.dtypes)["doc_id"]
     docs = docs.select("doc_id", "text")
     plain = kind in ("bigint", "int", "smallint", "tinyint") and not docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 OR doc_id IS NULL").take(1)
     docs = docs.withColumn("uid", F.col("doc_id").cast("long")) if plain else stored(spark, docs.withColumn("uid", F.monotonically_increasing_id()), folder, "numbered")
 
-    blocks = BLOCKS_EACH * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n_bytes = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    blocks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * n_bytes // (length * GROUP))
     anchored = stored(spark, _anchored(docs, blocks, length), folder, "anchored")
     known = anchored.where("part IS NULL").select("uid", "places", "starts")
     candidates = stored(spark, known.unionByName(_met(anchored)), folder, "candidates")
@@ -412,12 +420,12 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, length: int = LENGTH) -
     def cut(batches):
         import pyarrow as pa
 
+        names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"][: 6 if texts_too else 5]
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            for part in parts(batch):
                 rows = []
                 for text, own in zip(column(part, "text"), column(part, "spans"), strict=True):
-                    data = text.as_buffer().to_pybytes() if text.is_valid else b""
+                    data = memoryview(text.as_buffer()) if text.is_valid else memoryview(b"")
                     kept, pieces, upto, removed, runs_ = [], own.as_py() or [], 0, 0, 0
                     i = 0
                     while i < len(pieces):
@@ -429,9 +437,10 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, length: int = LENGTH) -
                         kept.append(data[upto:start])
                         removed, runs_, upto = removed + end - start, runs_ + 1, end
                     kept = b"".join([*kept, data[upto:]])
-                    rows.append((len(data), removed, runs_, hashlib.sha256(kept).hexdigest(), kept))
+                    rows.append((len(data), removed, runs_, hashlib.sha256(kept).hexdigest(), *([kept] if texts_too else [])))
                 kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())
-                yield pa.record_batch([column(part, "doc_id"), *(pa.array(x, t) for x, t in zip(zip(*rows, strict=True), kinds, strict=True))], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
+                yield pa.record_batch([column(part, "doc_id"), *(pa.array(x, t) for x, t in zip(zip(*rows, strict=True), kinds))], names)  # noqa: B905
+        trimmed()
 
     joined = docs.join(stored(spark, spans, folder, "spans"), "uid", "left").select("doc_id", "text", "spans")
-    return joined.mapInArrow(cut, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+    return joined.mapInArrow(cut, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * texts_too)
