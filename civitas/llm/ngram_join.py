@@ -5,17 +5,25 @@ from the start (its id is a 64-bit hash of the set), so copies are never paired.
 
 Light sets (up to a boundary of size) are joined by enumerated subsets: for every
 partner size two sets must share a subset of a fixed size, so each lists its subsets
-of that size as keys, and equal keys are links. Heavy sets are joined by scanning
+of that size as keys, and equal keys make candidates. Heavy sets are joined by scanning
 inverted lists: shingles are ordered from rare to frequent by a sketch of counts over
 the whole corpus, and only the first ones of each set, enough to meet every possible
 partner, are listed. The boundary is where the estimated cost of both is least.
 
-Candidates from a list are first tried against one representative, so that a group of
-near copies costs one comparison a member; once links are merged to components, every
-remaining pair of a list across components is compared too. Sizes and positions rule
-out pairs beforehand without loss. No list, bucket or partner is capped.
-
-Postings travel as packed blocks, one row for many of them.
+1. Classes that share a key, or many listed shingles with the head of a list, are put
+   in one cluster. Clusters only say which sets lie together; they decide no link.
+2. Within a cluster all sets are compared, exactly, in blocks of bounded size: counts of
+   common shingles are products of 0/1 matrices. A cluster of several blocks is compared
+   block by block in different tasks. What leaves a task is one number for each set and
+   the edges of a spanning forest, never the pairs.
+3. Candidates of different clusters are pairs of classes that share a listed shingle and
+   pass bounds on sizes, on positions and on how many listed shingles they share; these
+   pairs are compared one by one.
+
+No list, bucket or partner is capped. Postings travel as packed blocks, one row for many
+of them. The work within a cluster grows with the square of its different texts, as the
+number of links does; rows and bytes exchanged grow with its blocks. One shingle's list
+(16 bytes a class that has it among its rarest shingles) is gathered in one task.
 """
 
 from __future__ import annotations
@@ -25,9 +33,9 @@ import math
 import zlib
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from civitas.llm.common import BREAK, LOWER, PART, batches_of, column, mixed, parts, prefix_hash, removed, scratch, span_hash, stored, texts
+from civitas.llm.common import BREAK, LOWER, PART, column, mixed, parts, prefix_hash, removed, scratch, small_batches, span_hash, stored, texts, trimmed
 from civitas.llm.graph import components
 
 WORDS = 5
@@ -40,14 +48,16 @@ CHUNK = 1 << 14
 POSTING_COST = 16
 #: The largest size the boundary may take.
 LIGHT_MOST = 24
-ROUNDS = 2
-#: Pairs of whole sets that a task holds at once.
-PAIRS_AT_ONCE = 256
-#: Texts or blocks that Spark hands to a task's Python at once.
-ROWS_AT_ONCE = 500
-#: Pairs whose ids are broadcast at most, to pick the sets that must move.
-BROADCAST_ROWS = 500_000
-
+#: Share of the shorter prefix that a class has in common with a list's head where both go to one cluster.
+SHARE = 0.25
+#: Shingles, and sets, of a block.
+BLOCK_SHINGLES, BLOCK_SETS = 400_000, 1_500
+#: Columns of a 0/1 matrix at once.
+COLUMNS = 1024
+#: Postings that a group gathers, about, and those that a task holds before it sends them.
+GATHERED, HELD = 250_000, 400_000
+#: Classes that a task remembers to leave out their copies.
+REMEMBERED = 1 << 17
 
 
 def _words(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -119,11 +129,12 @@ def class_id(own: np.ndarray) -> int:
 
 
 def _described(docs: DataFrame) -> DataFrame:
-    """Rows of documents (doc_id, n, cid) and, with a chunk number, packed counts of the sketch."""
+    """Rows of documents (doc_id, n, cid) and, with a chunk number, a task's packed counts of the sketch (n: the task)."""
     kind = dict(docs.dtypes)["doc_id"]
 
     def describe(batches):
         import pyarrow as pa
+        from pyspark import TaskContext
 
         counts, id_type = np.zeros(CELLS, np.uint32), None
         names = ["doc_id", "n", "cid", "chunk", "cells"]
@@ -139,27 +150,33 @@ def _described(docs: DataFrame) -> DataFrame:
                 )
         if id_type is not None:
             n = CELLS // CHUNK
-            packed = [zlib.compress(x.tobytes(), 1) for x in counts.reshape(n, CHUNK)]
-            yield pa.record_batch([pa.nulls(n, id_type), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.array(range(n), pa.int32()), pa.array(packed, pa.binary())], names)
+            packed = [zlib.compress(x.astype(np.uint64).tobytes(), 1) for x in counts.reshape(n, CHUNK)]
+            yield pa.record_batch([pa.nulls(n, id_type), pa.array([TaskContext.get().partitionId()] * n, pa.int64()), pa.nulls(n, pa.int64()), pa.array(range(n), pa.int32()), pa.array(packed, pa.binary())], names)
+        del counts
+        trimmed()
 
     return docs.select("doc_id", "text").mapInArrow(describe, f"doc_id {kind}, n long, cid long, chunk int, cells binary")
 
 
 def _sketch(described: DataFrame) -> np.ndarray:
-    """Frequency classes (logarithms of counts) of all cells; a fixed 4 MB, whatever the corpus."""
+    """Frequency classes (logarithms of counts) of all cells; a fixed 4 MB, whatever the corpus.
+
+    Tasks' counts are added up by groups of tasks first.
+    """
 
     def add(table):
         import pyarrow as pa
 
         total = np.zeros(CHUNK, np.uint64)
         for x in table.column("cells"):
-            total += np.frombuffer(zlib.decompress(x.as_py()), np.uint32)
-        log = np.minimum(65535, np.log2(total.astype(np.float64) + 1) * 1600).astype(np.uint16)
-        return pa.table({"chunk": table.column("chunk")[:1], "cells": pa.array([log.tobytes()], pa.binary())})
+            total += np.frombuffer(zlib.decompress(x.as_py()), np.uint64)
+        return pa.table({"chunk": table.column("chunk")[:1], "cells": pa.array([zlib.compress(total.tobytes(), 1)], pa.binary())})
 
+    cells = described.where("chunk IS NOT NULL").select("chunk", F.floor(F.col("n") / 64).alias("tasks"), "cells")
+    cells = cells.groupBy("chunk", "tasks").applyInArrow(add, "chunk int, cells binary")
     out = np.zeros((CELLS // CHUNK, CHUNK), np.uint16)
-    for chunk, cells in described.where("chunk IS NOT NULL").select("chunk", "cells").groupBy("chunk").applyInArrow(add, "chunk int, cells binary").collect():
-        out[chunk] = np.frombuffer(cells, np.uint16)
+    for chunk, packed in cells.groupBy("chunk").applyInArrow(add, "chunk int, cells binary").collect():
+        out[chunk] = np.minimum(65535, np.log2(np.frombuffer(zlib.decompress(packed), np.uint64).astype(np.float64) + 1) * 1600)
     return out.reshape(-1)
 
 
@@ -229,7 +246,7 @@ def _postings(docs: DataFrame, sketch, light: int, blocks: int) -> DataFrame:
                     size = len(own)
                     if not size or (cid := class_id(own)) in seen:
                         continue
-                    if len(seen) < 1 << 20:
+                    if len(seen) < REMEMBERED:
                         seen.add(cid)
                     if size <= light:
                         keys.extend((k, cid, size) for k in light_keys(own))
@@ -242,10 +259,11 @@ def _postings(docs: DataFrame, sketch, light: int, blocks: int) -> DataFrame:
                         members.append((cid, size))
                         held.append(block)
                         pending += n
-                    if pending >= 1_000_000 or len(members) >= 65_000 or len(keys) >= 200_000:
+                    if pending >= HELD or len(members) >= 65_000 or len(keys) >= HELD // 8:
                         yield from flush()
                         pending = 0
         yield from flush()
+        trimmed()
 
     return docs.select("text").mapInArrow(emit, "part int, members binary, postings binary, key long, cid long, size int")
 
@@ -270,7 +288,7 @@ def light_keys(own: np.ndarray) -> list[int]:
 
 
 def _lists(blocks: DataFrame) -> DataFrame:
-    """Inverted lists of two members at least: token, cid, size, at."""
+    """Inverted lists of two members at least: token, cid, size, at, and the heads of the list (head0, size0, head1, size1)."""
 
     def gather(table):
         import pyarrow as pa
@@ -282,40 +300,48 @@ def _lists(blocks: DataFrame) -> DataFrame:
             cids.append(member["cid"][own["doc"]])
             sizes.append(member["size"][own["doc"]])
         own, cid, size = map(np.concatenate, (postings, cids, sizes))
-        order = np.lexsort((cid, own["token"]))
+        order = np.lexsort((mixed(cid.view(np.uint64)), own["token"]))
         token, cid, size, at = own["token"][order], cid[order], size[order], own["at"][order]
         new = np.ones(len(token), bool)
         new[1:] = (token[1:] != token[:-1]) | (cid[1:] != cid[:-1])
         token, cid, size, at = token[new], cid[new], size[new], at[new]
-        _, inverse, n = np.unique(token, return_inverse=True, return_counts=True)
-        keep = n[inverse] > 1
-        return pa.table({"token": token[keep].view(np.int64), "cid": cid[keep], "size": size[keep].astype(np.int32), "at": at[keep].astype(np.int32)})
+        first = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
+        n = np.diff(np.concatenate([first, [len(token)]]))
+        keep = np.repeat(n > 1, n)
+        out = {"token": token[keep].view(np.int64), "cid": cid[keep], "size": size[keep].astype(np.int32), "at": at[keep].astype(np.int32)}
+        # within a list members are in the order of their mixed ids, so that lists of the same members have the same heads
+        for k, place in enumerate((first, first + n - 1)):
+            head = np.repeat(place, n)[keep]
+            out |= {f"head{k}": cid[head], f"size{k}": size[head].astype(np.int32)}
+        return pa.table(out)
 
-    return blocks.select("part", "members", "postings").groupBy("part").applyInArrow(gather, "token long, cid long, size int, at int")
+    return blocks.select("part", "members", "postings").groupBy("part").applyInArrow(gather, "token long, cid long, size int, at int, head0 long, size0 int, head1 long, size1 int")
 
 
-def _picked(docs: DataFrame, marks) -> DataFrame:
-    """(cid, task, own): sets of marked classes, once a task."""
+def _picked(docs: DataFrame, marks, paired) -> DataFrame:
+    """(cid, task, paired, own): sets of marked classes, about once a task; paired: those also marked there."""
 
     def pick(batches):
         import pyarrow as pa
         from pyspark import TaskContext
 
-        there, task = marks.value, TaskContext.get().partitionId()
+        there, there_too, task = marks.value, paired.value, TaskContext.get().partitionId()
         seen: set[int] = set()
         for batch in batches:
             for part in parts(batch):
-                cids, sets = [], []
+                cids, sets, two = [], [], []
                 for own in shingles(*texts(column(part, "text"))):
                     if len(own) and (cid := class_id(own)) not in seen and there.may_hold(cid):
-                        if len(seen) < 1 << 20:
+                        if len(seen) < REMEMBERED:
                             seen.add(cid)
                         cids.append(cid)
+                        two.append(there_too.may_hold(cid))
                         sets.append(own.tobytes())
                 if cids:
-                    yield pa.record_batch([pa.array(cids, pa.int64()), pa.array([task] * len(cids), pa.int32()), pa.array(sets, pa.binary())], ["cid", "task", "own"])
+                    yield pa.record_batch([pa.array(cids, pa.int64()), pa.array([task] * len(cids), pa.int32()), pa.array(two), pa.array(sets, pa.binary())], ["cid", "task", "paired", "own"])
+        trimmed()
 
-    return docs.select("text").mapInArrow(pick, "cid long, task int, own binary")
+    return docs.select("text").mapInArrow(pick, "cid long, task int, paired boolean, own binary")
 
 
 class Marks:
@@ -345,12 +371,149 @@ class Marks:
         return out
 
 
-def _verified(spark: SparkSession, pairs: DataFrame, sets: DataFrame, owners: DataFrame, folder: str, name: str) -> DataFrame:
-    """The pairs (a, b) that are links, as (u, v).
+def _sets(own: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(all shingles, whose they are, sizes)."""
+    size = np.array([len(x) for x in own])
+    return np.concatenate(own), np.repeat(np.arange(len(own)), size), size
+
+
+def overlaps(a: list[np.ndarray], b: list[np.ndarray] | None = None) -> np.ndarray:
+    """How many shingles each set of a has in common with each set of b (without b: of a)."""
+    token, owner, size = _sets(a if b is None else a + b)
+    n = len(a)
+    order = np.argsort(token, kind="stable")
+    token, owner = token[order], owner[order]
+    first = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
+    count = np.diff(np.concatenate([first, [len(token)]]))
+    if b is None:
+        wanted = count > 1
+        every = count == n  # in each set: no column of its own
+    else:
+        low, high = np.minimum.reduceat(owner, first), np.maximum.reduceat(owner, first)
+        wanted = (low < n) & (high >= n)
+        every = count == len(size)
+    out = np.full((n, n if b is None else len(b)), np.float32((every & wanted).sum()), np.float32)
+    wanted &= ~every
+    keep = np.repeat(wanted, count)
+    owner, at = owner[keep], np.repeat(np.arange(wanted.sum()), count[wanted])
+    for lo in range(0, int(wanted.sum()), COLUMNS):
+        i, j = np.searchsorted(at, (lo, lo + COLUMNS))
+        x = np.zeros((len(size), COLUMNS), np.float32)
+        x[owner[i:j], at[i:j] - lo] = 1
+        out += x[:n] @ (x if b is None else x[n:]).T
+    return out
+
+
+def linked(common: np.ndarray, size_a: np.ndarray, size_b: np.ndarray) -> np.ndarray:
+    return (NUM + DEN) * common.astype(np.int64) >= NUM * (size_a[:, None] + size_b[None, :])
+
+
+def _labels(link: np.ndarray) -> np.ndarray:
+    """For each row of a symmetric matrix the smallest row reachable."""
+    label = np.arange(len(link), dtype=np.int32)
+    while True:
+        least = np.minimum(label, np.where(link, label[None, :], np.int32(len(link))).min(1, initial=len(link)))
+        least = np.minimum(least, least[least])
+        if np.array_equal(least, label):
+            return label
+        label = least
 
-    owners: for each class the task whose copy of the set counts, so that sets need no
-    exchange of their own to become distinct.
-    """
+
+def _block(rows) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """(sets, ids, weights) of a block's rows (cid, weight, own), each class once."""
+    once = {r[0]: r for r in rows}
+    return [np.frombuffer(r[2], np.uint64) for r in once.values()], np.array([r[0] for r in once.values()], np.int64), np.array([r[1] for r in once.values()], np.int64)
+
+
+def _runs(batches, keys: list[str], columns: list[str]):
+    """(key, rows) for each run of equal keys in sorted batches."""
+    last, held = None, []
+    for batch in batches:
+        rows = zip(*(column(batch, c).to_pylist() for c in keys), strict=True), zip(*(column(batch, c).to_pylist() for c in columns), strict=True)
+        for key, row in zip(*rows, strict=True):
+            if key != last and held:
+                yield last, held
+                held = []
+            last = key
+            held.append(row)
+    if held:
+        yield last, held
+
+
+WITHIN = "cid long, links long, u long, v long, cluster long, block int, blocks int, packed binary"
+
+
+def _found(cids, links, edges, packed=()):
+    """A record batch of WITHIN: links of classes, edges, and packed blocks."""
+    import pyarrow as pa
+
+    n, m, k = len(cids), len(edges), len(packed)
+    u, v = zip(*edges, strict=True) if m else ((), ())
+    pad = lambda before, values, after, kind: pa.concat_arrays([pa.nulls(before, kind), pa.array(values, kind), pa.nulls(after, kind)])
+    some = [pad(0, cids, m + k, pa.int64()), pad(0, links, m + k, pa.int64()), pad(n, u, k, pa.int64()), pad(n, v, k, pa.int64())]
+    rest = [pad(n + m, [p[i] for p in packed], 0, kind) for i, kind in enumerate((pa.int64(), pa.int32(), pa.int32(), pa.binary()))]
+    return pa.record_batch([*some, *rest], [c.split()[0] for c in WITHIN.split(", ")])
+
+
+def _within(placed: DataFrame) -> DataFrame:
+    """Links within blocks, from rows (cluster, block, blocks, cid, weight, own); a block of several comes out packed."""
+
+    def compare(batches):
+        cids, links, edges, packed = [], [], [], []
+        for (cluster, block, blocks), rows in _runs(batches, ["cluster", "block", "blocks"], ["cid", "weight", "own"]):
+            own, cid, weight = _block(rows)
+            size = np.array([len(x) for x in own])
+            if len(own) > 1:
+                link = linked(overlaps(own), size, size)
+                np.fill_diagonal(link, False)
+                label = _labels(link)
+                cids.extend(cid.tolist())
+                links.extend((link @ weight.astype(np.float64)).astype(np.int64).tolist())
+                edges.extend((int(cid[i]), int(cid[label[i]])) for i in np.flatnonzero(label != np.arange(len(label))))
+            if blocks > 1:
+                packed.append((cluster, block, blocks, b"".join([np.int64([len(own)]).tobytes(), cid.tobytes(), weight.tobytes(), size.astype(np.int64).tobytes(), *(x.tobytes() for x in own)])))
+            if len(cids) + len(edges) > 20_000 or packed:
+                yield _found(cids, links, edges, packed)
+                cids, links, edges, packed = [], [], [], []
+        yield _found(cids, links, edges, packed)
+        trimmed()
+
+    return placed.mapInArrow(compare, WITHIN)
+
+
+def _unpacked(packed: bytes) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    n = int(np.frombuffer(packed, np.int64, 1)[0])
+    cid, weight, size = (np.frombuffer(packed, np.int64, n, 8 + 8 * n * k) for k in range(3))
+    token = np.frombuffer(packed, np.uint64, -1, 8 + 24 * n)
+    return np.split(token, np.cumsum(size)[:-1]), cid, weight
+
+
+def _across(blocks: DataFrame) -> DataFrame:
+    """Links between blocks of one cluster, from packed blocks (cluster, block, blocks, packed)."""
+
+    def compare(batches):
+        for _, rows in _runs(batches, ["cluster", "lo", "hi"], ["packed"]):
+            if len(rows) < 2:  # no class fell into the other block
+                continue
+            (a, cid_a, weight_a), (b, cid_b, weight_b) = (_unpacked(r[0]) for r in rows)
+            link = linked(overlaps(a, b), np.array([len(x) for x in a]), np.array([len(x) for x in b]))
+            n = len(a)
+            both = np.zeros((n + len(b),) * 2, bool)
+            both[:n, n:], both[n:, :n] = link, link.T
+            label, cid = _labels(both), np.concatenate([cid_a, cid_b])
+            edges = [(int(cid[i]), int(cid[label[i]])) for i in np.flatnonzero(label != np.arange(len(label)))]
+            links = [link @ weight_b.astype(np.float64), weight_a.astype(np.float64) @ link]
+            yield _found(cid.tolist(), np.concatenate(links).astype(np.int64).tolist(), edges)
+        trimmed()
+
+    other = F.explode(F.array_remove(F.sequence(F.lit(0), F.col("blocks") - 1), F.col("block"))).alias("other")
+    pairs = blocks.select("cluster", "block", "packed", other).select("cluster", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "packed")
+    key = ["cluster", "lo", "hi"]
+    return pairs.repartition(*key).sortWithinPartitions(*key).mapInArrow(compare, WITHIN)
+
+
+def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, task_a, b, task_b) that are links, as (u, v)."""
 
     def compare(batches):
         import pyarrow as pa
@@ -365,93 +528,110 @@ def _verified(spark: SparkSession, pairs: DataFrame, sets: DataFrame, owners: Da
                 keep.append(DEN * common >= NUM * (len(p) + len(q) - common))
             keep = pa.array(keep, pa.bool_())
             yield pa.record_batch([column(batch, "a").filter(keep), column(batch, "b").filter(keep)], ["u", "v"])
+        trimmed()
 
-    owner = lambda x: owners.select(F.col("cid").alias(x), F.col("task").alias(f"task_{x}"))
-    routed = stored(spark, pairs.select("a", "b").join(owner("a"), "a").join(owner("b"), "b"), folder, name)
-    few = routed.count() <= BROADCAST_ROWS
-
-    def named(x):
-        own = sets.select(F.col("cid").alias(x), F.col("task").alias(f"task_{x}"), F.col("own").alias(f"own_{x}"))
-        # only sets that are compared move; without the bound the join alone sorts them out
-        return own.join(F.broadcast(routed.select(x, f"task_{x}").distinct()), [x, f"task_{x}"], "left_semi") if few else own
-
-    return routed.join(named("a"), ["a", "task_a"]).join(named("b"), ["b", "task_b"]).select("a", "b", "own_a", "own_b").mapInArrow(compare, "u long, v long")
+    side = lambda x: sets.select(F.col("cid").alias(x), F.col("task").alias(f"task_{x}"), F.col("own").alias(f"own_{x}"))
+    return pairs.join(side("a"), ["a", "task_a"]).join(side("b"), ["b", "task_b"]).select("a", "b", "own_a", "own_b").mapInArrow(compare, "u long, v long")
 
 
 def similar_groups(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """One row per input row: doc_id, n_shingles, component_id, class_id.
+    """One row per input row: doc_id, n_shingles, component_id, class_id, n_links.
 
     component_id is the smallest doc_id reachable by links of similarity NUM / DEN or
-    more (itself included); documents with equal sets are linked. A text of one to four
-    words has one shingle, the whole sequence; one without words (null and empty too)
-    has none, is linked with nothing and is its own component. Rows that repeat a doc_id
-    and text agree in all columns. Other columns are ignored; an empty table gives no row.
+    more (itself included); documents with equal sets are linked; n_links counts the
+    other rows a row is linked with. A text of one to four words has one shingle, the
+    whole sequence; one without words (null and empty too) has none, is linked with
+    nothing and is its own component. Rows that repeat a doc_id and text agree in all
+    columns and count as links of each other; a null doc_id is the least, so a component
+    that has one has a null component_id. Other columns are ignored; an empty table
+    gives no row.
     """
-    with batches_of(spark, ROWS_AT_ONCE):
-        return _similar_groups(spark, docs)
-
-
-def _similar_groups(spark: SparkSession, docs: DataFrame) -> DataFrame:
     folder = scratch(spark)
+    small_batches(spark)
     described = stored(spark, _described(docs), folder, "described")
     rows = described.where("chunk IS NULL").select("doc_id", "n", "cid")
     sizes = {r[0]: r[1] for r in rows.where(F.col("n").between(1, DEN * LIGHT_MOST)).groupBy("n").agg(F.count(F.lit(1))).collect()}
     light = boundary(sizes)
+    postings = rows.agg(F.sum(F.floor(F.col("n") / DEN) + 1)).first()[0] or 0
     sketch = spark.sparkContext.broadcast(_sketch(described))
-    blocks = 8 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    blocks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), postings // GATHERED)
 
     packed = stored(spark, _postings(docs, sketch, light, blocks), folder, "postings")
     lists = stored(spark, _lists(packed.where("part IS NOT NULL")), folder, "lists")
+    clusters = stored(spark, _clusters(spark, packed, lists, folder), folder, "clusters")
+    removed(spark, folder, "postings")
+    pairs = stored(spark, _candidates(lists, clusters, light), folder, "pairs")
+    removed(spark, folder, "lists")
+
+    paired = pairs.select(F.explode(F.array("a", "b")).alias("cid"))
+    marks = [spark.sparkContext.broadcast(Marks.of(x)) for x in (clusters.select("cid").union(paired), paired)]
+    sets = stored(spark, _picked(docs, *marks), folder, "sets")
+    # of a set's copies in several tasks one counts, so that sets need no exchange to become distinct
+    owners = stored(spark, sets.groupBy("cid").agg(F.min("task").alias("task")), folder, "owners")
+    classes = stored(spark, rows.where("n > 0").groupBy("cid").agg(F.first("n").alias("size"), F.count(F.lit(1)).alias("weight")), folder, "classes")
+
+    members = stored(spark, clusters.join(classes, "cid").join(owners, "cid"), folder, "members")
+    blocks = F.greatest(F.ceil(F.sum("size") / BLOCK_SHINGLES), F.ceil(F.count(F.lit(1)) / BLOCK_SETS)).cast("int")
+    large = members.groupBy("cluster").agg(blocks.alias("blocks")).where("blocks > 1")
+    placed = members.join(large, "cluster", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    placed = placed.select("cid", "task", "cluster", "weight", "blocks", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int").alias("block"))
+    placed = sets.select("cid", "task", "own").join(placed, ["cid", "task"]).select("cluster", "block", "blocks", "cid", "weight", "own")
+    within = stored(spark, _within(placed.repartition("cluster", "block").sortWithinPartitions("cluster", "block")), folder, "within")
+    blocks = within.where("packed IS NOT NULL").select("cluster", "block", "blocks", "packed")
+    if blocks.take(1):
+        within = within.drop("packed").unionByName(stored(spark, _across(blocks).drop("packed"), folder, "across"))
+    links = within.where("u IS NOT NULL").select("u", "v")
+    counts = within.where("cid IS NOT NULL").select("cid", "links")
+    if pairs.take(1):
+        owner = lambda x: owners.select(F.col("cid").alias(x), F.col("task").alias(f"task_{x}"))
+        routed = pairs.join(owner("a"), "a").join(owner("b"), "b")
+        found = stored(spark, _verified(routed, sets.where("paired")), folder, "found")
+        links = links.unionByName(found)
+        both = found.union(found.select("v", "u")).join(classes.select(F.col("cid").alias("v"), F.col("weight").alias("links")), "v")
+        counts = counts.unionByName(both.select(F.col("u").alias("cid"), "links"))
+    counts = stored(spark, counts.groupBy("cid").agg(F.sum("links").alias("links")), folder, "counts")
+    removed(spark, folder, "sets")
+    roots = components(spark, links, folder, "all").withColumnRenamed("node", "cid")
+    about = classes.select("cid", "weight").join(counts, "cid", "left").join(roots, "cid", "left")
+    about = about.select("cid", F.coalesce("root", "cid").alias("root"), (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"))
+    found = stored(spark, rows.where("n > 0").join(stored(spark, about, folder, "about"), "cid"), folder, "rows")
+    least = stored(spark, found.groupBy("root").agg(F.min(F.struct("doc_id")).alias("least")), folder, "least")
+    out = found.join(least, "root").select("doc_id", F.col("n").alias("n_shingles"), F.col("least.doc_id").alias("component_id"), F.col("cid").alias("class_id"), "n_links")
+    alone = rows.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.col("cid").alias("class_id"), F.lit(0).cast("long").alias("n_links"))
+    return out.unionByName(alone)
 
+
+def _prefix(size: Column) -> Column:
+    """How many shingles of a set of this size are listed."""
+    return size - F.ceil(NUM * size / DEN) + 1
+
+
+def _clusters(spark: SparkSession, packed: DataFrame, lists: DataFrame, folder: str) -> DataFrame:
+    """(cid, cluster): classes that share a light key, or many listed shingles with the head of their lists."""
     keys = packed.where("key IS NOT NULL").select("key", "cid", "size", (F.col("key").bitwiseAND(F.lit(1)) == 0).alias("even")).distinct()
     # a key stands for a pair of sizes; where these differ, both must be there
     heads = keys.groupBy("key").agg(F.min("cid").alias("v"), F.count(F.lit(1)).alias("m"), (F.min("size") < F.max("size")).alias("two"), F.max("even").alias("even"))
     heads = heads.where("m > 1 AND (even OR two)").select("key", "v")
-    links = stored(spark, keys.join(heads, "key").where("cid <> v").select(F.col("cid").alias("u"), "v"), folder, "links0")
-
-    removed(spark, folder, "postings")
-
-    marks = spark.sparkContext.broadcast(Marks.of(lists.select("cid").distinct()))
-    sets = stored(spark, _picked(docs, marks), folder, "sets")
-    owners = stored(spark, sets.groupBy("cid").agg(F.min("task").alias("task")), folder, "owners")
-
-    total = F.col("size_a") + F.col("size_b")
-    fits = (DEN * F.least("size_a", "size_b") >= NUM * F.greatest("size_a", "size_b")) & (F.greatest("size_a", "size_b") > light)
-    enough = (1 + F.least(F.col("size_a") - 1 - F.col("at_a"), F.col("size_b") - 1 - F.col("at_b"))) * (NUM + DEN) >= NUM * total
-    side = lambda x: [F.col(c).alias(f"{c}_{x}") for c in ("cid", "root", "size", "at")]
-    for turn in range(ROUNDS + 1):
-        roots = components(spark, links, folder, f"stars{turn}_") if turn else None
-        named = lists.withColumn("root", F.col("cid")) if roots is None else lists.join(roots.withColumnRenamed("node", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
-        spread = named.groupBy("token").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.mode("root").alias("main")).where("x <> y")
-        named = stored(spark, named.join(spread.select("token", "main"), "token"), folder, f"named{turn}")
-        every = named.select("token", *side("a"))
-        if turn < ROUNDS:
-            order = F.xxhash64("cid", F.lit(turn))
-            heads = named.groupBy("token").agg(F.min_by(F.struct("cid", "root", "size", "at"), order).alias("h")).select("token", "h.*")
-            pairs = every.join(stored(spark, heads, folder, f"heads{turn}").select("token", *side("b")), "token").where("root_a <> root_b")
-        else:
-            others = stored(spark, named.where("root <> main"), folder, "others").select("token", *side("b"))
-            pairs = every.join(others, "token").where("root_a <> root_b")
-        pairs = pairs.where(fits).select(
-            *(F.when(F.col("cid_a") < F.col("cid_b"), F.col(f"{c}_a")).otherwise(F.col(f"{c}_b")).alias(f"{c}_a") for c in ("cid", "size", "at")),
-            *(F.when(F.col("cid_a") < F.col("cid_b"), F.col(f"{c}_b")).otherwise(F.col(f"{c}_a")).alias(f"{c}_b") for c in ("cid", "size", "at")),
-            *([F.col("cid_a").alias("own")] if turn < ROUNDS else []),
-        )
-        key = ["cid_a", "cid_b", "size_a", "size_b"] + (["own"] if turn < ROUNDS else [])
-        pairs = pairs.groupBy(*key).agg(F.min("at_a").alias("at_a"), F.min("at_b").alias("at_b"), F.count(F.lit(1)).alias("k")).where(enough)
-        if turn < ROUNDS:
-            pairs = pairs.groupBy("own").agg(F.max_by(F.struct("cid_a", "cid_b"), F.struct("k", "cid_a", "cid_b")).alias("p")).select("p.*").distinct()
-        pairs = stored(spark, pairs.select(F.col("cid_a").alias("a"), F.col("cid_b").alias("b")), folder, f"pairs{turn}")
-        with batches_of(spark, PAIRS_AT_ONCE):
-            links = links.union(stored(spark, _verified(spark, pairs, sets, owners, folder, f"routed{turn}"), folder, f"links{turn + 1}"))
-        del roots, named, spread, every, pairs
-        removed(spark, folder, f"named{turn}", f"heads{turn}", f"pairs{turn}", f"routed{turn}")
-    removed(spark, folder, "sets", "lists", "others")
-    roots = stored(spark, components(spark, links, folder, "all"), folder, "roots").withColumnRenamed("node", "cid")
-
-    found = rows.where("n > 0").join(roots, "cid", "left").select("doc_id", "n", "cid", F.coalesce("root", "cid").alias("root"))
-    found = stored(spark, found, folder, "found")
-    least = stored(spark, found.groupBy("root").agg(F.min("doc_id").alias("component_id")), folder, "least")
-    out = found.join(least, "root").select("doc_id", F.col("n").alias("n_shingles"), "component_id", F.col("cid").alias("class_id"))
-    alone = rows.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.col("cid").alias("class_id"))
-    return out.unionByName(alone)
+    light = keys.join(heads, "key").where("cid <> v").select(F.col("cid").alias("u"), "v")
+    each = lists.select(F.col("cid").alias("u"), "size", F.explode(F.array(*(F.struct(F.col(f"head{k}").alias("v"), F.col(f"size{k}").alias("other")) for k in range(2)))).alias("h")).select("u", "size", "h.*")
+    shared = each.where("u <> v").groupBy("u", "v", "size", "other").agg(F.count(F.lit(1)).alias("k"))
+    heavy = shared.where(F.col("k") >= SHARE * F.least(_prefix(F.col("size")), _prefix(F.col("other")))).select("u", "v")
+    edges = stored(spark, light.unionByName(heavy), folder, "edges")
+    return components(spark, edges, folder, "near").select(F.col("node").alias("cid"), F.col("root").alias("cluster"))
+
+
+def _candidates(lists: DataFrame, clusters: DataFrame, light: int) -> DataFrame:
+    """Pairs (a, b) of classes of different clusters that may be links: they share listed shingles, and bounds leave it open."""
+    named = lists.select("token", "cid", "size", "at").join(clusters, "cid", "left").withColumn("cluster", F.coalesce("cluster", "cid"))
+    spread = named.groupBy("token").agg(F.min("cluster").alias("x"), F.max("cluster").alias("y")).where("x <> y").select("token")
+    named = named.join(spread, "token", "left_semi")
+    side = lambda x: named.select("token", *(F.col(c).alias(f"{c}_{x}") for c in ("cid", "cluster", "size", "at")))
+    size, total = (F.col("size_a"), F.col("size_b")), F.col("size_a") + F.col("size_b")
+    fits = (DEN * F.least(*size) >= NUM * F.greatest(*size)) & (F.greatest(*size) > light)
+    # what follows the first common shingle, and how many are listed by both, limits what sets can share
+    later = (1 + F.least(F.col("size_a") - 1 - F.col("at_a"), F.col("size_b") - 1 - F.col("at_b"))) * (NUM + DEN) >= NUM * total
+    rest = lambda c: c - _prefix(c)
+    enough = (F.col("k") + 1 + F.greatest(rest(size[0]), rest(size[1]))) * (NUM + DEN) >= NUM * total
+    both = side("a").join(side("b"), "token").where((F.col("cluster_a") < F.col("cluster_b")) & fits)
+    both = both.groupBy("cid_a", "cid_b", "size_a", "size_b").agg(F.min("at_a").alias("at_a"), F.min("at_b").alias("at_b"), F.count(F.lit(1)).alias("k"))
+    return both.where(later & enough).select(F.col("cid_a").alias("a"), F.col("cid_b").alias("b"))

@@ -74,6 +74,7 @@ def similar_truth(rows):
 
     sets = {i: shingles(t) for i, t in rows}
     root = {i: i for i in sets}
+    links = collections.Counter()
 
     def find(x):
         while root[x] != x:
@@ -87,12 +88,48 @@ def similar_truth(rows):
             if a < b and common and 100 * common >= 80 * len(sets[a] | sets[b]):
                 x, y = sorted((find(a), find(b)))
                 root[y] = x
-    return {(i, len(sets[i]), find(i)) for i in ids}
+                links.update((a, b))
+    return {(i, len(sets[i]), find(i), links[i]) for i in ids}
 
 
-def test_similar_groups(spark, corpus):
-    got = ngram_join.similar_groups(spark, with_clashes(frame(spark, corpus)))
-    assert {(r.doc_id, r.n_shingles, r.component_id) for r in got.collect()} == similar_truth(corpus)
+@pytest.fixture(scope="module")
+def near(corpus):
+    """A chain of ever further copies of one text besides, in which most pairs are no links."""
+    rng = random.Random(12)
+    words, rows = [f"w{i}" for i in range(90)], []
+    for i in range(70):
+        if i % 4 == 0:
+            words = [*words]
+            words[rng.randrange(90)] = f"x{i}"
+        own = words[:-1] + [f"end{i}"] if i % 3 else words
+        rows.append((5000 + i, " ".join(own)))
+    short = [" ".join(rng.choice("abc") for _ in range(rng.randint(5, 12))) for _ in range(80)]
+    return corpus + rows + [(6000 + i, t) for i, t in enumerate(short)]
+
+
+# as it is; in small blocks; without clusters, so that all pairs are candidates; both light and heavy sets at every size
+@pytest.mark.parametrize("change", [{}, {"BLOCK_SETS": 4, "COLUMNS": 16}, {"SHARE": 9.0}, {"LIGHT_MOST": 0}, {"POSTING_COST": 10**9}, {"GATHERED": 50, "HELD": 40, "REMEMBERED": 2}])
+def test_similar_groups(spark, near, monkeypatch, change):
+    for k, v in change.items():
+        monkeypatch.setattr(ngram_join, k, v)
+    got = ngram_join.similar_groups(spark, with_clashes(frame(spark, near)).repartition(3)).collect()
+    assert {(r.doc_id, r.n_shingles, r.component_id, r.n_links) for r in got} == similar_truth(near) and len(got) == len(near)
+
+
+def test_similar_groups_of_repeated_rows_and_null_ids(spark):
+    text = " ".join(f"w{i}" for i in range(40))
+    rows = [(1, text), (1, text), (None, text + " more"), (None, "other words of no one else"), (4, None), (4, "")]
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id, r.n_links) for r in ngram_join.similar_groups(spark, frame(spark, rows)).collect()), key=repr)
+    assert got == sorted([(1, 36, None, 2), (1, 36, None, 2), (None, 37, None, 2), (None, 2, None, 0), (4, 0, 4, 0), (4, 0, 4, 0)], key=repr)
+
+
+def test_overlaps_against_sets():
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(0, 400, rng.integers(1, 300))).astype(np.uint64) for _ in range(40)]
+    want = np.array([[len(np.intersect1d(a, b)) for b in sets] for a in sets])
+    got = ngram_join.overlaps(sets)
+    off = ~np.eye(40, dtype=bool)
+    assert np.array_equal(got[off], want[off]) and np.array_equal(ngram_join.overlaps(sets[:15], sets[15:]), want[:15, 15:])
 
 
 def test_similar_groups_empty_table(spark):
@@ -299,6 +336,8 @@ def test_packing(spark):
     rng = random.Random(6)
     rows = [(i, " ".join(rng.choice(["don't", "Straße,", "x\x1cy", "***a1", "<|endoftext|>", "ΑΣ.", "hello", "l'été", "\xa0", "d\x00e"]) for _ in range(rng.choice([0, 1, 50, 700, 3000])))) for i in range(60)]
     rows += [(900, None), (901, ""), (902, " \n"), (5, rows[5][1])]
+    # separators that Python takes for white space and the vocabulary does not, at every place
+    rows += [(1000 + i, t) for i, t in enumerate(f"{a}{c}{b}" for c in "\x1c\x1d\x1e\x1f\x85" for a in ("", " ", "a", "\n", " a ") for b in ("", " ", "b.", "\t", " b"))]
     got = packing.pack(spark, with_clashes(frame(spark, rows))).collect()
     ids = {i: tokenizer.encode(t or "", add_special_tokens=False).ids + [1] for i, t in rows}
     whole, sequences = collections.defaultdict(list), collections.defaultdict(list)
