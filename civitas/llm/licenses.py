@@ -1,13 +1,13 @@
 """License scan by canonical digest lookup, in DataFrame operations only.
 
 Entire texts are brought to a canonical form (case, punctuation, white space,
-copyright lines, equivalent spellings), digested, and hash-joined to the digests
+copyright statements, equivalent spellings), digested, and hash-joined to the digests
 of known license texts and notices. A document is looked up as a whole and line by
 line, since files commonly carry a notice as one line of their own; either way the
 unit is compared as an entire text, never by a part of it.
 
-The known texts are a constant of this module (a few dozen rows, far below any
-broadcast limit), or a table given by the caller, which is joined without a hint.
+Every text is settled once; its lines and the whole are looked up in one pass. Only the
+known digests are broadcast, and only after counting them (`BROADCAST_ROWS`).
 """
 
 from __future__ import annotations
@@ -42,10 +42,58 @@ http://www.apache.org/licenses/LICENSE-2.0
 
 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License."""
 
+BSD_3 = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.
+
+3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+
+#: The same without its third condition.
+BSD_2 = "\n\n".join(x for x in BSD_3.split("\n\n") if not x.startswith("3."))
+
+ZLIB = """This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software.
+
+Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:
+
+1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated but is not required.
+
+2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software.
+
+3. This notice may not be removed or altered from any source distribution."""
+
+BOOST = """Boost Software License - Version 1.0 - August 17th, 2003
+
+Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license (the "Software") to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software is furnished to do so, all subject to the following:
+
+The copyright notices in the Software and this entire statement, including the above license grant, this restriction and the following disclaimer, must be included in all copies of the Software, in whole or in part, and all derivative works of the Software, unless such copies or derivative works are solely in the form of machine-executable object code generated by a source language processor.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE, TITLE AND NON-INFRINGEMENT. IN NO EVENT SHALL THE COPYRIGHT HOLDERS OR ANYONE DISTRIBUTING THE SOFTWARE BE LIABLE FOR ANY DAMAGES OR OTHER LIABILITY, WHETHER IN CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
+
+UNLICENSE = """This is free and unencumbered software released into the public domain.
+
+Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.
+
+In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all copyright interest in the software to the public domain. We make this dedication for the benefit of the public at large and to the detriment of our heirs and successors. We intend this dedication to be an overt act of relinquishment in perpetuity of all present and future rights to this software under copyright law.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.
+
+For more information, please refer to <https://unlicense.org>"""
+
 KNOWN = (
     ("MIT", "text", MIT),
     ("MIT", "text", "MIT License\n\n" + MIT),
     ("MIT", "text", "The MIT License (MIT)\n\n" + MIT),
+    ("BSD-3-Clause", "text", BSD_3),
+    ("BSD-3-Clause", "text", "BSD 3-Clause License\n\n" + BSD_3),
+    ("BSD-2-Clause", "text", BSD_2),
+    ("BSD-2-Clause", "text", "BSD 2-Clause License\n\n" + BSD_2),
+    ("Zlib", "text", ZLIB),
+    ("BSL-1.0", "text", BOOST),
+    ("Unlicense", "text", UNLICENSE),
     ("ISC", "text", ISC),
     ("ISC", "text", "ISC License\n\n" + ISC),
     ("Apache-2.0", "notice", APACHE_NOTICE),
@@ -80,57 +128,88 @@ KNOWN = (
     ("proprietary", "notice", "All rights reserved."),
 )
 
-#: A line that only says who holds the copyright, as it looks once punctuation is blank.
-HOLDER = r"(?m)^ ?(?:copyright (?:c )?(?:[0-9]{4}|year|yyyy)|c [0-9]{4})[^\n]*$"
+# Digests and sizes of the canonical forms of whole texts too long to stand here.
+DIGESTS = (
+    ("Apache-2.0", "text", 9881, "75acde0fb516a7ba4597dfc23680cf78281f7fae7f3b74a78e06ef83c1c375c6"),
+    ("Artistic-1.0-Perl", "text", 5833, "e963bc30f4d3c45f45030c34409ee37315564625649c1394e32bb5ddd99e01b2"),
+    ("CC0-1.0", "text", 6692, "96bdc7f63190fb4bd1ae584b890300ed7517d858b34c945642a3b9b2f1612a5f"),
+    ("GFDL-1.2", "text", 19583, "94541e73869af10ab6bd68a29575eede324e54e7d5237e7386d12444f593af60"),
+    ("GFDL-1.3", "text", 22018, "a92fdbaeafedd9cbeb812ebbded06ee07e3b1427c81cfc333e682109c594d826"),
+    ("GPL-1.0", "text", 11797, "eafda7cb5e995143f4d45ef2107eb160d6856afabed7c48b1b317303bc40a7e6"),
+    ("GPL-2.0", "text", 17117, "efe73660e5476cf0368fc0fc143f624ff9d1b73c4484b14a9969dd20c5786821"),
+    ("GPL-3.0", "text", 33406, "eaab5d82fdcca441d83a1913bbf07e4de3a739e190578c0bffde24f84e93bb2a"),
+    ("LGPL-2.0", "text", 24130, "61af4dcea4e412e8ccfb8877fd2762bd6d962f8d42a9fa2c06cf7b4613f2c908"),
+    ("LGPL-2.1", "text", 25217, "4d55922bdeafabde164d75448bbfb0b474bf952bbb541325364010900acd9891"),
+    ("LGPL-3.0", "text", 7104, "aae2b222477171fb64e298e7965e768a9a6f85320646b266c94399ac029d42be"),
+    ("MPL-1.1", "text", 22467, "a1b36de49a400e3d3385d5987188db954a084f9876243aa7207cd91de3f24a7b"),
+    ("MPL-2.0", "text", 14341, "f82071285728ca3ec7685ee9bc4acdae0b8267142a4d20b8f1805eabedb4a98a"),
+)
+
+#: A copyright statement at the start of a line, in lower case, up to the end of its sentence (initials, common
+#: abbreviations of companies and points inside words end none) with the rights reserved after it.
+HOLDER = r"^[^\p{L}\p{N}\n]*(?:copyright[^\p{L}\p{N}\n]+(?:c[^\p{L}\p{N}\n]+)?|(?:\(c\)|©)[^\p{L}\p{N}\n]*)(?:[0-9]{4}|year|yyyy)(?: (?:inc|ltd|co|corp|llc|\p{L})\.|[^.\n]|\.[^ \n]){0,200}\.?(?: *all rights reserved\.?)?"
+#: Known digests that are broadcast at most.
+BROADCAST_ROWS = 1_000_000
 
 
 def lines(text: Column) -> Column:
-    """The text with case, punctuation, spellings and copyright lines settled; line breaks are kept."""
-    out = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}\n]+", " ")
+    """The text with case, punctuation, spellings and copyright statements settled; line breaks are kept."""
+    # (?d): lines end at \n alone
+    out = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), "(?md)" + HOLDER, "")
+    out = F.regexp_replace(out, r"[^\p{L}\p{N}\n]+", " ")
     for have, want in SPELLINGS:
         out = F.replace(out, F.lit(have), F.lit(want))
-    return F.regexp_replace(out, HOLDER, "")
+    return out
 
 
 def joined(settled: Column) -> Column:
-    """One settled text as a single line."""
-    return F.trim(F.regexp_replace(settled, r"[ \n]+", " "))
+    """One settled text as a single line; blanks stand alone in it, but for those about line breaks."""
+    return F.trim(F.regexp_replace(settled, r" ?\n[ \n]*", " "))
 
 
-def known_digests(spark: SparkSession, known=KNOWN) -> DataFrame:
-    """digest, license, form: one row per digest; of clashing entries the smallest name stays."""
-    rows = spark.createDataFrame(list(known), "license string, form string, text string")
-    rows = rows.select(F.sha2(joined(lines(F.col("text"))), 256).alias("digest"), "license", "form")
-    return rows.groupBy("digest").agg(F.min(F.struct("license", "form")).alias("m")).select("digest", "m.license", "m.form")
+def known_digests(spark: SparkSession, known=KNOWN, digests=DIGESTS) -> DataFrame:
+    """digest, size, license, form: one row per digest; of clashing entries the smallest name stays."""
+    rows = spark.createDataFrame(list(known), "license string, form string, text string").select(joined(lines(F.col("text"))).alias("body"), "license", "form")
+    rows = rows.select(F.sha2("body", 256).alias("digest"), F.length("body").alias("size"), "license", "form")
+    rows = rows.unionByName(spark.createDataFrame(list(digests), "license string, form string, size int, digest string"))
+    return rows.groupBy("digest", "size").agg(F.min(F.struct("license", "form")).alias("m")).select("digest", "size", "m.license", "m.form")
 
 
 def scan(spark: SparkSession, docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """One row per (document, license, form, unit): doc_id, license, form, unit, n_hits, first_line.
 
-    `unit` is `text` where the whole text is a known one, else `line`. n_hits counts
-    matching lines (1 for a whole text), first_line the first of them from 1 (0 for a
-    whole text). A text without words (null and empty ones too) matches nothing;
-    rows that repeat a doc_id add their hits. Documents without a known text have no row.
+    known: digest, size (code points of the canonical form), license, form; without it
+    `KNOWN` and `DIGESTS`. `unit` is `text` where the whole text is a known one, else
+    `line`. n_hits counts matching lines (1 for a whole text), first_line the first of
+    them from 1 (0 for a whole text). A text without words (null and empty ones too)
+    matches nothing, whatever its length a text is settled whole; rows that repeat a
+    doc_id add their hits. Documents without a known text have no row, nor does an
+    empty table. Other columns are ignored.
     """
-    known = known_digests(spark) if known is None else known
+    known = known_digests(spark) if known is None else known.select("digest", "size", "license", "form")
+    known = known.groupBy("digest").agg(F.min(F.struct("license", "form", "size")).alias("m")).select("digest", "m.license", "m.form", "m.size")
+    few = known.count() <= BROADCAST_ROWS
     settled = docs.select("doc_id", lines(F.col("text")).alias("settled"))
-    each = settled.select("doc_id", F.posexplode_outer(F.split("settled", "\n", -1)).alias("line", "body"))
-    each = each.select("doc_id", F.lit("line").alias("unit"), (F.col("line") + 1).cast("long").alias("line"), F.trim("body").alias("body"))
-    whole = settled.where(F.instr("settled", "\n") > 0).select("doc_id", F.lit("text").alias("unit"), F.lit(0).cast("long").alias("line"), joined(F.col("settled")).alias("body"))
-    alone = settled.where(F.instr("settled", "\n") == 0).select("doc_id", F.lit("text").alias("unit"), F.lit(0).cast("long").alias("line"), F.trim("settled").alias("body"))
-    units = each.unionByName(whole).unionByName(alone).where("body <> ''")
-    hits = units.select("doc_id", "unit", "line", F.sha2("body", 256).alias("digest")).join(known, "digest")
+    unit = lambda name, line, body: F.struct(F.lit(name).alias("unit"), line.cast("long").alias("line"), body.alias("body"))
+    each = F.transform(F.split("settled", "\n", -1), lambda x, i: unit("line", i + 1, F.trim(x)))
+    units = settled.select("doc_id", F.explode_outer(F.concat(each, F.array(unit("text", F.lit(0), joined(F.col("settled")))))).alias("u")).select("doc_id", "u.*").where("body <> ''")
+    if few:  # only a unit as long as a known text is digested
+        units = units.where(F.length("body").isin([r[0] for r in known.select("size").distinct().collect()]))
+        known = F.broadcast(known)
+    hits = units.select("doc_id", "unit", "line", F.sha2("body", 256).alias("digest")).join(known.drop("size"), "digest")
     return hits.groupBy("doc_id", "license", "form", "unit").agg(F.count(F.lit(1)).alias("n_hits"), F.min("line").alias("first_line"))
 
 
-def oracle_sql(known=KNOWN) -> str:
+def oracle_sql(known=KNOWN, digests=DIGESTS) -> str:
     quote = lambda x: "'" + x.replace("'", "''") + "'"
     spell = lambda x: "".join(["replace("] * len(SPELLINGS)) + x + "".join(f", {quote(a)}, {quote(b)})" for a, b in SPELLINGS)
-    settle = lambda x: f"regexp_replace({spell(rf'''regexp_replace(lower(coalesce({x}, '')), '[^\p{{L}}\p{{N}}\n]+', ' ', 'g')''')}, '{HOLDER}', '', 'g')"
+    settle = lambda x: spell(rf"""regexp_replace(regexp_replace(lower(coalesce({x}, '')), '(?m){HOLDER}', '', 'g'), '[^\p{{L}}\p{{N}}\n]+', ' ', 'g')""")
     values = ", ".join(f"({quote(a)}, {quote(b)}, {quote(c)})" for a, b, c in known)
+    more = ", ".join(f"({quote(a)}, {quote(b)}, {quote(d)})" for a, b, _, d in digests)
     return f"""
-WITH k AS (SELECT sha256(trim(regexp_replace({settle('text')}, '[ \\n]+', ' ', 'g'))) AS digest, min({{'license': license, 'form': form}}) AS m
-           FROM (VALUES {values}) AS v(license, form, text) GROUP BY 1),
+WITH k AS (SELECT digest, min({{'license': license, 'form': form}}) AS m FROM (
+             SELECT license, form, sha256(trim(regexp_replace({settle('text')}, '[ \\n]+', ' ', 'g'))) AS digest FROM (VALUES {values}) AS v(license, form, text)
+             UNION ALL SELECT * FROM (VALUES {more}) AS w(license, form, digest)) GROUP BY 1),
 s AS (SELECT doc_id, {settle('text')} AS settled FROM documents),
 l AS (SELECT doc_id, string_split(settled, chr(10)) AS parts FROM s),
 u AS (SELECT doc_id, 'line' AS unit, i AS line, trim(parts[i]) AS body FROM (SELECT doc_id, parts, unnest(range(1, len(parts) + 1)) AS i FROM l)
