@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from civitas.plans import analyses, functions_queries, merge_queries, page_queries  # noqa: F401  they register themselves
+from civitas.plans import analyses, functions_queries, merge_queries, page_queries, response_queries  # noqa: F401  they register themselves
 
 
 def queries():
