@@ -6,56 +6,64 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, functions as F
 
+from civitas.functions.text import bound
+
 MONTHS = ("january", "february", "march", "april", "may", "june", "july", "august", "september", "october", "november", "december")
 MONTH = "(?:" + "|".join(MONTHS) + ")"
 
 
 def month_number(c: Column) -> Column:
     """1 to 12 for a month's name or its first three letters, in any case."""
-    table = F.create_map(*(F.lit(x) for i, m in enumerate(MONTHS) for x in (m[:3], i + 1)))
-    return F.try_element_at(table, F.substring(F.lower(F.trim(c)), 1, 3))
+    return F.try_element_at(_months(lambda m: (m[:3],)), F.substring(F.lower(F.trim(c)), 1, 3))
+
+
+def _months(names) -> Column:
+    return F.create_map(*(F.lit(x) for i, m in enumerate(MONTHS) for n in sorted({*names(m)}) for x in (n, i + 1)))
+
 
+def _day_of(year: Column, month, day) -> Column:
+    """The date of three parts; null where one is missing or there is no such day."""
+    part = lambda x: x.cast("string") if isinstance(x, Column) else F.lit(str(x))
+    return F.concat(part(year), F.lit("-"), part(month), F.lit("-"), part(day)).try_cast("date")
 
-def _made(year: Column, month: Column, day: Column) -> Column:
-    text = F.concat_ws("-", F.lpad(year.cast("string"), 4, "0"), F.lpad(month.cast("string"), 2, "0"), F.lpad(day.cast("string"), 2, "0"))
-    return F.try_to_date(text, "yyyy-MM-dd")
 
+def _found(c: Column, pattern: str, group: int = 1) -> Column:
+    return F.nullif(F.regexp_extract(c, pattern, group), F.lit(""))
 
-def _matched(c: Column, pattern: str, *groups: int) -> tuple[Column, list[Column]]:
-    return F.rlike(c, F.lit(pattern)), [F.regexp_extract(c, pattern, g) for g in groups]
 
+#: d Month yyyy, d/m/yyyy and d-m-yyyy in the order of yyyy-m-d, where a month may be a name.
+_ORDERED = ((r"^(\d{1,2})\s+([a-z]{3,9})\.?\s+(\d{4})$", "$3-$2-$1"), (r"^(\d{1,2})[/-](\d{1,2})[/-](\d{4})$", "$3-$2-$1"), (r"^([a-z]{3,9})\s+(\d{4})$", "$2-$1"))
 
-def _day(c: Column) -> Column:
-    """Full dates: `d Month yyyy`, `d/m/yyyy`, `d-m-yyyy`, `yyyy-m-d`."""
-    c = F.trim(c)
-    named, (d1, m1, y1) = _matched(c, rf"(?i)^(\d{{1,2}})\s+([a-z]{{3,9}})\.?\s+(\d{{4}})$", 1, 2, 3)
-    slashed, (d2, m2, y2) = _matched(c, r"^(\d{1,2})[/-](\d{1,2})[/-](\d{4})$", 1, 2, 3)
-    iso, (y3, m3, d3) = _matched(c, r"^(\d{4})-(\d{1,2})-(\d{1,2})$", 1, 2, 3)
-    known = F.lower(m1).isin(*MONTHS, *(m[:3] for m in MONTHS))
-    return F.when(named & known, _made(y1, month_number(m1), d1)).when(slashed, _made(y2, m2, d2)).when(iso, _made(y3, m3, d3))
 
+def _parts(c: Column) -> Column:
+    """Year, month and day of a date, year and month, or the year alone; months as names or numbers. Null for anything else."""
+    out = F.lower(F.trim(c))
+    for pattern, order in _ORDERED:
+        out = F.regexp_replace(out, pattern, order)
+    return F.when(F.rlike(out, F.lit(r"^\d{4}(?:-[a-z]{3,9}|-(?:[a-z]{3,9}|\d{1,2})-\d{1,2})?$")), F.split(out, "-"))
 
-def _month_year(c: Column) -> Column:
-    """First day of `Month yyyy`."""
-    ok, (m, y) = _matched(F.trim(c), r"(?i)^([a-z]{3,9})\s+(\d{4})$", 1, 2)
-    return F.when(ok & F.lower(m).isin(*MONTHS, *(x[:3] for x in MONTHS)), _made(y, month_number(m), F.lit(1)))
 
+def _read(c: Column, month: str, year) -> Column:
+    """A date; `first` or `last` day of a month, and (month, day) for a year alone."""
+    names = _months(lambda m: (m, m[:3]))
 
-def _year(c: Column) -> Column:
-    return F.when(F.rlike(F.trim(c), F.lit(r"^\d{4}$")), F.trim(c))
+    def day(p: Column) -> Column:
+        known = F.coalesce(F.try_element_at(names, F.get(p, 1)).cast("string"), F.when(F.size(p) == 3, F.get(p, 1)))
+        own = _day_of(F.get(p, 0), known, F.coalesce(F.get(p, 2), F.lit("1")))
+        return F.when(F.size(p) == 1, _day_of(F.get(p, 0), *year)).otherwise(F.when(F.size(p) == 2, F.last_day(own)).otherwise(own) if month == "last" else own)
+
+    return bound(_parts(c), day)
 
 
 def parsed(c: Column) -> Column:
     """A date; month and year mean the first day, a year alone its January 1."""
-    return F.coalesce(_day(c), _month_year(c), _made(_year(c), F.lit(1), F.lit(1)))
+    return _read(c, "first", (1, 1))
 
 
 def parsed_end(c: Column) -> Column:
     """A date; coarser expressions mean the end of their period."""
     low = F.lower(F.trim(c))
-    early, (y,) = _matched(low, r"early\s+(?:in\s+)?(\d{4})", 1)
-    end, (z,) = _matched(low, r"end\s+(?:of\s+)?(\d{4})", 1)
-    return F.coalesce(_day(c), F.when(end, _made(z, F.lit(12), F.lit(31))), F.when(early, _made(y, F.lit(3), F.lit(31))), F.last_day(_month_year(c)), _made(_year(c), F.lit(12), F.lit(31)))
+    return F.coalesce(_read(c, "last", (12, 31)), _day_of(_found(low, r"end\s+(?:of\s+)?(\d{4})"), 12, 31), _day_of(_found(low, r"early\s+(?:in\s+)?(\d{4})"), 3, 31))
 
 
 # The last day meant by a phrase, by the first pattern that occurs.
@@ -80,25 +88,39 @@ DEADLINES = (
 
 def deadline(c: Column) -> Column:
     """The last day that a deadline phrase allows."""
-    low = F.lower(F.trim(c))
-    steps = [F.when(F.rlike(low, F.lit(p)), _made(F.regexp_extract(low, p, 1), F.lit(m), F.lit(d))) for p, m, d in DEADLINES]
-    named = rf"({MONTH})\s+(\d{{4}})"
-    full = rf"(\d{{1,2}}\s+{MONTH}\s+\d{{4}})"
-    inside = F.when(F.rlike(low, F.lit(full)), _day(F.regexp_extract(low, full, 1)))
-    month = F.when(F.rlike(low, F.lit(named)), F.last_day(_made(F.regexp_extract(low, named, 2), month_number(F.regexp_extract(low, named, 1)), F.lit(1))))
-    return F.coalesce(*steps, inside, _day(c), month, _made(_year(low), F.lit(12), F.lit(31)), parsed(c))
+    named, full = rf"({MONTH})\s+(\d{{4}})", rf"(\d{{1,2}}\s+{MONTH}\s+\d{{4}})"
+
+    def day(low: Column) -> Column:
+        steps = [_day_of(_found(low, p), m, d) for p, m, d in DEADLINES]
+        return F.coalesce(*steps, parsed(_found(low, full)), F.last_day(_day_of(_found(low, named, 2), month_number(_found(low, named)), 1)), parsed_end(low))
+
+    return bound(F.lower(F.trim(c)), day)
 
 
 def registry_date(c: Column) -> Column:
     """dd/MM/yyyy only."""
-    ok, (d, m, y) = _matched(F.trim(c), r"^(\d{2})/(\d{2})/(\d{4})$", 1, 2, 3)
-    return F.when(ok, _made(y, m, d))
+    return F.when(F.rlike(F.trim(c), F.lit(r"^\d{2}/\d{2}/\d{4}$")), F.regexp_replace(F.trim(c), "^(..)/(..)/(....)$", "$3-$2-$1").try_cast("date"))
+
+
+EVERY = rf"(?i)\d{{1,2}}\s+{MONTH}\s+\d{{4}}|{MONTH}\s+\d{{4}}|\b\d{{1,2}}/\d{{1,2}}/\d{{4}}\b|\b\d{{4}}-\d{{1,2}}-\d{{1,2}}\b|(?<![/\d-])(?:19|20)\d{{2}}(?![/\d-])"
 
 
 def harvested(c: Column) -> Column:
     """All dates in a text, ends of periods for coarser ones, distinct, in order of appearance."""
-    every = rf"(?i)\d{{1,2}}\s+{MONTH}\s+\d{{4}}|{MONTH}\s+\d{{4}}|\b\d{{1,2}}/\d{{1,2}}/\d{{4}}\b|\b\d{{4}}-\d{{1,2}}-\d{{1,2}}\b|(?<![/\d-])(?:19|20)\d{{2}}(?![/\d-])"
-    found = F.transform(F.regexp_extract_all(c, F.lit(every), F.lit(0)), lambda x: parsed_end(x))
+    return _every(c, parsed_end)
+
+
+def event_dates(c: Column) -> Column:
+    """All dates of an event's text, first days of periods for coarser ones (January 1 of a bare year), in order.
+
+    Years in addresses and in names of programmes and agendas are not dates.
+    """
+    plain = F.regexp_replace(c, r"https?://\S+", " ")
+    return _every(F.regexp_replace(plain, r"\b(?:[A-Z]\p{L}+\s+)(?:19|20)\d{2}(?:\s*[-–]\s*(?:19|20)?\d{2})?(?=\s+(?:programme|program|agenda|strategy|work))", " "), parsed)
+
+
+def _every(c: Column, read) -> Column:
+    found = F.transform(F.regexp_extract_all(c, F.lit(EVERY), F.lit(0)), lambda x: read(x))
     return F.array_distinct(F.filter(found, lambda x: x.isNotNull()))
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, functions as F
 
@@ -54,15 +54,21 @@ def contains_all(c: Column, phrases: Sequence[str]) -> Column:
     return F.coalesce(out, F.lit(False))
 
 
+def bound(value: Column, f: Callable[[Column], Column]) -> Column:
+    """f of a value that is worked out once, however often f uses it."""
+    return F.element_at(F.transform(F.array(value), f), 1)
+
+
 def matches_any(c: Column, patterns: Sequence[str]) -> Column:
     return F.coalesce(F.rlike(c, F.lit("(?i)(?:" + "|".join(patterns) + ")")), F.lit(False))
 
 
 def categories(c: Column, keywords: dict[str, Sequence[str]], default: str = "Other") -> Column:
     """All categories of which a keyword occurs (substring of the lower-cased text), in declaration order."""
-    low = F.lower(F.coalesce(c, F.lit("")))
-    hits = F.array_compact(F.array(*(F.when(contains_any(low, words), F.lit(k)) for k, words in keywords.items() if words)))
-    return F.when(F.size(hits) == 0, F.array(F.lit(default))).otherwise(hits)
+    def hits(low: Column) -> Column:
+        return F.array_compact(F.array(*(F.when(contains_any(low, words), F.lit(k)) for k, words in keywords.items() if words)))
+
+    return bound(F.lower(F.coalesce(c, F.lit(""))), lambda low: bound(hits(low), lambda h: F.when(F.size(h) == 0, F.array(F.lit(default))).otherwise(h)))
 
 
 def first_class(c: Column, patterns: dict[str, Sequence[str]]) -> Column:

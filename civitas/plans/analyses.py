@@ -280,10 +280,10 @@ def least_median_largest_examples(t):
     return kept.select("o_orderstatus", F.when(F.col("i") == 1, "least").when(F.col("i") == F.col("n"), "largest").otherwise("middle").alias("example"), "o_orderkey")
 
 
-@query("numbered_lines", "SELECT l_orderkey, l_linenumber, row_number() OVER w AS i, count(*) OVER (PARTITION BY l_orderkey) AS of_n FROM lineitem WHERE l_orderkey % 10 = 0 WINDOW w AS (PARTITION BY l_orderkey ORDER BY l_shipdate, l_linenumber, l_partkey)")
+@query("numbered_lines", "SELECT l_orderkey, l_linenumber, row_number() OVER w AS i, count(*) OVER (PARTITION BY l_orderkey) AS of_n FROM lineitem WINDOW w AS (PARTITION BY l_orderkey ORDER BY l_shipdate, l_linenumber, l_partkey)")
 def numbered_lines(t):
     own = Window.partitionBy("l_orderkey")
-    return t.lineitem.where("l_orderkey % 10 = 0").select(
+    return t.lineitem.select(
         "l_orderkey", "l_linenumber", F.row_number().over(own.orderBy("l_shipdate", "l_linenumber", "l_partkey")).cast("long").alias("i"), F.count(F.lit(1)).over(own).alias("of_n")
     )
 
@@ -315,9 +315,9 @@ def set_union_distinct(t):
     return t.customer.select(F.col("c_nationkey").alias("k")).unionByName(t.supplier.select(F.col("s_nationkey").alias("k"))).distinct()
 
 
-@query("set_difference", "SELECT c_custkey AS k FROM customer EXCEPT SELECT o_custkey FROM orders")
+@query("set_difference", "SELECT c_custkey AS k FROM customer EXCEPT SELECT o_custkey FROM orders WHERE o_totalprice > 250000")
 def set_difference(t):
-    return t.customer.select(F.col("c_custkey").alias("k")).join(t.orders, F.col("k") == F.col("o_custkey"), "left_anti").distinct()
+    return t.customer.select(F.col("c_custkey").alias("k")).join(t.orders.where("o_totalprice > 250000"), F.col("k") == F.col("o_custkey"), "left_anti").distinct()
 
 
 @query("wide_to_long", "SELECT c_custkey, unnest(['balance', 'nation']) AS metric, unnest([c_acctbal, CAST(c_nationkey AS DOUBLE)]) AS value FROM customer")
