@@ -34,7 +34,7 @@ def paragraphs(nodes: Column) -> Column:
 def timeline(nodes: Column) -> Column:
     """array<struct<step, date>>: list items of the timeline; the date is the item's dd/mm/yyyy, if any."""
     holders = F.transform(F.filter(nodes, lambda n: (n["tag"] == "ol") & has_class(n, "timeline")), lambda n: n["idx"])
-    items = F.filter(nodes, lambda n: (n["tag"] == "li") & F.array_contains(holders, n["parent"]))
+    items = T.bound(holders, lambda own: F.filter(nodes, lambda n: (n["tag"] == "li") & F.array_contains(own, n["parent"])))
     day = r"(\d{2}/\d{2}/\d{4})"
     return F.transform(items, lambda n: F.struct(T.normalized(F.regexp_replace(n["text"], day, "")).alias("step"), F.nullif(F.regexp_extract(n["text"], day, 1), F.lit("")).alias("date")))
 
@@ -73,6 +73,61 @@ def sponsors(nodes: Column) -> Column:
     return F.transform(rows, lambda r: F.struct(F.trim(F.regexp_replace(r[0], r"\s*\[\d+\]", "")).alias("name_of_sponsor"), r[1].alias("date"), F.regexp_replace(r[2], r"[^\d.,]", "").alias("amount_in_eur")))
 
 
+def funding_total(nodes: Column) -> Column:
+    """The euro amount of the paragraph that tells the total of support and funding."""
+    told = F.filter(N.texts_of(N.tagged(nodes, "p")), lambda t: F.contains(F.lower(t), F.lit("total amount of support and funding")))
+    return F.nullif(F.regexp_extract(F.try_element_at(told, F.lit(1)), r"€\s?([\d,]+\.?\d*)", 1), F.lit(""))
+
+
+def verification_end(steps: Column) -> Column:
+    """The date of the last step about the initiative after Verification that no answer precedes, or that is the last of all.
+
+    Where there is none, that of `Valid initiative`.
+    """
+    names = F.transform(steps, lambda s: s["step"])
+    ends = F.struct(F.array_position(names, "Verification").alias("checked"), F.array_position(names, "Answered initiative").alias("answered"), F.size(steps).alias("n"))
+    placed = F.transform(steps, lambda s, i: F.struct((i + 1).alias("i"), s["step"].alias("step"), s["date"].alias("date")))
+
+    def good(e: Column) -> Column:
+        return F.filter(placed, lambda s: F.contains(F.lower(s["step"]), F.lit("initiative")) & (e["checked"] > 0) & (s["i"] > e["checked"]) & ((e["answered"] == 0) | (s["i"] < e["answered"]) | (s["i"] == e["n"])))
+
+    return F.when(T.bound(ends, lambda e: F.size(good(e))) > 0, F.element_at(T.bound(ends, good), -1)["date"]).otherwise(D.step_date(F.reverse(steps), "Valid initiative"))
+
+
+def organisers(nodes: Column) -> Column:
+    """struct<legal_entity, representative, substitute, members>; null on a page without the section.
+
+    People are list items under the heading of their role; representatives are counted by country of residence.
+    """
+    there = F.exists(nodes, lambda n: (n["tag"] == "h2") & F.rlike(n["text"], F.lit(r"(?i)organisers\s*$")))
+
+    def under(heading: str) -> Column:
+        return F.filter(N.texts_of(N.tagged(N.section(nodes, F.lit(rf"(?i)^\s*{heading}\s*$"), ("h2", "h3", "h4")), "li")), lambda t: t != "")
+
+    people = lambda items: F.size(items).cast("long").alias("number_of_people")
+    entity = F.try_element_at(under("Legal entity created for the purpose of managing the initiative"), F.lit(1))
+    seat = F.split(entity, "Country of the seat:", 2)
+    chosen = under("Representatives?")
+    lands = F.filter(F.transform(chosen, lambda t: F.trim(F.regexp_extract(t, r"Country of residence[:\s]+([A-Za-z\s]+)", 1))), lambda c: c != "")
+    by_land = T.bound(lands, lambda own: F.map_from_entries(F.transform(F.array_distinct(own), lambda c: F.struct(c, F.size(F.filter(own, lambda x: x == c)).cast("long")))))
+    return F.when(
+        there,
+        F.struct(
+            F.struct(F.trim(F.get(seat, 0)).alias("name"), F.trim(F.get(seat, 1)).alias("country_of_residence")).alias("legal_entity"),
+            F.struct(people(chosen), by_land.alias("countries_of_residence")).alias("representative"),
+            F.struct(people(under("Substitutes?"))).alias("substitute"),
+            F.struct(people(under("Members"))).alias("members"),
+        ),
+    )
+
+
+def organiser_columns(found: Column) -> list[Column]:
+    """The three JSON columns of organisers; null without the section."""
+    others = F.struct(found["substitute"].alias("substitute"), found["members"].alias("members"))
+    shown = {"organizer_representative": found["representative"], "organizer_entity": found["legal_entity"], "organizer_others": others}
+    return [F.when(found.isNotNull(), F.to_json(v)).alias(k) for k, v in shown.items()]
+
+
 def languages(nodes: Column) -> Column:
     codes = F.transform(N.links(nodes, href=r"_[a-z]{2}(?:\.html)?$"), lambda h: F.regexp_extract(h, r"_([a-z]{2})(?:\.html)?$", 1))
     return F.array_join(F.array_sort(F.array_distinct(codes)), ",")
@@ -82,11 +137,10 @@ def registry_record(pages: DataFrame, base_url: str) -> DataFrame:
     """One row per page (file_name, nodes): the registry's fields; `parse_error` stays beside them."""
     n = F.col("nodes")
     number = F.regexp_replace(F.regexp_extract("file_name", r"(\d{4}_\d{6})_[a-z]{2}\.html", 1), "_", "/")
-    text_all = F.array_join(N.texts_of(N.tagged(n, "body")), " ")
     part = lambda head: N.section(n, F.lit(f"(?i)^{head}$"))
     steps = timeline(n)
     reached = F.size(F.filter(F.col("by_country"), lambda c: F.coalesce(T.percent(c["percentage"]) >= 100, F.lit(False))))
-    out = pages.withColumn("by_country", signatures(n)).withColumn("steps", steps)
+    out = pages.withColumn("by_country", signatures(n)).withColumn("steps", steps).withColumn("organisers", organisers(n))
     return out.select(
         number.alias("registration_number"),
         F.coalesce(N.meta(n, "dcterms.title"), N.first_text(n, "h1")).alias("title"),
@@ -94,9 +148,10 @@ def registry_record(pages: DataFrame, base_url: str) -> DataFrame:
         F.nullif(F.array_join(N.texts_of(N.tagged(part("Annex"), "p", "li")), "\n"), F.lit("")).alias("annex"),
         current_status(n).alias("current_status"),
         F.concat(F.lit(base_url), F.regexp_replace(number, "/", "/details/")).alias("url"),
-        *(D.step_date(F.reverse("steps"), k).alias(c) for k, c in STEPS.items()),
+        *((verification_end(F.col("steps")) if k == "Valid initiative" else D.step_date(F.reverse("steps"), k)).alias(c) for k, c in STEPS.items()),
+        *organiser_columns(F.col("organisers")),
         F.to_json("steps").alias("timeline"),
-        F.nullif(F.regexp_extract(text_all, r"€\s?([\d,]+\.?\d*)", 1), F.lit("")).alias("funding_total"),
+        funding_total(n).alias("funding_total"),
         F.to_json(sponsors(n)).alias("funding_by"),
         signatures_total(n).alias("signatures_collected"),
         F.to_json("by_country").alias("signatures_collected_by_country"),
@@ -109,22 +164,130 @@ def registry_record(pages: DataFrame, base_url: str) -> DataFrame:
     )
 
 
+# Words that make a follow-up's flags (substrings of a response page, patterns of a follow-up page),
+# forms of case numbers, of legal acts and of their identifiers, and headings of a follow-up page's sections.
+FOLLOWUP_WORDS = {
+    "roadmap": ("roadmap",),
+    "workshop": ("workshop", "conference", "scientific debate", "stakeholder meeting", "stakeholder debate", "roundtable", "symposium", "seminar"),
+    "partnership": ("partnership program", "partnership plans", "public-public partnership", "european partnership for", "partnership between", "partnerships between", "support to partnerships", "cooperation programme", "collaboration programme", "joint programme", "formal partnership", "established partnership", "international partners"),
+}
+FOLLOWUP_PATTERNS = {
+    "roadmap": (r"\broad ?maps?\b",),
+    "workshop": (r"\bworkshops?\b", r"\bconferences?\b", r"\bscientific debates?\b", r"\bstakeholder (?:meeting|debate)s?\b", r"\broundtables?\b", r"\bsymposia\b", r"\bsymposiums?\b", r"\bseminars?\b"),
+    "partnership": (r"\bpartnership (?:programs?|programmes?|plans?|between)\b", r"\bpublic-public partnerships?\b", r"\beuropean partnerships? for\b", r"\bpartnerships between\b", r"\bsupport to partnerships?\b", r"\b(?:cooperation|collaboration|joint) programmes?\b", r"\b(?:formal|established) partnerships?\b", r"\binternational partners?\b"),
+}
+CASES = {"general_court": r"\bT[-–]\d{2,6}/\d{2}\b", "court_of_justice": r"\bC[-–]\d{2,6}/\d{2}\b", "ombudsman_decisions": r"\b\d{2,4}/\d{3}\b"}
+CELEX = r"CELEX[=:]\s*([0-9]{5}[A-Z]{1,2}[0-9]{4}[A-Z]?[0-9]{0,4})"
+ACTS = {
+    "Regulation": r"Regulation\s+\((?:EU|EC)\)\s+(?:No\.?\s*)?(\d{1,4}/\d{1,4})",
+    "Directive": r"Directive\s+(\d{4}/\d{1,3}(?:/(?:EU|EC))?)",
+    "Decision": r"(?:(?:Council|Commission)\s+)?Decision\s+(?:\((?:EU|EC|EEC)\)\s+)?(?:No\.?\s+)?(\d+/\d+)",
+    "CELEX": CELEX,
+    "Article": r"Article\s+(\d{1,3}(?:\([a-z0-9]+\))?)",
+}
+JOURNAL = {"legislation": "L", "information_and_notices": "C"}
+FOLLOWUP_SECTIONS = {"response-of-the-commission": None, "follow-up-on-the-commissions-actions": "follow-up", "next-steps": "next steps"}
+
+
+def followup_flag(text: Column, kind: str, patterns: bool = False) -> Column:
+    """Whether a follow-up tells of a roadmap, workshop or partnership."""
+    return T.matches_any(F.lower(text), FOLLOWUP_PATTERNS[kind]) if patterns else T.contains_any(F.lower(text), FOLLOWUP_WORDS[kind])
+
+
+def _some(values: Column) -> Column:
+    return F.when(F.size(values) > 0, values)
+
+
 def court_cases(text: Column) -> Column:
-    """struct of ordered distinct case numbers by court."""
-    found = lambda p: F.array_distinct(F.regexp_extract_all(text, F.lit(p), F.lit(0)))
-    return F.struct(found(r"\bT[-‑]\d{1,4}/\d{2}\b").alias("general_court"), found(r"\bC[-‑]\d{1,4}/\d{2}(?:\s?P)?\b").alias("court_of_justice"), found(r"\b\d{1,4}/\d{4}/[A-Z]{2,4}\b").alias("ombudsman_decisions"))
+    """struct of ordered distinct case numbers by court; courts without any are null, and so is a text without any."""
+    found = {k: F.array_distinct(F.regexp_extract_all(text, F.lit(p), F.lit(0))) for k, p in CASES.items()}
+    return F.when(sum((F.size(v) for v in found.values()), F.lit(0)) > 0, F.struct(*(_some(v).alias(k) for k, v in found.items())))
 
 
 def legislation_by_id(text: Column, hrefs: Column) -> Column:
-    """struct of identifiers in a text and in the (decoded) targets of links."""
-    found = lambda p, g=1: F.array_distinct(F.regexp_extract_all(text, F.lit(p), F.lit(g)))
-    decoded = F.transform(hrefs, lambda h: F.regexp_replace(F.regexp_replace(h, "(?i)%3A", ":"), "(?i)%2F", "/"))
-    celex = F.array_distinct(F.filter(F.transform(decoded, lambda h: F.regexp_extract(h, r"(?i)CELEX:(\d{5}[A-Z]{1,2}\d{4})", 1)), lambda x: x != ""))
-    journal = F.array_distinct(F.filter(F.transform(decoded, lambda h: F.regexp_extract(h, r"(?i)OJ:([LC](?:[_.:]\d+)+)", 1)), lambda x: x != ""))
-    return F.struct(
-        found(r"Regulation\s+\((?:EU|EC|EEC)\)\s+(?:No\.?\s*)?(\d+/\d+)").alias("Regulation"), found(r"Directive\s+(?:\((?:EU|EC)\)\s+)?(\d+/\d+(?:/(?:EU|EC|EEC))?)").alias("Directive"), found(r"Decision\s+(?:\((?:EU|EC)\)\s+)?(?:No\.?\s*)?(\d+/\d+)").alias("Decision"),
-        celex.alias("CELEX"), found(r"Article\s+(\d+(?:\(\d+\))*)").alias("Article"), journal.alias("official_journal"),
-    )
+    """struct of identifiers in a text and in the (decoded) targets of links; kinds without any are null."""
+    decoded = F.transform(hrefs, lambda h: F.regexp_replace(F.regexp_replace(F.regexp_replace(h, "(?i)%3A", ":"), "(?i)%2F", "/"), "(?i)%3D", "="))
+    linked = lambda p, g=1: F.filter(F.transform(decoded, lambda h: F.regexp_extract(h, f"(?i){p}", g)), lambda x: x != "")
+    found = {k: F.regexp_extract_all(text, F.lit(f"(?i){p}"), F.lit(1)) for k, p in ACTS.items()}
+    found["CELEX"] = F.concat(found["CELEX"], linked(CELEX))
+    issues = {k: _some(F.array_distinct(F.filter(F.transform(decoded, lambda h: F.regexp_replace(F.regexp_extract(h, rf"(?i)uri=uriserv:OJ\.{v}_\.(\d{{4}}\.\d{{1,3}})\.\d{{2}}\.\d{{4}}", 1), r"\.", ", ")), lambda x: x != ""))) for k, v in JOURNAL.items()}  # noqa: B023
+    journal = F.when(F.coalesce(*issues.values()).isNotNull(), F.struct(*(v.alias(k) for k, v in issues.items())))
+    return F.struct(*(_some(F.array_distinct(v)).alias(k) for k, v in found.items()), journal.alias("official_journal"))
+
+
+def followup_content(nodes: Column) -> Column:
+    """The normalised lower-case text of a follow-up page's three sections, by id or else by words of the heading."""
+    def texts(key: str, words: str | None) -> Column:
+        by_id = F.exists(nodes, lambda n: (n["tag"] == "h2") & (n["id"] == key))
+        part = lambda pattern: N.texts_of(N.tagged(N.section(nodes, F.lit(pattern)), "p", "li"))
+        return F.when(by_id, part(f"^{key}$")).otherwise(part(f"(?i){words}") if words else F.array().cast("array<string>"))
+
+    return F.nullif(T.comparable(F.array_join(F.concat(*(texts(k, w) for k, w in FOLLOWUP_SECTIONS.items())), " ")), F.lit(""))
+
+
+def content(nodes: Column, heading: str, tags: tuple[str, ...] = ("p", "li")) -> Column:
+    """Texts of a section's elements, empty ones left out: what `folded` and `any_of` go over."""
+    return F.filter(N.texts_of(N.tagged(N.section(nodes, F.lit(heading)), *tags)), lambda t: t != "")
+
+
+def folded(texts: Column, f) -> Column:
+    """All results of f (a column of an array) over the elements of a section."""
+    return F.flatten(F.transform(texts, f))
+
+
+def any_of(texts: Column, test) -> Column:
+    return F.exists(texts, test)
+
+
+# How a submission tells of the meeting, the hearing and the debate, and an answer from when a law applies.
+MET = ("organisers met with", "organisers were given the opportunity")
+MET_WHOM = ("Vice-President", "Commissioner", "officials")
+MET_ON = rf"(?i)on\s+(\d{{1,2}}\s+{D.MONTH}\s+\d{{4}}|\d{{2}}/\d{{2}}/\d{{4}})"
+MET_WITH = (rf"(?i)met with\s+(.+?)\s+on\s+(?:\d{{1,2}}\s+{D.MONTH}\s+\d{{4}}|\d{{2}}/\d{{2}}/\d{{4}})", r"(?i)meeting with\s+(.+?)\s+and European Commission officials")
+TITLES = r"\s+and\s+(?:the\s+)?(?=(?:Executive\s+)?Vice-President|Commissioner|Director-General|Deputy\s+Director-General)"
+DEBATED = ("initiative was debated at the European Parliament", "debate on this initiative was held in the plenary session")
+APPLICABLE_ON = (r"became applicable.*?on\s+", r"applicable from\s+", r"applies from\s+", r"apply from\s+")
+
+
+def _meeting(texts: Column) -> Column:
+    good = lambda t: T.contains_any(t, MET) & F.contains(t, F.lit("Commission")) & T.contains_any(t, MET_WHOM)
+    return F.filter(texts, good)
+
+
+def meeting_date(texts: Column) -> Column:
+    """The day of the meeting with the Commission, from the paragraphs of a submission."""
+    days = F.filter(F.transform(_meeting(texts), lambda t: D.parsed(F.regexp_extract(t, MET_ON, 1))), lambda d: d.isNotNull())
+    return F.try_element_at(days, F.lit(1)).cast("string")
+
+
+def officials_met(texts: Column) -> Column:
+    """Names and titles of the Commission's people at the meeting, joined by `; `."""
+    def named(t: Column) -> Column:
+        who = F.coalesce(*(F.nullif(F.trim(F.regexp_extract(t, p, 1)), F.lit("")) for p in MET_WITH))
+        who = F.regexp_replace(F.regexp_replace(who, r"(?i)^(?:(?:the\s+)?European\s+)?Commission\s+", ""), r"\bFirst\s+Vice-President\b", "Vice-President")
+        return F.array_join(F.filter(F.transform(F.split(who, TITLES), lambda x: F.regexp_replace(F.trim(x), ",+$", "")), lambda x: x != ""), "; ")
+
+    return F.nullif(F.try_element_at(F.filter(F.transform(_meeting(texts), named), lambda x: x.isNotNull()), F.lit(1)), F.lit(""))
+
+
+def paragraph_links(nodes: Column, phrases: tuple[str, ...], lower: bool = True) -> Column:
+    """Link text -> target of the first paragraph with one of the phrases and any link; of repeated texts the last stays."""
+    own = lambda t: F.lower(t) if lower else t
+    inside = lambda p: F.filter(nodes, lambda n: (n["tag"] == "a") & (n["parent"] == p["idx"]) & (n["href"] != "") & (n["text"] != ""))
+    told = F.transform(F.filter(N.tagged(nodes, "p"), lambda p: T.contains_any(own(p["text"]), phrases)), inside)
+    return N.link_map(F.try_element_at(F.filter(told, lambda a: F.size(a) > 0), F.lit(1)))
+
+
+def applicable_date(texts: Column, applicable: Column) -> Column:
+    """When a law applies, told by an answer that makes it applicable: the first in the order of its paragraphs."""
+    day = r"(\d{1,2}\s+[A-Za-z]+\s+\d{4})"
+    when = lambda t, p: D.parsed(F.nullif(F.regexp_extract(t, f"(?i){p}{day}", 1), F.lit("")))
+
+    def told(t: Column) -> Column:
+        at_once = F.when(F.contains(F.lower(t), F.lit("became applicable immediately")), when(t, r"entered into force on\s+"))
+        return F.coalesce(at_once, *(when(t, p) for p in APPLICABLE_ON))
+
+    return F.when(applicable, F.try_element_at(F.filter(F.transform(texts, told), lambda d: d.isNotNull()), F.lit(1)).cast("string"))
 
 
 def legislation_by_name(text: Column) -> Column:
@@ -177,12 +340,13 @@ def response_record(pages: DataFrame, ladder: T.StatusLadder, as_of: Column, ans
     n = F.col("nodes")
     answer_nodes, more = N.section(n, F.lit(answer)), N.section(n, F.lit(followup))
     submitted = N.section(n, F.lit("(?i)submission"))
-    out = pages.withColumn("answer_parts", paragraphs(answer_nodes)).withColumn("more_parts", paragraphs(more)).withColumn("submission", F.array_join(N.texts_of(N.tagged(submitted, "p")), " "))
-    out = out.withColumn("parts", F.concat("answer_parts", "more_parts")).withColumn("told", F.array_join("parts", " ")).withColumn("dates", D.harvested(F.array_join("more_parts", " ")))
+    out = pages.withColumn("asked", F.filter(N.texts_of(N.tagged(submitted, "p")), lambda t: t != "")).withColumn("answer_parts", paragraphs(answer_nodes)).withColumn("more_parts", paragraphs(more)).withColumn("submission", F.array_join(N.texts_of(N.tagged(submitted, "p")), " "))
+    out = out.withColumn("parts", F.concat("answer_parts", "more_parts")).withColumn("told", F.array_join("parts", " ")).withColumn("page_text", F.array_join(N.texts_of(N.tagged(n, "body")), " ")).withColumn("dates", D.harvested(F.array_join("more_parts", " ")))
     out = out.withColumn("hits", deadline_hits(F.col("parts"))).withColumn("laws", law_actions(F.col("parts"))).withColumn("policies", policy_actions(F.col("parts"))).withColumn("happened", events(F.col("more_parts"))).withColumn("status", ladder(F.col("told")))
     status = F.col("status")
-    flag = lambda *w: T.contains_any(F.lower(F.array_join("more_parts", " ")), w)
-    by_phrase = lambda p: F.try_element_at(D.harvested(T.sentence_with(F.col("told"), p)), F.lit(1)).cast("string")
+    flag = lambda kind: followup_flag(F.array_join("more_parts", " "), kind)
+    every = F.concat_ws(" ", F.array_join("asked", " "), "told")
+    by_phrase = lambda p: F.try_element_at(F.flatten(F.transform(F.filter(T.sentences(every), lambda x: F.contains(F.lower(x), F.lit(p))), D.harvested)), F.lit(1)).cast("string")
     return out.select(
         F.regexp_replace(F.regexp_extract("file_name", r"(\d{4}_\d{6})_[a-z]{2}\.html", 1), "_", "/").alias("registration_number"),
         F.coalesce(F.try_element_at(F.transform(F.filter(n, lambda x: (x["tag"] == "link") & (x["name"] == "en")), lambda x: x["href"]), F.lit(1)), N.meta(n, "og:url")).alias("response_url"),
@@ -190,8 +354,12 @@ def response_record(pages: DataFrame, ladder: T.StatusLadder, as_of: Column, ans
         F.nullif("submission", F.lit("")).alias("submission_text"),
         F.try_element_at(D.harvested(F.col("submission")), F.lit(1)).cast("string").alias("commission_submission_date"),
         F.try_element_at(N.links(n, text="press|announcement|news", href="presscorner|rapid"), F.lit(1)).alias("submission_news_url"),
+        meeting_date(F.col("asked")).alias("commission_meeting_date"),
+        officials_met(F.col("asked")).alias("commission_officials_met"),
         by_phrase("public hearing").alias("parliament_hearing_date"),
+        F.to_json(paragraph_links(submitted, ("public hearing",))).alias("parliament_hearing_video_urls"),
         by_phrase("plenary").alias("plenary_debate_date"),
+        F.to_json(paragraph_links(submitted, DEBATED, lower=False)).alias("plenary_debate_video_urls"),
         by_phrase("communication").alias("official_communication_adoption_date"),
         F.to_json(N.links(n, text="communication|annex")).alias("official_communication_document_urls"),
         F.array_join(F.transform(N.tagged(answer_nodes, "p", "li"), lambda x: x["links"]), "\n").alias("commission_answer_text"),
@@ -205,15 +373,16 @@ def response_record(pages: DataFrame, ladder: T.StatusLadder, as_of: Column, ans
         F.to_json("policies").alias("policies_actions"),
         (F.size("more_parts") > 0).alias("has_followup_section"),
         flag("roadmap").alias("has_roadmap"),
-        flag("workshop", "conference", "stakeholder meeting").alias("has_workshop"),
+        flag("workshop").alias("has_workshop"),
         flag("partnership").alias("has_partnership_programs"),
-        F.to_json(court_cases(F.col("told"))).alias("court_cases_referenced"),
+        applicable_date(F.col("answer_parts"), status == "applicable").alias("law_implementation_date"),
+        F.to_json(court_cases(F.col("page_text"))).alias("court_cases_referenced"),
         D.latest_until(F.col("dates"), as_of).cast("string").alias("followup_latest_date"),
         F.array_max("dates").cast("string").alias("followup_most_future_date"),
         D.latest_after(F.col("dates"), as_of).cast("string").alias("followup_next_date"),
         F.try_element_at(N.links(n, text="factsheet"), F.lit(1)).alias("commission_factsheet_url"),
         F.try_element_at(N.links(n, href=r"^https://.*eci/eci-[^/]+_en$"), F.lit(1)).alias("followup_dedicated_website"),
-        F.to_json(legislation_by_id(F.col("told"), N.links(n))).alias("referenced_legislation_by_id"),
+        F.to_json(legislation_by_id(F.col("page_text"), N.links(n))).alias("referenced_legislation_by_id"),
         F.to_json(legislation_by_name(F.col("told"))).alias("referenced_legislation_by_name"),
         F.to_json("happened").alias("followup_events_with_dates"),
         "parse_error",

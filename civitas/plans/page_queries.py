@@ -1,8 +1,8 @@
-"""Page extraction on the table of raw pages."""
+"""Page extraction on the table of raw pages, and on registry and response pages built from customers so that SQL can know each field."""
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from civitas.functions import text as T
 from civitas.operators import pages as P
@@ -13,8 +13,7 @@ from civitas.sources import nodes as N, snapshots as S
 
 @query("page_titles", r"SELECT page_id, replace(trim(regexp_replace(regexp_extract(html, '<title>([^<]*)</title>', 1), '\s+', ' ', 'g')), '&amp;', '&') AS title, regexp_extract(html, '<html lang=\"([a-z]+)\"', 1) AS lang FROM pages")
 def page_titles(t):
-    rows = N.with_nodes(t.pages)
-    return rows.select("page_id", F.coalesce(N.first_text(F.col("nodes"), "title"), F.lit("")).alias("title"), F.regexp_extract("html", r'<html lang="([a-z]+)"', 1).alias("lang"))
+    return t.pages.select("page_id", F.coalesce(N.raw_title(F.col("html")), F.lit("")).alias("title"), F.regexp_extract("html", r'<html lang="([a-z]+)"', 1).alias("lang"))
 
 
 @query("page_link_counts", r"SELECT page_id, CAST(len(regexp_extract_all(html, '<a href=')) AS BIGINT) AS n_links, CAST(len(regexp_extract_all(html, '<li>')) AS BIGINT) AS n_items FROM pages")
@@ -28,16 +27,116 @@ def page_validity(t):
     return t.pages.select("page_id", S.page_is_valid(F.col("html")).alias("valid"))
 
 
-@query("registry_records", None)
+def _html(*parts) -> Column:
+    return F.concat(*(p if isinstance(p, Column) else F.lit(p) for p in parts))
+
+
+def _file(k: Column) -> Column:
+    return F.format_string("%d_%06d_en.html", 2012 + k % 10, k)
+
+
+def registry_pages(t) -> DataFrame:
+    """file_name and html: a registry page for each customer."""
+    k = F.col("c_custkey")
+    day = lambda n: F.date_format(F.date_add(F.lit("2012-01-01").cast("date"), ((k * 7 + n) % 3000).cast("int")), "dd/MM/yyyy")
+    answered = k % 3 == 0
+    now = F.when(answered, "").otherwise(" ecl-timeline__item--current")
+    steps = _html(
+        '<ol class="ecl-timeline"><li class="ecl-timeline__item">Registered ', day(0), '</li><li class="ecl-timeline__item">Collection start date ', day(10), '</li><li class="ecl-timeline__item">Verification ', day(400),
+        F.when(k % 5 == 0, _html('</li><li class="ecl-timeline__item">Initiative examined ', day(430))).otherwise(_html('</li><li class="ecl-timeline__item">Valid initiative ', day(440))),
+        F.when(answered, _html('</li><li class="ecl-timeline__item ecl-timeline__item--current">Answered initiative ', day(700))).otherwise(_html('</li><li class="ecl-timeline__item', now, '">Collection closed ', day(380))), "</li></ol>",
+    )
+    number = lambda n: F.format_number(n, 0)
+    rows = _html(
+        "<table><tr><th>Country</th><th>Statements</th><th>Threshold</th><th>Percentage</th></tr>",
+        "<tr><td>France</td><td>", number(k % 9000 * 11), "</td><td>50,000</td><td>", F.format_string("%d.5%%", k % 180), "</td></tr>",
+        "<tr><td>Malta</td><td>", number(k % 700 * 5), "</td><td>3,000</td><td>", F.format_string("%d.25%%", k * 3 % 150), "</td></tr>",
+        "<tr><td>Total number of signatories</td><td>", number(k % 9000 * 11 + k % 700 * 5), "</td><td></td><td></td></tr></table>",
+    )
+    sponsors = _html("<table><tr><td>", F.col("c_name"), " [1]</td><td>01/01/2013</td><td>€ ", number(k % 5000 * 3), ".00</td></tr></table>")
+    people = _html(
+        "<h2>Organisers</h2><h3>Representative</h3><ul><li>Ann Country of residence: France</li>", F.when(k % 2 == 0, "<li>Bob Country of residence: Malta</li>").otherwise("<li>Cem Country of residence: France</li>"),
+        "</ul><h3>Members</h3><ul>", F.repeat(F.lit("<li>Member</li>"), (k % 4).cast("int")), "</ul>",
+        F.when(k % 6 == 0, _html("<h3>Legal entity created for the purpose of managing the initiative</h3><ul><li>", F.col("c_name"), " asbl Country of the seat: Belgium</li></ul>")).otherwise(""),
+    )
+    page = _html(
+        '<html lang="en"><head><meta name="dcterms.title" content="', F.col("c_name"), '"><meta name="dcterms.modified" content="', day(800), '"></head><body><h1>Initiative</h1>', steps,
+        "<h2>Objectives</h2><p>Aim of ", F.col("c_name"), ".</p><p>More &amp; more.</p><h2>Annex</h2><p>", F.col("c_mktsegment"), "</p><h2>Funding</h2>", rows, sponsors,
+        "<p>Other costs: €1.00</p><p>Total amount of support and funding: €", number(k % 5000 * 3 + 100), ".50</p>", people,
+        '<h2>Links</h2><a href="/x/2012_000001_de">DE</a><a href="/x/2012_000001_', F.when(k % 2 == 0, "bg").otherwise("fr"), '">other</a>',
+        F.when(answered, _html('<a href="https://example.org/answer/', k.cast("string"), "\">Commission's answer and follow-up</a>")).otherwise(""), "</body></html>",
+    )
+    return t.customer.select(_file(k).alias("file_name"), page.alias("html"))
+
+
+@query(
+    "registry_records",
+    """WITH b AS (SELECT c_custkey AS k, c_name, c_mktsegment, (2012 + c_custkey % 10) || '/' || lpad(CAST(c_custkey AS VARCHAR), 6, '0') AS number FROM customer),
+d AS (SELECT *, [strftime(DATE '2012-01-01' + CAST((k * 7 + n) % 3000 AS INTEGER), '%d/%m/%Y') FOR n IN [0, 10, 400, 430, 440, 700, 380, 800]] AS x FROM b)
+SELECT number AS registration_number, c_name AS title, 'Aim of ' || c_name || '.' || chr(10) || 'More & more.' AS objective, c_mktsegment AS annex, CASE WHEN k % 3 = 0 THEN 'Answered initiative' ELSE 'Collection closed' END AS current_status,
+ 'https://example.org/initiatives/' || replace(number, '/', '/details/') AS url, x[1] AS timeline_registered, x[2] AS timeline_collection_start_date, CASE WHEN k % 3 <> 0 THEN x[7] END AS timeline_collection_closed, x[3] AS timeline_verification_start,
+ CASE WHEN k % 3 = 0 THEN x[6] WHEN k % 5 = 0 THEN x[4] ELSE x[5] END AS timeline_verification_end, CASE WHEN k % 3 = 0 THEN x[6] END AS timeline_response_commission_date,
+ CASE WHEN k % 2 = 0 THEN '{"number_of_people":2,"countries_of_residence":{"France":1,"Malta":1}}' ELSE '{"number_of_people":2,"countries_of_residence":{"France":2}}' END AS organizer_representative,
+ CASE WHEN k % 6 = 0 THEN '{"name":"' || c_name || ' asbl","country_of_residence":"Belgium"}' ELSE '{}' END AS organizer_entity, '{"substitute":{"number_of_people":0},"members":{"number_of_people":' || (k % 4) || '}}' AS organizer_others,
+ format('{:,}', k % 5000 * 3 + 100) || '.50' AS funding_total, '[{"name_of_sponsor":"' || c_name || '","date":"01/01/2013","amount_in_eur":"' || format('{:,}', k % 5000 * 3) || '.00"}]' AS funding_by,
+ format('{:,}', k % 9000 * 11 + k % 700 * 5) AS signatures_collected,
+ '[{"country":"France","statements_of_support":"' || format('{:,}', k % 9000 * 11) || '","threshold":"50,000","percentage":"' || (k % 180) || '.5%"},{"country":"Malta","statements_of_support":"' || format('{:,}', k % 700 * 5) || '","threshold":"3,000","percentage":"' || (k * 3 % 150) || '.25%"}]' AS signatures_collected_by_country,
+ CAST((k % 180 >= 100)::INTEGER + (k * 3 % 150 >= 100)::INTEGER AS INTEGER) AS signatures_threshold_met, CASE WHEN k % 3 = 0 THEN 'https://example.org/answer/' || k END AS response_commission_url,
+ CASE WHEN k % 3 = 0 THEN 'Commission Response' END AS final_outcome, CASE WHEN k % 2 = 0 THEN 'bg,de' ELSE 'de,fr' END AS languages_available, x[8] AS last_updated FROM d""",
+)
 def registry_records(t):
-    named = N.with_nodes(t.pages).withColumn("file_name", F.format_string("2019_%06d_en.html", "page_id"))
-    return P.registry_record(named, "https://example.org/initiatives/")
+    records = P.registry_record(N.with_nodes(registry_pages(t)), "https://example.org/initiatives/")
+    return records.drop("timeline", "parse_error")
+
+
+ANSWERS = {
+    "applicable": "The Regulation became applicable on 27 March 2021.",
+    "committed": "The Commission will table a legislative proposal, by May 2018.",
+    "rejected_already_covered": "The Commission will make no legislative proposal, as existing legislation is enough.",
+    None: "Nothing of note was said here at all.",
+}
+
+
+def response_pages(t) -> DataFrame:
+    """file_name and html: a response page for each customer."""
+    k = F.col("c_custkey")
+    day = lambda n: F.date_format(F.date_add(F.lit("2014-01-01").cast("date"), ((k * 11 + n) % 2000).cast("int")), "d MMMM yyyy")
+    answer = F.get(F.array(*map(F.lit, ANSWERS.values())), (k % 4).cast("int"))
+    page = _html(
+        '<html><head><link rel="alternate" hreflang="en" href="https://example.org/r/', k.cast("string"), '_en"></head><body><h2 id="Submission-and-examination">Submission</h2><p>Submitted on ', day(0), ".</p>",
+        "<p>The organisers met with European Commission First Vice-President Jo Doe and Commissioner Al Poe on ", day(30), ".</p>",
+        "<p>A public hearing took place on ", day(60), ': <a href="/v/', k.cast("string"), '">Recording</a></p>', F.when(k % 2 == 0, '<p>The initiative was debated at the European Parliament: <a href="/d">Video</a></p>').otherwise(""),
+        '<a href="https://example.org/presscorner/', k.cast("string"), '">Press release</a><a href="https://example.org/initiatives/details/2012/000001_en">Initiative</a>',
+        '<h2 id="Answer-of-the-European-Commission">Answer</h2><p>', answer, "</p><p>See Directive 20", (10 + k % 10).cast("string"), "/63/EU and case T-", (100 + k % 800).cast("string"), "/14.</p>",
+        F.when(k % 3 != 0, _html('<h2 id="Follow-up">Follow-up</h2><p>', F.when(k % 5 == 0, "A workshop was held in May 2019.").otherwise("Talks went on in May 2019."), "</p><p>", F.when(k % 7 == 0, "A European partnership for bees works.").otherwise("A partnership works."), "</p>")).otherwise(""),
+        '<a href="https://eur-lex.example.org/?uri=CELEX%3A32019R1', F.lpad((k % 1000).cast("string"), 3, "0"), '">act</a></body></html>',
+    )
+    return t.customer.select(_file(k).alias("file_name"), page.alias("html"))
+
+
+_LABELS = {"applicable": "Law Active", "committed": "Law Promised", "rejected_already_covered": "Rejected - Already Covered"}
 
 
-@query("response_records", None)
+@query(
+    "response_records",
+    """WITH b AS (SELECT c_custkey AS k, (2012 + c_custkey % 10) || '/' || lpad(CAST(c_custkey AS VARCHAR), 6, '0') AS number FROM customer),
+d AS (SELECT *, [strftime(DATE '2014-01-01' + CAST((k * 11 + n) % 2000 AS INTEGER), '%Y-%m-%d') FOR n IN [0, 30, 60]] AS x FROM b)
+SELECT number AS registration_number, 'https://example.org/r/' || k || '_en' AS response_url, 'https://example.org/initiatives/details/2012/000001_en' AS initiative_url, x[1] AS commission_submission_date, 'https://example.org/presscorner/' || k AS submission_news_url,
+ x[2] AS commission_meeting_date, 'Vice-President Jo Doe; Commissioner Al Poe' AS commission_officials_met, x[3] AS parliament_hearing_date, '{"recording":"/v/' || k || '"}' AS parliament_hearing_video_urls, CASE WHEN k % 2 = 0 THEN '{"video":"/d"}' END AS plenary_debate_video_urls,
+ CASE k % 4 """ + " ".join(f"WHEN {i} THEN '{s}'" for i, s in enumerate(ANSWERS) if s) + " END AS final_outcome_status, CASE k % 4 " + " ".join(f"WHEN {i} THEN '{_LABELS[s]}'" for i, s in enumerate(ANSWERS) if s) + """ END AS final_outcome_label,
+ k % 4 = 1 AS commission_promised_new_law, k % 4 = 2 AS commission_rejected_initiative, CASE WHEN k % 4 = 0 THEN '2021-03-27' END AS law_implementation_date,
+ k % 3 <> 0 AS has_followup_section, false AS has_roadmap, k % 3 <> 0 AND k % 5 = 0 AS has_workshop, k % 3 <> 0 AND k % 7 = 0 AS has_partnership_programs, '{"general_court":["T-' || (100 + k % 800) || '/14"]}' AS court_cases_referenced,
+ CASE WHEN k % 3 <> 0 THEN '2019-05-31' END AS followup_latest_date, CASE WHEN k % 3 <> 0 THEN '2019-05-31' END AS followup_most_future_date,
+ '{"Directive":["20' || (10 + k % 10) || '/63/EU"],"CELEX":["32019R1' || lpad(CAST(k % 1000 AS VARCHAR), 3, '0') || '"]}' AS referenced_legislation_by_id FROM d""",
+)
 def response_records(t):
-    named = N.with_nodes(t.pages).withColumn("file_name", F.format_string("2019_%06d_en.html", "page_id"))
-    return P.response_record(named, LADDER, F.to_date(F.lit("2026-01-13")))
+    records = P.response_record(N.with_nodes(response_pages(t)), LADDER, F.to_date(F.lit("2026-01-13")))
+    return records.select(
+        "registration_number", "response_url", "initiative_url", "commission_submission_date", "submission_news_url", "commission_meeting_date", "commission_officials_met", "parliament_hearing_date",
+        "parliament_hearing_video_urls", F.when(F.col("plenary_debate_video_urls") != "{}", F.col("plenary_debate_video_urls")).alias("plenary_debate_video_urls"), "final_outcome_status", "final_outcome_label", "commission_promised_new_law",
+        "commission_rejected_initiative", "law_implementation_date", "has_followup_section", "has_roadmap", "has_workshop", "has_partnership_programs", "court_cases_referenced", "followup_latest_date",
+        "followup_most_future_date", "referenced_legislation_by_id",
+    )
 
 
 @query("page_paragraph_words", None)

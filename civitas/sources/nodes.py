@@ -11,6 +11,8 @@ from html.parser import HTMLParser
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from civitas.functions.text import bound
+
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 SKIPPED = {"script", "style"}
 NODE = "array<struct<idx:int,depth:int,parent:int,tag:string,id:string,cls:string,href:string,name:string,content:string,text:string,links:string>>"
@@ -108,8 +110,9 @@ def meta(nodes: Column, name: str) -> Column:
 def section(nodes: Column, heading: Column, stops: tuple[str, ...] = ("h2",)) -> Column:
     """Nodes after the first heading (by text pattern or id pattern, case-blind) up to the next stop tag."""
     at = F.try_element_at(F.filter(nodes, lambda n: n["tag"].isin("h1", "h2", "h3", "h4") & (F.rlike(F.coalesce(n["text"], F.lit("")), heading) | F.rlike(F.coalesce(n["id"], F.lit("")), heading))), F.lit(1))["idx"]
-    end = F.array_min(F.transform(F.filter(nodes, lambda n: n["tag"].isin(*stops) & (n["idx"] > at)), lambda n: n["idx"]))
-    return F.filter(nodes, lambda n: (n["idx"] > at) & (end.isNull() | (n["idx"] < end)))
+    end = lambda start: F.array_min(F.transform(F.filter(nodes, lambda n: n["tag"].isin(*stops) & (n["idx"] > start)), lambda n: n["idx"]))
+    # both places are worked out once, not for every node
+    return bound(at, lambda start: bound(end(start), lambda stop: F.filter(nodes, lambda n: (n["idx"] > start) & (stop.isNull() | (n["idx"] < stop)))))
 
 
 def links(nodes: Column, text: str | None = None, href: str | None = None) -> Column:
@@ -123,12 +126,24 @@ def links(nodes: Column, text: str | None = None, href: str | None = None) -> Co
 
 def link_map(nodes: Column) -> Column:
     """lower-cased link text -> target; of repeated texts the last stays."""
-    some = F.filter(nodes, lambda n: (n["tag"] == "a") & n["href"].isNotNull())
-    names = F.array_distinct(F.transform(some, lambda n: F.lower(n["text"])))
-    return F.map_from_entries(F.transform(names, lambda t: F.struct(t, F.element_at(F.filter(some, lambda n: F.lower(n["text"]) == t), -1)["href"])))
+    some = F.transform(F.filter(nodes, lambda n: (n["tag"] == "a") & n["href"].isNotNull()), lambda n: F.struct(F.lower(n["text"]).alias("text"), n["href"].alias("href")))
+
+    def last(pairs: Column) -> Column:
+        names = F.array_distinct(F.transform(pairs, lambda n: n["text"]))
+        return F.map_from_entries(F.transform(names, lambda t: F.struct(t, F.element_at(F.filter(pairs, lambda n: n["text"] == t), -1)["href"])))
+
+    return bound(some, last)
 
 
 def table_rows(nodes: Column, cells: int) -> Column:
     """Texts of the cells of all table rows that have exactly so many."""
-    rows = F.transform(tagged(nodes, "tr"), lambda r: texts_of(F.filter(nodes, lambda n: n["tag"].isin("td", "th") & (n["parent"] == r["idx"]))))
-    return F.filter(rows, lambda r: F.size(r) == cells)
+    rows = lambda inner: F.transform(tagged(nodes, "tr"), lambda r: texts_of(F.filter(inner, lambda n: n["parent"] == r["idx"])))
+    return F.filter(bound(tagged(nodes, "td", "th"), rows), lambda r: F.size(r) == cells)
+
+
+def raw_title(html: Column) -> Column:
+    """The title of a page straight from its text, without its node table; null where it has none."""
+    title = F.regexp_extract(html, r"(?is)<title[^>]*>(.*?)</title>", 1)
+    for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&")):
+        title = F.replace(title, F.lit(entity), F.lit(char))
+    return F.nullif(F.trim(F.regexp_replace(title, r"\s+", " ")), F.lit(""))

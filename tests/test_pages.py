@@ -10,10 +10,10 @@ REGISTRY = """<html><head><meta name="dcterms.title" content="Save the bees"><me
 <ol class="ecl-timeline"><li class="ecl-timeline__item">Registered 09/05/2012</li><li class="ecl-timeline__item ecl-timeline__item--current">Answered initiative 10/06/2014</li></ol>
 <h2>Objectives</h2><p>Protect bees.</p><p>And more.</p><h2>Annex</h2><p>Details</p><h2>Organisers</h2>
 <table><tr><th>Country</th><th>Statements</th><th>Threshold</th><th>Percentage</th></tr><tr><td>France</td><td>1,000</td><td>500</td><td>200.0%</td></tr><tr><td>Malta</td><td>10</td><td>500</td><td>2.0%</td></tr><tr><td>Total number of signatories</td><td>1,010</td><td></td><td></td></tr></table>
-<table><tr><td>ACME [1]</td><td>01/01/2013</td><td>€ 5,000.00</td></tr></table><p>Total €7,000.00</p>
+<table><tr><td>ACME [1]</td><td>01/01/2013</td><td>€ 5,000.00</td></tr></table><h3>Representative</h3><ul><li>Ann - a@b.c Country of residence: France</li><li>Bob Country of residence: Spain</li><li>Cem Country of residence: France</li></ul><h3>Substitute</h3><ul><li>Dee</li></ul><h3>Members</h3><ul><li>Eve</li><li>Fay</li></ul><h3>Legal entity created for the purpose of managing the initiative</h3><ul><li>Bees asbl Country of the seat: Belgium</li></ul><p>Total amount of support and funding: €7,000.00</p>
 <a href="/x/2012_000001_de">DE</a><a href="/x/2012_000001_bg">BG</a><a href="https://e.org/answer">Commission’s answer and follow-up</a></body></html>"""
 
-RESPONSE = """<html><body><h2 id="Submission-and-examination">Submission</h2><p>Submitted on 6 October 2017.</p><a href="https://e.org/presscorner/1">Press release</a>
+RESPONSE = """<html><body><h2 id="Submission-and-examination">Submission</h2><p>Submitted on 6 October 2017.</p><p>The organisers met with European Commission First Vice-President Jo Doe and Commissioner Al Poe on 23 October 2017.</p><p>A public hearing was held: <a href="/v1">Recording</a> <a href="/v2">recording</a>.</p><p>The initiative was debated at the European Parliament: <a href="/d">Video</a></p><a href="https://e.org/presscorner/1">Press release</a>
 <h2 id="Answer-of-the-European-Commission">Answer</h2><p>The Commission will table a legislative proposal, by May 2018. See <a href="/c">the act</a>.</p><p>The public hearing took place on 20 November 2017. Case T-754/14.</p>
 <h2 id="Follow-up">Follow-up</h2><p>Regulation (EU) 2019/1381 was adopted on 20 June 2019.</p><p>A workshop on the roadmap took place in May 2020.</p><p>Intro:</p><a href="https://eur-lex.europa.eu/?uri=CELEX%3A32019R1381">act</a></body></html>"""
 
@@ -27,7 +27,10 @@ def test_registry_record(spark):
     r = record(spark, REGISTRY, lambda x: P.registry_record(x, "https://e.org/"))
     assert (r.registration_number, r.title, r.objective, r.annex) == ("2012/000001", "Save the bees", "Protect bees.\nAnd more.", "Details")
     assert (r.current_status, r.final_outcome, r.timeline_registered, r.timeline_response_commission_date) == ("Answered initiative", "Commission Response", "09/05/2012", "10/06/2014")
-    assert (r.signatures_collected, r.signatures_threshold_met, r.funding_total, r.languages_available) == ("1,010", 1, "5,000.00", "bg,de")
+    assert (r.signatures_collected, r.signatures_threshold_met, r.funding_total, r.languages_available) == ("1,010", 1, "7,000.00", "bg,de")
+    assert json.loads(r.organizer_representative) == {"number_of_people": 3, "countries_of_residence": {"France": 2, "Spain": 1}}
+    assert json.loads(r.organizer_entity) == {"name": "Bees asbl", "country_of_residence": "Belgium"}
+    assert json.loads(r.organizer_others) == {"substitute": {"number_of_people": 1}, "members": {"number_of_people": 2}}
     assert [c["country"] for c in json.loads(r.signatures_collected_by_country)] == ["France", "Malta"]
     assert json.loads(r.funding_by)[0]["name_of_sponsor"] == "ACME" and r.response_commission_url == "https://e.org/answer"
 
@@ -36,6 +39,8 @@ def test_response_record(spark):
     r = record(spark, RESPONSE, lambda x: P.response_record(x, LADDER, F.to_date(F.lit("2020-01-01"))))
     assert (r.commission_submission_date, r.submission_news_url, r.final_outcome_status) == ("2017-10-06", "https://e.org/presscorner/1", "committed")
     assert r.commission_promised_new_law and r.has_followup_section and r.has_workshop and r.has_roadmap and not r.commission_rejected_initiative
+    assert (r.commission_meeting_date, r.commission_officials_met) == ("2017-10-23", "Vice-President Jo Doe; Commissioner Al Poe")
+    assert json.loads(r.parliament_hearing_video_urls) == {"recording": "/v2"} and json.loads(r.plenary_debate_video_urls) == {"video": "/d"}
     assert "the act (/c)" in r.commission_answer_text and r.parliament_hearing_date == "2017-11-20"
     assert "2018-05-31" in json.loads(r.commission_deadlines) and json.loads(r.court_cases_referenced)["general_court"] == ["T-754/14"]
     assert (r.followup_latest_date, r.followup_most_future_date, r.followup_next_date) == ("2019-06-20", "2020-05-31", "2020-05-31")
@@ -90,3 +95,30 @@ def test_lists_of_pages(spark):
     assert known.first()[0] == "1" and unknown.first()[0] == "2"
     page = spark.createDataFrame([("<html>" + "x" * 2000,), ("<html>too many requests" + "x" * 2000,), ("short",), (None,)], "h string")
     assert [r[0] for r in page.select(S.page_is_valid(F.col("h"))).collect()] == [True, False, False, False]
+
+
+def test_verification_end(spark):
+    def end(*steps):
+        rows = spark.createDataFrame([([{"step": s, "date": str(i)} for i, s in enumerate(steps)],)], "s array<struct<step:string,date:string>>")
+        return rows.select(P.verification_end(F.col("s"))).first()[0]
+
+    assert end("Registered", "Verification", "Valid initiative", "Answered initiative", "Later") == "2"
+    assert end("Verification", "Valid initiative", "Answered initiative") == "2"
+    assert end("Verification", "Initiative checked", "Something") == "1" and end("Valid initiative", "Registered") == "0" and end("Registered") is None
+
+
+def test_references(spark):
+    def one(column, **row):
+        return spark.createDataFrame([tuple(row.values())], ", ".join(f"{k} {'array<string>' if isinstance(v, list) else 'string'}" for k, v in row.items())).select(column.alias("v")).first()["v"]
+
+    cases = one(P.court_cases(F.col("t")), t="T-655/20, C–26/23, T-655/20; decision 78/182 and 123/456")
+    assert (cases.general_court, cases.court_of_justice, cases.ombudsman_decisions) == (["T-655/20"], ["C–26/23"], ["78/182", "123/456"]) and one(P.court_cases(F.col("t")), t="none") is None
+    told = one(P.legislation_by_id(F.col("t"), F.col("h")), t="Article 5(a) of Directive 2010/63/EU, CELEX: 32010L0063", h=["x?uri=uriserv:OJ.L_.2019.231.01.0001.01", "?uri=CELEX%3A32019R1381", "?uri=uriserv%3AOJ.C_.2020.7.01.0001.01"])
+    assert (told.Article, told.Directive, told.CELEX) == (["5(a)"], ["2010/63/EU"], ["32010L0063", "32019R1381"]) and told.official_journal.asDict() == {"legislation": ["2019, 231"], "information_and_notices": ["2020, 7"]}
+    assert one(P.followup_flag(F.col("t"), "partnership"), t="a partnership") is False and one(P.followup_flag(F.col("t"), "partnership"), t="a Partnership between towns") is True
+    assert one(P.followup_flag(F.col("t"), "workshop", patterns=True), t="Symposia were held") is True and one(P.followup_flag(F.col("t"), "roadmap", patterns=True), t="no road") is False
+    assert one(P.applicable_date(F.array(F.col("t")), F.lit(True)), t="It entered into force on 1 May 2019 and became applicable immediately") == "2019-05-01"
+    html = '<h2 id="response-of-the-commission">R</h2><p>One</p><h2>Other</h2><p>no</p><h2>The Follow-Up on it</h2><p>Two</p><h2 id="next-steps">N</h2><li>Three</li>'
+    assert record(spark, html, lambda x: x.select(P.followup_content(F.col("nodes")).alias("v"))).v == "one two three"
+    assert record(spark, html, lambda x: x.select(P.any_of(P.content(F.col("nodes"), "next-steps"), lambda t: t == "Three").alias("v"))).v is True
+    assert record(spark, html, lambda x: x.select(P.folded(P.content(F.col("nodes"), "next-steps"), lambda t: F.split(t, "r")).alias("v"))).v == ["Th", "ee"]
