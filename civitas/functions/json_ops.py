@@ -38,6 +38,12 @@ def pairs(c: Column) -> Column:
     return F.coalesce(own, F.create_map().cast("map<string,string>"))
 
 
+def raw_pairs(c: Column) -> Column:
+    """A JSON object as map of names to JSON text, so that "13" and 13 stay apart; empty for anything else."""
+    own = F.when(F.startswith(F.ltrim(c), F.lit("{")), parsed(c, "map<string,variant>"))
+    return F.coalesce(F.transform_values(own, lambda _, v: F.coalesce(F.to_json(v), F.lit("null"))), F.create_map().cast("map<string,string>"))
+
+
 def keys_at_least(m: Column, field: str, least: float) -> Column:
     """Keys of map<string, struct> whose field (a percentage as text) reaches a bound."""
     value = lambda v: F.regexp_replace(F.rtrim(F.trim(v[field]), F.lit("%")), ",", "").try_cast("double")

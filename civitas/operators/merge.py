@@ -12,6 +12,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from civitas.functions import json_ops as J
+from civitas.functions.text import bound
 
 Rule = Callable[[Column, Column], Column]
 
@@ -66,24 +67,26 @@ def list_union(b: Column, f: Column) -> Column:
 
 
 def object_union(b: Column, f: Column) -> Column:
-    """JSON objects: lists are united (sorted), other members taken from the follow-up where it has them."""
-    x, y = J.pairs(b), J.pairs(f)
+    """JSON objects: lists are united (sorted), other members taken from the follow-up where it has them, as they are written."""
     is_list = lambda v: F.coalesce(F.startswith(F.ltrim(v), F.lit("[")), F.lit(False))
+    raw = lambda v: F.transform(F.from_json(v, "array<variant>"), lambda x: F.to_json(x))
 
     def member(_, p, q):
-        united = F.array_sort(F.array_distinct(F.concat(J.items(p), J.items(q))))
-        return F.when(is_list(p) & is_list(q), F.to_json(united)).otherwise(F.coalesce(q, p))
+        united = F.concat(F.lit("["), F.array_join(F.array_sort(F.array_distinct(F.concat(raw(p), raw(q)))), ","), F.lit("]"))
+        return F.when(is_list(p) & is_list(q), united).otherwise(F.coalesce(q, p))
 
-    out = F.map_zip_with(x, y, member)
-    entry = lambda k: F.concat(F.to_json(F.array(k)).substr(F.lit(2), F.char_length(F.to_json(F.array(k))) - 2), F.lit(":"), _value(F.element_at(out, k)))
-    body = F.array_join(F.transform(F.array_sort(F.map_keys(out)), entry), ",")
-    return F.when(F.size(out) == 0, "").otherwise(F.concat(F.lit("{"), body, F.lit("}")))
+    def written(out: Column) -> Column:
+        name = lambda k: F.substring(F.to_json(F.array(k)), 2, 1 << 30)
+        entry = lambda k: F.concat(F.regexp_replace(name(k), r"\]$", ""), F.lit(":"), F.coalesce(F.element_at(out, k), F.lit("null")))
+        body = F.array_join(F.transform(F.array_sort(F.map_keys(out)), entry), ",")
+        return F.when(F.size(out) == 0, "").otherwise(F.concat(F.lit("{"), body, F.lit("}")))
 
+    return bound(F.map_zip_with(J.raw_pairs(b), J.raw_pairs(f), member), written)
 
-def _value(v: Column) -> Column:
-    quoted = F.to_json(F.array(v))
-    raw = F.rlike(v, F.lit(r"^\s*[\[{]|^(?:true|false|null|-?\d+(?:\.\d+)?)$"))
-    return F.when(v.isNull(), "null").when(raw, v).otherwise(quoted.substr(F.lit(2), F.char_length(quoted) - 2))
+
+def or_base(rule: Rule) -> Rule:
+    """A rule whose null (a value it could not work out) falls back to the base's value."""
+    return lambda b, f: F.coalesce(rule(b, f), text(b))
 
 
 def truthy(c: Column) -> Column:
@@ -214,16 +217,17 @@ def violations(base: DataFrame, followup: DataFrame, key: str, immutable: Sequen
     text_of = F.format_string("%d base rows, %d follow-up rows", F.col("b"), F.col("f"))
     parts.append(sizes.where("b = 0 OR f = 0").select(F.lit("empty_input").alias("rule"), F.lit("").alias("key"), text_of.alias("detail")))
     parts.append(sizes.where("f > b").select(F.lit("more_followups_than_base").alias("rule"), F.lit("").alias("key"), text_of.alias("detail")))
-    right = followup.select(F.col(key).alias("_key"), *(F.col(c).alias(f"_f_{c}") for c in followup.columns if c != key))
-    matched = base.join(right, F.col(key) == F.col("_key"))
-    for name, columns, bad in (
-        ("immutable_changed", immutable, lambda c: conflicting(F.col(c), F.col(f"_f_{c}"))),
-        ("mandatory_missing", mandatory_both, lambda c: filled(F.col(c)).isNull() | filled(F.col(f"_f_{c}")).isNull()),
-    ):
-        for c in (c for c in columns if c in base.columns and c in followup.columns and c != key):
-            parts.append(matched.where(bad(c)).select(F.lit(name).alias("rule"), k, F.lit(c).alias("detail")))
-    for c in mandatory_base:
-        parts.append(base.where(filled(F.col(c)).isNull()).select(F.lit("mandatory_missing_in_base").alias("rule"), k, F.lit(c).alias("detail")))
+    # one join for all checked columns: each row brings an array of the rules it breaks
+    common = [c for c in base.columns if c in followup.columns and c != key]
+    checks = [("immutable_changed", c, conflicting(F.col(c), F.col(f"_f_{c}")) & F.col("_there")) for c in immutable if c in common]
+    checks += [("mandatory_missing", c, (filled(F.col(c)).isNull() | filled(F.col(f"_f_{c}")).isNull()) & F.col("_there")) for c in mandatory_both if c in common]
+    checks += [("mandatory_missing_in_base", c, filled(F.col(c)).isNull()) for c in mandatory_base]
+    if checks:
+        needed = sorted({c for name, c, _ in checks if name != "mandatory_missing_in_base"})
+        right = followup.select(F.col(key).alias("_key"), F.lit(True).alias("_there"), *(F.col(c).alias(f"_f_{c}") for c in needed))
+        joined = base.join(right, F.col(key) == F.col("_key"), "left")
+        broken = F.array_compact(F.array(*(F.when(bad, F.struct(F.lit(name).alias("rule"), F.lit(c).alias("detail"))) for name, c, bad in checks)))
+        parts.append(joined.select(k, F.explode(broken).alias("x")).select("x.rule", "key", "x.detail"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

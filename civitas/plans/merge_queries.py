@@ -77,3 +77,29 @@ def merge_json_lists(t):
     some = lambda n: F.to_json(F.array_sort(F.collect_list(F.when(F.col("n_nationkey") % n == 0, F.col("n_name")))))
     rows = t.nation.groupBy(F.col("n_regionkey").cast("long").alias("r")).agg(some(2).alias("b"), some(3).alias("f"))
     return rows.select("r", M.list_union(F.col("b"), F.col("f")).alias("merged"))
+
+
+@query(
+    "merge_json_objects",
+    """SELECT s_suppkey, '{"both":["b' || (s_suppkey % 5) || '","c"' || CASE WHEN s_suppkey % 2 = 0 THEN ',"d"' ELSE '' END || '],"code":"' || (s_suppkey % 7) || '","n":' || CASE WHEN s_suppkey % 3 = 0 THEN 'true' ELSE CAST(s_suppkey AS VARCHAR) END || '}' AS merged FROM supplier""",
+)
+def merge_json_objects(t):
+    """Lists united, numbers and strings of digits kept apart, the follow-up's values first."""
+    k = F.col("s_suppkey")
+    text = lambda c: c.cast("string")
+    base = F.concat(F.lit('{"both": ["c", "b'), text(k % 5), F.lit('"], "code": "'), text(k % 7), F.lit('", "n": '), text(k), F.lit("}"))
+    more = F.concat(F.lit('{"both": ["c"'), F.when(k % 2 == 0, ', "d"').otherwise(""), F.lit("]"), F.when(k % 3 == 0, ', "n": true').otherwise(""), F.lit("}"))
+    return t.supplier.select("s_suppkey", M.object_union(base, more).alias("merged"))
+
+
+@query(
+    "merge_documents",
+    """SELECT s_suppkey, '[{"text":"a","url":"u' || (s_suppkey % 9) || '"}' || CASE WHEN s_suppkey % 2 = 0 THEN ',{"text":"c","url":"v"}' ELSE '' END || ']' AS merged, CASE WHEN s_suppkey % 4 IN (0, 2) THEN 'True' ELSE 'False' END AS rejected FROM supplier""",
+)
+def merge_documents(t):
+    """Documents by address, the base's first; a rejection on either side counts."""
+    k = F.col("s_suppkey")
+    base = F.concat(F.lit('[{"text": "a", "url": "u'), (k % 9).cast("string"), F.lit('"}, {"text": "bad"}]'))
+    more = F.concat(F.lit('[{"text": "b", "url": "u'), (k % 9).cast("string"), F.lit('"}'), F.when(k % 2 == 0, ', {"text": "c", "url": "v"}').otherwise(""), F.lit("]"))
+    rejected = M.rejected(F.when(k % 4 == 0, "yes").otherwise(""), F.when(k % 4 == 2, "True").otherwise("False"))
+    return t.supplier.select("s_suppkey", M.document_union(base, more).alias("merged"), rejected.alias("rejected"))

@@ -27,6 +27,12 @@ def test_rules(spark, rule, b, f, want):
 def test_object_union(spark):
     got = json.loads(one(spark, M.object_union, '{"x": ["b"], "y": "1"}', '{"x": ["a", "b"], "y": "two", "z": [1]}'))
     assert got == {"x": ["a", "b"], "y": "two", "z": [1]}
+    assert json.loads(one(spark, M.object_union, '{"n": "13", "m": 13}', '{"k": true, "l": ["13", 13], "o": {"p": null}}')) == {"n": "13", "m": 13, "k": True, "l": ["13", 13], "o": {"p": None}}
+    assert one(spark, M.object_union, "{}", "nonsense") == "" and json.loads(one(spark, M.object_union, "{'a': None}", "")) == {"a": None}
+
+
+def test_fallback_to_the_base(spark):
+    assert one(spark, M.or_base(lambda b, f: f.try_cast("int").cast("string")), "x", "soon") == "x"
 
 
 def test_document_union(spark):
