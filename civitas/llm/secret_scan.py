@@ -94,12 +94,13 @@ def _class(c: str) -> str:
 
 
 class _State:
-    __slots__ = ("next", "count", "out")
+    __slots__ = ("next", "count", "out", "depth")
 
-    def __init__(self):
+    def __init__(self, depth: int = 0):
         self.next: dict[str, _State] = {}
         self.out: dict[str, int] = {}
         self.count = 0
+        self.depth = depth
 
 
 def _tree(words: list[list[str]]) -> _State:
@@ -110,7 +111,7 @@ def _tree(words: list[list[str]]) -> _State:
             at.count += 1
             at.out[s] = at.out.get(s, 0) + 1
             if s != END:
-                at = at.next.setdefault(s, _State())
+                at = at.next.setdefault(s, _State(at.depth + 1))
     return root
 
 
@@ -174,7 +175,11 @@ class Automaton:
 
 
 def infer(kind: str, words: list[str], literal: int = LITERAL, alpha: float = 0.05) -> Automaton:
-    """Merge compatible states of the prefix tree, nearest the root first."""
+    """Merge compatible states of the prefix tree, nearest the root first.
+
+    States before the last literal place stay apart, as they emit characters and not classes.
+    What a state has not seen of the classes that others have is as likely as half an occurrence.
+    """
     root = _tree([symbols(w, literal) for w in words])
     red: list[_State] = [root]
     edges = [(root, s) for s in sorted(root.next)]
@@ -184,7 +189,7 @@ def infer(kind: str, words: list[str], literal: int = LITERAL, alpha: float = 0.
         if any(child is r for r in red):
             continue
         for r in red:
-            if _compatible(r, child, alpha):
+            if min(r.depth, child.depth) >= literal and _compatible(r, child, alpha):
                 before = {id(r): set(r.next) for r in red}
                 parent.next[s] = r
                 _fold(r, child)
@@ -194,6 +199,9 @@ def infer(kind: str, words: list[str], literal: int = LITERAL, alpha: float = 0.
             red.append(child)
             edges += [(child, t) for t in sorted(child.next)]
     number = {id(r): i for i, r in enumerate(red)}
+    loose = [r for r in red if r.depth >= literal]
+    usual = number[id(max(loose, key=lambda r: r.count))] if loose else 0
+    known = {s for r in loose for s in r.out if s != END}
     moves = []
     for r in red:
         own = {}
@@ -201,6 +209,8 @@ def infer(kind: str, words: list[str], literal: int = LITERAL, alpha: float = 0.
             to = 0 if s == END else number.get(id(r.next[s]))
             if to is not None:
                 own[s] = (to, math.log(n / r.count))
+        if r.depth >= literal:
+            own |= {s: (usual, math.log(0.5 / (r.count + 1))) for s in known if s not in own}
         moves.append(own)
     return Automaton(kind, literal, moves, words[0][:literal], min(map(len, words)), max(map(len, words)))
 

@@ -108,7 +108,7 @@ def near(corpus):
 
 
 # as it is; in small blocks; without clusters, so that all pairs are candidates; both light and heavy sets at every size
-@pytest.mark.parametrize("change", [{}, {"BLOCK_SETS": 4, "COLUMNS": 16}, {"SHARE": 9.0}, {"LIGHT_MOST": 0}, {"POSTING_COST": 10**9}, {"GATHERED": 50, "HELD": 40, "REMEMBERED": 2}])
+@pytest.mark.parametrize("change", [{}, {"BLOCK_SETS": 4, "COLUMNS": 16}, {"LEAST": 9.0}, {"LIGHT_MOST": 0}, {"POSTING_COST": 10**9}, {"GATHERED": 50, "HELD": 40, "REMEMBERED": 2}])
 def test_similar_groups(spark, near, monkeypatch, change):
     for k, v in change.items():
         monkeypatch.setattr(ngram_join, k, v)
@@ -218,6 +218,23 @@ def test_quality(spark):
     assert quality.score(spark, docs.limit(0), labels).collect() == []
 
 
+def test_features_are_of_characters():
+    text = "é straße 日本語"
+    data = np.frombuffer(text.encode(), np.uint8)
+    points, bounds = quality.characters(data, np.array([0, 3, len(data)]))
+    assert points.tolist() == [ord(c) for c in text] and bounds.tolist() == [0, 2, len(text)]
+    # each word with its blanks has len + 2 - (n - 1) n-grams of n characters, and itself
+    want = sum(sum(max(0, len(w) + 2 - n + 1) for n in quality.GRAMS) + 1 for w in text.split(" "))
+    assert sum(len(f) for f, _ in quality._features(data, np.array([0, len(data)]))) == want
+
+
+def test_quality_sample_ends_by_bytes(spark, monkeypatch):
+    monkeypatch.setattr(quality, "SAMPLE_BYTES", 10)
+    docs = frame(spark, [(i, "good words here" if i % 2 else "BAD!! BAD!!") for i in range(40)])
+    labels = frame(spark, [(i, i % 2, 0) for i in range(40)], "doc_id long, quality int, toxic int")
+    assert len(quality.score(spark, docs, labels).collect()) == 40
+
+
 def test_language_gradients():
     net = language_id.Network.new(["a", "b", "c"])
     rng = np.random.default_rng(0)
