@@ -1,27 +1,29 @@
 """Quality classifier on supervised subword embeddings.
 
-A document is the average of learned vectors of its words and of the 3- to 5-byte
-n-grams of its words (with the white space at either end), both hashed to a fixed
+A document is the average of learned vectors of its words and of the n-grams of 3 to 5
+characters of its words (with the white space at either end), both hashed to a fixed
 number of rows. A softmax over the average gives the classes. Vectors and output are
 trained in numpy by stochastic gradient descent, one document a step.
 
-Only the sample used for training is bounded (`SAMPLE` labelled documents, taken by
-hash order of the id, whole texts). Every document is scored whole. As the output is
+Only the sample used for training is bounded (`SAMPLE` labelled documents of together
+about `SAMPLE_BYTES`, taken by hash order of the id, whole texts). Every document is scored whole. As the output is
 linear in the average, scoring adds up one number per feature: the difference of its
 two class scores.
 """
 
 from __future__ import annotations
 
+import itertools
 from dataclasses import dataclass
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from civitas.llm.common import BREAK, PART, column, parts, prefix_hash, span_hash, texts
+from civitas.llm.common import BREAK, PART, column, parts, prefix_hash, small_batches, span_hash, texts, trimmed
 
-#: Labelled documents used for training at most.
+#: Labelled documents used for training at most, and their bytes (the last taken may go beyond).
 SAMPLE = 2000
+SAMPLE_BYTES = 12 << 20
 BITS = 16
 ROWS = 1 << BITS
 WIDTH = 16
@@ -29,15 +31,24 @@ GRAMS = (3, 4, 5)
 THRESHOLD = 0.3
 
 
+def characters(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """UTF-8 bytes and their texts' bounds as code points and theirs."""
+    if data.size == 0 or data.max() < 128:
+        return data, bounds
+    starts = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
+    return np.frombuffer(data.tobytes().decode().encode("utf-32-le"), "<u4"), starts[bounds]
+
+
 def _features(data: np.ndarray, bounds: np.ndarray):
     """Yields (row numbers, documents' indexes) of every feature of the texts."""
+    data, bounds = characters(data, bounds)
     n = len(bounds) - 1
     size = np.diff(bounds)
     doc = np.repeat(np.arange(n), size + 1)
-    padded = np.full(len(data) + n + 1, 32, np.uint8)
+    padded = np.full(len(data) + n + 1, 32, data.dtype)
     padded[np.arange(len(data)) + np.repeat(np.arange(1, n + 1), size)] = data
     doc = np.append(doc, max(0, n - 1))
-    breaks = BREAK[padded]
+    breaks = BREAK[np.minimum(padded, 255)]
     padded[breaks] = 32
     seen = np.cumsum(breaks, dtype=np.int32)
     value = padded.astype(np.uint32)
@@ -119,6 +130,10 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, sample: int = S
     """Train on at most `sample` labelled documents outside the held-out fold."""
     usable = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     few = usable.groupBy("doc_id").agg(F.max("quality").alias("label")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    # at most `sample` rows (more where ids repeat) of an id and a size go to the driver, to end the sample by bytes
+    sizes = docs.select("doc_id", "text").join(few, "doc_id").groupBy("doc_id", "label").agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("size")).orderBy(F.xxhash64("doc_id"), "doc_id").collect()
+    taken = [r for r, before in zip(sizes, itertools.accumulate((r["size"] for r in sizes), initial=0)) if before < SAMPLE_BYTES]  # noqa: B905
+    few = spark.createDataFrame([(r["doc_id"], r["label"]) for r in taken], few.schema)
 
     def extract(batches):
         import pyarrow as pa
@@ -132,7 +147,7 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, sample: int = S
                     ["label", "features", "counts"],
                 )
 
-    rows = docs.select("doc_id", "text").join(few, "doc_id").select("label", "text").mapInArrow(extract, "label int, features binary, counts binary").collect()
+    rows = docs.select("doc_id", "text").join(F.broadcast(few), "doc_id").select("label", "text").mapInArrow(extract, "label int, features binary, counts binary").collect()
     examples = [(int(r[0] > 0), np.frombuffer(r[1], np.int32), np.frombuffer(r[2], np.uint16)) for r in rows]
     return train(sorted(examples, key=lambda e: (e[0], len(e[1]), e[1].tobytes())))
 
@@ -145,6 +160,7 @@ def score(spark: SparkSession, docs: DataFrame, labels: DataFrame, sample: int =
     `docs` are kept, repeated ones too; columns of it that have one of `names` are
     replaced. An empty table gives no row.
     """
+    small_batches(spark)
     differences, bias = fit(spark, docs, labels, sample).differences()
     model = spark.sparkContext.broadcast(differences)
     docs = docs.drop(*names)
@@ -165,6 +181,7 @@ def score(spark: SparkSession, docs: DataFrame, labels: DataFrame, sample: int =
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns, pa.array(value), pa.array((value >= threshold).astype(np.int32))], [*part.schema.names, *names]
                 )
+        trimmed()
 
     from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
