@@ -75,15 +75,23 @@ def _hashes(hashes: Column, window: int) -> Column:
 
 
 def windows(docs: DataFrame, lengths: list[int]) -> DataFrame:
-    """doc_id, at, window_hash: the windows of templates, and those of words that differ from them."""
+    """doc_id, at, window_hash: the windows of templates and those of words (the same twice where no placeholder is in them).
+
+    Words are hashed once for each text. A row for each place then hashes the windows that
+    begin there in generated code; the arrays are not copied for it. Windows of items longer
+    than `WINDOW` are hashed in a second pass, which only such items cause.
+    """
     each = lambda c: F.transform(c, lambda w: F.xxhash64(w))
     held = docs.select("doc_id", each(template(F.col("text"))).alias("t"), each(plain(F.col("text"))).alias("p"))
-    held = held.select("doc_id", *(_hashes(F.col(c), n).alias(f"{c}{n}") for n in lengths for c in "tp"))
-    placed = lambda c: F.transform(c, lambda h, i: F.struct(i.alias("at"), h.alias("window_hash")))
-    more = lambda n: F.filter(placed(F.col(f"p{n}")), lambda x: ~x["window_hash"].eqNullSafe(F.get(F.col(f"t{n}"), x["at"])))
     # the outer form: the plain one would test the array's size in a filter that works all of it out once more
-    out = held.select("doc_id", F.explode_outer(F.concat(*(x for n in lengths for x in (placed(F.col(f"t{n}")), more(n))))).alias("w"))
-    return out.where("w IS NOT NULL").select("doc_id", "w.at", "w.window_hash")
+    placed = held.select("doc_id", "t", "p", F.explode_outer(F.sequence(F.lit(0), F.size("t") - 1)).alias("at")).where("at >= 0")
+    one = lambda c, n: F.when(F.col("at") + n <= F.size(c), F.xxhash64(*(F.get(c, F.col("at") + k) for k in range(n))))
+    out = placed.select("doc_id", "at", F.explode_outer(F.array(*(one(c, n) for n in lengths if n <= WINDOW for c in "tp"))).alias("window_hash"))
+    if long := [n for n in lengths if n > WINDOW]:
+        numbered = lambda c: F.transform(c, lambda h, i: F.struct(i.alias("at"), h.alias("window_hash")))
+        more = held.select("doc_id", F.explode_outer(F.concat(*(numbered(_hashes(F.col(c), n)) for n in long for c in "tp"))).alias("w"))
+        out = out.unionByName(more.select("doc_id", "w.at", "w.window_hash"))
+    return out.where("window_hash IS NOT NULL")
 
 
 def _searched(items: DataFrame, window: int) -> DataFrame:
