@@ -28,19 +28,62 @@ def funnel(df: DataFrame, stages: Sequence[tuple[str, Column]]) -> DataFrame:
     return one.select(F.inline(F.array(*rows)))
 
 
+#: Bins of a group's range, of which only those that hold a wanted rank are looked at value by value.
+BINS = 1024
+
+
+def at_ranks(df: DataFrame, by: Sequence[str], value: str, ranks: dict[str, Column]) -> DataFrame:
+    """by, rank_name, at, skip: the value at a rank (from 0, a column of the group's size `n`) in the order of values, and the rank among equal ones.
+
+    Exact, in two phases: counts of `BINS` equal bins of each group's range say which bin
+    holds a rank; of that bin alone the distinct values are counted. No task holds a
+    group's values. Nulls are left out; null keys are a group.
+    """
+    rows = df.where(F.col(value).isNotNull()).select(F.struct(*(F.col(c) for c in by), F.lit(0).alias("_")).alias("_g"), F.col(value).cast("double").alias("_v"))
+    ends = rows.groupBy("_g").agg(F.min("_v").alias("lo"), F.max("_v").alias("hi"), F.count(F.lit(1)).alias("n"))
+    number = F.when(F.col("hi") > F.col("lo"), F.least(F.floor((F.col("_v") - F.col("lo")) / (F.col("hi") - F.col("lo")) * BINS), F.lit(BINS - 1))).otherwise(0)
+    placed = rows.join(ends, "_g").select("_g", "_v", number.cast("int").alias("bin"))
+    before = lambda n, *order: F.sum(n).over(Window.partitionBy(*order[:-1]).orderBy(order[-1])) - F.col(n)
+    bins = placed.groupBy("_g", "bin").agg(F.count(F.lit(1)).alias("c")).withColumn("before", before("c", "_g", "bin"))
+    wanted = ends.select("_g", F.inline(F.array(*(F.struct(F.lit(k).alias("rank_name"), r.cast("long").alias("rank")) for k, r in ranks.items()))))
+    hits = bins.join(wanted, "_g").where("before <= rank AND rank < before + c").select("_g", "bin", "rank_name", (F.col("rank") - F.col("before")).alias("rank"))
+    near = placed.join(hits.select("_g", "bin").distinct(), ["_g", "bin"], "left_semi")
+    values = near.groupBy("_g", "bin", "_v").agg(F.count(F.lit(1)).alias("c")).withColumn("before", before("c", "_g", "bin", "_v"))
+    found = values.join(hits, ["_g", "bin"]).where("before <= rank AND rank < before + c")
+    return found.select(*(F.col(f"_g.{c}").alias(c) for c in by), "rank_name", F.col("_v").alias("at"), (F.col("rank") - F.col("before")).alias("skip"))
+
+
+def quantiles(df: DataFrame, by: Sequence[str], value: str, shares: dict[str, float]) -> DataFrame:
+    """by and a column for each share: quantiles by linear interpolation, exact (see at_ranks)."""
+    place = {k: (F.col("n") - 1) * F.lit(p) for k, p in shares.items()}
+    ends = {f"{k}{e}": f(x) for k, x in place.items() for e, f in (("-", F.floor), ("+", F.ceil))}
+    found = at_ranks(df, by, value, ends)
+    sizes = df.where(F.col(value).isNotNull()).groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
+    wide = found.groupBy(*by).agg(*(F.max(F.when(F.col("rank_name") == k, F.col("at"))).alias(k) for k in ends))
+    same = F.lit(True)
+    for c in by:
+        same = same & F.col(f"s.{c}").eqNullSafe(F.col(f"w.{c}"))
+    both = sizes.alias("s").join(wide.alias("w"), same)
+    value_of = lambda k: F.col(f"w.{k}-") + (F.col(f"w.{k}+") - F.col(f"w.{k}-")) * (place[k] - F.floor(place[k]))
+    return both.select(*(F.col(f"s.{c}").alias(c) for c in by), *(value_of(k).alias(k) for k in shares))
+
+
 def describe(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
     """Count, sum, mean, median, quartiles (linear interpolation), least and largest per group."""
     v = F.col(value)
-    return df.groupBy(*by).agg(
-        F.count(v).alias("n"),
-        F.round(F.sum(v), 4).alias("total"),
-        F.round(F.avg(v), 4).alias("mean"),
-        F.round(F.median(v), 4).alias("median"),
-        F.round(F.percentile(v, F.lit(0.25)), 4).alias("q25"),
-        F.round(F.percentile(v, F.lit(0.75)), 4).alias("q75"),
-        F.min(v).alias("least"),
-        F.max(v).alias("largest"),
+    sums = df.groupBy(*by).agg(
+        F.count(v).alias("n"), F.round(F.sum(v), 4).alias("total"), F.round(F.avg(v), 4).alias("mean"), F.min(v).alias("least"), F.max(v).alias("largest")
     )
+    return with_quantiles(sums, df, by, value, {"median": 0.5, "q25": 0.25, "q75": 0.75})
+
+
+def with_quantiles(sums: DataFrame, df: DataFrame, by: Sequence[str], value: str, shares: dict[str, float]) -> DataFrame:
+    """A table of groups with their quantiles, rounded; null where a group has no value."""
+    found = quantiles(df, by, value, shares).alias("q")
+    same = F.lit(True)
+    for c in by:
+        same = same & F.col(f"s.{c}").eqNullSafe(F.col(f"q.{c}"))
+    return sums.alias("s").join(found, same, "left").select("s.*", *(F.round(F.col(f"q.{k}"), 4).alias(k) for k in shares))
 
 
 def mode(df: DataFrame, by: Sequence[str], value: str, least: int = 1) -> DataFrame:

@@ -78,10 +78,11 @@ def segment_distribution_with_null(t):
     "SELECT CAST(year(o_orderdate) AS BIGINT) AS year, count(*) AS n, count(*) FILTER (WHERE o_orderstatus = 'F') AS done, round(sum(o_totalprice), 2) AS total, round(avg(o_totalprice), 4) AS mean, round(median(o_totalprice), 4) AS median FROM orders GROUP BY 1",
 )
 def yearly_trend(t):
-    return t.orders.groupBy(F.year("o_orderdate").cast("long").alias("year")).agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(F.col("o_orderstatus") == "F").alias("done"), F.round(F.sum("o_totalprice"), 2).alias("total"),
-        F.round(F.avg("o_totalprice"), 4).alias("mean"), F.round(F.median("o_totalprice"), 4).alias("median"),
-    )
+    rows = t.orders.select(F.year("o_orderdate").cast("long").alias("year"), "o_orderstatus", "o_totalprice")
+    sums = rows.groupBy("year").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("o_orderstatus") == "F").alias("done"), F.round(F.sum("o_totalprice"), 2).alias("total"), F.round(F.avg("o_totalprice"), 4).alias("mean")
+    )
+    return R.with_quantiles(sums, rows, ["year"], "o_totalprice", {"median": 0.5})
 
 
 @query(
@@ -110,7 +111,8 @@ SELECT unnest(['total', 'mean', 'median', 'least', 'largest', 'n']) AS metric, u
 )
 def global_stats_long(t):
     p = F.col("o_totalprice")
-    one = t.orders.agg(F.round(F.sum(p), 2).alias("total"), F.round(F.avg(p), 4).alias("mean"), F.round(F.median(p), 4).alias("median"), F.min(p).alias("least"), F.max(p).alias("largest"), F.count(F.lit(1)).cast("double").alias("n"))
+    one = t.orders.agg(F.round(F.sum(p), 2).alias("total"), F.round(F.avg(p), 4).alias("mean"), F.min(p).alias("least"), F.max(p).alias("largest"), F.count(F.lit(1)).cast("double").alias("n"))
+    one = R.with_quantiles(one, t.orders, [], "o_totalprice", {"median": 0.5})
     return one.unpivot([], ["total", "mean", "median", "least", "largest", "n"], "metric", "value")
 
 
@@ -274,10 +276,12 @@ def extreme_rows(t):
 SELECT o_orderstatus, CASE WHEN i = 1 THEN 'least' WHEN i = n THEN 'largest' ELSE 'middle' END AS example, o_orderkey FROM r WHERE i IN (1, n, n // 2 + 1)""",
 )
 def least_median_largest_examples(t):
-    own = Window.partitionBy("o_orderstatus")
-    ranked = t.orders.select("o_orderstatus", "o_orderkey", F.row_number().over(own.orderBy("o_totalprice", "o_orderkey")).alias("i"), F.count(F.lit(1)).over(own).alias("n"))
-    kept = ranked.where((F.col("i") == 1) | (F.col("i") == F.col("n")) | (F.col("i") == F.floor(F.col("n") / 2) + 1))
-    return kept.select("o_orderstatus", F.when(F.col("i") == 1, "least").when(F.col("i") == F.col("n"), "largest").otherwise("middle").alias("example"), "o_orderkey")
+    """The rows at three ranks of each status: their prices first, then among rows of that price the key."""
+    n = F.col("n")
+    at = R.at_ranks(t.orders, ["o_orderstatus"], "o_totalprice", {"least": F.lit(0), "middle": F.floor(n / 2), "largest": n - 1})
+    rows = t.orders.select("o_orderstatus", F.col("o_totalprice").alias("at"), "o_orderkey").join(at, ["o_orderstatus", "at"])
+    ranked = rows.withColumn("i", F.row_number().over(Window.partitionBy("o_orderstatus", "rank_name").orderBy("o_orderkey")) - 1)
+    return ranked.where("i = skip").select("o_orderstatus", F.col("rank_name").alias("example"), "o_orderkey")
 
 
 @query("numbered_lines", "SELECT l_orderkey, l_linenumber, row_number() OVER w AS i, count(*) OVER (PARTITION BY l_orderkey) AS of_n FROM lineitem WINDOW w AS (PARTITION BY l_orderkey ORDER BY l_shipdate, l_linenumber, l_partkey)")
