@@ -152,14 +152,17 @@ def leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, window: in
     )
     hits = stored(spark, hits.join(needs, ["item_id", "form"]).where("n_windows >= need"), folder, "hits")
 
-    slots = lambda rows, keep: rows.select(
-        *keep, F.posexplode(F.filter(F.transform(template(F.col("text")), lambda w, i: F.struct(i.alias("at"), _held(w).alias("held"))), lambda s: s["held"])).alias("k", "s"), slot_values(F.col("text")).alias("values")
-    ).select(*keep, F.col("s.at").alias("at"), F.get("values", F.col("k")).alias("value"))
-    theirs = slots(items, ["item_id"]).select("item_id", F.col("at").alias("item_at"), F.col("value").alias("item_value"))
+    def slots(rows: DataFrame, keep: str) -> DataFrame:
+        """keep, at, value: a row for each placeholder; both arrays are made once for a text, before they become rows."""
+        held = F.filter(F.transform(template(F.col("text")), lambda w, i: F.struct(i.alias("at"), _held(w).alias("held"))), lambda s: s["held"])
+        both = F.zip_with(held, slot_values(F.col("text")), lambda h, v: F.struct(h["at"].alias("at"), v.alias("value")))
+        return rows.select(keep, F.explode_outer(both).alias("s")).where("s.at IS NOT NULL").select(keep, "s.at", "s.value")
+
+    theirs = slots(items, "item_id").select("item_id", F.col("at").alias("item_at"), F.col("value").alias("item_value"))
     wanted = hits.where("form = 'template'").join(theirs, "item_id").where("item_at >= lo AND item_at < hi").select("doc_id", "item_id", "shift", "item_value", (F.col("item_at") + F.col("shift")).alias("at"))
     if wanted.take(1):
         some = docs.select("doc_id", "text").join(wanted.select("doc_id").distinct(), "doc_id", "left_semi")
-        pairs = wanted.join(slots(some, ["doc_id"]), ["doc_id", "at"])
+        pairs = wanted.join(slots(some, "doc_id"), ["doc_id", "at"])
         each = pairs.groupBy("doc_id", "item_id", "shift", "item_value").agg(
             F.countDistinct("value").alias("values"), F.count(F.lit(1)).alias("n"), F.bool_and(F.col("value") == F.col("item_value")).alias("same")
         )
