@@ -33,7 +33,7 @@ UNIT = 16
 #: Pieces of one length in a bucket of ranks, about.
 BUCKET = 1_000
 #: Runs and words that a task remembers before it starts anew, all of fewer than `LONG` characters.
-REMEMBERED = 150_000
+REMEMBERED = 400_000
 LONG = 64
 
 
