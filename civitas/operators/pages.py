@@ -406,3 +406,10 @@ def listing_rows(pages: DataFrame, block: str = "block") -> DataFrame:
     blocks = F.filter(n, lambda x: has_class(x, block))
     each = pages.select(F.explode(F.transform(blocks, lambda b: F.struct(b["text"].alias("text"), F.try_element_at(F.filter(n, lambda x: (x["tag"] == "a") & (x["idx"] > b["idx"])), F.lit(1))["href"].alias("url")))).alias("b"))
     return each.select("b.url", label(F.col("b.text"), "Current status").alias("current_status"), label(F.col("b.text"), "Registration number").alias("registration_number"), label(F.col("b.text"), "Signature collection").alias("signature_collection"))
+
+
+def response_links(pages: DataFrame) -> DataFrame:
+    """registration_number and url of the answer, of the registry pages (file_name, nodes) that link to one."""
+    url = F.try_element_at(N.links(F.col("nodes"), text="answer and follow-up"), F.lit(1))
+    number = F.regexp_replace(F.regexp_extract("file_name", r"(\d{4}_\d{6})_[a-z]{2}\.html", 1), "_", "/")
+    return pages.select(number.alias("registration_number"), url.alias("url")).where("url IS NOT NULL")

@@ -149,3 +149,13 @@ def scaled(df: DataFrame, column: str, out: str) -> DataFrame:
     bounds = df.agg(F.min(column).alias("_lo"), F.max(column).alias("_hi"))
     scaled_ = F.coalesce(F.try_divide(F.col(column) - F.col("_lo"), F.col("_hi") - F.col("_lo")), F.lit(0.0))
     return df.join(F.broadcast(bounds)).withColumn(out, scaled_).drop("_lo", "_hi")
+
+
+def titled(df: DataFrame, column: str, title: str) -> DataFrame:
+    """The rows of a title, blanks at its ends aside."""
+    return df.where(F.trim(F.col(column)) == title.strip())
+
+
+def jitter(width: float = 1.0, seed: int = 42) -> Column:
+    """A seeded uniform shift of at most half a width either way, for points that would cover each other."""
+    return (F.rand(seed) - 0.5) * width

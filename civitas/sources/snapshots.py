@@ -77,7 +77,7 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = N
 
 
 def csv_problems(spark: SparkSession, path: str) -> list[str]:
-    """Why a CSV cannot be used: missing, empty, or a header of fewer than two columns."""
+    """Why a CSV cannot be used: missing, empty, a header of fewer than two columns, or bytes that are no UTF-8."""
     try:
         head = spark.read.option("header", False).text(path).take(1)
     except Exception as error:  # the path is wrong or unreadable: that is the finding
@@ -86,7 +86,40 @@ def csv_problems(spark: SparkSession, path: str) -> list[str]:
         raise
     if not head or not head[0][0].strip():
         return ["empty"]
-    return [] if "," in head[0][0] else ["fewer than two columns"]
+    found = [] if "," in head[0][0] else ["fewer than two columns"]
+    return found + (["not UTF-8"] if spark.read.text(path).where(~F.is_valid_utf8("value")).take(1) else [])
+
+
+def latest_table(spark: SparkSession, folder: str, prefix: str, exclude: Sequence[str] = (), loose: bool = True) -> DataFrame:
+    """The rows of the last file of the last snapshot, with the time in the file's name as `file_time`."""
+    path = latest_file(spark, latest_snapshot(spark, folder, loose), prefix, exclude, loose)
+    return read_csv(spark, path).withColumn("file_time", file_time(F.lit(path.rsplit("/", 1)[-1])))
+
+
+def chained(pages: DataFrame, first: str, url: str = "url", following: str = "next_url", most: int = 90) -> DataFrame:
+    """The pages reached from the first by their links to the next, with their `place` from 1; a loop ends after `most`."""
+    view = f"chained_{abs(hash((first, url, following)))}"
+    pages.createOrReplaceTempView(view)
+    steps = f"""WITH RECURSIVE c(u, f, n) AS (SELECT {url}, {following}, 1 FROM {view} WHERE {url} = :first
+      UNION ALL SELECT p.{url}, p.{following}, n + 1 FROM {view} p JOIN c ON p.{url} = c.f WHERE n < {most})
+      SELECT u, min(n) AS place FROM c GROUP BY u"""
+    found = pages.sparkSession.sql(steps, {"first": first})
+    return pages.join(found, F.col(url) == F.col("u")).drop("u")
+
+
+def bindings(answers: DataFrame, column: str, names: Sequence[str], language: str | None = "en", text: str = "title") -> DataFrame:
+    """The bindings of a query service's JSON answers as rows of the named variables; texts of another language are left out."""
+    kind = "struct<results:struct<bindings:array<map<string,struct<value:string,`xml:lang`:string>>>>>"
+    rows = answers.select(F.explode(F.from_json(column, kind)["results"]["bindings"]).alias("b"))
+    spoken = F.coalesce(F.try_element_at("b", F.lit(text))["xml:lang"], F.lit(language or ""))
+    kept = rows.where(spoken == language) if language else rows
+    return kept.select(*(F.try_element_at("b", F.lit(n))["value"].alias(n) for n in names))
+
+
+def with_titles(ids: DataFrame, key: str, titles: DataFrame, title: str = "title") -> DataFrame:
+    """Identifiers with their titles (the smallest of several) and whether there is one."""
+    one = titles.groupBy(key).agg(F.min(title).alias(title))
+    return ids.join(one, key, "left").withColumn("found", F.col(title).isNotNull())
 
 
 def read_pages(spark: SparkSession, folder: str, suffix: str = "*.html", recursive: bool = True) -> DataFrame:
@@ -130,6 +163,11 @@ def write_csv(df: DataFrame, path: str, columns: Sequence[str] | None = None) ->
     shown.coalesce(1).write.option("header", True).option("escape", '"').mode("overwrite").csv(path)
 
 
+def write_list(df: DataFrame, path: str, key: str) -> None:
+    """A list of pages with its keys in the form `2019/000007`."""
+    write_csv(df.withColumn(key, normal_number(F.replace(F.col(key), F.lit("_"), F.lit("/")))), path)
+
+
 def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 

@@ -122,3 +122,29 @@ def test_references(spark):
     assert record(spark, html, lambda x: x.select(P.followup_content(F.col("nodes")).alias("v"))).v == "one two three"
     assert record(spark, html, lambda x: x.select(P.any_of(P.content(F.col("nodes"), "next-steps"), lambda t: t == "Three").alias("v"))).v is True
     assert record(spark, html, lambda x: x.select(P.folded(P.content(F.col("nodes"), "next-steps"), lambda t: F.split(t, "r")).alias("v"))).v == ["Th", "ee"]
+
+
+def test_loader_chains_and_bindings(spark, tmp_path):
+    folder = tmp_path / "2024-02-01_00-00-00"
+    folder.mkdir()
+    (folder / "list_2024-01-02_03-04-05.csv").write_text("k,v\n1,x\n")
+    (folder / "bad_2024-01-02_03-04-05.csv").write_bytes(b"k,v\n1,\xff\xfe\n")
+    row = S.latest_table(spark, str(tmp_path), "list").first()
+    assert (row.k, str(row.file_time)) == ("1", "2024-01-02 03:04:05")
+    assert S.csv_problems(spark, f"{folder}/bad_2024-01-02_03-04-05.csv") == ["not UTF-8"]
+    pages = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", None), ("z", "z")], "url string, next_url string")
+    assert {(r.url, r.place) for r in S.chained(pages, "a").collect()} == {("a", 1), ("b", 2), ("c", 3)}
+    assert [(r.url, r.place) for r in S.chained(pages, "z").collect()] == [("z", 1)]
+    answer = json.dumps({"results": {"bindings": [{"id": {"value": "1"}, "title": {"value": "One", "xml:lang": "en"}}, {"id": {"value": "1"}, "title": {"value": "Un", "xml:lang": "fr"}}]}})
+    titles = S.bindings(spark.createDataFrame([(answer,), ("nonsense",), (None,)], "j string"), "j", ["id", "title"])
+    assert [tuple(r) for r in titles.collect()] == [("1", "One")]
+    ids = spark.createDataFrame([("1",), ("2",)], "id string")
+    assert {tuple(r) for r in S.with_titles(ids, "id", titles).collect()} == {("1", "One", True), ("2", None, False)}
+    S.write_list(spark.createDataFrame([("2019_000007", "u")], "number string, url string"), str(tmp_path / "list"), "number")
+    assert S.read_csv(spark, str(tmp_path / "list")).first().number == "2019/000007"
+    links = record(spark, REGISTRY, P.response_links)
+    assert (links.registration_number, links.url) == ("2012/000001", "https://e.org/answer")
+    from civitas.operators import relational as R
+
+    assert R.titled(pages, "url", " a ").count() == 1
+    assert all(abs(r.j) <= 0.5 for r in pages.select(R.jitter().alias("j")).collect())
