@@ -36,10 +36,11 @@ def stored(spark: SparkSession, df: DataFrame, folder: str, name: str) -> DataFr
     """Write a table to the shared folder and read it back.
 
     This cuts lineage so that a lost executor costs a read, and freezes whatever
-    would differ if a stage ran again.
+    would differ if a stage ran again. Pages are packed by zstd, whose buffers lie on the
+    heap; those of the default codec lie beside it, and for long binary values they grow.
     """
     path = f"{folder}/{name}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -59,18 +60,6 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH))
 
 
-@contextlib.contextmanager
-def batches_of(spark: SparkSession, rows: int):
-    """Arrow batches of at most so many rows for what runs inside: for rows of many kilobytes."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(key)
-    spark.conf.set(key, rows)
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
-
-
 def trimmed() -> None:
     """Hand memory that a worker no longer uses back to the system: workers outlive their tasks."""
     import pyarrow as pa

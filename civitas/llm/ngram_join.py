@@ -17,13 +17,13 @@ partner, are listed. The boundary is where the estimated cost of both is least.
    block by block in different tasks. What leaves a task is one number for each set and
    the edges of a spanning forest, never the pairs.
 3. Candidates of different clusters are pairs of classes that share a listed shingle and
-   pass bounds on sizes, on positions and on how many listed shingles they share; these
-   pairs are compared one by one.
+   pass bounds on sizes and on how many listed shingles they share; these pairs are
+   compared one by one.
 
 No list, bucket or partner is capped. Postings travel as packed blocks, one row for many
 of them. The work within a cluster grows with the square of its different texts, as the
 number of links does; rows and bytes exchanged grow with its blocks. One shingle's list
-(16 bytes a class that has it among its rarest shingles) is gathered in one task.
+(18 bytes a class that has it among its rarest shingles) is gathered in one task.
 """
 
 from __future__ import annotations
@@ -48,10 +48,11 @@ CHUNK = 1 << 14
 POSTING_COST = 16
 #: The largest size the boundary may take.
 LIGHT_MOST = 24
-#: Share of the shorter prefix that a class has in common with a list's head where both go to one cluster.
-SHARE = 0.25
+#: Listed shingles that a class has in common with a list's head where both go to one cluster: of the shorter prefix p
+#: at least LEAST * p, and at least SHARE * p but for a deviation of SPREAD * sqrt(p), as links of long sets must share more.
+LEAST, SHARE, SPREAD = 0.1, 0.3, 1.5
 #: Shingles, and sets, of a block.
-BLOCK_SHINGLES, BLOCK_SETS = 400_000, 1_500
+BLOCK_SHINGLES, BLOCK_SETS = 200_000, 500
 #: Columns of a 0/1 matrix at once.
 COLUMNS = 1024
 #: Postings that a group gathers, about, and those that a task holds before it sends them.
@@ -137,17 +138,27 @@ def _described(docs: DataFrame) -> DataFrame:
         from pyspark import TaskContext
 
         counts, id_type = np.zeros(CELLS, np.uint32), None
+        cells: list[np.ndarray] = []
+
+        def add():
+            if cells:
+                np.add(counts, np.bincount(np.concatenate(cells), minlength=CELLS), out=counts, casting="unsafe")
+                cells.clear()
+
         names = ["doc_id", "n", "cid", "chunk", "cells"]
         for batch in batches:
             id_type = column(batch, "doc_id").type
             for part in parts(batch):
                 sets = shingles(*texts(column(part, "text")))
-                if any(map(len, sets)):
-                    counts += np.bincount((np.concatenate(sets) & np.uint64(CELLS - 1)).astype(np.int64), minlength=CELLS).astype(np.uint32)
                 n = len(sets)
+                if n:
+                    cells.append((np.concatenate(sets) & np.uint64(CELLS - 1)).astype(np.int32))
+                if sum(map(len, cells)) >= CELLS:
+                    add()
                 yield pa.record_batch(
                     [column(part, "doc_id"), pa.array([len(x) for x in sets], pa.int64()), pa.array([class_id(x) for x in sets], pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], names
                 )
+        add()
         if id_type is not None:
             n = CELLS // CHUNK
             packed = [zlib.compress(x.astype(np.uint64).tobytes(), 1) for x in counts.reshape(n, CHUNK)]
@@ -201,43 +212,36 @@ def boundary(sizes: dict[int, int]) -> int:
     return at
 
 
-POSTING = np.dtype([("token", "<u8"), ("doc", "<u2"), ("at", "<u4")])
-MEMBER = np.dtype([("cid", "<i8"), ("size", "<u4")])
+#: 48 bits of a shingle's hash, and the class that lists it.
+POSTING = np.dtype([("low", "<u4"), ("high", "<u2"), ("cid", "<i8"), ("size", "<u4")])
 
 
 def _postings(docs: DataFrame, sketch, light: int, blocks: int) -> DataFrame:
-    """Packed blocks of postings (part, members, postings), and light keys (key, cid, size)."""
+    """Packed blocks of postings (part, postings), and light keys (key, cid, size)."""
 
     def emit(batches):
         import pyarrow as pa
 
         frequency = sketch.value
-        names = ["part", "members", "postings", "key", "cid", "size"]
+        names = ["part", "postings", "key", "cid", "size"]
         seen: set[int] = set()
-        members: list[tuple[int, int]] = []
         held: list[np.ndarray] = []
         keys: list[tuple[int, int, int]] = []
 
         def flush():
             if held:
                 own = np.concatenate(held)
-                to = ((own["token"] & np.uint64((1 << 48) - 1)) % np.uint64(blocks)).astype(np.int64)
+                to = ((own["low"].astype(np.int64) << 16 | own["high"]) % blocks).astype(np.int32)
                 order = np.argsort(to, kind="stable")
                 own, to = own[order], to[order]
-                cuts = np.flatnonzero(np.diff(to)) + 1
-                table = np.array(members, MEMBER)
-                some, lists, numbers = [], [], []
-                for piece, number in zip(np.split(own, cuts), to[np.concatenate([[0], cuts])], strict=True):
-                    used, piece["doc"] = np.unique(piece["doc"], return_inverse=True)
-                    some.append(table[used].tobytes())
-                    lists.append(piece.tobytes())
-                    numbers.append(number)
-                n = len(lists)
-                yield pa.record_batch([pa.array(numbers, pa.int32()), pa.array(some, pa.binary()), pa.array(lists, pa.binary()), *(pa.nulls(n, t) for t in (pa.int64(), pa.int64(), pa.int32()))], names)
+                first = np.flatnonzero(np.concatenate([[True], to[1:] != to[:-1]]))
+                n = len(first)
+                lists = [x.tobytes() for x in np.split(own, first[1:])]
+                yield pa.record_batch([pa.array(to[first]), pa.array(lists, pa.binary()), *(pa.nulls(n, t) for t in (pa.int64(), pa.int64(), pa.int32()))], names)
             if keys:
                 n = len(keys)
-                yield pa.record_batch([pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.binary()), *(pa.array(x, t) for x, t in zip(zip(*keys, strict=True), (pa.int64(), pa.int64(), pa.int32()), strict=True))], names)
-            members.clear(), held.clear(), keys.clear()
+                yield pa.record_batch([pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()), *(pa.array(x, t) for x, t in zip(zip(*keys, strict=True), (pa.int64(), pa.int64(), pa.int32()), strict=True))], names)
+            held.clear(), keys.clear()
 
         pending = 0
         for batch in batches:
@@ -252,20 +256,25 @@ def _postings(docs: DataFrame, sketch, light: int, blocks: int) -> DataFrame:
                         keys.extend((k, cid, size) for k in light_keys(own))
                     if DEN * size >= NUM * (light + 1):
                         tokens = (frequency[(own & np.uint64(CELLS - 1)).astype(np.int64)].astype(np.uint64) << np.uint64(48)) | (own >> np.uint64(16))
-                        tokens.sort()
-                        n = size - -(-NUM * size // DEN) + 1
+                        n = prefix(size)
+                        if n < size:
+                            tokens = np.partition(tokens, n - 1)[:n]
                         block = np.zeros(n, POSTING)
-                        block["token"], block["doc"], block["at"] = tokens[:n], len(members), np.arange(n)
-                        members.append((cid, size))
+                        block["low"], block["high"], block["cid"], block["size"] = tokens & np.uint64(0xFFFFFFFF), (tokens >> np.uint64(32)) & np.uint64(0xFFFF), cid, size
                         held.append(block)
                         pending += n
-                    if pending >= HELD or len(members) >= 65_000 or len(keys) >= HELD // 8:
+                    if pending >= HELD or len(keys) >= HELD // 8:
                         yield from flush()
                         pending = 0
         yield from flush()
         trimmed()
 
-    return docs.select("text").mapInArrow(emit, "part int, members binary, postings binary, key long, cid long, size int")
+    return docs.select("text").mapInArrow(emit, "part int, postings binary, key long, cid long, size int")
+
+
+def prefix(size: int) -> int:
+    """How many shingles of a set of this size are listed."""
+    return size - -(-NUM * size // DEN) + 1
 
 
 def light_keys(own: np.ndarray) -> list[int]:
@@ -288,34 +297,38 @@ def light_keys(own: np.ndarray) -> list[int]:
 
 
 def _lists(blocks: DataFrame) -> DataFrame:
-    """Inverted lists of two members at least: token, cid, size, at, and the heads of the list (head0, size0, head1, size1)."""
+    """Inverted lists of three members at least (token, cid, size), and pairs (token null; cid, size, other, other_size, two).
+
+    A list of two is but a pair, marked as `two`; of longer ones every member is paired with two heads.
+    """
 
     def gather(table):
         import pyarrow as pa
 
-        postings, cids, sizes = [], [], []
-        for m, p in zip(table.column("members"), table.column("postings"), strict=True):
-            member, own = np.frombuffer(m.as_py(), MEMBER), np.frombuffer(p.as_py(), POSTING)
-            postings.append(own)
-            cids.append(member["cid"][own["doc"]])
-            sizes.append(member["size"][own["doc"]])
-        own, cid, size = map(np.concatenate, (postings, cids, sizes))
-        order = np.lexsort((mixed(cid.view(np.uint64)), own["token"]))
-        token, cid, size, at = own["token"][order], cid[order], size[order], own["at"][order]
-        new = np.ones(len(token), bool)
-        new[1:] = (token[1:] != token[:-1]) | (cid[1:] != cid[:-1])
-        token, cid, size, at = token[new], cid[new], size[new], at[new]
+        own = np.concatenate([np.frombuffer(p.as_py(), POSTING) for p in table.column("postings")])
+        token, cid, size = own["low"].astype(np.int64) << 16 | own["high"], own["cid"], own["size"].astype(np.int32)
+        # members are in the order of their mixed ids, so that lists of the same members have the same heads
+        order = np.lexsort((mixed(cid.view(np.uint64)), token))
+        token, cid, size = token[order], cid[order], size[order]
+        new = np.concatenate([[True], (token[1:] != token[:-1]) | (cid[1:] != cid[:-1])])
+        token, cid, size = token[new], cid[new], size[new]
         first = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
         n = np.diff(np.concatenate([first, [len(token)]]))
-        keep = np.repeat(n > 1, n)
-        out = {"token": token[keep].view(np.int64), "cid": cid[keep], "size": size[keep].astype(np.int32), "at": at[keep].astype(np.int32)}
-        # within a list members are in the order of their mixed ids, so that lists of the same members have the same heads
-        for k, place in enumerate((first, first + n - 1)):
-            head = np.repeat(place, n)[keep]
-            out |= {f"head{k}": cid[head], f"size{k}": size[head].astype(np.int32)}
-        return pa.table(out)
-
-    return blocks.select("part", "members", "postings").groupBy("part").applyInArrow(gather, "token long, cid long, size int, at int, head0 long, size0 int, head1 long, size1 int")
+        place, many = np.arange(len(token)), np.repeat(n, n)
+        heads = [np.repeat(x, n) for x in (first, first + n - 1)]
+        ends = [(many > 1) & (place != heads[0]), (many > 2) & (place != heads[0]) & (place != heads[1])]
+        a, b = np.concatenate([place[x] for x in ends]), np.concatenate([h[x] for h, x in zip(heads, ends, strict=True)])
+        swap = cid[a] > cid[b]
+        a, b = np.where(swap, b, a), np.where(swap, a, b)
+        long = many > 2
+        pad = lambda x, kind, before=0, after=0: pa.concat_arrays([pa.nulls(before, kind), pa.array(x, kind), pa.nulls(after, kind)])
+        k, m = len(a), int(long.sum())
+        return pa.table({
+            "token": pad(token[long], pa.int64(), before=k), "cid": pa.array(np.concatenate([cid[a], cid[long]])), "size": pa.array(np.concatenate([size[a], size[long]])),
+            "other": pad(cid[b], pa.int64(), after=m), "other_size": pad(size[b], pa.int32(), after=m), "two": pad(many[a] == 2, pa.bool_(), after=m),
+        })
+
+    return blocks.select("part", "postings").groupBy("part").applyInArrow(gather, "token long, cid long, size int, other long, other_size int, two boolean")
 
 
 def _picked(docs: DataFrame, marks, paired) -> DataFrame:
@@ -558,9 +571,10 @@ def similar_groups(spark: SparkSession, docs: DataFrame) -> DataFrame:
 
     packed = stored(spark, _postings(docs, sketch, light, blocks), folder, "postings")
     lists = stored(spark, _lists(packed.where("part IS NOT NULL")), folder, "lists")
-    clusters = stored(spark, _clusters(spark, packed, lists, folder), folder, "clusters")
+    shared = stored(spark, _shared(lists), folder, "shared")
+    clusters = stored(spark, _clusters(spark, packed, shared, folder), folder, "clusters")
     removed(spark, folder, "postings")
-    pairs = stored(spark, _candidates(lists, clusters, light), folder, "pairs")
+    pairs = stored(spark, _candidates(lists, shared, clusters, light), folder, "pairs")
     removed(spark, folder, "lists")
 
     paired = pairs.select(F.explode(F.array("a", "b")).alias("cid"))
@@ -575,7 +589,8 @@ def similar_groups(spark: SparkSession, docs: DataFrame) -> DataFrame:
     large = members.groupBy("cluster").agg(blocks.alias("blocks")).where("blocks > 1")
     placed = members.join(large, "cluster", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
     placed = placed.select("cid", "task", "cluster", "weight", "blocks", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int").alias("block"))
-    placed = sets.select("cid", "task", "own").join(placed, ["cid", "task"]).select("cluster", "block", "blocks", "cid", "weight", "own")
+    # a merge join at every size: what is broadcast where the corpus is small must not be counted on where it is large
+    placed = sets.select("cid", "task", "own").hint("merge").join(placed, ["cid", "task"]).select("cluster", "block", "blocks", "cid", "weight", "own")
     within = stored(spark, _within(placed.repartition("cluster", "block").sortWithinPartitions("cluster", "block")), folder, "within")
     blocks = within.where("packed IS NOT NULL").select("cluster", "block", "blocks", "packed")
     if blocks.take(1):
@@ -602,36 +617,49 @@ def similar_groups(spark: SparkSession, docs: DataFrame) -> DataFrame:
 
 
 def _prefix(size: Column) -> Column:
-    """How many shingles of a set of this size are listed."""
     return size - F.ceil(NUM * size / DEN) + 1
 
 
-def _clusters(spark: SparkSession, packed: DataFrame, lists: DataFrame, folder: str) -> DataFrame:
+def _shared(lists: DataFrame) -> DataFrame:
+    """Pairs of classes with how many listed shingles they share as members and heads (k), and how many in lists of two (k_two)."""
+    pairs = lists.where("token IS NULL").groupBy("cid", "size", "other", "other_size")
+    return pairs.agg(F.count(F.lit(1)).alias("k"), F.count_if("two").alias("k_two"))
+
+
+def _clusters(spark: SparkSession, packed: DataFrame, shared: DataFrame, folder: str) -> DataFrame:
     """(cid, cluster): classes that share a light key, or many listed shingles with the head of their lists."""
     keys = packed.where("key IS NOT NULL").select("key", "cid", "size", (F.col("key").bitwiseAND(F.lit(1)) == 0).alias("even")).distinct()
     # a key stands for a pair of sizes; where these differ, both must be there
     heads = keys.groupBy("key").agg(F.min("cid").alias("v"), F.count(F.lit(1)).alias("m"), (F.min("size") < F.max("size")).alias("two"), F.max("even").alias("even"))
     heads = heads.where("m > 1 AND (even OR two)").select("key", "v")
     light = keys.join(heads, "key").where("cid <> v").select(F.col("cid").alias("u"), "v")
-    each = lists.select(F.col("cid").alias("u"), "size", F.explode(F.array(*(F.struct(F.col(f"head{k}").alias("v"), F.col(f"size{k}").alias("other")) for k in range(2)))).alias("h")).select("u", "size", "h.*")
-    shared = each.where("u <> v").groupBy("u", "v", "size", "other").agg(F.count(F.lit(1)).alias("k"))
-    heavy = shared.where(F.col("k") >= SHARE * F.least(_prefix(F.col("size")), _prefix(F.col("other")))).select("u", "v")
+    listed = F.least(_prefix(F.col("size")), _prefix(F.col("other_size")))
+    heavy = shared.where((F.col("k") >= LEAST * listed) & (F.col("k") >= SHARE * listed - SPREAD * F.sqrt(listed))).select(F.col("cid").alias("u"), F.col("other").alias("v"))
     edges = stored(spark, light.unionByName(heavy), folder, "edges")
     return components(spark, edges, folder, "near").select(F.col("node").alias("cid"), F.col("root").alias("cluster"))
 
 
-def _candidates(lists: DataFrame, clusters: DataFrame, light: int) -> DataFrame:
+def _candidates(lists: DataFrame, shared: DataFrame, clusters: DataFrame, light: int) -> DataFrame:
     """Pairs (a, b) of classes of different clusters that may be links: they share listed shingles, and bounds leave it open."""
-    named = lists.select("token", "cid", "size", "at").join(clusters, "cid", "left").withColumn("cluster", F.coalesce("cluster", "cid"))
-    spread = named.groupBy("token").agg(F.min("cluster").alias("x"), F.max("cluster").alias("y")).where("x <> y").select("token")
-    named = named.join(spread, "token", "left_semi")
-    side = lambda x: named.select("token", *(F.col(c).alias(f"{c}_{x}") for c in ("cid", "cluster", "size", "at")))
-    size, total = (F.col("size_a"), F.col("size_b")), F.col("size_a") + F.col("size_b")
+    def named(rows: DataFrame, cid: str, cluster: str) -> DataFrame:
+        own = clusters.select(F.col("cid").alias(cid), F.col("cluster").alias(cluster))
+        return rows.join(own, cid, "left").withColumn(cluster, F.coalesce(cluster, cid))
+
+    long = named(lists.where("token IS NOT NULL").select("token", "cid", "size"), "cid", "cluster")
+    spread = long.groupBy("token").agg(F.min("cluster").alias("x"), F.max("cluster").alias("y")).where("x <> y").select("token")
+    long = long.join(spread, "token", "left_semi")
+    side = lambda x: long.select("token", *(F.col(c).alias(f"{c}_{x}") for c in ("cid", "cluster", "size")))
+    size = (F.col("size_a"), F.col("size_b"))
     fits = (DEN * F.least(*size) >= NUM * F.greatest(*size)) & (F.greatest(*size) > light)
-    # what follows the first common shingle, and how many are listed by both, limits what sets can share
-    later = (1 + F.least(F.col("size_a") - 1 - F.col("at_a"), F.col("size_b") - 1 - F.col("at_b"))) * (NUM + DEN) >= NUM * total
-    rest = lambda c: c - _prefix(c)
-    enough = (F.col("k") + 1 + F.greatest(rest(size[0]), rest(size[1]))) * (NUM + DEN) >= NUM * total
     both = side("a").join(side("b"), "token").where((F.col("cluster_a") < F.col("cluster_b")) & fits)
-    both = both.groupBy("cid_a", "cid_b", "size_a", "size_b").agg(F.min("at_a").alias("at_a"), F.min("at_b").alias("at_b"), F.count(F.lit(1)).alias("k"))
-    return both.where(later & enough).select(F.col("cid_a").alias("a"), F.col("cid_b").alias("b"))
+    # the smaller id first, as in the pairs of lists of two
+    turned = F.col("cid_a") > F.col("cid_b")
+    ordered = lambda x, y: [F.when(turned, F.col(f"{c}_{y}")).otherwise(F.col(f"{c}_{x}")).alias(f"{c}_{x}") for c in ("cid", "size")]
+    both = both.select(*ordered("a", "b"), *ordered("b", "a"), F.lit(1).cast("long").alias("k"))
+    two = shared.where("k_two > 0").select(F.col("cid").alias("cid_a"), F.col("size").alias("size_a"), F.col("other").alias("cid_b"), F.col("other_size").alias("size_b"), F.col("k_two").alias("k")).where(fits)
+    two = named(named(two, "cid_a", "cluster_a"), "cid_b", "cluster_b").where("cluster_a <> cluster_b").select(*both.columns)
+    # shingles beyond the listed ones of the set whose list ends first, and those listed by both, are all that two sets can share
+    rest = lambda c: c - _prefix(c)
+    enough = (F.col("k") + 1 + F.greatest(rest(size[0]), rest(size[1]))) * (NUM + DEN) >= NUM * (size[0] + size[1])
+    both = both.unionByName(two).groupBy("cid_a", "cid_b", "size_a", "size_b").agg(F.sum("k").alias("k"))
+    return both.where(enough).select(F.col("cid_a").alias("a"), F.col("cid_b").alias("b"))
