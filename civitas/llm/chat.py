@@ -54,7 +54,9 @@ def format_chat(rows: DataFrame) -> DataFrame:
     put in order of turn, then role, then text, nulls first; repeated rows are
     repeated turns. A null text or role counts as empty. Offsets count code points
     from 0; `loss_length` is 0 where nothing is trainable. `last` marks the example
-    that holds all turns. An empty table gives no row.
+    that holds all turns. An empty table gives no row; rows with a null conv_id are one
+    conversation. All turns of a conversation meet in one task, and its examples' texts
+    together grow with the square of its turns, as the method repeats what precedes.
     """
     turn = F.struct(
         F.col("turn"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")

@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import os
 import random
 import re
 import zlib
@@ -67,6 +68,11 @@ def test_exact_dedup_edges(spark):
     assert sorted((r.doc_id, r.keep_id, r.group_size, r.kept) for r in twice) == [(1, 1, 3, True), (1, 1, 3, True), (2, 1, 3, False)]
 
 
+def test_exact_dedup_of_null_ids(spark):
+    got = exact_dedup.exact_dedup(spark, frame(spark, [(None, "a"), (None, "a b"), (3, "ab")])).collect()
+    assert sorted(((r.doc_id, r.keep_id, r.group_size, r.kept) for r in got), key=repr) == sorted([(None, None, 1, True), (None, None, 2, True), (3, None, 2, False)], key=repr)
+
+
 def similar_truth(rows):
     def shingles(t):
         w = WORDS.findall((t or "").translate({i: i + 32 for i in range(65, 91)}))
@@ -203,6 +209,12 @@ def test_chat_round_trip(spark):
     assert examples.where("conv_id = 3").count() == 2 and chat.format_chat(frame(spark, [], CHAT)).collect() == []
 
 
+def test_chat_of_a_null_conversation(spark):
+    rows = [(None, 0, "user", "q"), (None, 1, "assistant", "a" * 200_000), (None, 2, "assistant", "b")]
+    got = chat.digest(chat.format_chat(frame(spark, rows, CHAT))).collect()
+    assert [(r.conv_id, r.n_turns, r.loss_chars) for r in got] == [(None, 3, 200_001)]
+
+
 def test_quality(spark):
     rng = random.Random(2)
     good = lambda: " ".join(rng.choice(["the", "sea", "is", "calm", "today", "and", "we", "walk"]) for _ in range(80))
@@ -400,3 +412,16 @@ def test_licenses(spark):
     got = {(r.doc_id, r.license, r.form, r.unit): (r.n_hits, r.first_line) for r in licenses.scan(spark, with_clashes(frame(spark, rows))).collect()}
     assert got == {(1, "MIT", "text", "text"): (1, 0), (2, "MIT", "notice", "line"): (2, 1), (2, "MIT", "notice", "text"): (1, 0), (7, "Apache-2.0", "notice", "text"): (1, 0)}
     assert licenses.scan(spark, frame(spark, [])).collect() == []
+    more = [(1, "Copyright (c) 2020 Jane Q. Doe. Released under the MIT License."), (2, "Copyright 2020 Jane Doe. All rights reserved.\n" + licenses.BSD_2), (3, "word " * 300_000 + "\nReleased under the MIT License."), (4, "copyright 2020 " + "x" * 500)]
+    found = {(r.doc_id, r.license, r.unit) for r in licenses.scan(spark, frame(spark, more)).collect()}
+    assert found == {(1, "MIT", "line"), (1, "MIT", "text"), (2, "BSD-2-Clause", "text"), (3, "MIT", "line")}
+    clash = spark.createDataFrame([(h, 3, n, "text") for h in [hashlib.sha256(b"abc").hexdigest()] for n in ("B", "A")], "digest string, size int, license string, form string")
+    assert [(r.license, r.n_hits) for r in licenses.scan(spark, frame(spark, [(1, "x\nABC!\nabc")]), clash).collect()] == [("A", 2)]
+
+
+@pytest.mark.skipif(not os.path.isdir("/usr/share/common-licenses"), reason="no license texts on this machine")
+def test_long_licenses_by_digest(spark):
+    folder = "/usr/share/common-licenses"
+    rows = [(i, open(f"{folder}/{f}").read()) for i, f in enumerate(("GPL-3", "Apache-2.0", "MPL-2.0")) if os.path.isfile(f"{folder}/{f}")]
+    found = {r.doc_id: r.license for r in licenses.scan(spark, frame(spark, rows)).collect() if r.form == "text"}
+    assert found == {i: ("GPL-3.0", "Apache-2.0", "MPL-2.0")[i] for i, _ in rows}
