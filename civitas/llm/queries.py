@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from civitas.llm import chat, decontamination, exact_dedup, language_id, licenses, ngram_join, packing, quality, secret_scan, suffix_dedup
+from civitas.llm import chat, decontamination, exact_dedup, language_id, licenses, ngram_join, packing, quality, secret_scan, suffix_dedup, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,6 +57,10 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(spark, table(spark, sf_dir, "documents"))
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(spark, table(spark, sf_dir, "pages"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -68,4 +72,4 @@ def queries():
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_chat_formatting": chat.ORACLE_SQL, "op8_exact_dedup": exact_dedup.ORACLE_SQL, "op10_license_scan": licenses.oracle_sql()}
+    return {"op4_chat_formatting": chat.ORACLE_SQL, "op8_exact_dedup": exact_dedup.ORACLE_SQL, "op10_license_scan": licenses.oracle_sql(), "op11_warc": warc.ORACLE_SQL}
