@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from civitas.llm import centroids, chat, decontamination, exact_dedup, language_id, licenses, ngram_join, packing, quality, secret_scan, suffix_dedup, warc
+from civitas.llm import centroids, chat, decontamination, exact_dedup, hard_negatives, language_id, licenses, ngram_join, packing, quality, secret_scan, suffix_dedup, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -61,6 +61,10 @@ def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(spark, table(spark, sf_dir, "pages"))
 
 
+def op12_hard_negative_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(spark, table(spark, sf_dir, "embeddings"))
+
+
 def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.cluster(spark, table(spark, sf_dir, "embeddings")).drop("checked")
 
@@ -76,4 +80,4 @@ def queries():
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_chat_formatting": chat.ORACLE_SQL, "op8_exact_dedup": exact_dedup.ORACLE_SQL, "op10_license_scan": licenses.oracle_sql(), "op11_warc": warc.ORACLE_SQL, "op13_centroid_clustering": centroids.oracle_sql()}
+    return {"op4_chat_formatting": chat.ORACLE_SQL, "op8_exact_dedup": exact_dedup.ORACLE_SQL, "op10_license_scan": licenses.oracle_sql(), "op11_warc": warc.ORACLE_SQL, "op12_hard_negative_mining": hard_negatives.ORACLE_SQL, "op13_centroid_clustering": centroids.oracle_sql()}
