@@ -6,7 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, functions as F
 
-from civitas.functions.text import bound
+from civitas.functions import fixed_values as V
+from civitas.functions.text import MARK, bound
 
 MONTHS = ("january", "february", "march", "april", "may", "june", "july", "august", "september", "october", "november", "december")
 MONTH = "(?:" + "|".join(MONTHS) + ")"
@@ -18,7 +19,7 @@ def month_number(c: Column) -> Column:
 
 
 def _months(names) -> Column:
-    return F.create_map(*(F.lit(x) for i, m in enumerate(MONTHS) for n in sorted({*names(m)}) for x in (n, i + 1)))
+    return F.expr("map(" + ", ".join(f"'{n}', {i + 1}" for i, m in enumerate(MONTHS) for n in sorted({*names(m)})) + ")")
 
 
 def _day_of(year: Column, month, day) -> Column:
@@ -110,13 +111,51 @@ def harvested(c: Column) -> Column:
     return _every(c, parsed_end)
 
 
+# Forms of dates in the texts of events, the more specific ones first.
+_NAMES = "(?:" + "|".join([m.capitalize() for m in MONTHS] + [m[:3].capitalize() for m in MONTHS]) + ")"
+EVENT_FORMS = {
+    "iso": r"(?i)\b(\d{4})-(\d{1,2})-(\d{1,2})\b",
+    "numeric": r"(?i)\b(\d{1,2})([./-])(\d{1,2})\2(\d{4})\b",
+    "named": rf"(?i)\b(\d{{1,2}})\s+({_NAMES})\s+(\d{{4}})\b",
+    "period": r"(?i)\b(?:(?:early|late|end(?:\s+of)?)|(?:(?:first|second|third|fourth|last)\s+(?:half|quarter)(?:\s+of)?)|(?:spring|summer|autumn|fall|winter)|since|Q[1-4])\s+(\d{4})\b",
+    "month": rf"(?i)\b({_NAMES})\s+(\d{{4}})\b",
+    "year": r"(?i)(?<![\d/(\-])\b(20\d{2})\b(?![\d/\-])",
+}
+EVENT_READERS = {
+    "iso": lambda x: x.try_cast("date"),
+    "numeric": lambda x: F.regexp_replace(x, r"^(\d+)[./-](\d+)[./-](\d+)$", "$3-$2-$1").try_cast("date"),
+    "named": lambda x: parsed(x),
+    "period": lambda x: deadline(x),
+    "month": lambda x: deadline(x),
+    "year": lambda x: F.concat(x, F.lit("-01-01")).try_cast("date"),
+}
+
+
 def event_dates(c: Column) -> Column:
-    """All dates of an event's text, first days of periods for coarser ones (January 1 of a bare year), in order.
+    """All dates of an event's text, distinct: by the order of EVENT_FORMS, then of appearance.
 
-    Years in addresses and in names of programmes and agendas are not dates.
+    A form takes what it has read out of the text, so that no coarser form reads a part of it
+    again; what cannot be read stays for the others. A bare year means its January 1. Addresses
+    and names of programmes are no dates.
     """
-    plain = F.regexp_replace(c, r"https?://\S+", " ")
-    return _every(F.regexp_replace(plain, r"\b(?:[A-Z]\p{L}+\s+)(?:19|20)\d{2}(?:\s*[-–]\s*(?:19|20)?\d{2})?(?=\s+(?:programme|program|agenda|strategy|work))", " "), parsed)
+    plain = F.regexp_replace(F.regexp_replace(F.replace(c, F.lit(MARK), F.lit(" ")), r"(?i)https?://\S+|www\.\S+", ""), "(?i)" + "|".join(V.PROGRAMMES), "")
+    state = F.struct(plain.alias("text"), F.array().cast("array<date>").alias("days"))
+    for form, pattern in EVENT_FORMS.items():
+        state = bound(state, _taking(pattern, EVENT_READERS[form]))
+    return F.array_distinct(state["days"])
+
+
+def _taking(pattern: str, read):
+    """A step: the dates that a form reads, and the text with word characters in place of them."""
+
+    def step(state: Column) -> Column:
+        parts = F.split(F.regexp_replace(state["text"], pattern, f"{MARK}$0{MARK}"), MARK)
+        told = F.transform(parts, lambda x, i: F.struct(x.alias("part"), F.when(i % 2 == 1, read(x)).alias("day")))
+        left = lambda t: F.when(t["day"].isNull(), t["part"]).otherwise(F.repeat(F.lit("_"), F.char_length(t["part"])))
+        days = lambda own: F.filter(F.transform(own, lambda t: t["day"]), lambda d: d.isNotNull())
+        return bound(told, lambda own: F.struct(F.array_join(F.transform(own, left), "").alias("text"), F.concat(state["days"], days(own)).alias("days")))
+
+    return step
 
 
 def _every(c: Column, read) -> Column:

@@ -314,3 +314,98 @@ LEGISLATIVE = {
         r"(?:created|creation|new|adopted|establish).*?(?:tariff codes?|cn codes?|standards)",
     ),
 }
+
+# Rows of a rule table: a label, groups of phrases (one of each group has to occur), and phrases none of which may occur.
+# The first row that holds gives the label.
+
+STUDIED_NOT = ("intention to table a legislative proposal", "became applicable")
+
+STATUS_RULES = (
+    ("applicable", (APPLICABLE,), ()),
+    ("applicable", (("entered into force",), ADOPTED), ()),
+    ("applicable", (("applies from", "apply from"), ("adopted", "regulation", "directive")), ()),
+    ("adopted", (ADOPTED,), ()),
+    ("committed", (COMMITTED,), ()),
+    ("committed", (("to table a legislative proposal",), ("by",)), ()),
+    ("assessment_pending", (("tasked",), ("efsa",), ("scientific opinion",)), STUDIED_NOT),
+    ("assessment_pending", (("impact assessment",), ASSESSING), STUDIED_NOT),
+    ("assessment_pending", (("will communicate",), ("by", "after")), STUDIED_NOT),
+    ("roadmap_development", (("roadmap",), ROADMAP), ("became applicable",)),
+    ("rejected_already_covered", (REFUSED, EXISTING), ("no repeal",)),
+    ("rejected_already_covered", (REFUSED, EXISTING), ("was proposed",)),
+    ("rejected_with_actions", (REFUSED, OTHER_ACTIONS), ()),
+    ("rejected_with_actions", (("no repeal",), ("was proposed",), OTHER_ACTIONS), ()),
+    ("rejected", (REFUSED,), ()),
+    ("rejected", (("no repeal",), ("was proposed",)), ()),
+    ("non_legislative_action", (FOCUS,), PROMISED),
+    ("non_legislative_action", (MEASURES,), ("proposal",)),
+    ("proposal_pending_adoption", (("proposal",), ("tabled",), ("rather than proposing new legislative acts",)), ("became applicable", "entered into force")),
+)
+
+REVISED, PROPOSED, PASSED = ("revision", "revised", "recast"), ("proposal", "proposed"), ("adopted", "adoption")
+
+ACTION_RULES = (
+    ("Tariff Codes Creation", (("tariff code",),), ()),
+    ("Standards Adoption", (("standards",), ("minimum", "hygiene")), ()),
+    ("Directive Revision", (REVISED, ("directive",)), ()),
+    ("Regulation Revision", (REVISED, ("regulation",)), ()),
+    ("Legislative Revision", (REVISED,), ()),
+    ("Amendment", (("amendment",),), ()),
+    ("Regulation Proposal", (PROPOSED, ("regulation",)), ()),
+    ("Directive Proposal", (PROPOSED, ("directive",)), ()),
+    ("Law Proposal", (PROPOSED, ("law",)), ()),
+    ("Legislative Proposal", (PROPOSED,), ()),
+    ("Regulation Adoption", (PASSED, ("regulation",)), ()),
+    ("Directive Adoption", (PASSED, ("directive",)), ()),
+    ("Law Adoption", (PASSED, ("law",)), ()),
+    ("Legislative Adoption", (PASSED,), ()),
+    ("Law Entered Into Force", (("entered into force", "became applicable"),), ()),
+    ("Regulation Withdrawal", (("withdraw",), ("regulation",)), ()),
+    ("Directive Withdrawal", (("withdraw",), ("directive",)), ()),
+    ("Proposal Withdrawal", (("withdraw",),), ()),
+)
+
+# Words after which an action's date is looked for, by its status.
+LEGISLATIVE_WORDS = {
+    "law_active": ("applies from", "apply from", "rules apply from", "became applicable"),
+    "in_vacatio_legis": ("entered into force", "came into force"),
+    "withdrawn": ("withdrawn", "withdraw"),
+    "adopted": ("adopted", "approved"),
+    "proposed": ("proposal", "proposed", "tabled", "plans for", "committed to"),
+    "planned": ("will apply", "planned", "foresees", "intends"),
+}
+
+# What makes a passage one about legislation, so that it is not another measure.
+ABOUT_LAWS = (
+    r"\bentered into force\b",
+    r"\bbecame applicable\b",
+    r"\bwithdrawal\b",
+    r"\bdecided not to submit a legislative proposal\b",
+    r"\bcome forward with a legislative proposal\b",
+    r"\btable a legislative proposal\b",
+    r"\bno new legislation\b",
+    r"\bcame into force on\b",
+    r"\bamendment to the directive\b",
+    r"\bamendment to the regulation\b",
+    r"\bamending directive\b",
+    r"\bamending regulation\b",
+    r"\brevision of legislation\b",
+    r"\blabelling requirements\b",
+    r"\bmandatory labelling\b",
+    r"\bsets out plans for a legislative proposal\b",
+)
+
+# Names whose years are not dates of events.
+PROGRAMMES = (
+    "2030 Agenda",
+    "Agenda 2030",
+    "Europe 2020",
+    "Horizon 2020",
+    "Natura 2000",
+    "Vision 2025",
+    "Vision 2030",
+    "Vision 2050",
+    r"Industrie 4\.0",
+    r"Industry 4\.0",
+    "2020 Farm to Fork Strategy",
+)

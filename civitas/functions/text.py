@@ -6,6 +6,8 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, functions as F
 
+from civitas.functions import fixed_values as V
+
 
 def normalized(c: Column) -> Column:
     """Runs of (Unicode) white space become one blank; none at the ends."""
@@ -59,8 +61,8 @@ def bound(value: Column, f: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), f), 1)
 
 
-def matches_any(c: Column, patterns: Sequence[str]) -> Column:
-    return F.coalesce(F.rlike(c, F.lit("(?i)(?:" + "|".join(patterns) + ")")), F.lit(False))
+def matches_any(c: Column, patterns: Sequence[str], case_blind: bool = True) -> Column:
+    return F.coalesce(F.rlike(c, F.lit(("(?i)" if case_blind else "") + "(?:" + "|".join(patterns) + ")")), F.lit(False))
 
 
 def categories(c: Column, keywords: dict[str, Sequence[str]], default: str = "Other") -> Column:
@@ -71,9 +73,9 @@ def categories(c: Column, keywords: dict[str, Sequence[str]], default: str = "Ot
     return bound(F.lower(F.coalesce(c, F.lit(""))), lambda low: bound(hits(low), lambda h: F.when(F.size(h) == 0, F.array(F.lit(default))).otherwise(h)))
 
 
-def first_class(c: Column, patterns: dict[str, Sequence[str]]) -> Column:
+def first_class(c: Column, patterns: dict[str, Sequence[str]], case_blind: bool = True) -> Column:
     """The first class, in declaration order, of which a pattern occurs; null if none does."""
-    return F.coalesce(*(F.when(matches_any(c, p), F.lit(k)) for k, p in patterns.items()))
+    return F.coalesce(*(F.when(matches_any(c, p, case_blind), F.lit(k)) for k, p in patterns.items()))
 
 
 def clean_status(c: Column) -> Column:
@@ -82,28 +84,21 @@ def clean_status(c: Column) -> Column:
     return F.when(F.contains(F.lower(one), F.lit("verification")), "Verification").otherwise(F.initcap(one))
 
 
-def action_type(c: Column) -> Column:
-    """Kind of a legislative action: an ordered ladder of words, refined by the kind of act."""
-    t = F.lower(c)
-    has = lambda *w: contains_any(t, w)
-
-    def by_act(acts: Sequence[tuple[str, str]], rest: str) -> Column:
-        out = F.lit(rest)
-        for word, label in reversed(acts):
-            out = F.when(has(word), label).otherwise(out)
+def by_rules(low: Column, rules) -> Column:
+    """The label of the first row of a rule table (label, groups of phrases, forbidden phrases) that holds of a lower-cased text; null if none does."""
+
+    def holds(groups, forbidden) -> Column:
+        out = ~contains_any(low, forbidden) if forbidden else F.lit(True)
+        for g in groups:
+            out = out & contains_any(low, g)
         return out
 
-    return (
-        F.when(has("tariff code"), "Tariff Codes Creation")
-        .when(has("standards") & has("minimum", "hygiene"), "Standards Adoption")
-        .when(has("revision", "revised", "recast"), by_act([("directive", "Directive Revision"), ("regulation", "Regulation Revision")], "Legislative Revision"))
-        .when(has("amendment"), "Amendment")
-        .when(has("proposal", "proposed"), by_act([("regulation", "Regulation Proposal"), ("directive", "Directive Proposal"), ("law", "Law Proposal")], "Legislative Proposal"))
-        .when(has("adopted", "adoption"), by_act([("regulation", "Regulation Adoption"), ("directive", "Directive Adoption"), ("law", "Law Adoption")], "Legislative Adoption"))
-        .when(has("entered into force", "became applicable"), "Law Entered Into Force")
-        .when(has("withdraw"), by_act([("regulation", "Regulation Withdrawal"), ("directive", "Directive Withdrawal")], "Proposal Withdrawal"))
-        .otherwise("Legislative Action")
-    )
+    return F.coalesce(*(F.when(holds(groups, forbidden), F.lit(label)) for label, groups, forbidden in rules))
+
+
+def action_type(c: Column) -> Column:
+    """Kind of a legislative action by the rule table of actions."""
+    return F.coalesce(bound(F.lower(c), lambda t: by_rules(t, V.ACTION_RULES)), F.lit("Legislative Action"))
 
 
 def shortened(c: Column, n: int) -> Column:
@@ -160,6 +155,33 @@ def sentences(c: Column) -> Column:
     return F.filter(F.split(normalized(c), r"(?<=[.!?])\s+"), lambda s: s != "")
 
 
+def sentence_around(before: Column, rest: Column) -> Column:
+    """The sentence at a place, of the text before and after it, without leading punctuation.
+
+    It begins after a full stop, question or exclamation mark that white space follows, a bullet or
+    an empty line, and ends with the next such mark or before an empty line.
+    """
+    begun = F.regexp_replace(before, r"(?s)^.*(?:[.!?](?=\s)|•|\n\n)", "")
+    ended = F.regexp_extract(rest, r"(?s)^.*?(?:[.!?]|(?=\n\n)|\z)", 0)
+    return F.nullif(normalized(without_leading_punctuation(F.regexp_replace(F.concat(begun, ended), r"(?U)^\s+|\s+$", ""))), F.lit(""))
+
+
+#: Marks the places of matches; texts that hold it themselves get a blank instead.
+MARK = "\ue000"
+
+
+def matches(c: Column, pattern: Column) -> Column:
+    """array<struct<start, group>>: matches of a pattern from left to right, with their places and first groups."""
+    parts = F.split(F.regexp_replace(F.replace(c, F.lit(MARK), F.lit(" ")), pattern, F.lit(MARK + "$0")), MARK)
+
+    def placed(p: Column) -> Column:
+        starts = F.transform(p, lambda _, i: F.aggregate(F.slice(p, 1, i), F.lit(0), lambda n, x: n + F.char_length(x)))
+        found = F.zip_with(p, starts, lambda x, at: F.struct(at.alias("start"), F.try_element_at(F.regexp_extract_all(x, pattern, F.lit(1)), F.lit(1)).alias("group")))
+        return F.slice(found, 2, F.size(found))
+
+    return bound(parts, placed)
+
+
 def sentence_with(c: Column, phrase: str) -> Column:
     """The first sentence that holds the phrase; null if none does."""
     return F.try_element_at(F.filter(sentences(c), lambda s: F.contains(F.lower(s), F.lit(phrase.lower()))), F.lit(1))
@@ -185,40 +207,23 @@ def status_label(c: Column) -> Column:
 
 
 class StatusLadder:
-    """Implementation status of an answer by phrases in its text, in order of priority.
+    """Implementation status of an answer by a rule table over its text, in order of priority.
 
-    The phrase lists are parameters, so other corpora can bring their own.
+    The rules are a parameter, so other corpora can bring their own.
     """
 
-    def __init__(self, applicable, adopted, committed, assessing, refused, no_repeal, other_actions, existing, roadmap, focus, promised, measures):
-        self.__dict__.update({k: v for k, v in locals().items() if k != "self"})
+    def __init__(self, rules=V.STATUS_RULES):
+        self.rules = rules
+
+    def reached(self, content: Column, *labels: str) -> Column:
+        """The first of some labels whose rules hold of a comparable text, whatever else holds."""
+        return bound(content, lambda t: by_rules(t, [r for r in self.rules if r[0] in labels]))
+
+    def rejection(self, content: Column) -> Column:
+        return self.reached(content, "rejected_already_covered", "rejected_with_actions", "rejected")
 
-    def rejection(self, t: Column) -> Column:
-        repeal = contains_all(t, self.no_repeal)
-        actions = contains_any(t, self.other_actions)
-        return F.when(
-            contains_any(t, self.refused) | repeal,
-            F.when(~repeal & contains_any(t, self.existing), "rejected_already_covered").when(actions, "rejected_with_actions").otherwise("rejected"),
-        )
+    def status(self, content: Column) -> Column:
+        return bound(content, lambda t: by_rules(t, self.rules))
 
     def __call__(self, c: Column) -> Column:
-        t = comparable(c)
-        has, all_ = (lambda *w: contains_any(t, w)), (lambda *w: contains_all(t, w))
-        active = has("became applicable")
-        in_force = contains_any(t, self.applicable) | (has("entered into force") & contains_any(t, self.adopted)) | (has("applies from", "apply from") & has("adopted", "regulation", "directive"))
-        promise = contains_any(t, self.committed) | all_("to table a legislative proposal", "by")
-        studied = ~has("intention to table a legislative proposal") & ~active & (
-            all_("tasked", "efsa", "scientific opinion") | (has("impact assessment") & contains_any(t, self.assessing)) | (has("will communicate") & has("by", "after"))
-        )
-        soft = (contains_any(t, self.focus) & ~contains_any(t, self.promised)) | (contains_any(t, self.measures) & ~has("proposal"))
-        pending = all_("proposal", "tabled", "rather than proposing new legislative acts") & ~active & ~has("entered into force")
-        return F.coalesce(
-            F.when(in_force, "applicable"),
-            F.when(contains_any(t, self.adopted), "adopted"),
-            F.when(promise, "committed"),
-            F.when(studied, "assessment_pending"),
-            F.when(~active & has("roadmap") & contains_any(t, self.roadmap), "roadmap_development"),
-            self.rejection(t),
-            F.when(soft, "non_legislative_action"),
-            F.when(pending, "proposal_pending_adoption"),
-        )
+        return self.status(comparable(c))

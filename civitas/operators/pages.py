@@ -147,7 +147,7 @@ def registry_record(pages: DataFrame, base_url: str) -> DataFrame:
         F.substring(F.array_join(N.texts_of(N.tagged(part("Objectives?"), "p")), "\n"), 1, 1100).alias("objective"),
         F.nullif(F.array_join(N.texts_of(N.tagged(part("Annex"), "p", "li")), "\n"), F.lit("")).alias("annex"),
         current_status(n).alias("current_status"),
-        F.concat(F.lit(base_url), F.regexp_replace(number, "/", "/details/")).alias("url"),
+        F.concat(F.lit(f"{base_url}details/"), number, F.lit("_en")).alias("url"),
         *((verification_end(F.col("steps")) if k == "Valid initiative" else D.step_date(F.reverse("steps"), k)).alias(c) for k, c in STEPS.items()),
         *organiser_columns(F.col("organisers")),
         F.to_json("steps").alias("timeline"),
@@ -186,7 +186,6 @@ ACTS = {
     "Article": r"Article\s+(\d{1,3}(?:\([a-z0-9]+\))?)",
 }
 JOURNAL = {"legislation": "L", "information_and_notices": "C"}
-FOLLOWUP_SECTIONS = {"response-of-the-commission": None, "follow-up-on-the-commissions-actions": "follow-up", "next-steps": "next steps"}
 
 
 def followup_flag(text: Column, kind: str, patterns: bool = False) -> Column:
@@ -215,16 +214,6 @@ def legislation_by_id(text: Column, hrefs: Column) -> Column:
     return F.struct(*(_some(F.array_distinct(v)).alias(k) for k, v in found.items()), journal.alias("official_journal"))
 
 
-def followup_content(nodes: Column) -> Column:
-    """The normalised lower-case text of a follow-up page's three sections, by id or else by words of the heading."""
-    def texts(key: str, words: str | None) -> Column:
-        by_id = F.exists(nodes, lambda n: (n["tag"] == "h2") & (n["id"] == key))
-        part = lambda pattern: N.texts_of(N.tagged(N.section(nodes, F.lit(pattern)), "p", "li"))
-        return F.when(by_id, part(f"^{key}$")).otherwise(part(f"(?i){words}") if words else F.array().cast("array<string>"))
-
-    return F.nullif(T.comparable(F.array_join(F.concat(*(texts(k, w) for k, w in FOLLOWUP_SECTIONS.items())), " ")), F.lit(""))
-
-
 def content(nodes: Column, heading: str, tags: tuple[str, ...] = ("p", "li")) -> Column:
     """Texts of a section's elements, empty ones left out: what `folded` and `any_of` go over."""
     return F.filter(N.texts_of(N.tagged(N.section(nodes, F.lit(heading)), *tags)), lambda t: t != "")
@@ -270,12 +259,16 @@ def officials_met(texts: Column) -> Column:
     return F.nullif(F.try_element_at(F.filter(F.transform(_meeting(texts), named), lambda x: x.isNotNull()), F.lit(1)), F.lit(""))
 
 
-def paragraph_links(nodes: Column, phrases: tuple[str, ...], lower: bool = True) -> Column:
-    """Link text -> target of the first paragraph with one of the phrases and any link; of repeated texts the last stays."""
+def paragraph_links(nodes: Column, paragraphs: Column, phrases: tuple[str, ...], lower: bool = True) -> Column:
+    """Link text -> target of a paragraph with one of the phrases; of repeated texts the last stays.
+
+    Lower-cased: of the first such paragraph that has links. As it stands: of the first such paragraph, null if it has none.
+    """
     own = lambda t: F.lower(t) if lower else t
-    inside = lambda p: F.filter(nodes, lambda n: (n["tag"] == "a") & (n["parent"] == p["idx"]) & (n["href"] != "") & (n["text"] != ""))
-    told = F.transform(F.filter(N.tagged(nodes, "p"), lambda p: T.contains_any(own(p["text"]), phrases)), inside)
-    return N.link_map(F.try_element_at(F.filter(told, lambda a: F.size(a) > 0), F.lit(1)))
+    inside = lambda p: F.filter(N.inside(nodes, p), lambda a: (a["tag"] == "a") & (a["href"] != "") & (a["text"] != ""))
+    told = F.transform(F.filter(paragraphs, lambda p: T.contains_any(own(p["text"]), phrases)), inside)
+    first = F.try_element_at(F.filter(told, lambda a: F.size(a) > 0) if lower else told, F.lit(1))
+    return T.bound(first, lambda a: F.when(F.size(a) > 0, N.link_map(a, lower)))
 
 
 def applicable_date(texts: Column, applicable: Column) -> Column:
@@ -290,105 +283,6 @@ def applicable_date(texts: Column, applicable: Column) -> Column:
     return F.when(applicable, F.try_element_at(F.filter(F.transform(texts, told), lambda d: d.isNotNull()), F.lit(1)).cast("string"))
 
 
-def legislation_by_name(text: Column) -> Column:
-    """Names of treaties, charters, directives and regulations, sorted, distinct regardless of case."""
-    def named(kind: str) -> Column:
-        every = F.regexp_extract_all(text, F.lit(rf"((?:[A-Z][\p{{L}}-]+\s+(?:(?:on|of|the|and|for)\s+)*)+{kind}s?)\b"), F.lit(1))
-        plain = F.transform(every, lambda x: F.trim(F.regexp_replace(x, r"^(?:The|This|That|A|An)\s+", "")))
-        plain = F.filter(plain, lambda x: F.lower(x) != kind.lower())
-        return F.array_sort(F.aggregate(plain, F.array().cast("array<string>"), lambda acc, x: F.when(F.exists(acc, lambda a: F.lower(a) == F.lower(x)), acc).otherwise(F.array_append(acc, x))))
-
-    return F.struct(named("Treaty").alias("treaties"), named("Charter").alias("charters"), named("Directive").alias("directives"), named("Regulation").alias("regulations"))
-
-
-def deadline_hits(parts: Column) -> Column:
-    """array<struct<day, sentence>>: what every deadline pattern finds in every sentence."""
-    def in_sentence(s: Column) -> Column:
-        told = F.flatten(F.array(*(F.regexp_extract_all(F.lower(s), F.lit(p), F.lit(1)) for p in V.DEADLINES)))
-        return F.transform(told, lambda x: F.struct(D.deadline(x).cast("string").alias("day"), s.alias("sentence")))
-
-    return F.filter(F.flatten(F.transform(F.flatten(F.transform(parts, T.sentences)), in_sentence)), lambda x: x["day"].isNotNull())
-
-
-def deadline_map(hits: Column) -> Column:
-    """map day -> sentences, joined by `; `."""
-    days = F.array_distinct(F.transform(hits, lambda x: x["day"]))
-    return F.map_from_entries(F.transform(days, lambda d: F.struct(d, F.array_join(F.array_distinct(F.transform(F.filter(hits, lambda x: x["day"] == d), lambda x: x["sentence"])), "; "))))
-
-
-def law_actions(parts: Column) -> Column:
-    """array<struct<type, description, status, date>> of paragraphs that tell of legislation, the first of equal ones."""
-    told = F.transform(parts, lambda p: F.struct(T.action_type(p).alias("type"), p.alias("description"), T.first_class(p, V.LEGISLATIVE).alias("status"), F.try_element_at(D.harvested(p), F.lit(1)).cast("string").alias("date")))
-    return F.array_distinct(F.filter(told, lambda a: a["status"].isNotNull()))
-
-
-def policy_actions(parts: Column, least: int = 20) -> Column:
-    """array<struct<type, description, date>> of paragraphs that tell of other measures."""
-    kept = F.filter(parts, lambda p: (F.char_length(p) >= least) & T.first_class(p, V.LEGISLATIVE).isNull())
-    told = F.transform(kept, lambda p: F.struct(T.first_class(p, V.POLICY_TYPES).alias("type"), p.alias("description"), F.try_element_at(D.harvested(p), F.lit(1)).cast("string").alias("date")))
-    return F.array_distinct(F.filter(told, lambda a: a["type"].isNotNull()))
-
-
-def events(parts: Column, skip: tuple[str, ...] = ()) -> Column:
-    """array<struct<dates, action>> of paragraphs that are neither boilerplate nor an introduction ending in a colon."""
-    kept = F.filter(parts, lambda p: ~F.endswith(p, F.lit(":")) & ~T.contains_any(F.lower(p), skip))
-    return F.transform(kept, lambda p: F.struct(F.transform(D.harvested(p), lambda d: d.cast("string")).alias("dates"), p.alias("action")))
-
-
-def response_record(pages: DataFrame, ladder: T.StatusLadder, as_of: Column, answer: str = "(?i)answer of the european commission|answer-of-the-european-commission|response-of-the-commission", followup: str = "(?i)^follow-?up") -> DataFrame:
-    """One row per page (file_name, nodes): the fields of a response or follow-up page."""
-    n = F.col("nodes")
-    answer_nodes, more = N.section(n, F.lit(answer)), N.section(n, F.lit(followup))
-    submitted = N.section(n, F.lit("(?i)submission"))
-    out = pages.withColumn("asked", F.filter(N.texts_of(N.tagged(submitted, "p")), lambda t: t != "")).withColumn("answer_parts", paragraphs(answer_nodes)).withColumn("more_parts", paragraphs(more)).withColumn("submission", F.array_join(N.texts_of(N.tagged(submitted, "p")), " "))
-    out = out.withColumn("parts", F.concat("answer_parts", "more_parts")).withColumn("told", F.array_join("parts", " ")).withColumn("page_text", F.array_join(N.texts_of(N.tagged(n, "body")), " ")).withColumn("dates", D.harvested(F.array_join("more_parts", " ")))
-    out = out.withColumn("hits", deadline_hits(F.col("parts"))).withColumn("laws", law_actions(F.col("parts"))).withColumn("policies", policy_actions(F.col("parts"))).withColumn("happened", events(F.col("more_parts"))).withColumn("status", ladder(F.col("told")))
-    status = F.col("status")
-    flag = lambda kind: followup_flag(F.array_join("more_parts", " "), kind)
-    every = F.concat_ws(" ", F.array_join("asked", " "), "told")
-    by_phrase = lambda p: F.try_element_at(F.flatten(F.transform(F.filter(T.sentences(every), lambda x: F.contains(F.lower(x), F.lit(p))), D.harvested)), F.lit(1)).cast("string")
-    return out.select(
-        F.regexp_replace(F.regexp_extract("file_name", r"(\d{4}_\d{6})_[a-z]{2}\.html", 1), "_", "/").alias("registration_number"),
-        F.coalesce(F.try_element_at(F.transform(F.filter(n, lambda x: (x["tag"] == "link") & (x["name"] == "en")), lambda x: x["href"]), F.lit(1)), N.meta(n, "og:url")).alias("response_url"),
-        F.try_element_at(N.links(n, href=r"/initiatives/details/\d{4}/\d{6}_en$"), F.lit(1)).alias("initiative_url"),
-        F.nullif("submission", F.lit("")).alias("submission_text"),
-        F.try_element_at(D.harvested(F.col("submission")), F.lit(1)).cast("string").alias("commission_submission_date"),
-        F.try_element_at(N.links(n, text="press|announcement|news", href="presscorner|rapid"), F.lit(1)).alias("submission_news_url"),
-        meeting_date(F.col("asked")).alias("commission_meeting_date"),
-        officials_met(F.col("asked")).alias("commission_officials_met"),
-        by_phrase("public hearing").alias("parliament_hearing_date"),
-        F.to_json(paragraph_links(submitted, ("public hearing",))).alias("parliament_hearing_video_urls"),
-        by_phrase("plenary").alias("plenary_debate_date"),
-        F.to_json(paragraph_links(submitted, DEBATED, lower=False)).alias("plenary_debate_video_urls"),
-        by_phrase("communication").alias("official_communication_adoption_date"),
-        F.to_json(N.links(n, text="communication|annex")).alias("official_communication_document_urls"),
-        F.array_join(F.transform(N.tagged(answer_nodes, "p", "li"), lambda x: x["links"]), "\n").alias("commission_answer_text"),
-        status.alias("final_outcome_status"),
-        T.status_label(status).alias("final_outcome_label"),
-        (T.contains_any(F.lower("told"), V.COMMITTED)).alias("commission_promised_new_law"),
-        F.coalesce(ladder.rejection(T.comparable(F.col("told"))).isNotNull(), F.lit(False)).alias("commission_rejected_initiative"),
-        F.nullif(F.array_join(F.filter("parts", lambda p: T.contains_any(F.lower(p), V.REASONS)), " "), F.lit("")).alias("commission_rejection_reason"),
-        F.to_json(deadline_map(F.col("hits"))).alias("commission_deadlines"),
-        F.to_json("laws").alias("laws_actions"),
-        F.to_json("policies").alias("policies_actions"),
-        (F.size("more_parts") > 0).alias("has_followup_section"),
-        flag("roadmap").alias("has_roadmap"),
-        flag("workshop").alias("has_workshop"),
-        flag("partnership").alias("has_partnership_programs"),
-        applicable_date(F.col("answer_parts"), status == "applicable").alias("law_implementation_date"),
-        F.to_json(court_cases(F.col("page_text"))).alias("court_cases_referenced"),
-        D.latest_until(F.col("dates"), as_of).cast("string").alias("followup_latest_date"),
-        F.array_max("dates").cast("string").alias("followup_most_future_date"),
-        D.latest_after(F.col("dates"), as_of).cast("string").alias("followup_next_date"),
-        F.try_element_at(N.links(n, text="factsheet"), F.lit(1)).alias("commission_factsheet_url"),
-        F.try_element_at(N.links(n, href=r"^https://.*eci/eci-[^/]+_en$"), F.lit(1)).alias("followup_dedicated_website"),
-        F.to_json(legislation_by_id(F.col("page_text"), N.links(n))).alias("referenced_legislation_by_id"),
-        F.to_json(legislation_by_name(F.col("told"))).alias("referenced_legislation_by_name"),
-        F.to_json("happened").alias("followup_events_with_dates"),
-        "parse_error",
-    )
-
-
 def guarded(records: DataFrame, responses: DataFrame, key: str = "registration_number") -> tuple[DataFrame, DataFrame]:
     """Follow-up records whose number is known, and the others."""
     return records.join(responses, key, "left_semi"), records.join(responses, key, "left_anti")

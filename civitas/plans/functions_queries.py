@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from civitas.functions import dates as D, fixed_values as V, json_ops as J, text as T
 from civitas.plans.analyses import query
 
-LADDER = T.StatusLadder(V.APPLICABLE, V.ADOPTED, V.COMMITTED, V.ASSESSING, V.REFUSED, V.NO_REPEAL, V.OTHER_ACTIONS, V.EXISTING, V.ROADMAP, V.FOCUS, V.PROMISED, V.MEASURES)
+LADDER = T.StatusLadder()
 
 TOPICS = {"Food": ("almond", "lemon", "th"), "Colour": ("blue", "green", "ing"), "Metal": ("steel", "copper", "ent")}
 

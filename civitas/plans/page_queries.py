@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from civitas.functions import text as T
-from civitas.operators import pages as P
+from civitas.operators import answers as A, pages as P
 from civitas.plans.analyses import query
 from civitas.plans.functions_queries import LADDER
 from civitas.sources import nodes as N, snapshots as S
@@ -74,7 +74,7 @@ def registry_pages(t) -> DataFrame:
     """WITH b AS (SELECT c_custkey AS k, c_name, c_mktsegment, (2012 + c_custkey % 10) || '/' || lpad(CAST(c_custkey AS VARCHAR), 6, '0') AS number FROM customer),
 d AS (SELECT *, [strftime(DATE '2012-01-01' + CAST((k * 7 + n) % 3000 AS INTEGER), '%d/%m/%Y') FOR n IN [0, 10, 400, 430, 440, 700, 380, 800]] AS x FROM b)
 SELECT number AS registration_number, c_name AS title, 'Aim of ' || c_name || '.' || chr(10) || 'More & more.' AS objective, c_mktsegment AS annex, CASE WHEN k % 3 = 0 THEN 'Answered initiative' ELSE 'Collection closed' END AS current_status,
- 'https://example.org/initiatives/' || replace(number, '/', '/details/') AS url, x[1] AS timeline_registered, x[2] AS timeline_collection_start_date, CASE WHEN k % 3 <> 0 THEN x[7] END AS timeline_collection_closed, x[3] AS timeline_verification_start,
+ 'https://example.org/initiatives/details/' || number || '_en' AS url, x[1] AS timeline_registered, x[2] AS timeline_collection_start_date, CASE WHEN k % 3 <> 0 THEN x[7] END AS timeline_collection_closed, x[3] AS timeline_verification_start,
  CASE WHEN k % 3 = 0 THEN x[6] WHEN k % 5 = 0 THEN x[4] ELSE x[5] END AS timeline_verification_end, CASE WHEN k % 3 = 0 THEN x[6] END AS timeline_response_commission_date,
  CASE WHEN k % 2 = 0 THEN '{"number_of_people":2,"countries_of_residence":{"France":1,"Malta":1}}' ELSE '{"number_of_people":2,"countries_of_residence":{"France":2}}' END AS organizer_representative,
  CASE WHEN k % 6 = 0 THEN '{"name":"' || c_name || ' asbl","country_of_residence":"Belgium"}' ELSE '{}' END AS organizer_entity, '{"substitute":{"number_of_people":0},"members":{"number_of_people":' || (k % 4) || '}}' AS organizer_others,
@@ -91,52 +91,132 @@ def registry_records(t):
 
 ANSWERS = {
     "applicable": "The Regulation became applicable on 27 March 2021.",
-    "committed": "The Commission will table a legislative proposal, by May 2018.",
+    "committed": "The Commission will table a legislative proposal, by May 20%d. It is glad.",
     "rejected_already_covered": "The Commission will make no legislative proposal, as existing legislation is enough.",
     None: "Nothing of note was said here at all.",
 }
+AS_OF = "2026-01-13"
+
+
+def _when(test: Column, *parts) -> Column:
+    return F.when(test, _html(*parts)).otherwise("")
+
+
+def _answer(k: Column) -> Column:
+    return F.format_string("%s", F.get(F.array(*(F.format_string(a, (18 + k % 8).cast("int")) if "%d" in a else F.lit(a) for a in ANSWERS.values())), (k % 4).cast("int")))
+
+
+def _named_day(k: Column, n: int) -> Column:
+    return F.date_format(F.date_add(F.lit("2014-01-01").cast("date"), ((k * 11 + n) % 2000).cast("int")), "d MMMM yyyy")
 
 
 def response_pages(t) -> DataFrame:
     """file_name and html: a response page for each customer."""
     k = F.col("c_custkey")
-    day = lambda n: F.date_format(F.date_add(F.lit("2014-01-01").cast("date"), ((k * 11 + n) % 2000).cast("int")), "d MMMM yyyy")
-    answer = F.get(F.array(*map(F.lit, ANSWERS.values())), (k % 4).cast("int"))
     page = _html(
-        '<html><head><link rel="alternate" hreflang="en" href="https://example.org/r/', k.cast("string"), '_en"></head><body><h2 id="Submission-and-examination">Submission</h2><p>Submitted on ', day(0), ".</p>",
-        "<p>The organisers met with European Commission First Vice-President Jo Doe and Commissioner Al Poe on ", day(30), ".</p>",
-        "<p>A public hearing took place on ", day(60), ': <a href="/v/', k.cast("string"), '">Recording</a></p>', F.when(k % 2 == 0, '<p>The initiative was debated at the European Parliament: <a href="/d">Video</a></p>').otherwise(""),
-        '<a href="https://example.org/presscorner/', k.cast("string"), '">Press release</a><a href="https://example.org/initiatives/details/2012/000001_en">Initiative</a>',
-        '<h2 id="Answer-of-the-European-Commission">Answer</h2><p>', answer, "</p><p>See Directive 20", (10 + k % 10).cast("string"), "/63/EU and case T-", (100 + k % 800).cast("string"), "/14.</p>",
-        F.when(k % 3 != 0, _html('<h2 id="Follow-up">Follow-up</h2><p>', F.when(k % 5 == 0, "A workshop was held in May 2019.").otherwise("Talks went on in May 2019."), "</p><p>", F.when(k % 7 == 0, "A European partnership for bees works.").otherwise("A partnership works."), "</p>")).otherwise(""),
+        '<html><head></head><body><a hreflang="en" href="https://example.org/r/', k.cast("string"), '_en">English</a><h2 id="Submission-and-examination">Submission</h2><p>The initiative was submitted to the European Commission on ', _named_day(k, 0),
+        '. <a href="https://example.org/presscorner/', k.cast("string"), '">Press release</a></p>',
+        "<p>The organisers met with European Commission First Vice-President Jo Doe and Commissioner Al Poe on ", _named_day(k, 30), ".</p>",
+        "<p>A public hearing took place on ", _named_day(k, 60), ': <a href="/v/', k.cast("string"), '">Recording</a></p>',
+        _when(k % 2 == 0, "<p>The initiative was debated at the European Parliament's plenary session on ", _named_day(k, 70), ': <a href="/d">Video</a></p>'),
+        _when(k % 5 == 0, "<p>The Commission adopted a Communication on ", _named_day(k, 90), ': <a href="/com/', k.cast("string"), '">Communication</a></p>'),
+        '<a href="https://example.org/initiatives/details/2012/000001_en">Initiative</a>', _when(k % 2 == 1, '<a href="/f">Factsheet</a>'), _when(k % 3 == 0, '<a href="https://example.org/eci/eci-', k.cast("string"), '_en">Site</a>'),
+        '<h2 id="Answer-of-the-European-Commission">Answer</h2><p>', _answer(k), '</p><div class="ecl-file"><p>Report by 2030</p></div>', _when(k % 5 == 1, '<ul><li><a href="/annex">Annex</a></li></ul>'),
+        '<p>See <a href="/c">the act</a>, Directive 20', (10 + k % 10).cast("string"), "/63/EU and case T-", (100 + k % 800).cast("string"), "/14.</p><p>It looks at the Water Framework Directive, GDPR and the Lisbon Treaty.</p>",
+        _when(
+            k % 3 != 0, '<h2 id="Follow-up">Follow-up</h2><p>', F.when(k % 5 == 0, "A workshop was held in May 2019.").otherwise("Talks with the towns went on until May 2019."), "</p><p>", F.when(k % 7 == 0, "A European partnership for bees works until 1 March 2030.").otherwise("A partnership works."),
+            "</p><ul><li>Early 2020 and 3 June 2020 were the days, 2021-05-04 too.</li></ul>", _when(k % 5 == 2, "<p>The revised Directive was adopted on ", _named_day(k, 50), ' <a href="https://eur-lex.europa.eu/', k.cast("string"), '">text</a>.</p>'),
+        ),
         '<a href="https://eur-lex.example.org/?uri=CELEX%3A32019R1', F.lpad((k % 1000).cast("string"), 3, "0"), '">act</a></body></html>',
     )
     return t.customer.select(_file(k).alias("file_name"), page.alias("html"))
 
 
 _LABELS = {"applicable": "Law Active", "committed": "Law Promised", "rejected_already_covered": "Rejected - Already Covered"}
+_TEXTS = [a.replace("%d", "' || (18 + k % 8) || '") for a in ANSWERS.values()]
+_SAID = "CASE k % 4 " + " ".join(f"WHEN {i} THEN '{a}'" for i, a in enumerate(_TEXTS)) + " END"
+_ROWS = """b AS (SELECT c_custkey AS k, (2012 + c_custkey % 10) || '/' || lpad(CAST(c_custkey AS VARCHAR), 6, '0') AS number FROM customer),
+c AS (SELECT *, [DATE '2014-01-01' + CAST((k * 11 + n) % 2000 AS INTEGER) FOR n IN [0, 30, 60, 70, 90, 50]] AS t FROM b),
+d AS (SELECT *, [strftime(i, '%Y-%m-%d') FOR i IN t] AS x, [CAST(day(i) AS VARCHAR) || strftime(i, ' %B %Y') FOR i IN t] AS y, """ + _SAID + """ AS said, '20' || (18 + k % 8) AS due FROM c)"""
 
 
 @query(
     "response_records",
-    """WITH b AS (SELECT c_custkey AS k, (2012 + c_custkey % 10) || '/' || lpad(CAST(c_custkey AS VARCHAR), 6, '0') AS number FROM customer),
-d AS (SELECT *, [strftime(DATE '2014-01-01' + CAST((k * 11 + n) % 2000 AS INTEGER), '%Y-%m-%d') FOR n IN [0, 30, 60]] AS x FROM b)
-SELECT number AS registration_number, 'https://example.org/r/' || k || '_en' AS response_url, 'https://example.org/initiatives/details/2012/000001_en' AS initiative_url, x[1] AS commission_submission_date, 'https://example.org/presscorner/' || k AS submission_news_url,
- x[2] AS commission_meeting_date, 'Vice-President Jo Doe; Commissioner Al Poe' AS commission_officials_met, x[3] AS parliament_hearing_date, '{"recording":"/v/' || k || '"}' AS parliament_hearing_video_urls, CASE WHEN k % 2 = 0 THEN '{"video":"/d"}' END AS plenary_debate_video_urls,
+    "WITH " + _ROWS + """, e AS (SELECT *, k % 3 <> 0 AS more,
+ CASE WHEN k % 3 <> 0 AND k % 5 = 2 THEN ['{"type":"Directive Revision","description":"The revised Directive was adopted on ' || y[6] || ' text .","status":"adopted","date":"' || x[6] || '","document_urls":["https://eur-lex.europa.eu/' || k || '"]}'] ELSE [] END AS law,
+ CASE k % 4 WHEN 0 THEN ['{"type":"Law Entered Into Force","description":"' || said || '","status":"law_active","date":"2021-03-27"}'] WHEN 1 THEN ['{"type":"Legislative Proposal","description":"' || said || '","status":"proposed","date":"' || due || '-05-01"}'] ELSE [] END AS law2 FROM d)
+SELECT number AS registration_number, 'https://example.org/r/' || k || '_en' AS response_url, 'https://example.org/initiatives/details/2012/000001_en' AS initiative_url,
+ 'The initiative was submitted to the European Commission on ' || y[1] || '. Press release The organisers met with European Commission First Vice-President Jo Doe and Commissioner Al Poe on ' || y[2] || '. A public hearing took place on ' || y[3] || ': Recording'
+ || CASE WHEN k % 2 = 0 THEN ' The initiative was debated at the European Parliament''s plenary session on ' || y[4] || ': Video' ELSE '' END || CASE WHEN k % 5 = 0 THEN ' The Commission adopted a Communication on ' || y[5] || ': Communication' ELSE '' END AS submission_text,
+ x[1] AS commission_submission_date, 'https://example.org/presscorner/' || k AS submission_news_url, x[2] AS commission_meeting_date, 'Vice-President Jo Doe; Commissioner Al Poe' AS commission_officials_met, x[3] AS parliament_hearing_date,
+ '{"recording":"/v/' || k || '"}' AS parliament_hearing_video_urls, CASE WHEN k % 2 = 0 THEN x[4] END AS plenary_debate_date, CASE WHEN k % 2 = 0 THEN '{"Video":"/d"}' END AS plenary_debate_video_urls, CASE WHEN k % 5 = 0 THEN x[5] END AS official_communication_adoption_date,
+ CASE k % 5 WHEN 0 THEN '[{"text":"Communication","url":"/com/' || k || '"}]' WHEN 1 THEN '[{"text":"Annex","url":"/annex"}]' END AS official_communication_document_urls,
+ said || chr(10) || 'See [the act](/c) the act , Directive 20' || (10 + k % 10) || '/63/EU and case T-' || (100 + k % 800) || '/14.' || chr(10) || 'It looks at the Water Framework Directive, GDPR and the Lisbon Treaty.' || CASE WHEN more THEN '' ELSE chr(10) || '[act](https://eur-lex.example.org/?uri=CELEX%3A32019R1' || lpad(CAST(k % 1000 AS VARCHAR), 3, '0') || ')' END AS commission_answer_text,
  CASE k % 4 """ + " ".join(f"WHEN {i} THEN '{s}'" for i, s in enumerate(ANSWERS) if s) + " END AS final_outcome_status, CASE k % 4 " + " ".join(f"WHEN {i} THEN '{_LABELS[s]}'" for i, s in enumerate(ANSWERS) if s) + """ END AS final_outcome_label,
- k % 4 = 1 AS commission_promised_new_law, k % 4 = 2 AS commission_rejected_initiative, CASE WHEN k % 4 = 0 THEN '2021-03-27' END AS law_implementation_date,
- k % 3 <> 0 AS has_followup_section, false AS has_roadmap, k % 3 <> 0 AND k % 5 = 0 AS has_workshop, k % 3 <> 0 AND k % 7 = 0 AS has_partnership_programs, '{"general_court":["T-' || (100 + k % 800) || '/14"]}' AS court_cases_referenced,
- CASE WHEN k % 3 <> 0 THEN '2019-05-31' END AS followup_latest_date, CASE WHEN k % 3 <> 0 THEN '2019-05-31' END AS followup_most_future_date,
- '{"Directive":["20' || (10 + k % 10) || '/63/EU"],"CELEX":["32019R1' || lpad(CAST(k % 1000 AS VARCHAR), 3, '0') || '"]}' AS referenced_legislation_by_id FROM d""",
+ k % 4 = 1 AS commission_promised_new_law, k % 4 = 2 AS commission_rejected_initiative, CASE WHEN k % 4 = 2 THEN said END AS commission_rejection_reason,
+ CASE WHEN k % 4 = 1 THEN '{"' || due || '-05-31":"The Commission will table a legislative proposal, by May ' || due || '."}' END AS commission_deadlines,
+ CASE WHEN k % 4 <> 2 AND (k % 4 <> 1 OR more) AND len(law || law2) > 0 THEN '[' || array_to_string(law || law2, ',') || ']' END AS laws_actions,
+ CASE WHEN more AND k % 5 = 0 THEN '[{"type":"Scientific Activity","description":"A workshop was held in May 2019.","date":"2019-05-01"}]' END AS policies_actions,
+ more AS has_followup_section, false AS has_roadmap, more AND k % 5 = 0 AS has_workshop, more AND k % 7 = 0 AS has_partnership_programs, CASE WHEN k % 4 = 0 THEN '2021-03-27' END AS law_implementation_date, '{"general_court":["T-' || (100 + k % 800) || '/14"]}' AS court_cases_referenced,
+ CASE WHEN more THEN '2021-05-04' END AS followup_latest_date, CASE WHEN more THEN CASE WHEN k % 7 = 0 THEN '2030-03-01' ELSE '2021-05-04' END END AS followup_most_future_date, CASE WHEN more AND k % 7 = 0 THEN '2030-03-01' END AS followup_next_date,
+ CASE WHEN k % 2 = 1 THEN '/f' END AS commission_factsheet_url, CASE WHEN k % 3 = 0 THEN 'https://example.org/eci/eci-' || k || '_en' END AS followup_dedicated_website,
+ '{"Directive":["20' || (10 + k % 10) || '/63/EU"],"CELEX":["32019R1' || lpad(CAST(k % 1000 AS VARCHAR), 3, '0') || '"]}' AS referenced_legislation_by_id,
+ '{"treaties":["Lisbon Treaty"],"directives":["Water Framework Directive"],"regulations":[' || CASE WHEN k % 4 = 0 THEN '"Answer",' || CASE WHEN k % 5 = 0 THEN '"Communication",' ELSE '' END || '"GDPR","Initiative"' || CASE WHEN more THEN '' ELSE ',"Site"' END || CASE WHEN k % 5 = 0 THEN '' ELSE ',"Video"' END ELSE '"GDPR"' END || ']}' AS referenced_legislation_by_name,
+ CASE WHEN more THEN '[' || CASE WHEN k % 5 = 0 THEN '{"dates":["2019-05-31"],"action":"A workshop was held in May 2019."}' ELSE '{"dates":["2019-05-31"],"action":"Talks with the towns went on until May 2019."}' END
+  || CASE WHEN k % 7 = 0 THEN ',{"dates":["2030-03-01"],"action":"A European partnership for bees works until 1 March 2030."}' ELSE '' END || ',{"dates":["2021-05-04","2020-06-03","2020-03-31"],"action":"Early 2020 and 3 June 2020 were the days, 2021-05-04 too."}'
+  || CASE WHEN k % 5 = 2 THEN ',{"dates":["' || x[6] || '"],"action":"The revised Directive was adopted on ' || y[6] || ' [text](https://eur-lex.europa.eu/' || k || ') ."}' ELSE '' END || ']' END AS followup_events_with_dates,
+ CASE WHEN k % 4 = 3 THEN 'no status' ELSE '' END AS problems FROM e""",
 )
 def response_records(t):
-    records = P.response_record(N.with_nodes(response_pages(t)), LADDER, F.to_date(F.lit("2026-01-13")))
-    return records.select(
-        "registration_number", "response_url", "initiative_url", "commission_submission_date", "submission_news_url", "commission_meeting_date", "commission_officials_met", "parliament_hearing_date",
-        "parliament_hearing_video_urls", F.when(F.col("plenary_debate_video_urls") != "{}", F.col("plenary_debate_video_urls")).alias("plenary_debate_video_urls"), "final_outcome_status", "final_outcome_label", "commission_promised_new_law",
-        "commission_rejected_initiative", "law_implementation_date", "has_followup_section", "has_roadmap", "has_workshop", "has_partnership_programs", "court_cases_referenced", "followup_latest_date",
-        "followup_most_future_date", "referenced_legislation_by_id",
+    records = A.response_record(N.with_nodes(response_pages(t)), LADDER, F.to_date(F.lit(AS_OF)))
+    return records.withColumn("problems", F.array_join("problems", "; ")).drop("parse_error")
+
+
+@query(
+    "response_rejects",
+    """WITH b AS (SELECT c_custkey AS k FROM customer) SELECT reason, count(*) AS n FROM (SELECT CASE WHEN k % 10 = 1 THEN 'no registration number; no answer section; no submission section' WHEN k % 4 = 3 THEN 'no status' ELSE '' END AS reason FROM b) GROUP BY 1""",
+)
+def response_rejects(t):
+    """Pages by what they lack; every tenth is cut short."""
+    pages = response_pages(t)
+    short = F.col("file_name").startswith("2013")
+    cut = pages.select(F.when(short, "page.html").otherwise(F.col("file_name")).alias("file_name"), F.when(short, "<p>gone").otherwise(F.col("html")).alias("html"))
+    good, rest = A.quarantined(A.response_record(N.with_nodes(cut), LADDER, F.to_date(F.lit(AS_OF))))
+    return good.select(F.lit("").alias("reason")).union(rest.select("reason")).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+def followup_pages(t) -> DataFrame:
+    """file_name and html: a page of a follow-up website for each customer."""
+    k = F.col("c_custkey")
+    head = lambda i, text, main="": _html(f'<div><h2{main} id="{i}">{text}</h2></div>')
+    main = ' class="ecl-u-type-heading-2"'
+    page = _html(
+        "<html><body><div>", head("response-of-the-commission", "Response of the Commission"), '<div class="ecl"><p>', _answer(k), ' <button>Open</button></p><ul><li>See <a href="/c/', k.cast("string"), '">the act</a>.</li></ul></div>',
+        head("what", "What is done", main), '<div class="ecl"><p>', F.when(k % 5 == 0, "A Regulation on the protection of bees was adopted on ").otherwise("A seminar of towns took place on "), _named_day(k, 50), ', see <a href="https://eur-lex.europa.eu/', k.cast("string"), '">it</a>.</p><p>Then came:</p></div>',
+        head("video", "Video", main), '<div class="ecl"><p>Nothing from 2040 counts.</p></div><div class="ecl-social-media-share__description">Share</div><p>after 2050</p><a href="/annexes">Annexes</a></div></body></html>',
     )
+    return t.customer.select(_file(k).alias("file_name"), page.alias("html"))
+
+
+@query(
+    "followup_records",
+    "WITH " + _ROWS + """, e AS (SELECT *, CASE WHEN k % 5 = 0 THEN 'A Regulation on the protection of bees was adopted on ' ELSE 'A seminar of towns took place on ' END || y[6] AS act FROM d)
+SELECT number AS registration_number, said || ' See [the act](/c/' || k || ') .' AS commission_answer_text, '[{"text":"Annexes","url":"/annexes"}]' AS official_communication_document_urls,
+ CASE k % 4 """ + " ".join(f"WHEN {i} THEN '{_LABELS[s]}'" for i, s in enumerate(ANSWERS) if s) + """ END AS final_outcome_status, CASE WHEN k % 4 = 0 THEN '2021-03-27' END AS law_implementation_date,
+ k % 4 = 1 AS commission_promised_new_law, CASE WHEN k % 4 = 1 THEN '{"' || due || '-05-31":"' || said || ' Open"}' END AS commission_deadlines, k % 4 = 2 AS commission_rejected_initiative, CASE WHEN k % 4 = 2 THEN said || 'Open' END AS commission_rejection_reason,
+ CASE WHEN len(laws) > 0 THEN '[' || array_to_string(laws, ',') || ']' END AS laws_actions, CAST(NULL AS VARCHAR) AS policies_actions, false AS has_roadmap, k % 5 <> 0 AS has_workshop, false AS has_partnership_programs, CAST(NULL AS VARCHAR) AS court_cases_referenced,
+ greatest(x[6], CASE WHEN k % 4 = 0 THEN '2021-03-27' WHEN k % 4 = 1 THEN due || '-05-31' ELSE '' END) AS followup_latest_date, '2040-12-31' AS followup_most_future_date, '{}' AS referenced_legislation_by_id, names AS referenced_legislation_by_name,
+ '[{"dates":["' || x[6] || '"],"action":"' || act || ', see it (https://eur-lex.europa.eu/' || k || ') ."}]' AS followup_events_with_dates, c_name AS initiative_title, 'w' AS followup_dedicated_website,
+ CASE WHEN k % 4 = 3 THEN 'no status' ELSE '' END || CASE WHEN k % 9 = 0 THEN CASE WHEN k % 4 = 3 THEN '; ' ELSE '' END || 'unknown registration number' ELSE '' END AS problems
+FROM (SELECT *, CASE k % 4 WHEN 0 THEN ['{"type":"Law Entered Into Force","description":"' || said || ' Open","status":"law_active","date":"2021-03-27"}'] WHEN 1 THEN ['{"type":"Legislative Proposal","description":"' || said || ' Open","status":"proposed","date":"' || due || '-05-01"}'] WHEN 2 THEN ['{"type":"Legislative Proposal","description":"' || said || ' Open","status":"proposed"}'] ELSE [] END
+  || CASE WHEN k % 5 = 0 THEN ['{"type":"Regulation Adoption","description":"' || act || ', see it .","status":"adopted","date":"' || x[6] || '","document_urls":["https://eur-lex.europa.eu/' || k || '"]}'] ELSE [] END AS laws,
+  CASE WHEN k % 4 = 0 THEN '{"regulations":["Commission"]}' ELSE '{}' END AS names FROM e) LEFT JOIN (SELECT c_custkey AS ck, c_name FROM customer WHERE c_custkey % 9 <> 0) ON ck = k""".replace("'w' AS", "CASE WHEN k % 9 <> 0 THEN 'w' END AS"),
+)
+def followup_records(t):
+    k = F.col("c_custkey")
+    known = t.customer.where(k % 9 != 0).select(A.registration(_file(k)).alias("registration_number"), F.col("c_name").alias("initiative_title"), F.lit("w").alias("followup_dedicated_website"))
+    records = A.followup_record(N.with_nodes(followup_pages(t)), LADDER, F.to_date(F.lit(AS_OF)), known)
+    return records.withColumn("problems", F.array_join("problems", "; ")).drop("parse_error")
 
 
 @query("page_paragraph_words", None)

@@ -1,42 +1,48 @@
 """HTML as a table of nodes.
 
-The standard library's event parser is the only Python in page extraction: it runs once
-a page, in Arrow batches, and what follows are column expressions on the node table.
+The standard library's event parser is the only Python in page extraction: it runs once a page, in
+Arrow batches. It yields the page's pieces of text, once, and its elements in document order. An element
+knows the interval of elements below it (`idx` to `last`) and of its pieces (`p0` up to `p1`), so that
+"inside this widget", "between these headings" and the text of any element are range tests and slices,
+and no text is stored with its ancestors. What follows are column expressions.
 """
 
 from __future__ import annotations
 
 from html.parser import HTMLParser
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from civitas.functions.text import bound
 
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 SKIPPED = {"script", "style"}
-NODE = "array<struct<idx:int,depth:int,parent:int,tag:string,id:string,cls:string,href:string,name:string,content:string,text:string,links:string>>"
+FIELDS = {"idx": "int", "last": "int", "depth": "int", "parent": "int", "tag": "string", "id": "string", "cls": "string", "href": "string", "name": "string", "content": "string", "p0": "int", "p1": "int"}
+NODE = f"array<struct<{','.join(f'{k}:{v}' for k, v in FIELDS.items())}>>"
+PAGE = f"struct<nodes:{NODE},pieces:array<string>,parse_error:string>"
 
 
 class _Builder(HTMLParser):
-    """Nodes in document order, each with all text below it; `links` is the text with targets in brackets."""
+    """Elements (as lists in the order of FIELDS) and pieces of text in document order."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.nodes: list[dict] = []
+        self.nodes: list[list] = []
+        self.pieces: list[str] = []
         self.open: list[int] = []
         self.skip = 0
 
     def handle_starttag(self, tag, attrs):
         at = {k: v or "" for k, v in attrs}
-        node = {"idx": len(self.nodes), "depth": len(self.open), "parent": self.open[-1] if self.open else -1, "tag": tag, "id": at.get("id"), "cls": at.get("class"), "href": at.get("href"), "name": at.get("name") or at.get("property") or at.get("hreflang"), "content": at.get("content"), "text": [], "links": []}
-        self.nodes.append(node)
+        named = at.get("name") or at.get("property") or (at.get("rel") if tag == "link" else None) or at.get("hreflang")
+        i, n = len(self.nodes), len(self.pieces)
+        self.nodes.append([i, i, len(self.open), self.open[-1] if self.open else -1, tag, at.get("id"), at.get("class"), at.get("href"), named, at.get("content"), n, n])
         if tag in SKIPPED:
             self.skip += 1
         if tag == "br":
-            self._add(" ")
+            self.pieces.append(" ")
         if tag not in VOID:
-            self.open.append(node["idx"])
+            self.open.append(i)
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -44,51 +50,175 @@ class _Builder(HTMLParser):
             self.handle_endtag(tag)
 
     def handle_endtag(self, tag):
-        if not any(self.nodes[i]["tag"] == tag for i in self.open):
-            return
-        while self.open:
-            node = self.nodes[self.open.pop()]
-            if node["tag"] in SKIPPED:
-                self.skip -= 1
-            if node["tag"] == "a" and node["href"]:
-                for i in self.open:
-                    self.nodes[i]["links"].append(f" ({node['href']})")
-            if node["tag"] == tag:
-                break
+        if any(self.nodes[i][4] == tag for i in self.open):
+            while self._shut() != tag:
+                pass
 
     def handle_data(self, data):
         if not self.skip:
-            self._add(data)
+            self.pieces.append(data)
+
+    def _shut(self) -> str:
+        node = self.nodes[self.open.pop()]
+        node[1], node[-1] = len(self.nodes) - 1, len(self.pieces)
+        self.skip -= node[4] in SKIPPED
+        return node[4]
 
-    def _add(self, data):
-        for i in self.open:
-            self.nodes[i]["text"].append(data)
-            self.nodes[i]["links"].append(data)
+    def close(self):
+        super().close()
+        while self.open:
+            self._shut()
 
 
-def parse(html: str) -> list[dict]:
+def parse(html: str) -> tuple[list[list], list[str]]:
     builder = _Builder()
     builder.feed(html)
     builder.close()
-    for n in builder.nodes:
-        n["text"], n["links"] = (" ".join("".join(n[k]).split()) for k in ("text", "links"))
-    return builder.nodes
+    return builder.nodes, builder.pieces
+
 
+def _parsed(pages):
+    """An Arrow array of pages as an array of PAGE; one bad page does not fail the others."""
+    import pyarrow as pa
 
-def _parsed(series: pd.Series) -> pd.DataFrame:
-    out = []
-    for x in series:
+    nodes, pieces, errors = [], [], []
+    for html in pages.to_pylist():
         try:
-            out.append({"nodes": parse(x or ""), "parse_error": None})
-        except Exception as error:  # one bad page must not fail the others
-            out.append({"nodes": [], "parse_error": f"{type(error).__name__}: {error}"})
-    return pd.DataFrame(out, columns=["nodes", "parse_error"])
+            own, text = parse(html or "")
+            error = None
+        except Exception as e:
+            own, text, error = [], [], f"{type(e).__name__}: {e}"
+        nodes.append(own)
+        pieces.append(text)
+        errors.append(error)
+    ends = [0]
+    for own in nodes:
+        ends.append(ends[-1] + len(own))
+    flat = list(zip(*(n for own in nodes for n in own), strict=True)) or [()] * len(FIELDS)
+    kinds = {"int": pa.int32(), "string": pa.string()}
+    fields = pa.StructArray.from_arrays([pa.array(v, kinds[k]) for v, k in zip(flat, FIELDS.values(), strict=True)], list(FIELDS))
+    return pa.StructArray.from_arrays([pa.ListArray.from_arrays(pa.array(ends, pa.int32()), fields), pa.array(pieces, pa.list_(pa.string())), pa.array(errors, pa.string())], ["nodes", "pieces", "parse_error"])
+
+
+def with_nodes(pages: DataFrame, html: str = "html", texts: bool = True) -> DataFrame:
+    """The pages with the columns `nodes`, `pieces` and `parse_error`.
+
+    Null pages have no nodes; a page that cannot be parsed has a `parse_error`. With `texts`, a node has
+    its normalised text as a field, too.
+    """
+    p = F.col("_p")
+    nodes = F.transform(p["nodes"], lambda n: F.struct(*(n[k].alias(k) for k in FIELDS), F.trim(F.regexp_replace(raw(p["pieces"], n), r"(?U)\s+", " ")).alias("text"))) if texts else p["nodes"]
+    return pages.withColumn("_p", F.arrow_udf(_parsed, PAGE)(F.col(html))).select("*", nodes.alias("nodes"), "_p.pieces", "_p.parse_error").drop("_p")
+
+
+# Texts of an element: from the slice of its pieces.
+
+
+def own_pieces(pieces: Column, n: Column) -> Column:
+    return F.slice(pieces, n["p0"] + 1, n["p1"] - n["p0"])
+
+
+def stripped(parts: Column) -> Column:
+    """Pieces without white space at their ends, empty ones left out."""
+    return F.filter(F.transform(parts, lambda x: F.regexp_replace(x, r"(?U)^\s+|\s+$", "")), lambda x: x != "")
+
+
+def raw(pieces: Column, n: Column) -> Column:
+    """The text as it stands."""
+    return F.array_join(own_pieces(pieces, n), "")
+
+
+def spaced(pieces: Column, n: Column) -> Column:
+    """Stripped pieces with a blank between."""
+    return F.array_join(stripped(own_pieces(pieces, n)), " ")
+
+
+def tight(pieces: Column, n: Column) -> Column:
+    """Stripped pieces with nothing between."""
+    return F.array_join(stripped(own_pieces(pieces, n)), "")
+
+
+def _spliced(pieces: Column, n: Column, marks: Column) -> Column:
+    """The element's stripped pieces, with each mark (struct<at, to, text>, in order) in place of the pieces from `at` up to `to`."""
+    start = F.struct(n["p0"].alias("at"), F.array().cast("array<string>").alias("out"))
+    between = lambda a, b: F.slice(pieces, a + 1, F.greatest(b - a, F.lit(0)))
+    step = lambda acc, m: F.struct(m["to"].alias("at"), F.concat(acc["out"], between(acc["at"], m["at"]), F.array(m["text"])).alias("out"))
+    return F.aggregate(marks, start, step, lambda acc: stripped(F.concat(acc["out"], between(acc["at"], n["p1"]))))
+
+
+def _anchors(nodes: Column, n: Column) -> Column:
+    return F.filter(inside(nodes, n), lambda a: a["tag"] == "a")
+
+
+def marked(pieces: Column, a: Column) -> Column:
+    return F.concat(F.lit("["), tight(pieces, a), F.lit("]("), F.coalesce(a["href"], F.lit("")), F.lit(")"))
+
+
+def with_targets(nodes: Column, pieces: Column, n: Column, *hidden: str) -> Column:
+    """Spaced text with `[text](target)` in place of every link that has a target, and nothing in place of some kinds of elements."""
+    out = F.filter(inside(nodes, n), lambda a: a["tag"].isin(*hidden))
+    marks = F.filter(inside(nodes, n), lambda a: ((a["tag"] == "a") & a["href"].isNotNull() | a["tag"].isin(*hidden)) & ~is_inside(a, out)) if hidden else F.filter(_anchors(nodes, n), lambda a: a["href"].isNotNull())
+    shown = lambda a: F.when(a["tag"] == "a", marked(pieces, a)).otherwise("")
+    return F.array_join(_spliced(pieces, n, F.transform(marks, lambda a: F.struct(a["p0"].alias("at"), a["p1"].alias("to"), shown(a).alias("text")))), " ")
 
 
-def with_nodes(pages: DataFrame, html: str = "html") -> DataFrame:
-    """The pages with a column `nodes`; null pages have none, and a page that cannot be parsed has `parse_error`."""
-    call = F.pandas_udf(_parsed, f"struct<nodes:{NODE},parse_error:string>")
-    return pages.withColumn("_p", call(F.col(html))).select("*", "_p.nodes", "_p.parse_error").drop("_p")
+def with_targets_before(nodes: Column, pieces: Column, n: Column) -> Column:
+    """Spaced text with `[text](target)` before every link that has a text; without links, the tight text."""
+    links = _anchors(nodes, n)
+    marks = F.transform(F.filter(links, lambda a: tight(pieces, a) != ""), lambda a: F.struct(a["p0"].alias("at"), a["p0"].alias("to"), marked(pieces, a).alias("text")))
+    return F.when(F.size(links) > 0, F.array_join(_spliced(pieces, n, marks), " ")).otherwise(tight(pieces, n))
+
+
+def item_with_targets(nodes: Column, pieces: Column, n: Column) -> Column:
+    """A list item: its own links as `[text](target)`, its other children tight, its own pieces stripped, a blank between."""
+    return F.array_join(_children(nodes, pieces, n, lambda a: marked(pieces, a), lambda c: tight(pieces, c)), " ")
+
+
+def linked(nodes: Column, pieces: Column, n: Column) -> Column:
+    """Own links as `text (target)`, inline children tight, other children spaced, own pieces stripped, a blank between."""
+    link = lambda a: F.when(F.coalesce(a["href"], F.lit("")) != "", F.concat(tight(pieces, a), F.lit(" ("), a["href"], F.lit(")"))).otherwise(tight(pieces, a))
+    shown = lambda a: F.when(tight(pieces, a) == "", "").otherwise(link(a))
+    other = lambda c: F.when(c["tag"].isin("strong", "em", "span", "b", "i"), tight(pieces, c)).otherwise(spaced(pieces, c))
+    return F.array_join(_children(nodes, pieces, n, shown, other), " ")
+
+
+def _children(nodes: Column, pieces: Column, n: Column, link, other) -> Column:
+    own = F.filter(nodes, lambda c: (c["parent"] == n["idx"]) & (c["p1"] > c["p0"]))
+    return _spliced(pieces, n, F.transform(own, lambda c: F.struct(c["p0"].alias("at"), c["p1"].alias("to"), F.when(c["tag"] == "a", link(c)).otherwise(other(c)).alias("text"))))
+
+
+# Places: intervals of the document.
+
+
+def inside(nodes: Column, n: Column) -> Column:
+    """The elements below one."""
+    return F.slice(nodes, n["idx"] + 2, n["last"] - n["idx"])
+
+
+def is_inside(n: Column, others: Column) -> Column:
+    """Whether an element lies below one of the others."""
+    return F.exists(others, lambda o: (n["idx"] > o["idx"]) & (n["idx"] <= o["last"]))
+
+
+def siblings(nodes: Column, n: Column) -> Column:
+    """The elements after one on its own level."""
+    return F.filter(nodes, lambda s: (s["parent"] == n["parent"]) & (s["idx"] > n["idx"]))
+
+
+def until(elements: Column, stop) -> Column:
+    """The elements before the first of which stop holds."""
+    first = F.array_min(F.transform(F.filter(elements, stop), lambda s: s["idx"]))
+    return bound(first, lambda end: F.filter(elements, lambda s: end.isNull() | (s["idx"] < end)))
+
+
+def first(elements: Column, *tests) -> Column:
+    """The first element of which the first test holds; failing that, the second, and so on."""
+    return F.coalesce(*(F.try_element_at(F.filter(elements, t), F.lit(1)) for t in tests))
+
+
+def has_token(n: Column, name: str) -> Column:
+    """Whether a class is among an element's."""
+    return F.coalesce(F.array_contains(F.split(n["cls"], r"\s+"), name), F.lit(False))
 
 
 def tagged(nodes: Column, *tags: str) -> Column:
@@ -124,9 +254,10 @@ def links(nodes: Column, text: str | None = None, href: str | None = None) -> Co
     return F.transform(some, lambda n: n["href"])
 
 
-def link_map(nodes: Column) -> Column:
-    """lower-cased link text -> target; of repeated texts the last stays."""
-    some = F.transform(F.filter(nodes, lambda n: (n["tag"] == "a") & n["href"].isNotNull()), lambda n: F.struct(F.lower(n["text"]).alias("text"), n["href"].alias("href")))
+def link_map(nodes: Column, lower: bool = True) -> Column:
+    """(lower-cased) link text -> target; of repeated texts the last stays."""
+    text = lambda n: F.lower(n["text"]) if lower else n["text"]
+    some = F.transform(F.filter(nodes, lambda n: (n["tag"] == "a") & n["href"].isNotNull()), lambda n: F.struct(text(n).alias("text"), n["href"].alias("href")))
 
     def last(pairs: Column) -> Column:
         names = F.array_distinct(F.transform(pairs, lambda n: n["text"]))
@@ -135,6 +266,23 @@ def link_map(nodes: Column) -> Column:
     return bound(some, last)
 
 
+def named_links(pieces: Column, anchors: Column) -> Column:
+    """array<struct<text, url>> of links that have both; of equal texts the last target at the first place."""
+    pairs = F.filter(F.transform(anchors, lambda a: F.struct(tight(pieces, a).alias("text"), a["href"].alias("url"))), lambda a: (a["text"] != "") & (a["url"] != ""))
+
+    def last(own: Column) -> Column:
+        names = F.array_distinct(F.transform(own, lambda a: a["text"]))
+        return F.transform(names, lambda t: F.element_at(F.filter(own, lambda a: a["text"] == t), -1))
+
+    return bound(pairs, last)
+
+
+def kept_first(items: Column, key) -> Column:
+    """Of items with equal keys the first."""
+    keys = F.transform(items, key)
+    return bound(keys, lambda own: F.filter(items, lambda x, i: F.array_position(own, key(x)) == i + 1))
+
+
 def table_rows(nodes: Column, cells: int) -> Column:
     """Texts of the cells of all table rows that have exactly so many."""
     rows = lambda inner: F.transform(tagged(nodes, "tr"), lambda r: texts_of(F.filter(inner, lambda n: n["parent"] == r["idx"])))
