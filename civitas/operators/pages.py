@@ -20,7 +20,11 @@ STEPS = {
     "Valid initiative": "timeline_verification_end",
     "Answered initiative": "timeline_response_commission_date",
 }
-ONGOING = ("registered", "collection ongoing", "collection closed", "verification", "valid initiative", "collection start date", "waiting for verification", "submitted")
+ONGOING = ("collection start date", "collection ongoing", "collection closed", "registered", "registration", "verification", "valid initiative", "open")
+SIGNATURES_TABLE = "ecl-table ecl-table--zebra ecl-u-type-paragraph"
+SIGNATURES_TOTAL = "total number of signatories"
+SPONSOR_HEADERS = ("name of sponsor", "amount in eur")
+LISTED_LINK = "/initiatives/details/"
 
 
 def has_class(n: Column, word: str) -> Column:
@@ -46,31 +50,64 @@ def current_status(nodes: Column) -> Column:
 
 
 def final_outcome(status: Column) -> Column:
+    """The outcome that a timeline's current step means; null for an ongoing or unknown one."""
     low = F.lower(F.trim(status))
     return (
         F.when(F.contains(low, F.lit("answered")) & F.contains(low, F.lit("initiative")), "Commission Response")
         .when(F.contains(low, F.lit("withdrawn")), "Withdrawn")
         .when(F.contains(low, F.lit("unsuccessful")) & F.contains(low, F.lit("collection")), "Unsuccessful Collection")
-        .when(T.contains_any(low, ONGOING), F.lit(None).cast("string"))
-        .otherwise("unknown")
     )
 
 
+def is_unknown_status(status: Column) -> Column:
+    """Whether a status is neither a final nor an ongoing one."""
+    return status.isNotNull() & final_outcome(status).isNull() & ~T.contains_any(F.lower(status), ONGOING)
+
+
+def cells_of(nodes: Column, table: Column) -> Column:
+    """Texts of the data cells of each row of a table; of all rows of the page where there is no such table."""
+
+    def rows(scope: Column) -> Column:
+        return bound_rows(N.tagged(scope, "td"), N.tagged(scope, "tr"))
+
+    def bound_rows(cells: Column, trs: Column) -> Column:
+        return T.bound(cells, lambda own: F.transform(trs, lambda r: N.texts_of(F.filter(own, lambda c: c["parent"] == r["idx"]))))
+
+    return T.bound(table, lambda t: T.bound(F.when(t.isNotNull(), N.inside(nodes, t)).otherwise(nodes), rows))
+
+
+def signature_rows(nodes: Column) -> Column:
+    """Rows of the table of signatures: the striped one, else the first with the class of tables."""
+    table = N.first(N.tagged(nodes, "table"), lambda t: t["cls"] == SIGNATURES_TABLE, lambda t: N.has_token(t, "ecl-table"))
+    return cells_of(nodes, table)
+
+
+def is_total(row: Column) -> Column:
+    return F.contains(F.lower(F.get(row, 0)), F.lit(SIGNATURES_TOTAL))
+
+
 def signatures(nodes: Column) -> Column:
-    """array<struct<country, statements_of_support, threshold, percentage>> of four-cell rows, without the total."""
-    rows = F.filter(N.table_rows(nodes, 4), lambda r: (F.trim(r[0]) != "") & ~F.contains(F.lower(r[0]), F.lit("total")) & F.rlike(r[1], F.lit(r"\d")))
-    return F.transform(rows, lambda r: F.struct(F.trim(r[0]).alias("country"), r[1].alias("statements_of_support"), r[2].alias("threshold"), r[3].alias("percentage")))
+    """array<struct<country, statements_of_support, threshold, percentage>> of rows of four cells, without the total."""
+    rows = F.filter(signature_rows(nodes), lambda r: (F.size(r) == 4) & (F.get(r, 0) != "") & ~is_total(r))
+    return F.transform(rows, lambda r: F.struct(r[0].alias("country"), r[1].alias("statements_of_support"), r[2].alias("threshold"), r[3].alias("percentage")))
 
 
 def signatures_total(nodes: Column) -> Column:
-    total = F.filter(F.concat(N.table_rows(nodes, 4), N.table_rows(nodes, 2)), lambda r: F.contains(F.lower(r[0]), F.lit("total")) & F.rlike(r[1], F.lit(r"^[\d,\s]+$")))
-    return F.try_element_at(total, F.lit(1))[1]
+    """The number in the row of the total, without blanks; failing that, the digits of the page's counter."""
+    total = F.filter(signature_rows(nodes), lambda r: (F.size(r) >= 2) & is_total(r) & F.rlike(F.get(r, 1), F.lit(r"^[\d,\s]+$")))
+    counter = F.regexp_replace(N.first(nodes, lambda n: N.has_token(n, "ecl-counter__value"))["text"], r"\D", "")
+    return F.coalesce(F.replace(F.try_element_at(total, F.lit(1))[1], F.lit(" "), F.lit("")), F.nullif(counter, F.lit("")))
 
 
 def sponsors(nodes: Column) -> Column:
-    """array<struct<name_of_sponsor, date, amount_in_eur>> of three-cell rows with an amount; footnote marks are dropped."""
-    rows = F.filter(N.table_rows(nodes, 3), lambda r: F.rlike(r[2], F.lit(r"\d")))
-    return F.transform(rows, lambda r: F.struct(F.trim(F.regexp_replace(r[0], r"\s*\[\d+\]", "")).alias("name_of_sponsor"), r[1].alias("date"), F.regexp_replace(r[2], r"[^\d.,]", "").alias("amount_in_eur")))
+    """array<struct<name_of_sponsor, date, amount_in_eur>> of rows of three cells; footnote marks are dropped.
+
+    Of the table whose headers tell sponsors and amounts; on a page without such headers, of rows that end with an amount.
+    """
+    heads = lambda t: F.lower(F.array_join(N.texts_of(F.filter(N.inside(nodes, t), lambda h: h["tag"] == "th")), " "))
+    table = N.first(N.tagged(nodes, "table"), lambda t: T.contains_all(heads(t), SPONSOR_HEADERS))
+    rows = T.bound(table, lambda t: F.filter(cells_of(nodes, t), lambda r: (F.size(r) == 3) & (t.isNotNull() | F.rlike(F.get(r, 2), F.lit(r"\d")))))
+    return F.transform(rows, lambda r: F.struct(F.trim(F.regexp_replace(r[0], r"\s*\[\d+\]\s*", "")).alias("name_of_sponsor"), r[1].alias("date"), F.regexp_replace(r[2], r"[^\d.,]", "").alias("amount_in_eur")))
 
 
 def funding_total(nodes: Column) -> Column:
@@ -133,13 +170,20 @@ def languages(nodes: Column) -> Column:
     return F.array_join(F.array_sort(F.array_distinct(codes)), ",")
 
 
-def registry_record(pages: DataFrame, base_url: str) -> DataFrame:
-    """One row per page (file_name, nodes): the registry's fields; `parse_error` stays beside them."""
+def registry_record(pages: DataFrame, base_url: str, now: Column | None = None) -> DataFrame:
+    """One row per page (file_name, nodes): the registry's fields; `parse_error` stays beside them.
+
+    `problems` names what a page ought to have: a number, a timeline, a status that is known.
+    now: what a page without a time of its own was last updated.
+    """
     n = F.col("nodes")
     number = F.regexp_replace(F.regexp_extract("file_name", r"(\d{4}_\d{6})_[a-z]{2}\.html", 1), "_", "/")
     part = lambda head: N.section(n, F.lit(f"(?i)^{head}$"))
     steps = timeline(n)
-    reached = F.size(F.filter(F.col("by_country"), lambda c: F.coalesce(T.percent(c["percentage"]) >= 100, F.lit(False))))
+    share = lambda c: F.nullif(F.regexp_extract(c["percentage"], r"([\d.]+)%", 1), F.lit("")).try_cast("double")
+    reached = F.size(F.filter(F.col("by_country"), lambda c: F.coalesce(share(c) >= 100, F.lit(False))))
+    timelines = F.exists(n, lambda x: (x["tag"] == "ol") & has_class(x, "timeline"))
+    lacks = {"no registration number": number == "", "no timeline": ~timelines, "unknown status": is_unknown_status(current_status(n))}
     out = pages.withColumn("by_country", signatures(n)).withColumn("steps", steps).withColumn("organisers", organisers(n))
     return out.select(
         number.alias("registration_number"),
@@ -159,7 +203,8 @@ def registry_record(pages: DataFrame, base_url: str) -> DataFrame:
         F.try_element_at(N.links(n, text="Commission['’]s answer and follow-up"), F.lit(1)).alias("response_commission_url"),
         final_outcome(current_status(n)).alias("final_outcome"),
         languages(n).alias("languages_available"),
-        N.meta(n, "dcterms.modified").alias("last_updated"),
+        F.coalesce(N.meta(n, "dcterms.modified"), *([now] if now is not None else [])).alias("last_updated"),
+        F.array_compact(F.array(*(F.when(F.coalesce(bad, F.lit(True)), F.lit(k)) for k, bad in lacks.items()))).alias("problems"),
         "parse_error",
     )
 
@@ -293,13 +338,35 @@ def with_metadata(records: DataFrame, listing: DataFrame, key: str = "registrati
     return records.join(listing, key, "left")
 
 
-def listing_rows(pages: DataFrame, block: str = "block") -> DataFrame:
-    """One row per content block of listing pages: url, current_status, registration_number, signature_collection."""
-    n = F.col("nodes")
-    label = lambda t, name: F.nullif(F.trim(F.regexp_extract(t, rf"(?i){name}\s*:?\s*(.*?)\s*(?:Current status|Registration number|Signature collection|$)", 1)), F.lit(""))
-    blocks = F.filter(n, lambda x: has_class(x, block))
-    each = pages.select(F.explode(F.transform(blocks, lambda b: F.struct(b["text"].alias("text"), F.try_element_at(F.filter(n, lambda x: (x["tag"] == "a") & (x["idx"] > b["idx"])), F.lit(1))["href"].alias("url")))).alias("b"))
-    return each.select("b.url", label(F.col("b.text"), "Current status").alias("current_status"), label(F.col("b.text"), "Registration number").alias("registration_number"), label(F.col("b.text"), "Signature collection").alias("signature_collection"))
+def listing_rows(pages: DataFrame, base_url: str = "", block: tuple[str, ...] = ("ecl-content-block", "ecl-content-item__content-block"), title: str = "ecl-content-block__title", label: str = "ecl-content-block__secondary-meta-label", page: str | None = None) -> DataFrame:
+    """One row per content block of listing pages: url, current_status, registration_number, signature_collection.
+
+    page: a column of the pages to bring along, as `page`.
+
+    The link is the first below the block's title, and one to an initiative, or the block is left out;
+    labels are the block's own. What no label tells is empty.
+    """
+    n, pieces = F.col("nodes"), F.col("pieces")
+
+    def one(b: Column) -> Column:
+        own = N.inside(n, b)
+        titles = F.filter(own, lambda x: (x["tag"] == "div") & N.has_token(x, title))
+        href = N.first(own, lambda x: (x["tag"] == "a") & N.has_token(x, "ecl-link") & N.is_inside(x, titles))["href"]
+        labels = F.transform(F.filter(own, lambda x: (x["tag"] == "span") & N.has_token(x, label)), lambda x: N.tight(pieces, x))
+        last = lambda test, cut: F.coalesce(F.try_element_at(F.transform(F.filter(labels, test), cut), F.lit(-1)), F.lit(""))
+        after = lambda name: last(lambda t: F.startswith(t, F.lit(name)), lambda t: F.trim(F.replace(t, F.lit(name), F.lit(""))))
+        others = lambda t: F.contains(F.lower(t), F.lit("signature collection")) & ~F.startswith(t, F.lit("Current status:")) & ~F.startswith(t, F.lit("Registration number:"))
+        return F.struct(href.alias("href"), after("Current status:").alias("current_status"), after("Registration number:").alias("registration_number"), last(others, F.trim).alias("signature_collection"))
+
+    blocks = F.filter(n, lambda x: (x["tag"] == "div") & N.has_token(x, block[0]) & N.has_token(x, block[1]))
+    rows = pages.select(*([F.col(page).alias("page")] if page else []), F.explode(F.filter(F.transform(blocks, one), lambda r: F.startswith(r["href"], F.lit(LISTED_LINK)))).alias("b"))
+    return rows.select(F.concat(F.lit(base_url), F.col("b.href")).alias("url"), "b.current_status", "b.registration_number", "b.signature_collection", *(["page"] if page else []))
+
+
+def next_page(nodes: Column) -> Column:
+    """The target of a listing page's link to the next one."""
+    items = F.filter(nodes, lambda x: (x["tag"] == "li") & N.has_token(x, "ecl-pagination__item--next"))
+    return N.first(nodes, lambda x: (x["tag"] == "a") & x["href"].isNotNull() & N.is_inside(x, items))["href"]
 
 
 def response_links(pages: DataFrame) -> DataFrame:

@@ -82,11 +82,13 @@ SELECT number AS registration_number, c_name AS title, 'Aim of ' || c_name || '.
  format('{:,}', k % 9000 * 11 + k % 700 * 5) AS signatures_collected,
  '[{"country":"France","statements_of_support":"' || format('{:,}', k % 9000 * 11) || '","threshold":"50,000","percentage":"' || (k % 180) || '.5%"},{"country":"Malta","statements_of_support":"' || format('{:,}', k % 700 * 5) || '","threshold":"3,000","percentage":"' || (k * 3 % 150) || '.25%"}]' AS signatures_collected_by_country,
  CAST((k % 180 >= 100)::INTEGER + (k * 3 % 150 >= 100)::INTEGER AS INTEGER) AS signatures_threshold_met, CASE WHEN k % 3 = 0 THEN 'https://example.org/answer/' || k END AS response_commission_url,
- CASE WHEN k % 3 = 0 THEN 'Commission Response' END AS final_outcome, CASE WHEN k % 2 = 0 THEN 'bg,de' ELSE 'de,fr' END AS languages_available, x[8] AS last_updated FROM d""",
+ CASE WHEN k % 3 = 0 THEN 'Commission Response' END AS final_outcome, CASE WHEN k % 2 = 0 THEN 'bg,de' ELSE 'de,fr' END AS languages_available, x[8] AS last_updated, '' AS problems,
+ '[{"step":"Registered","date":"' || x[1] || '"},{"step":"Collection start date","date":"' || x[2] || '"},{"step":"Verification","date":"' || x[3] || '"},' || CASE WHEN k % 5 = 0 THEN '{"step":"Initiative examined","date":"' || x[4] ELSE '{"step":"Valid initiative","date":"' || x[5] END
+  || CASE WHEN k % 3 = 0 THEN '"},{"step":"Answered initiative","date":"' || x[6] ELSE '"},{"step":"Collection closed","date":"' || x[7] END || '"}]' AS timeline FROM d""",
 )
 def registry_records(t):
     records = P.registry_record(N.with_nodes(registry_pages(t)), "https://example.org/initiatives/")
-    return records.drop("timeline", "parse_error")
+    return records.withColumn("problems", F.array_join("problems", "; ")).drop("parse_error")
 
 
 ANSWERS = {
@@ -140,6 +142,33 @@ c AS (SELECT *, [DATE '2014-01-01' + CAST((k * 11 + n) % 2000 AS INTEGER) FOR n
 d AS (SELECT *, [strftime(i, '%Y-%m-%d') FOR i IN t] AS x, [CAST(day(i) AS VARCHAR) || strftime(i, ' %B %Y') FOR i IN t] AS y, """ + _SAID + """ AS said, '20' || (18 + k % 8) AS due FROM c)"""
 
 
+def listing_pages(t) -> DataFrame:
+    """url, next_url and html: listing pages of ten customers each, in a chain by their keys; one page links back to the first."""
+    page = F.floor((F.col("c_custkey") - 1) / 10)
+    k = F.col("c_custkey").cast("string")
+    block = F.when(
+        F.col("c_custkey") % 7 != 0,
+        _html('<div class="ecl-content-block ecl-content-item__content-block"><div class="ecl-content-block__title"><a class="ecl-link" href="/initiatives/details/', k, '">T</a></div><span class="ecl-content-block__secondary-meta-label">Current status: <b>', F.col("c_mktsegment"), '</b></span><span class="ecl-content-block__secondary-meta-label">Registration number: ', k, '</span><span class="ecl-content-block__secondary-meta-label">No signature collection</span></div>'),
+    ).otherwise(_html('<div class="ecl-content-block ecl-content-item__content-block"><div class="ecl-content-block__title"><a class="ecl-link" href="/news/', k, '">News</a></div></div>'))
+    rows = t.customer.groupBy(page.alias("page")).agg(F.array_join(F.sort_array(F.collect_list(_html(F.lpad(k, 9, "0"), block))), "").alias("blocks"))
+    last = t.customer.agg(F.floor((F.max("c_custkey") - 1) / 10).alias("last"))
+    following = F.when(F.col("page") == F.col("last"), "/p/0").otherwise(F.concat(F.lit("/p/"), (F.col("page") + 1).cast("string")))
+    html = _html("<html><body>", F.col("blocks"), '<ul><li class="ecl-pagination__item ecl-pagination__item--next"><a href="', following, '">next</a></li></ul></body></html>')
+    return rows.join(F.broadcast(last)).select(F.concat(F.lit("/p/"), F.col("page").cast("string")).alias("url"), html.alias("html"))
+
+
+@query(
+    "listing_records",
+    """SELECT 'https://example.org/initiatives/details/' || c_custkey AS url, c_mktsegment AS current_status, CAST(c_custkey AS VARCHAR) AS registration_number, 'No signature collection' AS signature_collection, (c_custkey - 1) // 10 + 1 AS place FROM customer WHERE c_custkey % 7 <> 0""",
+)
+def listing_records(t):
+    """The rows of all listing pages that the first leads to, with the places of their pages."""
+    pages = N.with_nodes(listing_pages(t)).withColumn("next_url", P.next_page(F.col("nodes")))
+    places = S.chained(pages.select("url", "next_url"), "/p/0").select(F.col("url").alias("page_url"), "place")
+    rows = P.listing_rows(pages, "https://example.org", page="url")
+    return rows.join(places, F.col("page") == F.col("page_url")).drop("page", "page_url")
+
+
 @query(
     "response_records",
     "WITH " + _ROWS + """, e AS (SELECT *, k % 3 <> 0 AS more,

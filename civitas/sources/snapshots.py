@@ -13,6 +13,8 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from civitas.sources.shared import checkpointed
+
 STAMP = "%Y-%m-%d_%H-%M-%S"
 STAMPED = re.compile(r"\d{4}-\d{2}-\d{2}_\d{2}-\d{2}-\d{2}")
 
@@ -96,15 +98,28 @@ def latest_table(spark: SparkSession, folder: str, prefix: str, exclude: Sequenc
     return read_csv(spark, path).withColumn("file_time", file_time(F.lit(path.rsplit("/", 1)[-1])))
 
 
-def chained(pages: DataFrame, first: str, url: str = "url", following: str = "next_url", most: int = 90) -> DataFrame:
-    """The pages reached from the first by their links to the next, with their `place` from 1; a loop ends after `most`."""
-    view = f"chained_{abs(hash((first, url, following)))}"
-    pages.createOrReplaceTempView(view)
-    steps = f"""WITH RECURSIVE c(u, f, n) AS (SELECT {url}, {following}, 1 FROM {view} WHERE {url} = :first
-      UNION ALL SELECT p.{url}, p.{following}, n + 1 FROM {view} p JOIN c ON p.{url} = c.f WHERE n < {most})
-      SELECT u, min(n) AS place FROM c GROUP BY u"""
-    found = pages.sparkSession.sql(steps, {"first": first})
-    return pages.join(found, F.col(url) == F.col("u")).drop("u")
+def chained(pages: DataFrame, first: str, url: str = "url", following: str = "next_url") -> DataFrame:
+    """The pages reached from the first by their links to the next, with their `place` from 1 (long).
+
+    Pointer doubling: a round joins the pages reached so far with jumps twice as long as the round's
+    before, so that a chain of n pages takes log2(n) rounds. A page that a loop meets again keeps its
+    first place, and a round that reaches nothing new is the last. Of several next pages of a url the
+    smallest counts; null urls and links are no pages. Repeated rows of a url all get its place.
+    """
+    place = F.col("place")
+    jumps = pages.where(F.col(url).isNotNull() & F.col(following).isNotNull()).groupBy(F.col(url).alias("u")).agg(F.min(following).alias("v"))
+    reached = checkpointed(pages.where(F.col(url) == first).select(F.col(url).alias("u"), F.lit(1).cast("long").alias("place")).distinct())
+    jumps, known, step = checkpointed(jumps), reached.count(), 1
+    while known:
+        further = reached.join(jumps, "u").select(F.col("v").alias("u"), (place + step).alias("place"))
+        there = pages.select(F.col(url).alias("u")).distinct()
+        reached = checkpointed(reached.union(further.join(there, "u", "left_semi")).groupBy("u").agg(F.min("place").alias("place")))
+        now = reached.count()
+        if now == known:
+            break
+        known, step = now, 2 * step
+        jumps = checkpointed(jumps.join(jumps.select(F.col("u").alias("v"), F.col("v").alias("w")), "v").select("u", F.col("w").alias("v")))
+    return pages.join(reached.withColumnRenamed("u", "_u"), F.col(url) == F.col("_u")).drop("_u")
 
 
 def bindings(answers: DataFrame, column: str, names: Sequence[str], language: str | None = "en", text: str = "title") -> DataFrame:

@@ -37,9 +37,36 @@ def test_empty_and_null_pages(spark):
 
 
 def test_listing(spark):
-    html = '<div class="block"><a href="/a">A</a> Current status: Open Registration number: ECI(2019)000007 Signature collection: closed</div>'
-    r = record(spark, html, P.listing_rows)
-    assert (r.url, r.current_status, r.registration_number) == ("/a", "Open", "ECI(2019)000007")
+    label = lambda *t: "".join(f'<span class="ecl-content-block__secondary-meta-label">{x}</span>' for x in t)
+    block = lambda href, more: f'<div class="x ecl-content-block ecl-content-item__content-block"><a class="ecl-link" href="/before">b</a><div class="ecl-content-block__title"><a class="ecl-link" href="{href}">A</a></div>{more}</div><a class="ecl-link" href="/initiatives/details/after">z</a>'
+    html = block("/initiatives/details/1", label("Current status: <b>Open</b>", "Registration number: ECI(2019)000007", "Online signature collection closed")) + block("/news/2", label("Current status: Open")) + block("/initiatives/details/3", "") + '<li class="a ecl-pagination__item--next"><a href="/next">n</a></li>'
+    rows = spark.createDataFrame([(html,), ("<p>none",), (None,)], "html string")
+    got = P.listing_rows(N.with_nodes(rows), "https://e.org").collect()
+    assert [tuple(r) for r in got] == [("https://e.org/initiatives/details/1", "Open", "ECI(2019)000007", "Online signature collection closed"), ("https://e.org/initiatives/details/3", "", "", "")]
+    assert [r[0] for r in N.with_nodes(rows).select(P.next_page(F.col("nodes"))).collect()] == ["/next", None, None]
+
+
+def test_chains_of_any_length_and_loops(spark):
+    rows = [(f"u{i}", f"u{i + 1}", i) for i in range(3000)] + [("a", "b", 0), ("b", "c", 1), ("c", "b", 2), ("s", "s", 3), ("d", "gone", 4), (None, "a", 5), ("a", "x", 6)]
+    pages = spark.createDataFrame(rows, "url string, next_url string, place_there int")
+    got = {r.url: r.place for r in S.chained(pages, "u0").collect()}
+    assert got == {f"u{i}": i + 1 for i in range(3000)}
+    assert sorted((r.url, r.place) for r in S.chained(pages, "a").collect()) == [("a", 1), ("a", 1), ("b", 2), ("c", 3)]
+    assert [(r.url, r.place) for r in S.chained(pages, "s").collect()] == [("s", 1)] and [(r.url, r.place) for r in S.chained(pages, "d").collect()] == [("d", 1)]
+    assert S.chained(pages, "nowhere").count() == 0
+
+
+def test_registry_tables_and_problems(spark):
+    table = lambda cls, *rows: f'<table class="{cls}">' + "".join("<tr>" + "".join(f"<td>{c}</td>" for c in r) + "</tr>" for r in rows) + "</table>"
+    step = lambda t: f'<ol class="ecl-timeline"><li class="ecl-timeline__item ecl-timeline__item--current">{t}</li></ol>'
+    a = step("Something new") + table("ecl-table", ("Other", "1", "2", "300%")) + table("ecl-table ecl-table--zebra ecl-u-type-paragraph", ("France", "1 000", "", "99.9%"), ("Malta", "5", "1", "120.5 %, 100%"), ("Total number of signatories", "1 005", "", ""))
+    a += "<table><tr><th>Name of sponsor</th><th>Date</th><th>Amount in EUR</th></tr><tr><td>X [2]</td><td></td><td>none</td></tr></table>" + table("", ("Y", "d", "5"))
+    b = step("Open") + '<div class="ecl-counter__value">1,234 <b>5</b></div>'
+    rows = spark.createDataFrame([(a, "2012_000001_en.html"), (b, "2012_000002_en.html"), ("", "z.html")], "html string, file_name string")
+    x, y, z = P.registry_record(N.with_nodes(rows), "u/", F.lit("now")).collect()
+    assert (x.signatures_collected, x.signatures_threshold_met, y.signatures_collected, y.last_updated) == ("1005", 1, "12345", "now")
+    assert [c["country"] for c in json.loads(x.signatures_collected_by_country)] == ["France", "Malta"] and [s["name_of_sponsor"] for s in json.loads(x.funding_by)] == ["X"]
+    assert (x.problems, x.final_outcome, y.problems, z.problems) == (["unknown status"], None, [], ["no registration number", "no timeline"])
 
 
 def test_snapshots(spark, tmp_path):
