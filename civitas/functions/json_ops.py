@@ -12,18 +12,45 @@ def present(c: Column) -> Column:
     return F.when(~F.lower(F.trim(c)).isin(*EMPTY), c)
 
 
-def _plain(c: Column) -> Column:
-    """Python literals as JSON: None, True and False outside of strings."""
-    out = F.regexp_replace(c, r"(?<=[\[,:{\s])None(?=[\],}\s])", "null")
-    out = F.regexp_replace(out, r"(?<=[\[,:{\s])True(?=[\],}\s])", "true")
-    return F.regexp_replace(out, r"(?<=[\[,:{\s])False(?=[\],}\s])", "false")
+#: A string in either kind of quotes with its escapes, or what stands between strings.
+LITERAL_TOKENS = r"""(?s)'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*"|[^'"]+|['"]"""
+#: Stand for a backslash and a quote that are settled already.
+_BACKSLASH, _QUOTE = "", ""
+
+
+def _json_string(token: Column) -> Column:
+    """A quoted string of a Python literal in JSON's quotes and escapes; escapes that JSON lacks keep their backslash."""
+    out = F.substring(token, F.lit(2), F.char_length(token) - 2)
+    out = F.replace(F.replace(out, F.lit("\\\\"), F.lit(_BACKSLASH)), F.lit('\\"'), F.lit(_QUOTE))
+    out = F.replace(F.replace(out, F.lit("\\'"), F.lit("'")), F.lit('"'), F.lit(_QUOTE))
+    out = F.regexp_replace(F.replace(out, F.lit("\\\n"), F.lit("")), r"\\x([0-9a-fA-F]{2})", r"\\u00$1")
+    out = F.replace(F.replace(out, F.lit("\\a"), F.lit("\\u0007")), F.lit("\\v"), F.lit("\\u000b"))
+    out = F.regexp_replace(out, r"\\(?![bfnrt]|u[0-9a-fA-F]{4})", _BACKSLASH)
+    return F.concat(F.lit('"'), F.replace(F.replace(out, F.lit(_QUOTE), F.lit('\\"')), F.lit(_BACKSLASH), F.lit("\\\\")), F.lit('"'))
+
+
+def literal_json(c: Column) -> Column:
+    """A Python literal of containers, strings, numbers and constants as JSON.
+
+    Tokens are taken from left to right, so that quotes within quotes, escapes and words within
+    strings stay what they are.
+    """
+    is_string = lambda t: F.rlike(t, F.lit(r"(?s)^(?:'.*'|\".*\")$")) & (F.char_length(t) > 1)
+
+    def plain(t: Column) -> Column:
+        for word, name in (("None", "null"), ("True", "true"), ("False", "false")):
+            t = F.regexp_replace(t, rf"\b{word}\b", name)
+        return F.regexp_replace(F.translate(t, "()", "[]"), r",\s*(?=[\]}])", "")
+
+    tokens = F.regexp_extract_all(c, F.lit(LITERAL_TOKENS), F.lit(0))
+    return F.array_join(F.transform(tokens, lambda t: F.when(is_string(t), _json_string(t)).otherwise(plain(t))), "")
 
 
 def parsed(c: Column, schema: str) -> Column:
     """from_json of JSON, or of a Python literal of the same shape (single quotes); null where neither reads."""
     own = present(c)
     options = {"mode": "PERMISSIVE"}
-    return F.coalesce(F.from_json(own, schema, options), F.from_json(_plain(own), schema, options))
+    return F.coalesce(F.from_json(own, schema, options), F.from_json(literal_json(own), schema, options))
 
 
 def items(c: Column) -> Column:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
+from html.entities import html5
 
 from pyspark.sql import Column, functions as F
 
@@ -31,15 +33,40 @@ def without_urls(c: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(c, r"https?://\S+", ""), r"\bwww\.\S+", "")
 
 
-ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&apos;": "'", "&nbsp;": " ", "&amp;": "&"}
+def unescaped(c: Column) -> Column:
+    """Character references decoded as HTML does: named ones (the longest known name where no semicolon ends it), decimal and hexadecimal numbers.
+
+    Names come from the standard library's table; numbers of no character are left out, those of a
+    Windows code page mean its characters, and what is out of range becomes U+FFFD.
+    """
+    table = lambda names: F.from_json(F.lit(json.dumps(names)), "map<string,string>")
+    ended, open_ = ({k: v for k, v in html5.items() if k.endswith(";") == e} for e in (True, False))
+    windows = {str(n): bytes([n]).decode("cp1252", "ignore") or chr(n) for n in range(0x80, 0xA0)} | {"13": "\r"}
+
+    def named(s: Column) -> Column:
+        lengths = F.transform(F.sequence(F.lit(1), F.char_length(s)), lambda i: F.char_length(s) + 1 - i)
+        longest = F.try_element_at(F.filter(lengths, lambda n: (n > 1) & F.map_contains_key(table(open_), F.substring(s, F.lit(1), n))), F.lit(1))
+        known = F.concat(F.try_element_at(table(open_), F.substring(s, F.lit(1), longest)), F.substring(s, longest + 1, F.char_length(s)))
+        return F.coalesce(F.try_element_at(table(ended), s), known, F.concat(F.lit("&"), s))
+
+    def numbered(s: Column) -> Column:
+        digits = F.rtrim(s, F.lit(";"))
+        n = F.when(F.rlike(digits, F.lit("^#[xX]")), F.conv(F.substring(digits, 3, 40), 16, 10)).otherwise(F.substring(digits, 2, 40)).try_cast("decimal(38,0)")
+        no_character = n.between(1, 8) | n.between(14, 31) | (n == 11) | n.between(0x7F, 0x9F) | n.between(0xFDD0, 0xFDEF) | (n % 0x10000 >= 0xFFFE)
+        char = F.decode(F.unhex(F.lpad(F.hex(n.try_cast("long")), 8, "0")), "UTF-32")
+        out_of_range = n.isNull() | (n == 0) | n.between(0xD800, 0xDFFF) | (n > 0x10FFFF)
+        return F.coalesce(F.try_element_at(table(windows), n.cast("string")), F.when(out_of_range, "�").when(no_character, "").otherwise(char))
+
+    references = r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)"
+    parts = F.split(F.regexp_replace(F.replace(c, F.lit(MARK), F.lit(" ")), references, f"{MARK}$0{MARK}"), MARK)
+    one = lambda s: F.when(F.startswith(s, F.lit("#")), numbered(s)).otherwise(named(s))
+    return F.array_join(F.transform(parts, lambda p, i: F.when(i % 2 == 0, p).otherwise(one(F.substring(p, F.lit(2), F.char_length(p))))), "")
 
 
 def complete_text(parts: Column) -> Column:
-    """Join an array of strings, decode the usual entities (ampersand last), lower-case, normalise."""
-    out = F.array_join(parts, " ")
-    for k, v in ENTITIES.items():
-        out = F.replace(out, F.lit(k), F.lit(v))
-    return comparable(out)
+    """An array of strings, stripped and joined without anything between, decoded, lower-cased, normalised."""
+    stripped = F.transform(parts, lambda p: F.regexp_replace(p, r"(?U)^\s+|\s+$", ""))
+    return comparable(unescaped(F.array_join(stripped, "")))
 
 
 def contains_any(c: Column, phrases: Sequence[str]) -> Column:
@@ -114,6 +141,37 @@ def wrapped(c: Column, words: int, sep: str = "<br>") -> Column:
     return F.array_join(F.transform(starts, lambda i: F.array_join(F.slice(parts, i, words), " ")), sep)
 
 
+#: Words, parts of words that end with a hyphen between letters, and white space.
+CHUNKS = r"\s+|\S+?(?:-(?:(?<=\p{L}{2}-)|(?<=\p{L}-\p{L}-))(?=\p{L}-?\p{L})|(?=\s|\z))"
+
+
+def wrapped_at(c: Column, width: int, sep: str = "<br>") -> Column:
+    """Normalised text in lines of at most `width` characters, broken at blanks and after hyphens between letters; longer words are cut at the width."""
+    chunks = F.regexp_extract_all(normalized(c), F.lit(CHUNKS), F.lit(0))
+    state = lambda lines, line: F.struct(lines.alias("lines"), line.alias("line"))
+    left = lambda s: F.lit(width) - F.char_length(s["line"])
+    ended = lambda s, line: F.concat(s["lines"], F.array(F.rtrim(line)))
+
+    def cut(s: Column, w: Column) -> Column:
+        filled, rest = F.concat(s["line"], F.substring(w, F.lit(1), left(s))), F.substring(w, left(s) + 1, F.char_length(w))
+        whole = F.floor((F.char_length(rest) - 1) / width).cast("int")
+        pieces = F.transform(F.when(whole > 0, F.sequence(F.lit(0), whole - 1)).otherwise(F.array().cast("array<int>")), lambda i: F.substring(rest, i * width + 1, F.lit(width)))
+        return state(F.concat(ended(s, filled), pieces), F.substring(rest, whole * width + 1, F.lit(width)))
+
+    def step(s: Column, w: Column) -> Column:
+        fits, blank = F.char_length(w) <= left(s), F.trim(w) == ""
+        return (
+            F.when(blank & (s["line"] == ""), s)
+            .when(fits, state(s["lines"], F.concat(s["line"], w)))
+            .when(blank, state(ended(s, s["line"]), F.lit("")))
+            .when(F.char_length(w) > width, F.when(left(s) > 0, cut(s, w)).otherwise(cut(state(ended(s, s["line"]), F.lit("")), w)))
+            .otherwise(state(ended(s, s["line"]), w))
+        )
+
+    none = state(F.array().cast("array<string>"), F.lit(""))
+    return F.array_join(F.aggregate(chunks, none, step, lambda s: F.when(s["line"] != "", ended(s, s["line"])).otherwise(s["lines"])), sep)
+
+
 def short_number(c: Column, sign: str = "") -> Column:
     """1.2M, 3.4K or the number itself."""
     return F.concat(

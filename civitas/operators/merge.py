@@ -174,9 +174,9 @@ PETITION_RULES = {
     "law_implementation_date": "implementation_date",
     "commission_promised_new_law": "promised",
     "commission_rejected_initiative": "rejected",
-    **dict.fromkeys(("laws_actions", "policies_actions", "followup_events_with_dates"), "list_union"),
+    **dict.fromkeys(("laws_actions", "policies_actions", "court_cases_referenced", "followup_events_with_dates"), "list_union"),
     **dict.fromkeys(("has_roadmap", "has_workshop", "has_partnership_programs"), "either"),
-    **dict.fromkeys(("court_cases_referenced", "referenced_legislation_by_id", "referenced_legislation_by_name"), "object_union"),
+    **dict.fromkeys(("referenced_legislation_by_id", "referenced_legislation_by_name"), "object_union"),
     **dict.fromkeys(("followup_latest_date", "followup_most_future_date"), "latest_date"),
 }
 
@@ -189,7 +189,7 @@ def last_of_each(df: DataFrame, key: str, order: Sequence[Column]) -> DataFrame:
 def merge(base: DataFrame, followup: DataFrame, key: str, rules: dict[str, str | Rule], default: str = "prefer_followup") -> DataFrame:
     """Base rows, merged with the follow-up row of the same key where there is one.
 
-    Rows without a follow-up pass unchanged. `followup` must hold one row a key (see
+    Rows without a follow-up pass unchanged. A value that a rule cannot work out is the base's. `followup` must hold one row a key (see
     last_of_each). The result has the base's columns in their order.
     """
     right = followup.select(F.col(key).alias("_key"), F.lit(True).alias("_there"), *(F.col(c).alias(f"_f_{c}") for c in followup.columns if c != key))
@@ -200,7 +200,7 @@ def merge(base: DataFrame, followup: DataFrame, key: str, rules: dict[str, str |
             out.append(F.col(c))
             continue
         rule = rules.get(c, default)
-        rule = RULES[rule] if isinstance(rule, str) else rule
+        rule = or_base(RULES[rule] if isinstance(rule, str) else rule)
         out.append(F.when(F.col("_there"), rule(F.col(c), F.col(f"_f_{c}"))).otherwise(F.col(c)).alias(c))
     return joined.select(*out)
 

@@ -93,6 +93,40 @@ def mode(df: DataFrame, by: Sequence[str], value: str, least: int = 1) -> DataFr
     return best.select(*by, F.when(F.col("b.times") >= least, F.col(f"b.{value}")).alias("mode_value"), F.col("b.times").alias("times"))
 
 
+def key_examples(df: DataFrame, by: Sequence[str], value: str, prefer: Column, order: Sequence[str], shown: Sequence[str]) -> DataFrame:
+    """by, example (`min`, `median`, `max`), at, and the shown columns of one row each.
+
+    A row of the value is taken that no earlier example of the group took, rows of which `prefer`
+    holds first, then by `order`; where all are taken, the best of the taken. Groups of an even
+    number of values may have no row at their median. Three candidates a value suffice, as two
+    at most are taken, so that no task holds the rows of a value.
+    """
+    rows = df.where(F.col(value).isNotNull())
+    stats = rows.groupBy(*by).agg(F.min(value).alias("min"), F.max(value).alias("max"))
+    n = F.col("n")
+    middle = at_ranks(rows, by, value, {"low": F.floor((n - 1) / 2), "high": F.ceil((n - 1) / 2)}).groupBy(*by).agg(F.avg("at").alias("median"))
+    names = ("min", "median", "max")
+    wanted = stats.join(middle, list(by)).select(*by, F.inline(F.array(*(F.struct(F.lit(i).alias("case"), F.col(c).cast("double").alias("at")) for i, c in enumerate(names)))))
+    found = rows.withColumn("at", F.col(value).cast("double")).join(wanted, [*by, "at"])
+    ranked = Window.partitionBy(*by, "case").orderBy(F.coalesce(prefer, F.lit(False)).desc(), *order)
+    few = found.withColumn("_r", F.row_number().over(ranked)).where("_r <= 3")
+    row = F.struct(F.struct(*(F.col(c) for c in order)).alias("key"), *(F.col(c).alias(f"_{c}") for c in shown))
+    lists = few.groupBy(*by).agg(F.collect_list(F.struct("case", "_r", "at", row.alias("row"))).alias("all"))
+    key = lambda x: x["row"]["key"]
+
+    def chosen(case: int, taken: list[Column]) -> Column:
+        own = F.array_sort(F.filter("all", lambda x: x["case"] == case))
+        free = F.filter(own, lambda x: ~F.exists(F.array(*taken), lambda t: F.coalesce(key(t) == key(x), F.lit(False)))) if taken else own
+        return F.coalesce(F.try_element_at(free, F.lit(1)), F.try_element_at(own, F.lit(1)))
+
+    picks, taken = lists, []
+    for i, name in enumerate(names):
+        picks = picks.withColumn(name, chosen(i, taken))
+        taken = [*taken, F.col(name)]
+    out = picks.select(*by, F.inline(F.array(*(F.struct(F.lit(c).alias("example"), F.col(c).alias("x")) for c in names)))).where("x IS NOT NULL")
+    return out.select(*by, "example", F.col("x.at").alias("at"), *(F.col(f"x.row._{c}").alias(c) for c in shown))
+
+
 def cut(value: Column, edges: Sequence[float], labels: Sequence[str], include_lowest: bool = False) -> Column:
     """Right-closed brackets (a, b]; values at or below the first edge are null unless it is included."""
     out = F.lit(None).cast("string")

@@ -284,6 +284,20 @@ def least_median_largest_examples(t):
     return ranked.where("i = skip").select("o_orderstatus", F.col("rank_name").alias("example"), "o_orderkey")
 
 
+@query(
+    "key_examples_per_nation",
+    """WITH v AS (SELECT c_nationkey AS g, c_custkey AS k, c_custkey % 3 AS v, c_acctbal < 0 AS poor FROM customer),
+s AS (SELECT g, min(v) AS lo, median(v) AS mid, max(v) AS hi FROM v GROUP BY g),
+l AS (SELECT v.g, lo, mid, hi, list(k ORDER BY poor, k) FILTER (WHERE v = lo) AS a, list(k ORDER BY poor, k) FILTER (WHERE v = mid) AS b, list(k ORDER BY poor, k) FILTER (WHERE v = hi) AS c FROM v JOIN s ON v.g = s.g GROUP BY 1, 2, 3, 4),
+p AS (SELECT *, a[1] AS x, coalesce(list_filter(b, lambda i: i <> a[1])[1], b[1]) AS y FROM l), q AS (SELECT *, coalesce(list_filter(c, lambda i: i <> x AND (y IS NULL OR i <> y))[1], c[1]) AS z FROM p)
+SELECT g AS c_nationkey, 'min' AS example, lo::DOUBLE AS at, x AS c_custkey FROM q UNION ALL SELECT g, 'median', mid::DOUBLE, y FROM q WHERE y IS NOT NULL UNION ALL SELECT g, 'max', hi::DOUBLE, z FROM q""",
+)
+def key_examples_per_nation(t):
+    """No customer is shown twice for a nation while another has the value; those in debt come last."""
+    rows = t.customer.withColumn("v", F.col("c_custkey") % 3)
+    return R.key_examples(rows, ["c_nationkey"], "v", F.col("c_acctbal") >= 0, ["c_custkey"], ["c_custkey"])
+
+
 @query("numbered_lines", "SELECT l_orderkey, l_linenumber, row_number() OVER w AS i, count(*) OVER (PARTITION BY l_orderkey) AS of_n FROM lineitem WINDOW w AS (PARTITION BY l_orderkey ORDER BY l_shipdate, l_linenumber, l_partkey)")
 def numbered_lines(t):
     own = Window.partitionBy("l_orderkey")

@@ -103,3 +103,80 @@ def merge_documents(t):
     more = F.concat(F.lit('[{"text": "b", "url": "u'), (k % 9).cast("string"), F.lit('"}'), F.when(k % 2 == 0, ', {"text": "c", "url": "v"}').otherwise(""), F.lit("]"))
     rejected = M.rejected(F.when(k % 4 == 0, "yes").otherwise(""), F.when(k % 4 == 2, "True").otherwise("False"))
     return t.supplier.select("s_suppkey", M.document_union(base, more).alias("merged"), rejected.alias("rejected"))
+
+
+# The kind of value that the query gives the columns of a rule.
+KINDS = {"keep_base": "word", "labelled": "word", "outcome": "word", "implementation_date": "day", "latest_date": "day", "promised": "flag", "rejected": "flag", "either": "flag", "list_union": "list", "object_union": "object", "document_union": "documents"}
+DIVISORS = {"b": 3, "f": 4}
+
+
+def petition_side(t, side: str):
+    """A petition table of customers: words, days, flags, lists, objects and documents that depend on key, column and side."""
+    k, n = F.col("c_custkey"), DIVISORS[side]
+    out = [k.cast("string").alias("petition")]
+    for i, (c, rule) in enumerate(M.PETITION_RULES.items()):
+        x = k + i
+        digit = (x % n).cast("string")
+        joined = lambda *parts: F.concat(*(p if not isinstance(p, str) else F.lit(p) for p in parts))
+        values = {
+            "word": joined("w" if rule == "keep_base" else f"{side}w", (k % 5).cast("string")),
+            "day": joined("20", (10 + (x * n) % 20).cast("string"), "-05-01"),
+            "list": joined("['it\\'s', '", digit, "']") if side == "b" else joined('["it\'s", "', digit, '"]'),
+            "object": joined('{"a":["', digit, f'"],"{side}":1}}'),
+            "documents": joined(f'[{{"text":"{side}","url":"u', digit, '"}]'),
+        }
+        nothing = {"day": "None", "object": "{}"}
+        kind = KINDS[rule]
+        value = F.when(x % n == 0, "True").otherwise("False") if kind == "flag" else F.when(x % n == 0, nothing.get(kind, "")).otherwise(values[kind])
+        out.append(value.alias(c))
+    return (t.customer if side == "b" else t.customer.where("c_custkey % 3 <> 1")).select(*out)
+
+
+def petition_sql() -> str:
+    """The same merge in SQL, column by column."""
+    columns = []
+    for i, (c, rule) in enumerate(M.PETITION_RULES.items()):
+        kind = KINDS[rule]
+        x = {s: f"(k + {i}) % {n}" for s, n in DIVISORS.items()}
+        none = {s: f"({e} = 0)" for s, e in x.items()}
+        word = {s: f"('{'w' if rule == 'keep_base' else s + 'w'}' || k % 5)" for s in x}
+        day = {s: f"('20' || (10 + ((k + {i}) * {n}) % 20) || '-05-01')" for s, n in DIVISORS.items()}
+        item = {s: f"('\"' || {e} || '\"')" for s, e in x.items()}
+        document = {s: f"""('{{"text":"{s}","url":"u' || {e} || '"}}')""" for s, e in x.items()}
+        own = {
+            "word": f"CASE WHEN {none['b']} THEN '' ELSE {word['b']} END",
+            "day": f"CASE WHEN {none['b']} THEN 'None' ELSE {day['b']} END",
+            "flag": f"CASE WHEN {none['b']} THEN 'True' ELSE 'False' END",
+            "list": f"CASE WHEN {none['b']} THEN '' ELSE '[''it\\''s'', ''' || {x['b']} || ''']' END",
+            "object": f"""CASE WHEN {none['b']} THEN '{{}}' ELSE '{{"a":[' || {item['b']} || '],"b":1}}' END""",
+            "documents": f"CASE WHEN {none['b']} THEN '' ELSE '[' || {document['b']} || ']' END",
+        }[kind]
+        either = f"CASE WHEN {none['b']} OR {none['f']} THEN 'True' ELSE 'False' END"
+        pick = lambda of, last: f"CASE WHEN {none['b']} AND {none['f']} THEN '' WHEN {none['b']} THEN {of['f']} WHEN {none['f']} THEN {of['b']} ELSE {last} END"  # noqa: B023,E731
+        later = lambda of, missing: f"CASE WHEN NOT {none['f']} THEN {of['f']} WHEN {none['b']} THEN '{missing}' ELSE {of['b']} END"  # noqa: B023,E731
+        some = lambda of, second: f"list_filter([CASE WHEN NOT {none['b']} THEN {of['b']} END, CASE WHEN NOT {none['f']} AND {second} THEN {of['f']} END], lambda v: v IS NOT NULL)"  # noqa: B023,E731
+        new = f"({none['b']} OR {x['b']} <> {x['f']})"
+        columns.append(
+            f"CASE WHEN k % 3 = 1 THEN {own} ELSE "
+            + {
+                "keep_base": own,
+                "labelled": pick(word, f"'**Original Response:**' || chr(10) || {word['b']} || chr(10) || chr(10) || '**Current Followup:**' || chr(10) || {word['f']}"),
+                "outcome": later(word, ""),
+                "implementation_date": later(day, "None"),
+                "latest_date": pick(day, f"greatest({day['b']}, {day['f']})"),
+                "promised": either,
+                "rejected": either,
+                "either": either,
+                "list_union": f"""CASE WHEN {none['b']} AND {none['f']} THEN '' ELSE '["it''s",' || array_to_string({some(item, new)}, ',') || ']' END""",
+                "object_union": f"""CASE WHEN {none['b']} AND {none['f']} THEN '' ELSE '{{"a":[' || array_to_string(list_sort({some(item, new)}), ',') || ']' || CASE WHEN {none['b']} THEN '' ELSE ',"b":1' END || CASE WHEN {none['f']} THEN '' ELSE ',"f":1' END || '}}' END""",
+                "document_union": f"CASE WHEN {none['b']} AND {none['f']} THEN '' ELSE '[' || array_to_string({some(document, new)}, ',') || ']' END",
+            }[rule]
+            + f" END AS {c}"
+        )
+    return "SELECT CAST(k AS VARCHAR) AS petition,\n " + ",\n ".join(columns) + "\nFROM (SELECT c_custkey AS k FROM customer)"
+
+
+@query("merge_petitions", petition_sql())
+def merge_petitions(t):
+    """All columns of the petition tables by their rules; the base's lists are Python literals."""
+    return M.merge(petition_side(t, "b"), petition_side(t, "f"), "petition", M.PETITION_RULES)

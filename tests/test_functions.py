@@ -1,3 +1,8 @@
+import ast
+import html
+import json
+import random
+import textwrap
 from datetime import date
 
 import pytest
@@ -118,3 +123,52 @@ def test_windows_keep_ties_apart(spark):
     assert {r.g: r.mode_value for r in R.mode(rows, ["g"], "v", least=2).collect()} == {"a": 5, "b": None}
     assert [r.n for r in R.value_counts(rows, "g").orderBy("g").collect()] == [2, 1]
     assert [r.n for r in R.histogram(rows, "v", 1, 5, 2).orderBy("bin").collect()] == [1, 2]
+
+
+def literals(rng, depth=3):
+    """Nested containers of awkward strings, numbers and constants."""
+    words = ["it's", 'say "no"', "back\\slash", "None", "True, False", "a\nb\tc", "", "[1, 'x']", "\x07\x0b\x01é", "']", "{'k': None}", "u\\u0041", "\\'", '\\"', "(tuple)", "e, ]"]
+    if depth == 0 or rng.random() < 0.3:
+        return rng.choice([rng.choice(words), rng.randint(-9, 9), 1.5, None, True, False])
+    if rng.random() < 0.5:
+        return [literals(rng, depth - 1) for _ in range(rng.randint(0, 4))]
+    return {rng.choice(words) + str(i): literals(rng, depth - 1) for i in range(rng.randint(0, 4))}
+
+
+def test_literals_against_the_standard_library(spark):
+    rng = random.Random(1)
+    texts = [repr([literals(rng)]) for _ in range(300)] + ["('a', 'b',)", "['a',\n 'b', ]", "{'a': (1, 2)}"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, x string")
+    got = [json.loads(r.v, strict=False) for r in rows.select("i", J.literal_json(F.col("x")).alias("v")).orderBy("i").collect()]
+    plain = lambda v: [plain(x) for x in v] if isinstance(v, list | tuple) else {k: plain(x) for k, x in v.items()} if isinstance(v, dict) else v
+    assert got == [plain(ast.literal_eval(t)) for t in texts]
+    assert value(spark, J.items(F.col("x")), x="['it\\'s', \"None\"]") == ["it's", "None"]
+
+
+def test_entities_against_the_standard_library(spark):
+    texts = ["&amp;&lt;&gt;", "&notit; &notin; &amp", "&#65;&#x41;&#X1F600;x", "&#128;&#129;&#13;&#0;&#xD800;&#1114112;&#99999999999999999999999;", "&#1;&#xFFFE;&#x1FFFF;", "& &; &unknown; &#; a&b", "&CounterClockwiseContourIntegral;", "&eacute&Eacute;", "", "&ampamp;"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, x string")
+    got = [r.v for r in rows.select("i", T.unescaped(F.col("x")).alias("v")).orderBy("i").collect()]
+    assert got == [html.unescape(t) for t in texts]
+    assert value(spark, T.complete_text(F.array(F.col("x"), F.lit("&eacute; B"))), x=" A &amp; ") == "a &é b"
+
+
+def test_wrapping_against_the_standard_library(spark):
+    rng = random.Random(2)
+    words = ["a", "of", "European", "well-known", "state-of-the-art", "x-ray", "co-operation", "Donaudampfschifffahrtsgesellschaft", "e-", "-f", "2020-2021"]
+    texts = [" ".join(rng.choice(words) for _ in range(rng.randint(0, 20))) for _ in range(80)] + ["", "  a   b ", "x" * 100]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, x string")
+    for width in (12, 20, 50):
+        got = [r.v for r in rows.select("i", T.wrapped_at(F.col("x"), width).alias("v")).orderBy("i").collect()]
+        for t, v in zip(texts, got, strict=True):
+            assert v == "<br>".join(textwrap.wrap(" ".join(t.split()), width=width, break_on_hyphens=True)), (width, t)
+
+
+def test_key_examples(spark):
+    rows = [("a", i, v, p) for i, (v, p) in enumerate([(1, 0), (1, 1), (1, 1), (1, 0)])] + [("b", 9, 5, 0)] + [("c", i, v, 1) for i, v in enumerate([1, 2, 9, 4])] + [("d", 1, None, 1)] + [("e", i, 7, i % 2) for i in range(2)]
+    df = spark.createDataFrame(rows, "g string, k int, v int, p int")
+    got = {(r.g, r.example): (r.k, r.at) for r in R.key_examples(df, ["g"], "v", F.col("p") == 1, ["k"], ["k"]).collect()}
+    assert got == {
+        ("a", "min"): (1, 1.0), ("a", "median"): (2, 1.0), ("a", "max"): (0, 1.0), ("b", "min"): (9, 5.0), ("b", "median"): (9, 5.0), ("b", "max"): (9, 5.0),
+        ("c", "min"): (0, 1.0), ("c", "max"): (2, 9.0), ("e", "min"): (1, 7.0), ("e", "median"): (0, 7.0), ("e", "max"): (1, 7.0),
+    }
