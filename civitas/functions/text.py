@@ -156,7 +156,7 @@ def wrapped_at(c: Column, width: int, sep: str = "<br>") -> Column:
         filled, rest = F.concat(s["line"], F.substring(w, F.lit(1), left(s))), F.substring(w, left(s) + 1, F.char_length(w))
         whole = F.floor((F.char_length(rest) - 1) / width).cast("int")
         pieces = F.transform(F.when(whole > 0, F.sequence(F.lit(0), whole - 1)).otherwise(F.array().cast("array<int>")), lambda i: F.substring(rest, i * width + 1, F.lit(width)))
-        return state(F.concat(ended(s, filled), pieces), F.substring(rest, whole * width + 1, F.lit(width)))
+        return state(F.concat(s["lines"], F.array(filled), pieces), F.substring(rest, whole * width + 1, F.lit(width)))
 
     def step(s: Column, w: Column) -> Column:
         fits, blank = F.char_length(w) <= left(s), F.trim(w) == ""
@@ -164,7 +164,7 @@ def wrapped_at(c: Column, width: int, sep: str = "<br>") -> Column:
             F.when(blank & (s["line"] == ""), s)
             .when(fits, state(s["lines"], F.concat(s["line"], w)))
             .when(blank, state(ended(s, s["line"]), F.lit("")))
-            .when(F.char_length(w) > width, F.when(left(s) > 0, cut(s, w)).otherwise(cut(state(ended(s, s["line"]), F.lit("")), w)))
+            .when(F.char_length(w) > width, cut(s, w))
             .otherwise(state(ended(s, s["line"]), w))
         )
 
