@@ -1,7 +1,7 @@
 """License scan by canonical digest lookup, in DataFrame operations only.
 
 Entire texts are brought to a canonical form (case, punctuation, white space,
-copyright statements, equivalent spellings), digested, and hash-joined to the digests
+copyright statements, numbers of lists, names of holders, equivalent spellings), digested, and hash-joined to the digests
 of known license texts and notices. A document is looked up as a whole and line by
 line, since files commonly carry a notice as one line of their own; either way the
 unit is compared as an entire text, never by a part of it.
@@ -83,19 +83,19 @@ THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLI
 
 For more information, please refer to <https://unlicense.org>"""
 
+#: Texts with the headings that they are found under.
+TEXTS = (
+    ("MIT", MIT, ("MIT License", "The MIT License", "The MIT License (MIT)", "MIT")),
+    ("BSD-3-Clause", BSD_3, ("BSD 3-Clause License", "The BSD 3-Clause License", "New BSD License", "The 3-Clause BSD License", "BSD License")),
+    ("BSD-2-Clause", BSD_2, ("BSD 2-Clause License", "The BSD 2-Clause License", "Simplified BSD License", "The 2-Clause BSD License", "BSD License")),
+    ("Zlib", ZLIB, ("zlib License", "The zlib License")),
+    ("BSL-1.0", BOOST, ()),
+    ("Unlicense", UNLICENSE, ("The Unlicense", "Unlicense")),
+    ("ISC", ISC, ("ISC License", "The ISC License", "The ISC License (ISC)")),
+)
+
 KNOWN = (
-    ("MIT", "text", MIT),
-    ("MIT", "text", "MIT License\n\n" + MIT),
-    ("MIT", "text", "The MIT License (MIT)\n\n" + MIT),
-    ("BSD-3-Clause", "text", BSD_3),
-    ("BSD-3-Clause", "text", "BSD 3-Clause License\n\n" + BSD_3),
-    ("BSD-2-Clause", "text", BSD_2),
-    ("BSD-2-Clause", "text", "BSD 2-Clause License\n\n" + BSD_2),
-    ("Zlib", "text", ZLIB),
-    ("BSL-1.0", "text", BOOST),
-    ("Unlicense", "text", UNLICENSE),
-    ("ISC", "text", ISC),
-    ("ISC", "text", "ISC License\n\n" + ISC),
+    *((name, "text", head + "\n\n" + body) for name, body, heads in TEXTS for head in ("", *heads)),
     ("Apache-2.0", "notice", APACHE_NOTICE),
     ("MIT", "notice", "Released under the MIT License."),
     ("MIT", "notice", "Licensed under the MIT License."),
@@ -130,41 +130,59 @@ KNOWN = (
 
 # Digests and sizes of the canonical forms of whole texts too long to stand here.
 DIGESTS = (
-    ("Apache-2.0", "text", 9881, "75acde0fb516a7ba4597dfc23680cf78281f7fae7f3b74a78e06ef83c1c375c6"),
-    ("Artistic-1.0-Perl", "text", 5833, "e963bc30f4d3c45f45030c34409ee37315564625649c1394e32bb5ddd99e01b2"),
-    ("CC0-1.0", "text", 6692, "96bdc7f63190fb4bd1ae584b890300ed7517d858b34c945642a3b9b2f1612a5f"),
-    ("GFDL-1.2", "text", 19583, "94541e73869af10ab6bd68a29575eede324e54e7d5237e7386d12444f593af60"),
-    ("GFDL-1.3", "text", 22018, "a92fdbaeafedd9cbeb812ebbded06ee07e3b1427c81cfc333e682109c594d826"),
-    ("GPL-1.0", "text", 11797, "eafda7cb5e995143f4d45ef2107eb160d6856afabed7c48b1b317303bc40a7e6"),
-    ("GPL-2.0", "text", 17117, "efe73660e5476cf0368fc0fc143f624ff9d1b73c4484b14a9969dd20c5786821"),
-    ("GPL-3.0", "text", 33406, "eaab5d82fdcca441d83a1913bbf07e4de3a739e190578c0bffde24f84e93bb2a"),
-    ("LGPL-2.0", "text", 24130, "61af4dcea4e412e8ccfb8877fd2762bd6d962f8d42a9fa2c06cf7b4613f2c908"),
-    ("LGPL-2.1", "text", 25217, "4d55922bdeafabde164d75448bbfb0b474bf952bbb541325364010900acd9891"),
-    ("LGPL-3.0", "text", 7104, "aae2b222477171fb64e298e7965e768a9a6f85320646b266c94399ac029d42be"),
-    ("MPL-1.1", "text", 22467, "a1b36de49a400e3d3385d5987188db954a084f9876243aa7207cd91de3f24a7b"),
-    ("MPL-2.0", "text", 14341, "f82071285728ca3ec7685ee9bc4acdae0b8267142a4d20b8f1805eabedb4a98a"),
+    ("Apache-2.0", "text", 9863, "cf9739dc05765966fc191a4dbc2a4e34cca29a14bc442014e467766d0df5a6ef"),
+    ("Artistic-1.0-Perl", "text", 5812, "b4afa077d253371bcb30944c7a16b4385d4d6a3a4220363535165a4734387bae"),
+    ("CC0-1.0", "text", 6684, "2106cd4f7c9f6d4a9e5f54c911e4ff372736db5467794e4b89bcea996afde21c"),
+    ("GFDL-1.2", "text", 19560, "c015dc0a33d4b0c9904c69fb6954d48550fa3a94f315fa7f95f494ff6b782e11"),
+    ("GFDL-1.3", "text", 21990, "5bbcc2e4821491c735cc7e3fc53bb96ac511afd3e66939b7eb31de75ccb4ef78"),
+    ("GPL-1.0", "text", 11740, "8006d6938e45108c7c95d49b6d84aa0a345eedc8566395dd2bc121b8e6ba4ae9"),
+    ("GPL-2.0", "text", 17086, "5ca608bb2eb79eb10b1a80b55bb0a99df497ce228143b9d233b5df274e85643a"),
+    ("GPL-3.0", "text", 33358, "9df17f8b30e00a627b3d6ed8a16ccb66c85169c334b9499fe926866baf3682c2"),
+    ("LGPL-2.0", "text", 24089, "ec44c766883b869bef6a328cf51aafbe256ee10744ba67af3472eda9d0446def"),
+    ("LGPL-2.1", "text", 25176, "5ef8b7ba71d31fa31954beed6b9d500255758be9aaae1903502fe0f4c080e8d9"),
+    ("LGPL-3.0", "text", 7086, "828c3944cde1fc14c68737c9be14d8d0f4f13ab980f8a72364a0e64f72965525"),
+    ("MPL-1.1", "text", 22433, "c21da7db47fdd9d729022114526313faa8058be180af2021998fbacdd011452e"),
+    ("MPL-2.0", "text", 14320, "cf0cbde7aa46b215c9fa1eda48a097d574d70a04e3c2fab1c0b55f755160d0d6"),
 )
 
-#: A copyright statement at the start of a line, in lower case, up to the end of its sentence (initials, common
-#: abbreviations of companies and points inside words end none) with the rights reserved after it.
-HOLDER = r"^[^\p{L}\p{N}\n]*(?:copyright[^\p{L}\p{N}\n]+(?:c[^\p{L}\p{N}\n]+)?|(?:\(c\)|©)[^\p{L}\p{N}\n]*)(?:[0-9]{4}|year|yyyy)(?: (?:inc|ltd|co|corp|llc|\p{L})\.|[^.\n]|\.[^ \n]){0,200}\.?(?: *all rights reserved\.?)?"
+# Patterns of the canonical form. They also run in the oracle, whose regular expressions have no look-around.
+#: A number before an item of a list.
+LIST_MARK = r"(?m)^[^\p{L}\p{N}\n]*[0-9]{1,2}[.)][ \t]+"
+#: Points that end no sentence: after initials and abbreviations of companies, and inside words.
+ABBREVIATION = r" (inc|ltd|co|corp|llc|\p{L})\."
+INNER_POINT = r"\.+([^ \t\r\n.])"
+#: A copyright statement at the start of a line, in lower case, up to the end of its sentence or line; it has a sign or a
+#: year, as lines of a license's own text may begin with the word, too. Rights reserved after it, also in lines of their own.
+_GAP = r"[^\p{L}\p{N}\n]*"
+_YEAR = r"(?:[0-9]{4}|year|yyyy|19yy)"
+HOLDER = rf"(?m)^{_GAP}(?:copyright{_GAP}(?:\(c\)|©)|copyright{_GAP}(?:by{_GAP})?{_YEAR}|\(c\){_GAP}(?:copyright{_GAP})?{_YEAR}|©)[^.\n]*\.?(?:([^\p{{L}}\p{{N}}]*)all rights reserved\.?)?"
+#: Where a license names its holder: the names stand for each other.
+NAMED = (
+    (r"neither the names? of .*? nor the names? of", "neither the name of the copyright holder nor the names of"),
+    (r"this software is provided by .*? as is and any", "this software is provided by the copyright holders and contributors as is and any"),
+    (r"in no event shall .*? be liable for any direct", "in no event shall the copyright holder or contributors be liable for any direct"),
+)
 #: Known digests that are broadcast at most.
 BROADCAST_ROWS = 1_000_000
 
 
 def lines(text: Column) -> Column:
-    """The text with case, punctuation, spellings and copyright statements settled; line breaks are kept."""
+    """The text with case, punctuation, spellings, numbers of lists and copyright statements settled; line breaks are kept."""
+    out = F.lower(F.coalesce(text, F.lit("")))
     # (?d): lines end at \n alone
-    out = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), "(?md)" + HOLDER, "")
-    out = F.regexp_replace(out, r"[^\p{L}\p{N}\n]+", " ")
+    for pattern, keep in ((f"(?d){LIST_MARK}", ""), (ABBREVIATION, " $1 "), (INNER_POINT, " $1"), (f"(?d){HOLDER}", "$1"), (r"[^\p{L}\p{N}\n]+", " ")):
+        out = F.regexp_replace(out, pattern, keep)
     for have, want in SPELLINGS:
         out = F.replace(out, F.lit(have), F.lit(want))
     return out
 
 
 def joined(settled: Column) -> Column:
-    """One settled text as a single line; blanks stand alone in it, but for those about line breaks."""
-    return F.trim(F.regexp_replace(settled, r" ?\n[ \n]*", " "))
+    """One settled text as a single line with the holder's names settled; blanks stand alone in it."""
+    out = F.trim(F.regexp_replace(settled, r" ?\n[ \n]*", " "))
+    for pattern, name in NAMED:
+        out = F.regexp_replace(out, pattern, name)
+    return out
 
 
 def known_digests(spark: SparkSession, known=KNOWN, digests=DIGESTS) -> DataFrame:
@@ -183,7 +201,9 @@ def scan(spark: SparkSession, docs: DataFrame, known: DataFrame | None = None) -
     `line`. n_hits counts matching lines (1 for a whole text), first_line the first of
     them from 1 (0 for a whole text). A text without words (null and empty ones too)
     matches nothing, whatever its length a text is settled whole; rows that repeat a
-    doc_id add their hits. Documents without a known text have no row, nor does an
+    doc_id add their hits. A copyright statement ends with its sentence or line, whatever its length;
+    one without a sign or a year is left, and so is what a statement carries on in the next line.
+    Rights reserved after a statement go with it. Documents without a known text have no row, nor does an
     empty table. Other columns are ignored.
     """
     known = known_digests(spark) if known is None else known.select("digest", "size", "license", "form")
@@ -203,17 +223,20 @@ def scan(spark: SparkSession, docs: DataFrame, known: DataFrame | None = None) -
 def oracle_sql(known=KNOWN, digests=DIGESTS) -> str:
     quote = lambda x: "'" + x.replace("'", "''") + "'"
     spell = lambda x: "".join(["replace("] * len(SPELLINGS)) + x + "".join(f", {quote(a)}, {quote(b)})" for a, b in SPELLINGS)
-    settle = lambda x: spell(rf"""regexp_replace(regexp_replace(lower(coalesce({x}, '')), '(?m){HOLDER}', '', 'g'), '[^\p{{L}}\p{{N}}\n]+', ' ', 'g')""")
+    steps = ((LIST_MARK, ""), (ABBREVIATION, r" \1 "), (INNER_POINT, r" \1"), (HOLDER, r"\1"), (r"[^\p{L}\p{N}\n]+", " "))
+    replaced = lambda x, pairs: "".join(["regexp_replace("] * len(pairs)) + x + "".join(f", {quote(a)}, {quote(b)}, 'g')" for a, b in pairs)
+    settle = lambda x: spell(replaced(f"lower(coalesce({x}, ''))", steps))
+    whole = lambda x: replaced(f"trim(regexp_replace({x}, '[ \\n]+', ' ', 'g'))", NAMED)
     values = ", ".join(f"({quote(a)}, {quote(b)}, {quote(c)})" for a, b, c in known)
     more = ", ".join(f"({quote(a)}, {quote(b)}, {quote(d)})" for a, b, _, d in digests)
     return f"""
 WITH k AS (SELECT digest, min({{'license': license, 'form': form}}) AS m FROM (
-             SELECT license, form, sha256(trim(regexp_replace({settle('text')}, '[ \\n]+', ' ', 'g'))) AS digest FROM (VALUES {values}) AS v(license, form, text)
+             SELECT license, form, sha256({whole(settle('text'))}) AS digest FROM (VALUES {values}) AS v(license, form, text)
              UNION ALL SELECT * FROM (VALUES {more}) AS w(license, form, digest)) GROUP BY 1),
 s AS (SELECT doc_id, {settle('text')} AS settled FROM documents),
 l AS (SELECT doc_id, string_split(settled, chr(10)) AS parts FROM s),
 u AS (SELECT doc_id, 'line' AS unit, i AS line, trim(parts[i]) AS body FROM (SELECT doc_id, parts, unnest(range(1, len(parts) + 1)) AS i FROM l)
-      UNION ALL SELECT doc_id, 'text', 0, trim(regexp_replace(settled, '[ \\n]+', ' ', 'g')) FROM s)
+      UNION ALL SELECT doc_id, 'text', 0, {whole('settled')} FROM s)
 SELECT doc_id, m.license AS license, m.form AS form, unit, count(*) AS n_hits, min(line) AS first_line
 FROM u JOIN k ON sha256(u.body) = k.digest WHERE body <> '' GROUP BY ALL
 """

@@ -425,3 +425,31 @@ def test_long_licenses_by_digest(spark):
     rows = [(i, open(f"{folder}/{f}").read()) for i, f in enumerate(("GPL-3", "Apache-2.0", "MPL-2.0")) if os.path.isfile(f"{folder}/{f}")]
     found = {r.doc_id: r.license for r in licenses.scan(spark, frame(spark, rows)).collect() if r.form == "text"}
     assert found == {i: ("GPL-3.0", "Apache-2.0", "MPL-2.0")[i] for i, _ in rows}
+
+
+def test_license_files_as_they_are_found(spark):
+    """Files of common forms: holders without a year, rights on a line of their own, many authors, bullets, headings, comments, long lines."""
+    L = licenses
+    bullets = L.BSD_3.replace("1. ", "* ").replace("2. ", "* ").replace("3. ", "* ")
+    files = {
+        "BSD-3-Clause": [
+            "Copyright (c) 2020, Jane Doe\nAll rights reserved.\n\n" + L.BSD_3,
+            "BSD 3-Clause License\n\nCopyright (c) 2020, Jane Doe\n\nAll rights reserved.\n\n" + bullets,
+            "Copyright 2020 The X Authors\n" + L.BSD_3.replace("the copyright holder nor", "Example Inc. nor"),
+            "Copyright (c) The Regents. All rights reserved.\n" + L.BSD_3.replace("THE COPYRIGHT HOLDERS AND CONTRIBUTORS", "JANE DOE").replace("THE COPYRIGHT HOLDER OR CONTRIBUTORS", "JANE DOE").replace("the copyright holder nor", "Jane Doe nor"),
+        ],
+        "BSD-2-Clause": ["\n".join(f" * {x}" for x in ("Copyright (c) 2020 Jane Doe\n\n" + L.BSD_2).split("\n"))],
+        "MIT": [
+            "Copyright (c) Microsoft Corporation.\n\n" + L.MIT,
+            "(The MIT License)\n\n" + "\n".join(f"Copyright (c) {2000 + i} Author A. B. {i} <a{i}@x.org>" for i in range(30)) + "\n\n" + L.MIT,
+            "The MIT License (MIT)\n\nCopyright © 2020 " + "long name " * 60 + "\n\n" + L.MIT,
+            "MIT License\nCopyright (c) 2015-present, J. R. R. Doe, Foo Co. Ltd. and contributors (https://x.org)\nAll Rights Reserved\n" + L.MIT,
+        ],
+    }
+    rows = [(i, f) for i, f in enumerate(f for fs in files.values() for f in fs)]
+    want = [name for name, fs in files.items() for _ in fs]
+    got = licenses.scan(spark, frame(spark, rows)).collect()
+    assert sorted((r.doc_id, r.license, r.unit) for r in got) == [(i, n, "text") for i, n in enumerate(want)]
+    plain = [(1, "All rights reserved."), (2, "Copyright (c) 2020 X.\nAll rights reserved.\nReleased under the MIT License."), (3, "copyright holders say:\nReleased under the MIT License."), (4, "copyright 2020 " + "a.b " * 20_000)]
+    found = {(r.doc_id, r.license, r.unit, r.first_line) for r in licenses.scan(spark, frame(spark, plain)).collect()}
+    assert found == {(1, "proprietary", "line", 1), (1, "proprietary", "text", 0), (2, "MIT", "line", 3), (2, "MIT", "text", 0), (3, "MIT", "line", 2)}
