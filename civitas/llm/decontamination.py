@@ -34,9 +34,11 @@ BROADCAST_ROWS = 1_000_000
 # Units known after a number.
 UNITS = "kg|g|mg|lb|lbs|oz|km|m|cm|mm|mi|ft|in|l|ml|h|min|s|ms|hz|khz|mhz|ghz|kb|mb|gb|tb|w|kw|v|a|j|kj|n|pa|kpa|°c|°f|k|mol|percent|dollars?|euros?|pounds?|cents?|hours?|minutes?|seconds?|days?|weeks?|months?|years?|meters?|metres?|miles?|feet|inches|liters?|litres?|grams?|kilograms?|kilometers?|kilometres?"
 NUMBER = r"\p{N}+(?:[.,:/]\p{N}+)*"
-NAME = r"(?<![\p{L}\p{N}])\p{Lu}\p{Ll}+(?![\p{L}\p{N}])"
+#: A capitalised word, also with an apostrophe or a capital inside.
+_NAME = r"\p{Lu}(?:['’]\p{Lu})?\p{Ll}+(?:\p{Lu}\p{Ll}+)*"
+NAME = rf"(?<![\p{{L}}\p{{N}}]){_NAME}(?![\p{{L}}\p{{N}}])"
 #: Names inside a sentence: only these count against `LITERAL`.
-INNER = r"(?<=[\p{L}\p{N},;] )\p{Lu}\p{Ll}+(?![\p{L}\p{N}])"
+INNER = rf"(?<=[\p{{L}}\p{{N}},;] ){_NAME}(?![\p{{L}}\p{{N}}])"
 #: Placeholders: private code points, so no text has them by chance; others of their kind are blanked.
 HOLD = {"name": "\ue001", "number": "\ue002", "unit": "\ue003"}
 OWN = "".join(HOLD.values())
@@ -52,7 +54,7 @@ def template(text: Column, name: str = NAME) -> Column:
 
 
 def plain(text: Column) -> Column:
-    """The words themselves, as many as the template has."""
+    """The words themselves; names with an apostrophe are two."""
     blank = F.translate(F.coalesce(text, F.lit("")), OWN, "   ")
     return F.regexp_extract_all(F.lower(blank), F.lit(rf"{NUMBER}|\p{{L}}+"), F.lit(0))
 
@@ -75,22 +77,22 @@ def _hashes(hashes: Column, window: int) -> Column:
 
 
 def windows(docs: DataFrame, lengths: list[int]) -> DataFrame:
-    """doc_id, at, window_hash: the windows of templates and those of words (the same twice where no placeholder is in them).
+    """row, at, window_hash: the windows of templates and those of words (the same twice where no placeholder is in them).
 
     Words are hashed once for each text. A row for each place then hashes the windows that
     begin there in generated code; the arrays are not copied for it. Windows of items longer
     than `WINDOW` are hashed in a second pass, which only such items cause.
     """
     each = lambda c: F.transform(c, lambda w: F.xxhash64(w))
-    held = docs.select("doc_id", each(template(F.col("text"))).alias("t"), each(plain(F.col("text"))).alias("p"))
+    held = docs.select("row", each(template(F.col("text"))).alias("t"), each(plain(F.col("text"))).alias("p"))
     # the outer form: the plain one would test the array's size in a filter that works all of it out once more
-    placed = held.select("doc_id", "t", "p", F.explode_outer(F.sequence(F.lit(0), F.size("t") - 1)).alias("at")).where("at >= 0")
+    placed = held.select("row", "t", "p", F.explode_outer(F.sequence(F.lit(0), F.greatest(F.size("t"), F.size("p")) - 1)).alias("at")).where("at >= 0")
     one = lambda c, n: F.when(F.col("at") + n <= F.size(c), F.xxhash64(*(F.get(c, F.col("at") + k) for k in range(n))))
-    out = placed.select("doc_id", "at", F.explode_outer(F.array(*(one(c, n) for n in lengths if n <= WINDOW for c in "tp"))).alias("window_hash"))
+    out = placed.select("row", "at", F.explode_outer(F.array(*(one(c, n) for n in lengths if n <= WINDOW for c in "tp"))).alias("window_hash"))
     if long := [n for n in lengths if n > WINDOW]:
         numbered = lambda c: F.transform(c, lambda h, i: F.struct(i.alias("at"), h.alias("window_hash")))
-        more = held.select("doc_id", F.explode_outer(F.concat(*(numbered(_hashes(F.col(c), n)) for n in long for c in "tp"))).alias("w"))
-        out = out.unionByName(more.select("doc_id", "w.at", "w.window_hash"))
+        more = held.select("row", F.explode_outer(F.concat(*(numbered(_hashes(F.col(c), n)) for n in long for c in "tp"))).alias("w"))
+        out = out.unionByName(more.select("row", "w.at", "w.window_hash"))
     return out.where("window_hash IS NOT NULL")
 
 
@@ -129,10 +131,14 @@ def leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, window: in
     kind is `verbatim` or `reparameterised`. Items of the same template and slots count
     as one, named by the smallest item_id. Items that cannot be told from chance leak
     nowhere, or only verbatim: `unsearched` lists them. Null and empty texts have no
-    window. Rows that repeat a doc_id are taken together. Other columns of either table
-    are ignored; an empty table on either side gives no row.
+    window. Every row is judged by itself, whatever its doc_id (a null one, too, stays
+    null); rows that repeat a doc_id give one row an item, of the row in which more windows
+    match. Other columns of either table are ignored; an empty table on either side gives
+    no row.
     """
     folder = scratch(spark)
+    # A row is its doc_id and text: rows equal in both are one, and only texts of one doc_id could be confused by the hash.
+    docs = docs.select("doc_id", F.struct("doc_id", F.xxhash64("text").alias("h")).alias("row"), "text")
     items = benchmark.where("item_id IS NOT NULL").select("item_id", "text", template(F.col("text")).alias("words"), slot_values(F.col("text")).alias("values"))
     items = items.groupBy("words", "values").agg(F.min("item_id").alias("item_id"), F.min_by("text", "item_id").alias("text"))
     items = stored(spark, items.select("item_id", "text"), folder, "items")
@@ -142,9 +148,9 @@ def leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, window: in
     needs = base.groupBy("item_id", "form").agg(F.least(F.ceil(F.countDistinct("item_at") / 2), F.lit(enough)).alias("need"))
     few = base.count() <= BROADCAST_ROWS
 
-    own = windows(docs.select("doc_id", "text"), lengths)
+    own = windows(docs, lengths)
     hits = own.join(F.broadcast(base) if few else base, "window_hash")
-    hits = hits.groupBy("doc_id", "item_id", "form", (F.col("at") - F.col("item_at")).alias("shift")).agg(
+    hits = hits.groupBy("row", "item_id", "form", (F.col("at") - F.col("item_at")).alias("shift")).agg(
         F.countDistinct("item_at").alias("n_windows"),
         F.countDistinct(F.when(F.col("literal") == F.col("n"), F.col("item_at"))).alias("n_plain"),
         F.min("item_at").alias("lo"),
@@ -159,18 +165,18 @@ def leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, window: in
         return rows.select(keep, F.explode_outer(both).alias("s")).where("s.at IS NOT NULL").select(keep, "s.at", "s.value")
 
     theirs = slots(items, "item_id").select("item_id", F.col("at").alias("item_at"), F.col("value").alias("item_value"))
-    wanted = hits.where("form = 'template'").join(theirs, "item_id").where("item_at >= lo AND item_at < hi").select("doc_id", "item_id", "shift", "item_value", (F.col("item_at") + F.col("shift")).alias("at"))
+    wanted = hits.where("form = 'template'").join(theirs, "item_id").where("item_at >= lo AND item_at < hi").select("row", "item_id", "shift", "item_value", (F.col("item_at") + F.col("shift")).alias("at"))
     if wanted.take(1):
-        some = docs.select("doc_id", "text").join(wanted.select("doc_id").distinct(), "doc_id", "left_semi")
-        pairs = wanted.join(slots(some, "doc_id"), ["doc_id", "at"])
-        each = pairs.groupBy("doc_id", "item_id", "shift", "item_value").agg(
+        some = docs.join(wanted.select("row").distinct(), "row", "left_semi").dropDuplicates(["row"])
+        pairs = wanted.join(slots(some, "row"), ["row", "at"])
+        each = pairs.groupBy("row", "item_id", "shift", "item_value").agg(
             F.countDistinct("value").alias("values"), F.count(F.lit(1)).alias("n"), F.bool_and(F.col("value") == F.col("item_value")).alias("same")
         )
-        agreed = each.groupBy("doc_id", "item_id", "shift").agg(F.max("values").alias("most"), F.sum("n").alias("n_slots"), F.bool_and("same").alias("same")).withColumn("form", F.lit("template"))
-        hits = hits.join(agreed, ["doc_id", "item_id", "shift", "form"], "left")
+        agreed = each.groupBy("row", "item_id", "shift").agg(F.max("values").alias("most"), F.sum("n").alias("n_slots"), F.bool_and("same").alias("same")).withColumn("form", F.lit("template"))
+        hits = hits.join(agreed, ["row", "item_id", "shift", "form"], "left")
     else:
         hits = hits.select("*", F.lit(None).cast("long").alias("most"), F.lit(None).cast("long").alias("n_slots"), F.lit(None).cast("boolean").alias("same"))
     hits = hits.where("coalesce(most, 1) <= 1 OR n_plain >= need")
     verbatim = F.coalesce("same", F.lit(True))
-    best = hits.groupBy("doc_id", "item_id").agg(F.max(F.struct("n_windows", verbatim.alias("verbatim"))).alias("b"), F.max(F.coalesce("n_slots", F.lit(0))).alias("n_slots"))
+    best = hits.groupBy(F.col("row.doc_id").alias("doc_id"), "item_id").agg(F.max(F.struct("n_windows", verbatim.alias("verbatim"))).alias("b"), F.max(F.coalesce("n_slots", F.lit(0))).alias("n_slots"))
     return best.select("doc_id", "item_id", "b.n_windows", "n_slots", F.when(F.col("b.verbatim"), "verbatim").otherwise("reparameterised").alias("kind"))

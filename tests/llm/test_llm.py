@@ -162,7 +162,7 @@ def test_decontamination(spark):
          (3, "x " + item.upper()), (4, None), (5, ""), (6, "Nothing of the kind was said here, at any time, by any one of us."), (7, item), (7, item)],
     )
     got = {(r.doc_id, r.item_id): r.kind for r in decontamination.leaks(spark, with_clashes(docs), bench).collect()}
-    assert got == {(1, 1): "reparameterised", (7, 1): "verbatim"} or got == {(1, 1): "reparameterised", (3, 1): "verbatim", (7, 1): "verbatim"}
+    assert got == {(1, 1): "reparameterised", (3, 1): "verbatim", (7, 1): "verbatim"}
     assert decontamination.leaks(spark, docs.limit(0), bench).collect() == [] and decontamination.leaks(spark, docs, bench.limit(0)).collect() == []
 
 
@@ -453,3 +453,17 @@ def test_license_files_as_they_are_found(spark):
     plain = [(1, "All rights reserved."), (2, "Copyright (c) 2020 X.\nAll rights reserved.\nReleased under the MIT License."), (3, "copyright holders say:\nReleased under the MIT License."), (4, "copyright 2020 " + "a.b " * 20_000)]
     found = {(r.doc_id, r.license, r.unit, r.first_line) for r in licenses.scan(spark, frame(spark, plain)).collect()}
     assert found == {(1, "proprietary", "line", 1), (1, "proprietary", "text", 0), (2, "MIT", "line", 3), (2, "MIT", "text", 0), (3, "MIT", "line", 2)}
+
+
+def test_decontamination_judges_rows(spark):
+    """Repeated and null ids with different texts, repeated rows, names of other forms, a very long text."""
+    item = "Yesterday Tom bought 5 apples and then Tom gave Anna 7 apples so how many apples are left for Tom now?"
+    good = "Yesterday Jim bought 9 apples and then Jim gave Rose 12 apples so how many apples are left for Jim now?"
+    bad = "Yesterday Jim bought 9 apples and then Bob gave Rose 12 apples so how many apples are left for Eve now?"
+    irish = good.replace("Jim", "O'Neil").replace("Rose", "McKay")
+    bench = frame(spark, [(1, item)], "item_id long, text string")
+    docs = [(1, good), (1, bad), (1, bad + " More."), (2, bad), (2, "none"), (None, bad), (None, "none"), (3, irish), (4, good), (4, good), (5, "word " * 200_000 + item)]
+    got = {(r.doc_id, r.item_id): (r.kind, r.n_slots) for r in decontamination.leaks(spark, frame(spark, docs), bench).collect()}
+    one = decontamination.leaks(spark, frame(spark, [(4, good)]), bench).first().n_slots
+    assert got == {(1, 1): ("reparameterised", one), (3, 1): ("reparameterised", one), (4, 1): ("reparameterised", one), (5, 1): ("verbatim", got[(5, 1)][1])}
+    assert [tuple(r)[:2] for r in decontamination.leaks(spark, frame(spark, [(None, good), (None, bad)]), bench).collect()] == [(None, 1)]
