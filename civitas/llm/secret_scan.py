@@ -265,7 +265,9 @@ def _parts(run: str, a: Automaton, classes: list[str], sums: list[list[float]])
             places.append(at)
             at = run.find(a.start, at + 1)
     else:
-        places = [i for i in range(last + 1) if i == 0 or run[i - 1] in SEPARATORS]
+        # A format without a beginning of its own is looked for up to the end of its run alone, in addresses only as a value: else parts of paths and of encoded data would do.
+        separators = "=" if run.startswith("//") else SEPARATORS
+        places = [i for i in range(max(0, len(run) - a.most), last + 1) if i == 0 or run[i - 1] in separators]
     if not places:
         return []
     good = lambda i, j, total: total - max(s[j] - s[i] for s in sums) >= THRESHOLD * (j - i)
@@ -279,7 +281,7 @@ def _parts(run: str, a: Automaton, classes: list[str], sums: list[list[float]])
                 best = len(run)
                 break
             end = a.moves[state].get(END)
-            if end and j - i >= a.least and (j == len(run) or run[j] in SEPARATORS) and good(i, j, total + end[1]):
+            if end and j - i >= a.least and (j == len(run) or a.start and run[j] in SEPARATORS) and good(i, j, total + end[1]):
                 best = j
             if j == len(run) or (move := a.moves[state].get(run[j] if j - i < a.literal else classes[j])) is None:
                 break
@@ -296,7 +298,7 @@ def learned_spans(text: str, automata: list[Automaton], taken: list[tuple[int, i
     for m in (pattern or candidates(automata)).finditer(text):
         run, at = m.group(), m.start()
         near = [(s - at, e - at) for s, e in ends if s < m.end() and at < e]
-        if not near and max((a.ratio(run, BACKGROUND) for a in automata if len(run) >= min(WHOLE, a.least)), default=-math.inf) >= THRESHOLD:
+        if not near and max((a.ratio(run, BACKGROUND) for a in automata if len(run) >= min(WHOLE, a.least) and (a.start or len(run) <= a.most)), default=-math.inf) >= THRESHOLD:
             out.append((at, 3, m.end()))
             continue
         some = [a for a in automata if len(run) >= a.least and (a.start in run if a.start else any(c in SEPARATORS for c in run))]

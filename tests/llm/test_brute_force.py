@@ -197,3 +197,32 @@ def test_copies_of_the_pipeline_against_brute_force(spark):
 
 if __name__ == "__main__":
     pytest.main([__file__])
+
+
+def test_learned_spans_are_precise_and_complete():
+    """Credentials by their documented alphabets against encoded data, addresses, digests and identifiers, both made by other rules than the training's."""
+    import base64
+    import hashlib
+    import string
+
+    rng, automata = random.Random(77), S.train(S.examples())
+    pattern, letters = S.candidates(automata), string.ascii_letters + string.digits
+    made = lambda n, of=letters: "".join(rng.choices(of, k=n))
+    raw = lambda n: rng.randbytes(n)
+    words = ["get", "max", "Value", "HTTP", "index", "Parser", "config", "BUFFER", "size2"]
+    harmless = {
+        "base64": lambda: base64.b64encode(raw(rng.randint(30, 400))).decode(),
+        "integrity": lambda: "sha512-" + base64.b64encode(hashlib.sha512(raw(9)).digest()).decode(),
+        "digest": lambda: base64.b64encode(hashlib.sha256(raw(9)).digest()).decode(),
+        "path": lambda: "https://store.example.com/" + "/".join(made(rng.choice([8, 22, 40, 43])) for _ in range(3)),
+        "query": lambda: "https://x.example.com/a?id=" + made(rng.choice([11, 22, 36])),
+        "uuid": lambda: "-".join(made(n, "0123456789abcdef") for n in (8, 4, 4, 4, 12)),
+        "name": lambda: "_".join(rng.choice(words) for _ in range(6)),
+        "camel": lambda: "".join(rng.choice(words).title() for _ in range(8)),
+    }
+    secret = {"github": lambda: "ghp_" + made(36), "npm": lambda: "npm_" + made(36), "google": lambda: "AIza" + made(35, letters + "_-"), "aws_secret": lambda: made(40, letters + "+/")}
+    found = lambda text: bool(S.learned_spans(text, automata, S.base_spans(text), pattern))
+    false = {k: sum(found(f"see {f()} there") for _ in range(150)) for k, f in harmless.items()}
+    true = {(k, form): sum(found(form.format(f())) for _ in range(150)) for k, f in secret.items() for form in ("the {} of", "SOME_KEY={}")}
+    assert max(false.values()) <= 6 and min(true.values()) >= 135
+    assert sum(true.values()) >= 0.9 * (sum(true.values()) + sum(false.values()))
