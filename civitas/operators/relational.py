@@ -11,6 +11,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from civitas.sources.shared import checkpointed
+
 
 def value_counts(df: DataFrame, col: str, keep_null: bool = False) -> DataFrame:
     """Rows per value and their share of all counted rows; nulls only on request."""
@@ -28,44 +30,49 @@ def funnel(df: DataFrame, stages: Sequence[tuple[str, Column]]) -> DataFrame:
     return one.select(F.inline(F.array(*rows)))
 
 
-#: Bins of a group's range, of which only those that hold a wanted rank are looked at value by value.
-BINS = 1024
+#: Parts of a group's sorted values that a rank is looked for in, and the accuracy of their limits (ranks are off by 1/ACCURACY of the rows at most).
+BINS, ACCURACY = 1024, 20_000
+#: Groups whose limits are broadcast at most; beyond, rows are joined by their group.
+BROADCAST_GROUPS = 10_000
 
 
 def at_ranks(df: DataFrame, by: Sequence[str], value: str, ranks: dict[str, Column]) -> DataFrame:
-    """by, rank_name, at, skip: the value at a rank (from 0, a column of the group's size `n`) in the order of values, and the rank among equal ones.
-
-    Exact, in two phases: counts of `BINS` equal bins of each group's range say which bin
-    holds a rank; of that bin alone the distinct values are counted. No task holds a
-    group's values. Nulls are left out; null keys are a group.
+    """by, n, rank_name, at, skip: the value at a rank (from 0, a column of the group's size `n`) in the order of values, and the rank among equal ones.
+
+    Exact. One pass takes sketches of each group's quantiles, which bracket every rank between two
+    values with some thousandths of the rows between them; they are stored, and their number is
+    known before they are broadcast. A second pass counts the rows below a bracket and the distinct
+    values inside it, combined before the exchange; raw rows are not exchanged. What is inside is put
+    in bins of equal width, and only the bin that holds the rank is sorted. Outliers fall outside of
+    brackets. Nulls are left out; null keys are a group.
     """
     rows = df.where(F.col(value).isNotNull()).select(F.struct(*(F.col(c) for c in by), F.lit(0).alias("_")).alias("_g"), F.col(value).cast("double").alias("_v"))
-    ends = rows.groupBy("_g").agg(F.min("_v").alias("lo"), F.max("_v").alias("hi"), F.count(F.lit(1)).alias("n"))
-    number = F.when(F.col("hi") > F.col("lo"), F.least(F.floor((F.col("_v") - F.col("lo")) / (F.col("hi") - F.col("lo")) * BINS), F.lit(BINS - 1))).otherwise(0)
-    placed = rows.join(ends, "_g").select("_g", "_v", number.cast("int").alias("bin"))
-    before = lambda n, *order: F.sum(n).over(Window.partitionBy(*order[:-1]).orderBy(order[-1])) - F.col(n)
-    bins = placed.groupBy("_g", "bin").agg(F.count(F.lit(1)).alias("c")).withColumn("before", before("c", "_g", "bin"))
-    wanted = ends.select("_g", F.inline(F.array(*(F.struct(F.lit(k).alias("rank_name"), r.cast("long").alias("rank")) for k, r in ranks.items()))))
-    hits = bins.join(wanted, "_g").where("before <= rank AND rank < before + c").select("_g", "bin", "rank_name", (F.col("rank") - F.col("before")).alias("rank"))
-    near = placed.join(hits.select("_g", "bin").distinct(), ["_g", "bin"], "left_semi")
-    values = near.groupBy("_g", "bin", "_v").agg(F.count(F.lit(1)).alias("c")).withColumn("before", before("c", "_g", "bin", "_v"))
-    found = values.join(hits, ["_g", "bin"]).where("before <= rank AND rank < before + c")
-    return found.select(*(F.col(f"_g.{c}").alias(c) for c in by), "rank_name", F.col("_v").alias("at"), (F.col("rank") - F.col("before")).alias("skip"))
+    levels = ", ".join(f"{i / BINS!r}D" for i in range(BINS + 1))
+    ends = checkpointed(rows.groupBy("_g").agg(F.count(F.lit(1)).alias("n"), F.expr(f"percentile_approx(_v, array({levels}), {ACCURACY})").alias("grid")))
+    few = ends.count() <= BROADCAST_GROUPS
+    place = lambda r: F.floor(r * BINS / F.col("n")).cast("int")
+    span = lambda r: F.struct(F.get("grid", F.greatest(place(r) - 2, F.lit(0))).alias("lo"), F.get("grid", F.least(place(r) + 3, F.lit(BINS))).alias("hi"))
+    wanted = ends.select("_g", "n", F.inline(F.array(*(F.struct(F.lit(k).alias("rank_name"), r.cast("long").alias("rank"), span(r.cast("long")).alias("s")) for k, r in ranks.items()))))
+    spans = ends.select("_g", F.array_distinct(F.array(*(span(r.cast("long")) for r in ranks.values()))).alias("spans"))
+    each = rows.join(F.broadcast(spans) if few else spans, "_g").select("_g", "_v", F.explode(F.filter("spans", lambda s: F.col("_v") <= s["hi"])).alias("s"))
+    near = each.groupBy("_g", "s", F.when(F.col("_v") >= F.col("s.lo"), F.col("_v")).alias("_v")).agg(F.count(F.lit(1)).alias("c"))
+    number = F.when(F.col("_v").isNull(), -1).when(F.col("s.hi") > F.col("s.lo"), F.least(F.floor((F.col("_v") - F.col("s.lo")) / (F.col("s.hi") - F.col("s.lo")) * BINS), F.lit(BINS - 1))).otherwise(0)
+    placed = near.withColumn("bin", number.cast("int"))
+    before = lambda *order: F.sum("c").over(Window.partitionBy(*order[:-1]).orderBy(order[-1])) - F.col("c")
+    bins = placed.groupBy("_g", "s", "bin").agg(F.sum("c").alias("c")).withColumn("before", before("_g", "s", "bin"))
+    hits = bins.join(wanted, ["_g", "s"]).where("before <= rank AND rank < before + c").select("_g", "s", "bin", "n", "rank_name", (F.col("rank") - F.col("before")).alias("rank"))
+    inside = placed.join(hits.select("_g", "s", "bin").distinct(), ["_g", "s", "bin"], "left_semi").withColumn("before", before("_g", "s", "bin", "_v"))
+    found = inside.join(hits, ["_g", "s", "bin"]).where("before <= rank AND rank < before + c")
+    return found.select(*(F.col(f"_g.{c}").alias(c) for c in by), "n", "rank_name", F.col("_v").alias("at"), (F.col("rank") - F.col("before")).alias("skip"))
 
 
 def quantiles(df: DataFrame, by: Sequence[str], value: str, shares: dict[str, float]) -> DataFrame:
     """by and a column for each share: quantiles by linear interpolation, exact (see at_ranks)."""
     place = {k: (F.col("n") - 1) * F.lit(p) for k, p in shares.items()}
     ends = {f"{k}{e}": f(x) for k, x in place.items() for e, f in (("-", F.floor), ("+", F.ceil))}
-    found = at_ranks(df, by, value, ends)
-    sizes = df.where(F.col(value).isNotNull()).groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
-    wide = found.groupBy(*by).agg(*(F.max(F.when(F.col("rank_name") == k, F.col("at"))).alias(k) for k in ends))
-    same = F.lit(True)
-    for c in by:
-        same = same & F.col(f"s.{c}").eqNullSafe(F.col(f"w.{c}"))
-    both = sizes.alias("s").join(wide.alias("w"), same)
-    value_of = lambda k: F.col(f"w.{k}-") + (F.col(f"w.{k}+") - F.col(f"w.{k}-")) * (place[k] - F.floor(place[k]))
-    return both.select(*(F.col(f"s.{c}").alias(c) for c in by), *(value_of(k).alias(k) for k in shares))
+    wide = at_ranks(df, by, value, ends).groupBy(*by).agg(F.max("n").alias("n"), *(F.max(F.when(F.col("rank_name") == k, F.col("at"))).alias(k) for k in ends))
+    value_of = lambda k: F.col(f"{k}-") + (F.col(f"{k}+") - F.col(f"{k}-")) * (place[k] - F.floor(place[k]))
+    return wide.select(*by, *(value_of(k).alias(k) for k in shares))
 
 
 def describe(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:

@@ -83,9 +83,11 @@ def updated_actions(actions: Column, as_of: Column) -> Column:
     An effect after `as_of` is `in_vacatio_legis` whatever it is called.
     """
     def one(a: Column) -> Column:
-        told = effective(a["description"])
-        status = F.when(told["day"].isNull(), a["status"]).when(told["day"] <= as_of, told["status"]).otherwise("in_vacatio_legis")
-        return a.withField("status", status).withField("date", F.coalesce(told["day"].cast("string"), a["date"]))
+        def told(e: Column) -> Column:
+            status = F.when(e["day"].isNull(), a["status"]).when(e["day"] <= as_of, e["status"]).otherwise("in_vacatio_legis")
+            return a.withField("status", status).withField("date", F.coalesce(e["day"].cast("string"), a["date"]))
+
+        return T.bound(effective(a["description"]), told)
 
     return F.transform(actions, one)
 
@@ -101,7 +103,7 @@ def dated_actions(actions: Column, enrich: bool = False, buffer: int = 30) -> Co
 
     def entries(a: Column) -> Column:
         own = entry(day(a), F.coalesce(a["type"], F.lit("Unknown")), F.coalesce(a["status"], F.lit("Unknown")))
-        before = F.array_min(F.filter(days_told(a["description"], EARLIER), lambda d: d < F.date_sub(day(a), buffer)))
+        before = T.bound(day(a), lambda d0: F.array_min(F.filter(days_told(a["description"], EARLIER), lambda d: d < F.date_sub(d0, buffer))))
         more = entry(before, F.concat(F.coalesce(a["type"], F.lit("Unknown")), F.lit(" (Adopted/Force)")), F.lit("in_vacatio_legis"))
         return F.filter(F.array(own, more), lambda x: x["day"].isNotNull()) if enrich else F.array(own)
 

@@ -5,6 +5,7 @@ import random
 import textwrap
 from datetime import date
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -172,3 +173,19 @@ def test_key_examples(spark):
         ("a", "min"): (1, 1.0), ("a", "median"): (2, 1.0), ("a", "max"): (0, 1.0), ("b", "min"): (9, 5.0), ("b", "median"): (9, 5.0), ("b", "max"): (9, 5.0),
         ("c", "min"): (0, 1.0), ("c", "max"): (2, 9.0), ("e", "min"): (1, 7.0), ("e", "median"): (0, 7.0), ("e", "max"): (1, 7.0),
     }
+
+
+def test_exact_quantiles_with_outliers_ties_and_few_values(spark):
+    rng = random.Random(3)
+    groups = {"plain": [rng.gauss(0, 1) for _ in range(5000)], "outlier": [rng.random() for _ in range(2000)] + [1e12], "ties": [float(rng.randrange(3)) for _ in range(3000)], "one": [4.0], "two": [1.0, 2.0], None: [5.0, float("inf"), -1e300], "same": [7.0] * 999}
+    df = spark.createDataFrame([(g, v) for g, vs in groups.items() for v in vs] + [("none", None)], "g string, v double")
+    for limit in (10_000, 0):
+        R.BROADCAST_GROUPS = limit
+        got = {r.g: tuple(r)[1:] for r in R.quantiles(df, ["g"], "v", {"a": 0.25, "b": 0.5, "c": 0.9, "d": 1.0}).collect()}
+        want = {g: tuple(np.quantile(vs, [0.25, 0.5, 0.9, 1.0])) for g, vs in groups.items()}
+        assert got.keys() == want.keys()
+        for g in want:
+            assert all(a == b or abs(a - b) <= 1e-9 * max(1, abs(b)) or b != b for a, b in zip(got[g], want[g], strict=True)), g
+    R.BROADCAST_GROUPS = 10_000
+    at = {(r.g, r.rank_name): (r["at"], r["skip"], r.n) for r in R.at_ranks(df, ["g"], "v", {"first": F.lit(0), "last": F.col("n") - 1}).collect()}
+    assert at["ties", "last"] == (2.0, groups["ties"].count(2.0) - 1, 3000) and at["same", "last"] == (7.0, 998, 999) and at["outlier", "last"][0] == 1e12
