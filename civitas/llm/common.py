@@ -6,6 +6,7 @@ import contextlib
 import ctypes
 import gc
 import os
+import re
 import tempfile
 import uuid
 
@@ -20,13 +21,16 @@ def scratch(spark: SparkSession) -> str:
     """A new folder below spark.checkpoint.dir, which all executors share.
 
     Where the configuration names none, the folder that the context was given counts.
-    Only where there is none either (tests on one machine) a temporary folder is made and set.
+    Only where there is none either (tests on one machine) a temporary folder is made and set;
+    on a cluster this raises.
     """
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     given = spark.sparkContext._jsc.sc().getCheckpointDir()
     if not base and given.isDefined():
         base = given.get()
     if not base:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir names no folder that all executors share")
         base = tempfile.mkdtemp(prefix="civitas-")
         spark.sparkContext.setCheckpointDir(base)
     return os.path.join(base, "civitas", uuid.uuid4().hex)
