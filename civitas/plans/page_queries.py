@@ -18,7 +18,7 @@ def page_titles(t):
 
 @query("page_link_counts", r"SELECT page_id, CAST(len(regexp_extract_all(html, '<a href=')) AS BIGINT) AS n_links, CAST(len(regexp_extract_all(html, '<li>')) AS BIGINT) AS n_items FROM pages")
 def page_link_counts(t):
-    rows = N.with_nodes(t.pages)
+    rows = N.with_nodes(t.pages, texts=False)
     return rows.select("page_id", F.size(N.links(F.col("nodes"))).cast("long").alias("n_links"), F.size(N.tagged(F.col("nodes"), "li")).cast("long").alias("n_items"))
 
 
