@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from civitas.functions import text as T
-from civitas.operators import answers as A, pages as P
+from civitas.operators import answers as A, pages as P, relational as R
 from civitas.plans.analyses import query
 from civitas.plans.functions_queries import LADDER
 from civitas.sources import nodes as N, snapshots as S
@@ -91,6 +91,38 @@ def registry_records(t):
     return records.withColumn("problems", F.array_join("problems", "; ")).drop("parse_error")
 
 
+@query(
+    "registry_funnel",
+    """WITH b AS (SELECT c_custkey AS k FROM customer), s AS (SELECT *, k % 9000 * 11 + k % 700 * 5 AS total, (k % 180 >= 100)::INTEGER + (k * 3 % 150 >= 100)::INTEGER AS met FROM b),
+c AS (SELECT count(*) AS a, count(*) AS b, count(*) FILTER (WHERE k % 3 <> 0) AS c, count(*) FILTER (WHERE met >= 1) AS d, count(*) FILTER (WHERE total >= 500) AS e, count(*) FILTER (WHERE met >= 1 AND total >= 500) AS f, count(*) FILTER (WHERE k % 3 = 0) AS g FROM s),
+u AS (SELECT unnest(['Registered', 'Collection started', 'Collection closed', 'Country threshold met', 'Signatures reached', 'Both', 'Answered']) AS stage, unnest([a, b, c, d, e, f, g]) AS n, unnest([a, a, b, c, d, e, f]) AS m, a, unnest([1, 2, 3, 4, 5, 6, 7]) AS stage_no FROM c)
+SELECT stage_no, stage, n, round(n / nullif(m, 0), 6) AS kept, round(100 * n / a, 2) AS pct_of_registered FROM u""",
+)
+def registry_funnel(t):
+    """The seven stages of an initiative, from the records of registry pages: thresholds are parameters of the plan."""
+    records = P.registry_record(N.with_nodes(registry_pages(t)), "https://example.org/initiatives/")
+    threshold, reached = F.col("signatures_threshold_met") >= 1, T.number(F.col("signatures_collected")) >= 500
+    there = lambda c: F.col(c).isNotNull()
+    stages = [
+        ("Registered", there("registration_number")), ("Collection started", there("timeline_collection_start_date")), ("Collection closed", there("timeline_collection_closed")),
+        ("Country threshold met", threshold), ("Signatures reached", reached), ("Both", threshold & reached), ("Answered", F.col("final_outcome") == "Commission Response"),
+    ]
+    counted = R.funnel(records, stages)
+    first = counted.where("stage_no = 1").select(F.col("n").alias("registered"))
+    return counted.join(F.broadcast(first)).select("stage_no", "stage", "n", "kept", F.round(100 * F.col("n") / F.col("registered"), 2).alias("pct_of_registered"))
+
+
+@query(
+    "answer_links",
+    """SELECT (2012 + c_custkey % 10) || '/' || lpad(CAST(c_custkey AS VARCHAR), 6, '0') AS registration_number, 'https://example.org/answer/' || c_custkey AS url, c_name AS title, 'Commission Response' AS final_outcome FROM customer WHERE c_custkey % 3 = 0""",
+)
+def answer_links(t):
+    """Links to answers that registry pages have, with the pages' titles and outcomes."""
+    pages = N.with_nodes(registry_pages(t))
+    told = P.registry_record(pages, "").select("registration_number", "title", "final_outcome")
+    return P.with_metadata(P.response_links(pages), told)
+
+
 ANSWERS = {
     "applicable": "The Regulation became applicable on 27 March 2021.",
     "committed": "The Commission will table a legislative proposal, by May 20%d. It is glad.",
