@@ -117,7 +117,7 @@ def page_record(page_id, url, payload: bytes, kind: str, refers_to, own: str, da
 
 @dataclass
 class Written(WriterCommitMessage):
-    files: list[str]
+    files: list[tuple[str, int]]
 
 
 class PageWriter(DataSourceArrowWriter):
@@ -136,48 +136,54 @@ class PageWriter(DataSourceArrowWriter):
 
         files, base = _files(self.path)
         files.create_dir(base, recursive=True)
-        own, names, out, n = f"{TaskContext.get().partitionId():05d}-{uuid.uuid4().hex}", [], None, 0
+        own, written, out, n = f"{TaskContext.get().partitionId():05d}-{uuid.uuid4().hex}", [], None, 0
+
+        def ended():
+            if out is not None:
+                written[-1] = (written[-1][0], out.tell())
+                out.close()
+
         try:
             for batch in iterator:
                 rows = zip(*(column(batch, c).to_pylist() for c in ("page_id", "url", "html", "record_type", "refers_to")), strict=True)
                 for page_id, url, html, kind, refers_to in rows:
                     if out is None or out.tell() >= self.file_bytes:
-                        if out is not None:
-                            out.close()
-                        names.append(f"part-{own}-{len(names)}.warc.gz")
-                        out = files.open_output_stream(f"{base}/{names[-1]}", compression=None)
-                        info = {"WARC-Type": "warcinfo", "WARC-Record-ID": f"<urn:uuid:{uuid.uuid4()}>", "WARC-Date": self.date, "WARC-Filename": names[-1], "Content-Type": "application/warc-fields"}
+                        ended()
+                        name = f"part-{own}-{len(written)}.warc.gz"
+                        written.append((name, 0))
+                        out = files.open_output_stream(f"{base}/{name}", compression=None)
+                        info = {"WARC-Type": "warcinfo", "WARC-Record-ID": f"<urn:uuid:{uuid.uuid4()}>", "WARC-Date": self.date, "WARC-Filename": name, "Content-Type": "application/warc-fields"}
                         out.write(_member(record(info, b"format: WARC File Format 1.1\r\n")))
                     payload = (html or "").encode()
                     out.write(_member(page_record(page_id, url, payload, kind, refers_to, f":{own}:{n}", self.date, len(payload) >= self.least)))
                     n += 1
         finally:
-            if out is not None:
-                out.close()
-        return Written(names)
+            ended()
+        return Written(written)
 
     def commit(self, messages):
         files, base = _files(self.path)
         files.create_dir(base, recursive=True)
-        names = [n for m in messages if m is not None for n in m.files]
+        written = [x for m in messages if m is not None for x in m.files]
         if not self.overwrite:
-            names = [*(_manifest(files, base) or []), *names]
+            written = [*(_manifest(files, base) or []), *written]
         with files.open_output_stream(f"{base}/{MANIFEST}") as out:
-            out.write("".join(f"{n}\n" for n in names).encode())
+            out.write("".join(f"{size} {name}\n" for name, size in written).encode())
 
     def abort(self, messages):
         files, base = _files(self.path)
-        for name in (n for m in messages if m is not None for n in m.files):
+        for name, _ in (x for m in messages if m is not None for x in m.files):
             files.delete_file(f"{base}/{name}")
 
 
-def _manifest(files, base: str) -> list[str] | None:
+def _manifest(files, base: str) -> list[tuple[str, int]] | None:
+    """Names and sizes of the files of committed tasks, so that none of them is asked for; None where there is no manifest."""
     from pyarrow import fs
 
     if files.get_file_info(f"{base}/{MANIFEST}").type == fs.FileType.NotFound:
         return None
     with files.open_input_stream(f"{base}/{MANIFEST}") as f:
-        return f.read().decode().split()
+        return [(name, int(size)) for size, name in (x.split(" ", 1) for x in f.read().decode().splitlines())]
 
 
 # Reading
@@ -402,21 +408,20 @@ class WarcReader(DataSourceReader):
         from pyarrow import fs
 
         files, base = _files(self.path)
-        names = _manifest(files, base)
-        if names is not None:
-            found = files.get_file_info([f"{base}/{n}" for n in names])
+        if (known := _manifest(files, base)) is not None:
+            found = [(f"{base}/{name}", size) for name, size in known]
         elif (one := files.get_file_info(base)).type == fs.FileType.File:
-            found = [one]
+            found = [(base, one.size)]
         else:
-            found = [x for x in files.get_file_info(fs.FileSelector(base, recursive=True)) if re.search(r"\.warc(\.gz)?$", x.path)]
-        most = min(self.partition_bytes, max(LEAST_BYTES, sum(x.size for x in found) // max(1, self.least)))
+            found = [(x.path, x.size) for x in files.get_file_info(fs.FileSelector(base, recursive=True)) if re.search(r"\.warc(\.gz)?$", x.path)]
+        most = min(self.partition_bytes, max(LEAST_BYTES, sum(n for _, n in found) // max(1, self.least)))
         out, size = [], most
-        for x in sorted(found, key=lambda x: x.path):
-            if size + x.size > most:
+        for path, n in sorted(found):
+            if size + n > most:
                 out.append(Files([]))
                 size = 0
-            out[-1].paths.append(x.path)
-            size += x.size
+            out[-1].paths.append(path)
+            size += n
         return out or [Files([])]
 
     def _wanted(self, told: dict, columns: tuple[str, ...]) -> bool:

@@ -124,3 +124,18 @@ def test_broken_archives(spark, tmp_path):
     kinds = sorted(r.type for r in warc.opened(spark).option("mode", "permissive").load(str(tmp_path / "a.warc")).select("type").collect())
     assert kinds[0] == "corrupt" and "response" in kinds
     assert warc.opened(spark).option("mode", "permissive").load(str(tmp_path / "b.warc.gz")).where("type = 'corrupt'").count() == 1
+
+
+def test_files_end_and_appends_add(spark):
+    rows = [(i, "http://h/", "x" * 500 + str(i), "response", None) for i in range(20)]
+    path = f"{scratch(spark)}/a"
+    pages = spark.createDataFrame(rows, PAGES + ", record_type string, refers_to long").coalesce(1)
+    spark.dataSource.register(warc.WarcSource)
+    for times in (1, 2):
+        pages.write.format("warc").mode("append").option("fileBytes", 1000).save(path)
+        manifest = [x.split(" ") for x in open(f"{path.removeprefix('file:')}/_manifest").read().splitlines()]
+        assert len(manifest) > 4 * times and all(os.path.getsize(f"{path}/{n}") == int(size) for size, n in manifest)
+        assert warc.opened(spark).load(path).where("type = 'response'").count() == 20 * times
+    (lost := open(f"{path}/part-lost.warc.gz", "wb")).write(b"half of a file of a task that was lost")
+    lost.close()
+    assert warc.opened(spark).load(path).where("type = 'response'").count() == 40
