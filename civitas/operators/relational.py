@@ -20,11 +20,11 @@ def value_counts(df: DataFrame, col: str, keep_null: bool = False) -> DataFrame:
     return counted.withColumn("pct", F.round(100 * F.col("n") / F.sum("n").over(Window.partitionBy()), 6))
 
 
-def funnel(df: DataFrame, stages: Sequence[tuple[str, Column]]) -> DataFrame:
-    """stage_no, stage, n, kept: how many rows meet each condition, and the share of the stage before."""
+def funnel(df: DataFrame, stages: Sequence[tuple[str, Column]], of_first: str | None = None) -> DataFrame:
+    """stage_no, stage, n, kept: how many rows meet each condition, and the share of the stage before; `of_first`: a column of the percentage of the first."""
     one = df.agg(*(F.count_if(F.coalesce(c, F.lit(False))).alias(f"s{i}") for i, (_, c) in enumerate(stages)))
     rows = [
-        F.struct(F.lit(i + 1).alias("stage_no"), F.lit(name).alias("stage"), F.col(f"s{i}").alias("n"), F.round(F.try_divide(F.col(f"s{i}"), F.col(f"s{max(0, i - 1)}")), 6).alias("kept"))
+        F.struct(F.lit(i + 1).alias("stage_no"), F.lit(name).alias("stage"), F.col(f"s{i}").alias("n"), F.round(F.try_divide(F.col(f"s{i}"), F.col(f"s{max(0, i - 1)}")), 6).alias("kept"), *([F.round(F.try_divide(100 * F.col(f"s{i}"), F.col("s0")), 2).alias(of_first)] if of_first else []))
         for i, (name, _) in enumerate(stages)
     ]
     return one.select(F.inline(F.array(*rows)))

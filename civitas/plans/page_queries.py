@@ -107,9 +107,7 @@ def registry_funnel(t):
         ("Registered", there("registration_number")), ("Collection started", there("timeline_collection_start_date")), ("Collection closed", there("timeline_collection_closed")),
         ("Country threshold met", threshold), ("Signatures reached", reached), ("Both", threshold & reached), ("Answered", F.col("final_outcome") == "Commission Response"),
     ]
-    counted = R.funnel(records, stages)
-    first = counted.where("stage_no = 1").select(F.col("n").alias("registered"))
-    return counted.join(F.broadcast(first)).select("stage_no", "stage", "n", "kept", F.round(100 * F.col("n") / F.col("registered"), 2).alias("pct_of_registered"))
+    return R.funnel(records, stages, "pct_of_registered")
 
 
 @query(
@@ -183,10 +181,10 @@ def listing_pages(t) -> DataFrame:
         _html('<div class="ecl-content-block ecl-content-item__content-block"><div class="ecl-content-block__title"><a class="ecl-link" href="/initiatives/details/', k, '">T</a></div><span class="ecl-content-block__secondary-meta-label">Current status: <b>', F.col("c_mktsegment"), '</b></span><span class="ecl-content-block__secondary-meta-label">Registration number: ', k, '</span><span class="ecl-content-block__secondary-meta-label">No signature collection</span></div>'),
     ).otherwise(_html('<div class="ecl-content-block ecl-content-item__content-block"><div class="ecl-content-block__title"><a class="ecl-link" href="/news/', k, '">News</a></div></div>'))
     rows = t.customer.groupBy(page.alias("page")).agg(F.array_join(F.sort_array(F.collect_list(_html(F.lpad(k, 9, "0"), block))), "").alias("blocks"))
-    last = t.customer.agg(F.floor((F.max("c_custkey") - 1) / 10).alias("last"))
-    following = F.when(F.col("page") == F.col("last"), "/p/0").otherwise(F.concat(F.lit("/p/"), (F.col("page") + 1).cast("string")))
+    later = rows.select((F.col("page") - 1).alias("page"), F.lit(True).alias("more"))
+    following = F.when(F.col("more").isNull(), "/p/0").otherwise(F.concat(F.lit("/p/"), (F.col("page") + 1).cast("string")))
     html = _html("<html><body>", F.col("blocks"), '<ul><li class="ecl-pagination__item ecl-pagination__item--next"><a href="', following, '">next</a></li></ul></body></html>')
-    return rows.join(F.broadcast(last)).select(F.concat(F.lit("/p/"), F.col("page").cast("string")).alias("url"), html.alias("html"))
+    return rows.join(later, "page", "left").select(F.concat(F.lit("/p/"), F.col("page").cast("string")).alias("url"), html.alias("html"))
 
 
 @query(

@@ -25,9 +25,35 @@ def on_pages(spark, pages, column):
     return [r.v for r in N.with_nodes(rows).select("i", column(F.col("nodes"), F.col("pieces")).alias("v")).orderBy("i").collect()]
 
 
-def records(spark, *pages):
-    rows = spark.createDataFrame([(p, f"2012_{i:06d}_en.html") for i, p in enumerate(pages)], "html string, file_name string")
-    return A.response_record(N.with_nodes(rows), LADDER, F.to_date(F.lit(AS_OF))).orderBy("registration_number").collect()
+HEAD = '<h2 id="Answer-of-the-European-Commission">Answer of the European Commission</h2>'
+NEXT = '<h2 id="Follow-up">Follow-up</h2>'
+PROMISE = HEAD + "<p>The Commission will table a legislative proposal.</p>"
+PAGES = {
+    "promised": PROMISE,
+    "refused": HEAD + "<p>There is no legislative proposal. The directive was adopted.</p><ul><li>It is already covered.</li><li>So.</li></ul>" + NEXT,
+    "updated": PROMISE + NEXT + "<ul><li>The directive was adopted in May 2020</li></ul><h2 id='Updates-on-the-Commissions-proposals'>U</h2><p>The law was withdrawn.</p><p>The law was withdrawn.</p>",
+    "mixed": HEAD + "<p>It will table a legislative proposal on pigs.</p><p>Hens are already covered.</p>",
+    "pure": HEAD + "<p>Outside the EU competence it has no say.</p>",
+    "plain": HEAD + "<p>No further legal acts are proposed.</p>",
+    "submission": """<a class="ecl-site-header__language-link--active" href="/here_en">en</a><a href="https://x.eu/initiatives/details/2012/000003_en">Initiative</a><h2>Submission and examination</h2><p>It was submitted to the Commission on 28/02/2014.</p>
+    <p>The presentation of this initiative in a public hearing, on 2014/03/17, was long. It was a debate of May.</p><p>A debate on this initiative was held in the plenary session of the European Parliament on 5/6/2015.</p><p>Communication adopted on 7 July 2016.</p>""",
+    "whole": HEAD + "<p>The Regulation became applicable.</p><h2>Submission and examination</h2>",
+    "broken": "<p>x",
+    "none": None,
+}
+
+
+@pytest.fixture(scope="module")
+def told(spark):
+    """The records of all pages, one plan for all of them."""
+    rows = spark.createDataFrame([(p, f"2012_{i:06d}_en.html" if p else "a.html") for i, p in enumerate(PAGES.values())], "html string, file_name string")
+    return A.response_record(N.with_nodes(rows), LADDER, F.to_date(F.lit(AS_OF))).cache()
+
+
+@pytest.fixture(scope="module")
+def records(told):
+    found = {r.registration_number: r for r in told.collect()}
+    return {name: found.get(f"2012/{i:06d}" if p else None) for i, (name, p) in enumerate(PAGES.items())}
 
 
 def test_intervals_and_texts(spark):
@@ -91,8 +117,6 @@ def test_names_of_legislation(spark):
     assert {t: json.loads(v) for t, v in zip(NAMES, got, strict=True)} == NAMES
 
 
-HEAD = '<h2 id="Answer-of-the-European-Commission">Answer of the European Commission</h2>'
-NEXT = '<h2 id="Follow-up">Follow-up</h2>'
 ANSWERS = {
     HEAD + '<p>Yes.</p><div class="ecl-file x"><p>file</p></div><ul><li>Communication</li><li> Annexes </li></ul><ul><li>Annex</li><li>kept</li></ul><p>End</p>' + NEXT + "<p>no</p>": "Yes.\nAnnexkept\nEnd",
     HEAD + "<p>One</p><h2>No id</h2><p>Two</p><h2 id='other'>Other</h2><p>no</p>": "One\nNo id\nTwo",
@@ -142,17 +166,14 @@ def test_law_actions(spark):
     html = '<p>The Regulation was adopted on 1 May 2020 and applies from 3 June 2021; see <a href="https://eur-lex.europa.eu/a">a</a> <a href="/b">b</a>.</p><p>A proposal for a Directive was tabled in March 2019. It was withdrawn, 2018-01-02.</p><p>Talks</p>'
     got = on_pages(spark, [html], lambda n, t: A.law_actions(n, t, N.tagged(n, "p")))[0]
     assert [(a.type, a.status, a.date, a.document_urls) for a in got] == [("Regulation Adoption", "law_active", "2021-06-03", ["https://eur-lex.europa.eu/a"]), ("Directive Proposal", "withdrawn", "2018-01-02", None)]
-    sections = lambda more: HEAD + "<p>The Commission will table a legislative proposal.</p>" + more
-    refused = HEAD + "<p>There is no legislative proposal. The directive was adopted.</p><ul><li>It is already covered.</li><li>So.</li></ul>" + NEXT
-    updated = sections(NEXT + "<ul><li>The directive was adopted in May 2020</li></ul><h2 id='Updates-on-the-Commissions-proposals'>U</h2><p>The law was withdrawn.</p><p>The law was withdrawn.</p>")
-    a, b, c = records(spark, sections(""), refused, updated)
+
+
+def test_law_actions_and_reasons_of_pages(records):
+    a, b, c = (records[k] for k in ("promised", "refused", "updated"))
     assert a.laws_actions is None and a.commission_promised_new_law and b.laws_actions is None and b.commission_rejected_initiative
     assert b.commission_rejection_reason == "There is no legislative proposal. The directive was adopted. It is already covered."
     assert [x["description"] for x in json.loads(c.laws_actions)] == ["The law was withdrawn.", "The directive was adopted in May 2020", "The Commission will table a legislative proposal."]
-    mixed = HEAD + "<p>It will table a legislative proposal on pigs.</p><p>Hens are already covered.</p>"
-    pure = HEAD + "<p>Outside the EU competence it has no say.</p>"
-    plain = HEAD + "<p>No further legal acts are proposed.</p>"
-    assert [r.commission_rejection_reason for r in records(spark, mixed, pure, plain)] == ["It will table a legislative proposal on pigs.", "Outside the EU competence it has no say.", A.NO_REASON]
+    assert [records[k].commission_rejection_reason for k in ("mixed", "pure", "plain")] == ["It will table a legislative proposal on pigs.", "Outside the EU competence it has no say.", A.NO_REASON]
 
 
 def test_policy_actions(spark):
@@ -170,20 +191,20 @@ def test_events(spark):
     assert [(e.action, e.dates) for e in got[1]] == [first, item] and got[2] is None
 
 
-def test_submission_fields(spark):
-    page = """<a class="ecl-site-header__language-link--active" href="/here_en">en</a><a href="https://x.eu/initiatives/details/2012/000003_en">Initiative</a><h2>Submission and examination</h2><p>It was submitted to the Commission on 28/02/2014.</p>
-    <p>The presentation of this initiative in a public hearing, on 2014/03/17, was long. It was a debate of May.</p><p>A debate on this initiative was held in the plenary session of the European Parliament on 5/6/2015.</p><p>Communication adopted on 7 July 2016.</p>"""
-    (r,) = records(spark, page)
+def test_submission_fields(records):
+    r = records["submission"]
     assert (r.response_url, r.initiative_url) == ("https://example.org/here_en", "https://x.eu/initiatives/details/2012/000003_en")
     assert (r.commission_submission_date, r.parliament_hearing_date, r.plenary_debate_date, r.official_communication_adoption_date) == ("2014-02-28", "2014-03-17", "2015-06-05", "2016-07-07")
     assert r.problems == ["no answer section"] and r.plenary_debate_video_urls is None and r.submission_news_url is None
 
 
-def test_quarantine(spark):
-    rows = spark.createDataFrame([(HEAD + "<p>The Regulation became applicable.</p><h2>Submission and examination</h2>", "2012_000001_en.html"), ("<p>x", "2012_000002_en.html"), (None, "a.html")], "html string, file_name string")
-    good, rest = A.quarantined(A.response_record(N.with_nodes(rows), LADDER, F.to_date(F.lit(AS_OF))))
-    assert [r.registration_number for r in good.collect()] == ["2012/000001"] and "problems" not in good.columns
-    assert {r.registration_number: r.reason for r in rest.collect()} == {"2012/000002": "no answer section; no submission section", None: "no registration number; no answer section; no submission section"}
+def test_quarantine(told):
+    good, rest = A.quarantined(told)
+    number = lambda name: f"2012/{list(PAGES).index(name):06d}"
+    assert [r.registration_number for r in good.collect()] == [number("whole")] and "problems" not in good.columns
+    reasons = {r.registration_number: r.reason for r in rest.collect()}
+    assert reasons[number("broken")] == "no answer section; no submission section" and reasons[None] == "no registration number; no answer section; no submission section"
+    assert reasons[number("submission")] == "no answer section" and len(reasons) == len(PAGES) - 1
 
 
 @pytest.mark.parametrize("known", [True, False])
