@@ -371,7 +371,7 @@ s AS MATERIALIZED (SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label =
   FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
 p AS (SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM s WHERE same
   QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
-SELECT anchor_id, positive_id, row_number() OVER w AS rank, other_id AS negative_id, positive_score, score AS negative_score
+SELECT anchor_id, positive_id, (row_number() OVER w)::INT AS rank, other_id AS negative_id, positive_score, score AS negative_score
 FROM p JOIN s USING (anchor_id) WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
 WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id)
 QUALIFY row_number() OVER w <= 10
