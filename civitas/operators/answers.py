@@ -61,7 +61,7 @@ def lines(nodes: Column, elements: Column, *loose: str) -> Column:
 
 def around(nodes: Column, n: Column, tag: str = "div") -> Column:
     """The innermost element of a kind that holds another."""
-    return F.try_element_at(F.filter(nodes, lambda a: (a["tag"] == tag) & (a["idx"] < n["idx"]) & (a["last"] >= n["idx"])), F.lit(-1))
+    return T.bound(n["idx"], lambda at: F.try_element_at(F.filter(nodes, lambda a: (a["tag"] == tag) & (a["idx"] < at) & (a["last"] >= at)), F.lit(-1)))
 
 
 def shown(pieces: Column, n: Column) -> Column:
@@ -81,8 +81,8 @@ def answer_text(nodes: Column, pieces: Column) -> Column:
     stop = lambda n: is_followup(n) | ((n["tag"] == "h2") & ~F.coalesce(n["id"], F.lit("")).isin("", ANSWER)) | ((n["tag"] == "h4") & F.contains(n["text"], F.lit("Follow-up")))
 
     def is_documents(n: Column) -> Column:
-        own = F.filter(nodes, lambda i: (i["parent"] == n["idx"]) & (i["tag"] == "li"))
-        return (n["tag"] == "ul") & (F.size(own) > 0) & F.forall(own, lambda i: F.rlike(N.tight(pieces, i), F.lit(DOCUMENT_NAMES)))
+        items = F.filter(nodes, lambda i: (i["parent"] == n["idx"]) & (i["tag"] == "li"))
+        return (n["tag"] == "ul") & T.bound(items, lambda own: (F.size(own) > 0) & F.forall(own, lambda i: F.rlike(N.tight(pieces, i), F.lit(DOCUMENT_NAMES))))
 
     def part(n: Column) -> Column:
         return F.when(n["tag"] == "a", N.marked(pieces, n)).when(n["tag"] == "li", N.item_with_targets(nodes, pieces, n)).otherwise(N.with_targets_before(nodes, pieces, n))
@@ -151,10 +151,12 @@ def deadline_hits(texts: Column, sentences: bool = True) -> Column:
             around_ = T.sentence_around(F.substring(text, F.lit(1), hit["start"]), F.substring(text, hit["start"] + 1, F.char_length(text)))
             return F.struct(cleaned_deadline(hit["group"]).alias("words"), (around_ if sentences else T.normalized(text)).alias("told"))
 
-        hits = T.bound(F.lower(text), lambda low: F.flatten(F.transform(F.array(*map(F.lit, V.DEADLINES)), lambda p: T.matches(low, p))))
+        hits = T.bound(F.lower(text), lambda low: F.flatten(F.array(*(T.matches(low, F.lit(p)) for p in V.DEADLINES))))
         return F.transform(hits, told)
 
-    found = F.filter(F.flatten(F.transform(texts, of_text)), lambda x: x["words"].isNotNull())
+    # words without a year are no deadline, so neither are those of a text without one
+    dated_texts = F.filter(texts, lambda x: F.rlike(x, F.lit(r"\d{4}")))
+    found = F.filter(F.flatten(F.transform(dated_texts, of_text)), lambda x: x["words"].isNotNull())
     days = F.transform(found, lambda x: F.struct(D.deadline(x["words"]).cast("string").alias("day"), x["told"].alias("told")))
     return F.filter(days, lambda x: x["day"].isNotNull() & x["told"].isNotNull())
 
@@ -199,11 +201,11 @@ def law_actions(nodes: Column, pieces: Column, elements: Column) -> Column:
         def parts(t: Column) -> Column:
             status = T.first_class(t, V.LEGISLATIVE)
             urls = F.transform(F.filter(N.inside(nodes, n), lambda a: (a["tag"] == "a") & T.contains_any(a["href"], LAW_TARGETS)), lambda a: a["href"])
-            return T.bound(status, lambda s: F.struct(T.action_type(t).alias("type"), t.alias("description"), s.alias("status"), F.when(s.isNotNull(), action_date(t, clauses_after(t, s))).alias("date"), _some(urls).alias("document_urls")))
+            return T.bound(status, lambda s: F.when(s.isNotNull(), F.struct(T.action_type(t).alias("type"), t.alias("description"), s.alias("status"), action_date(t, clauses_after(t, s)).alias("date"), _some(urls).alias("document_urls"))))
 
         return T.bound(shown(pieces, n), parts)
 
-    return F.filter(F.transform(elements, told), lambda a: a["status"].isNotNull())
+    return F.array_compact(F.transform(elements, told))
 
 
 def policy_actions(pieces: Column, elements: Column, least: int = 20) -> Column:
@@ -420,9 +422,12 @@ def followup_answer(nodes: Column, pieces: Column) -> Column:
 
     def told(h: Column) -> Column:
         box = F.try_element_at(F.filter(N.siblings(nodes, around(nodes, h)), lambda s: (s["tag"] == "div") & N.has_token(s, "ecl")), F.lit(1))
-        hidden = F.filter(nodes, lambda x: x["tag"].isin("button", "svg"))
+        out = F.filter(nodes, lambda x: x["tag"].isin("button", "svg"))
 
         def texts(b: Column) -> Column:
+            return T.bound(out, lambda hidden: seen(b, hidden))
+
+        def seen(b: Column, hidden: Column) -> Column:
             own = F.filter(N.inside(nodes, b), lambda x: x["tag"].isin("p", "li") & ~N.is_inside(x, hidden))
             shown_ = F.filter(F.transform(own, lambda x: N.with_targets(nodes, pieces, x, "button", "svg")), lambda t: t != "")
             return T.normalized(F.array_join(shown_, " "))
@@ -453,7 +458,7 @@ def followup_record(pages: DataFrame, ladder: T.StatusLadder, as_of: Column, res
     """
     n, pieces = F.col("nodes"), F.col("pieces")
     started = pages.select("*", headed(n, RESPONSE).alias("answer_at"), F.coalesce(followup_content(n, pieces), F.lit("")).alias("content"))
-    after = F.filter(n, lambda x: x["idx"] > F.col("answer_at")["idx"])
+    after = T.bound(F.col("answer_at")["idx"], lambda at: F.filter(n, lambda x: x["idx"] > at))
     out = started.select("*", N.tagged(N.until(after, lambda x: N.has_token(x, SHARE_BOX)), "li", "p", "ol", "pre").alias("elements"))
     raws = F.transform("elements", lambda x: T.normalized(N.raw(pieces, x)))
     direct = lambda x: F.when(x["tag"].isin("p", "li"), F.array(x)).otherwise(F.filter(n, lambda c: (c["parent"] == x["idx"]) & c["tag"].isin("p", "li")))

@@ -108,7 +108,9 @@ def with_nodes(pages: DataFrame, html: str = "html", texts: bool = True) -> Data
     """
     p = F.col("_p")
     nodes = F.transform(p["nodes"], lambda n: F.struct(*(n[k].alias(k) for k in FIELDS), F.trim(F.regexp_replace(raw(p["pieces"], n), r"(?U)\s+", " ")).alias("text"))) if texts else p["nodes"]
-    return pages.withColumn("_p", F.arrow_udf(_parsed, PAGE)(F.col(html))).select("*", nodes.alias("nodes"), "_p.pieces", "_p.parse_error").drop("_p")
+    # called nondeterministic so that no filter on what pages tell is pushed below, where pages would be parsed for the filter and again for the rows
+    parsed = F.arrow_udf(_parsed, PAGE).asNondeterministic()
+    return pages.withColumn("_p", parsed(F.col(html))).select("*", nodes.alias("nodes"), "_p.pieces", "_p.parse_error").drop("_p")
 
 
 # Texts of an element: from the slice of its pieces.
@@ -156,17 +158,18 @@ def marked(pieces: Column, a: Column) -> Column:
 
 def with_targets(nodes: Column, pieces: Column, n: Column, *hidden: str) -> Column:
     """Spaced text with `[text](target)` in place of every link that has a target, and nothing in place of some kinds of elements."""
-    out = F.filter(inside(nodes, n), lambda a: a["tag"].isin(*hidden))
-    marks = F.filter(inside(nodes, n), lambda a: ((a["tag"] == "a") & a["href"].isNotNull() | a["tag"].isin(*hidden)) & ~is_inside(a, out)) if hidden else F.filter(_anchors(nodes, n), lambda a: a["href"].isNotNull())
+    is_mark = lambda a: (a["tag"] == "a") & a["href"].isNotNull() | a["tag"].isin(*hidden)
+    out = lambda below: F.filter(below, lambda a: a["tag"].isin(*hidden))
+    shown_of = lambda below: bound(out(below), lambda o: F.filter(below, lambda a: is_mark(a) & ~is_inside(a, o)))
+    marks = bound(inside(nodes, n), shown_of) if hidden else F.filter(_anchors(nodes, n), lambda a: a["href"].isNotNull())
     shown = lambda a: F.when(a["tag"] == "a", marked(pieces, a)).otherwise("")
     return F.array_join(_spliced(pieces, n, F.transform(marks, lambda a: F.struct(a["p0"].alias("at"), a["p1"].alias("to"), shown(a).alias("text")))), " ")
 
 
 def with_targets_before(nodes: Column, pieces: Column, n: Column) -> Column:
     """Spaced text with `[text](target)` before every link that has a text; without links, the tight text."""
-    links = _anchors(nodes, n)
-    marks = F.transform(F.filter(links, lambda a: tight(pieces, a) != ""), lambda a: F.struct(a["p0"].alias("at"), a["p0"].alias("to"), marked(pieces, a).alias("text")))
-    return F.when(F.size(links) > 0, F.array_join(_spliced(pieces, n, marks), " ")).otherwise(tight(pieces, n))
+    marks = lambda links: F.transform(F.filter(links, lambda a: tight(pieces, a) != ""), lambda a: F.struct(a["p0"].alias("at"), a["p0"].alias("to"), marked(pieces, a).alias("text")))
+    return bound(_anchors(nodes, n), lambda links: F.when(F.size(links) > 0, F.array_join(_spliced(pieces, n, marks(links)), " ")).otherwise(tight(pieces, n)))
 
 
 def item_with_targets(nodes: Column, pieces: Column, n: Column) -> Column:
@@ -176,8 +179,8 @@ def item_with_targets(nodes: Column, pieces: Column, n: Column) -> Column:
 
 def linked(nodes: Column, pieces: Column, n: Column) -> Column:
     """Own links as `text (target)`, inline children tight, other children spaced, own pieces stripped, a blank between."""
-    link = lambda a: F.when(F.coalesce(a["href"], F.lit("")) != "", F.concat(tight(pieces, a), F.lit(" ("), a["href"], F.lit(")"))).otherwise(tight(pieces, a))
-    shown = lambda a: F.when(tight(pieces, a) == "", "").otherwise(link(a))
+    link = lambda a, t: F.when((t != "") & (F.coalesce(a["href"], F.lit("")) != ""), F.concat(t, F.lit(" ("), a["href"], F.lit(")"))).otherwise(t)
+    shown = lambda a: bound(tight(pieces, a), lambda t: link(a, t))
     other = lambda c: F.when(c["tag"].isin("strong", "em", "span", "b", "i"), tight(pieces, c)).otherwise(spaced(pieces, c))
     return F.array_join(_children(nodes, pieces, n, shown, other), " ")
 
@@ -192,7 +195,7 @@ def _children(nodes: Column, pieces: Column, n: Column, link, other) -> Column:
 
 def inside(nodes: Column, n: Column) -> Column:
     """The elements below one."""
-    return F.slice(nodes, n["idx"] + 2, n["last"] - n["idx"])
+    return bound(n, lambda own: F.slice(nodes, own["idx"] + 2, own["last"] - own["idx"]))
 
 
 def is_inside(n: Column, others: Column) -> Column:
@@ -202,18 +205,18 @@ def is_inside(n: Column, others: Column) -> Column:
 
 def siblings(nodes: Column, n: Column) -> Column:
     """The elements after one on its own level."""
-    return F.filter(nodes, lambda s: (s["parent"] == n["parent"]) & (s["idx"] > n["idx"]))
+    return bound(n, lambda own: F.filter(nodes, lambda s: (s["parent"] == own["parent"]) & (s["idx"] > own["idx"])))
 
 
 def until(elements: Column, stop) -> Column:
     """The elements before the first of which stop holds."""
-    first = F.array_min(F.transform(F.filter(elements, stop), lambda s: s["idx"]))
-    return bound(first, lambda end: F.filter(elements, lambda s: end.isNull() | (s["idx"] < end)))
+    first = lambda own: F.array_min(F.transform(F.filter(own, stop), lambda s: s["idx"]))
+    return bound(elements, lambda own: bound(first(own), lambda end: F.filter(own, lambda s: end.isNull() | (s["idx"] < end))))
 
 
 def first(elements: Column, *tests) -> Column:
     """The first element of which the first test holds; failing that, the second, and so on."""
-    return F.coalesce(*(F.try_element_at(F.filter(elements, t), F.lit(1)) for t in tests))
+    return bound(elements, lambda own: F.coalesce(*(F.try_element_at(F.filter(own, t), F.lit(1)) for t in tests)))
 
 
 def has_token(n: Column, name: str) -> Column:
