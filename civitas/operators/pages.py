@@ -170,6 +170,10 @@ def languages(nodes: Column) -> Column:
     return F.array_join(F.array_sort(F.array_distinct(codes)), ",")
 
 
+def title(nodes: Column) -> Column:
+    return F.coalesce(N.meta(nodes, "dcterms.title"), N.first_text(nodes, "h1"))
+
+
 def registry_record(pages: DataFrame, base_url: str, now: Column | None = None) -> DataFrame:
     """One row per page (file_name, nodes): the registry's fields; `parse_error` stays beside them.
 
@@ -187,7 +191,7 @@ def registry_record(pages: DataFrame, base_url: str, now: Column | None = None)
     out = pages.withColumn("by_country", signatures(n)).withColumn("steps", steps).withColumn("organisers", organisers(n))
     return out.select(
         number.alias("registration_number"),
-        F.coalesce(N.meta(n, "dcterms.title"), N.first_text(n, "h1")).alias("title"),
+        title(n).alias("title"),
         F.substring(F.array_join(N.texts_of(N.tagged(part("Objectives?"), "p")), "\n"), 1, 1100).alias("objective"),
         F.nullif(F.array_join(N.texts_of(N.tagged(part("Annex"), "p", "li")), "\n"), F.lit("")).alias("annex"),
         current_status(n).alias("current_status"),
@@ -369,8 +373,11 @@ def next_page(nodes: Column) -> Column:
     return N.first(nodes, lambda x: (x["tag"] == "a") & x["href"].isNotNull() & N.is_inside(x, items))["href"]
 
 
-def response_links(pages: DataFrame) -> DataFrame:
-    """registration_number and url of the answer, of the registry pages (file_name, nodes) that link to one."""
+def response_links(pages: DataFrame, *more: Column) -> DataFrame:
+    """registration_number and url of the answer, of the registry pages (file_name, nodes) that link to one.
+
+    more: further fields of the same page, where no listing is to be joined for them (`with_metadata`).
+    """
     url = F.try_element_at(N.links(F.col("nodes"), text="answer and follow-up"), F.lit(1))
     number = F.regexp_replace(F.regexp_extract("file_name", r"(\d{4}_\d{6})_[a-z]{2}\.html", 1), "_", "/")
-    return pages.select(number.alias("registration_number"), url.alias("url")).where("url IS NOT NULL")
+    return pages.select(number.alias("registration_number"), url.alias("url"), *more).where("url IS NOT NULL")

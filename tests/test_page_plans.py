@@ -42,6 +42,11 @@ def plan(df):
     return df._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_keys_of_seven_digits(customers):
+    for name in ("answer_links", "registry_funnel"):
+        assert rows(getattr(G, name)(customers).toPandas()) == rows(by_sql(name, customer=customers.customer))
+
+
 def test_places_are_worked_out_once(spark):
     pages = N.with_nodes(spark.createDataFrame([("<div><h2 id='here'>H</h2></div><div>d</div>",)], "html string"))
     n = F.col("nodes")
