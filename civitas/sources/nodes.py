@@ -292,9 +292,16 @@ def table_rows(nodes: Column, cells: int) -> Column:
     return F.filter(bound(tagged(nodes, "td", "th"), rows), lambda r: F.size(r) == cells)
 
 
-def raw_title(html: Column) -> Column:
-    """The title of a page straight from its text, without its node table; null where it has none."""
-    title = F.regexp_extract(html, r"(?is)<title[^>]*>(.*?)</title>", 1)
-    for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&")):
+#: Character references that a title is read with; `&amp;` is the last, so that nothing is read twice.
+ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&nbsp;": " ", "&amp;": "&"}
+
+
+def raw_title(html: Column, element: str = r"(?is)<title[^>]*>(.*?)</title>", entities: dict[str, str] = ENTITIES) -> Column:
+    """The title of a page straight from its text, without its node table; null where it has none.
+
+    Blanks are collapsed before references are read: one that means a blank stays.
+    """
+    title = F.trim(F.regexp_replace(F.regexp_extract(html, element, 1), r"[\t\n\f\r ]+", " "))
+    for entity, char in entities.items():
         title = F.replace(title, F.lit(entity), F.lit(char))
-    return F.nullif(F.trim(F.regexp_replace(title, r"\s+", " ")), F.lit(""))
+    return F.nullif(title, F.lit(""))

@@ -42,6 +42,17 @@ def plan(df):
     return df._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_titles_as_the_sql_reads_them(spark):
+    html = ["<html lang=\"en\"><title>a &quot;b&quot; &amp;  c &amp;lt; d\n</title>", "<title> </title>", "<TITLE>X</TITLE>", "<title id='1'>X</title>", "<title>a <b>c</b></title>", "<title>a\x0bb</title>", "", None]
+    pages = spark.createDataFrame(list(enumerate(html)), "page_id long, html string")
+    assert rows(G.page_titles(Tables(pages=pages)).toPandas()) == rows(by_sql("page_titles", pages=pages))
+
+
+def test_raw_title_reads_references_once(spark):
+    page = spark.createDataFrame([("<TITLE id='1'>a\n &amp;quot; &quot;</title>",)], "h string")
+    assert page.select(N.raw_title(F.col("h"))).first()[0] == 'a &quot; "'
+
+
 def test_keys_of_seven_digits(customers):
     for name in ("answer_links", "registry_funnel"):
         assert rows(getattr(G, name)(customers).toPandas()) == rows(by_sql(name, customer=customers.customer))
