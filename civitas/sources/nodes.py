@@ -14,6 +14,7 @@ from html.parser import HTMLParser
 from pyspark.sql import Column, DataFrame, functions as F
 
 from civitas.functions.text import bound
+from civitas.sources.shared import small_batches
 
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 SKIPPED = {"script", "style"}
@@ -77,8 +78,26 @@ def parse(html: str) -> tuple[list[list], list[str]]:
     return builder.nodes, builder.pieces
 
 
+#: Bytes of pages whose elements are Python objects at the same time.
+PART = 1 << 20
+
+
 def _parsed(pages):
-    """An Arrow array of pages as an array of PAGE; one bad page does not fail the others."""
+    """An Arrow array of pages as an array of PAGE, part by part: only one part's elements are Python objects at a time."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    lengths = pc.fill_null(pc.binary_length(pages), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    part = (np.cumsum(lengths) - lengths) // PART
+    starts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(pages)]
+    out = pa.concat_arrays([_parsed_part(pages.slice(a, b - a)) for a, b in zip(starts, starts[1:], strict=False)])
+    pa.default_memory_pool().release_unused()
+    return out
+
+
+def _parsed_part(pages):
+    """One bad page does not fail the others."""
     import pyarrow as pa
 
     nodes, pieces, errors = [], [], []
@@ -106,6 +125,7 @@ def with_nodes(pages: DataFrame, html: str = "html", texts: bool = True) -> Data
     Null pages have no nodes; a page that cannot be parsed has a `parse_error`. With `texts`, a node has
     its normalised text as a field, too.
     """
+    small_batches(pages)
     p = F.col("_p")
     nodes = F.transform(p["nodes"], lambda n: F.struct(*(n[k].alias(k) for k in FIELDS), F.trim(F.regexp_replace(raw(p["pieces"], n), r"(?U)\s+", " ")).alias("text"))) if texts else p["nodes"]
     # called nondeterministic so that no filter on what pages tell is pushed below, where pages would be parsed for the filter and again for the rows

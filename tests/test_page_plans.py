@@ -58,6 +58,21 @@ def test_keys_of_seven_digits(customers):
         assert rows(getattr(G, name)(customers).toPandas()) == rows(by_sql(name, customer=customers.customer))
 
 
+def test_pages_are_parsed_in_parts(monkeypatch):
+    html = ["<p>" + "x" * n + "</p>" for n in (5, 200, 1, 0, 90, 30)] + [None, "<a href='u'>b</a>"]
+    whole, seen, part = N._parsed(pa.array(html)), [], N._parsed_part
+    monkeypatch.setattr(N, "PART", 100)
+    monkeypatch.setattr(N, "_parsed_part", lambda pages: seen.append(len(pages)) or part(pages))
+    assert N._parsed(pa.array(html)).equals(whole) and sum(seen) == len(html) and len(seen) > 2
+    assert len(N._parsed(pa.array([], pa.string()))) == 0
+
+
+def test_batches_of_pages_are_bounded_by_bytes(spark):
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    N.with_nodes(spark.createDataFrame([("<p>",)], "html string"))
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == str(shared.BATCH)
+
+
 def test_places_are_worked_out_once(spark):
     pages = N.with_nodes(spark.createDataFrame([("<div><h2 id='here'>H</h2></div><div>d</div>",)], "html string"))
     n = F.col("nodes")
