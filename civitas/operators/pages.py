@@ -342,35 +342,47 @@ def with_metadata(records: DataFrame, listing: DataFrame, key: str = "registrati
     return records.join(listing, key, "left")
 
 
-def listing_rows(pages: DataFrame, base_url: str = "", block: tuple[str, ...] = ("ecl-content-block", "ecl-content-item__content-block"), title: str = "ecl-content-block__title", label: str = "ecl-content-block__secondary-meta-label", page: str | None = None) -> DataFrame:
-    """One row per content block of listing pages: url, current_status, registration_number, signature_collection.
-
-    page: a column of the pages to bring along, as `page`.
+def listed(n: Column, pieces: Column, block: tuple[str, ...] = ("ecl-content-block", "ecl-content-item__content-block"), title: str = "ecl-content-block__title", label: str = "ecl-content-block__secondary-meta-label") -> Column:
+    """array<struct<href, current_status, registration_number, signature_collection>>: the content blocks of a listing page.
 
     The link is the first below the block's title, and one to an initiative, or the block is left out;
     labels are the block's own. What no label tells is empty.
     """
-    n, pieces = F.col("nodes"), F.col("pieces")
 
     def one(b: Column) -> Column:
-        own = N.inside(n, b)
+        return T.bound(N.inside(n, b), of_block)
+
+    def of_block(own: Column) -> Column:
         titles = F.filter(own, lambda x: (x["tag"] == "div") & N.has_token(x, title))
-        href = N.first(own, lambda x: (x["tag"] == "a") & N.has_token(x, "ecl-link") & N.is_inside(x, titles))["href"]
-        labels = F.transform(F.filter(own, lambda x: (x["tag"] == "span") & N.has_token(x, label)), lambda x: N.tight(pieces, x))
+        href = T.bound(titles, lambda t: N.first(own, lambda x: (x["tag"] == "a") & N.has_token(x, "ecl-link") & N.is_inside(x, t)))["href"]
+        told = F.transform(F.filter(own, lambda x: (x["tag"] == "span") & N.has_token(x, label)), lambda x: N.tight(pieces, x))
+        return T.bound(told, lambda labels: of_labels(href, labels))
+
+    def of_labels(href: Column, labels: Column) -> Column:
         last = lambda test, cut: F.coalesce(F.try_element_at(F.transform(F.filter(labels, test), cut), F.lit(-1)), F.lit(""))
         after = lambda name: last(lambda t: F.startswith(t, F.lit(name)), lambda t: F.trim(F.replace(t, F.lit(name), F.lit(""))))
         others = lambda t: F.contains(F.lower(t), F.lit("signature collection")) & ~F.startswith(t, F.lit("Current status:")) & ~F.startswith(t, F.lit("Registration number:"))
         return F.struct(href.alias("href"), after("Current status:").alias("current_status"), after("Registration number:").alias("registration_number"), last(others, F.trim).alias("signature_collection"))
 
     blocks = F.filter(n, lambda x: (x["tag"] == "div") & N.has_token(x, block[0]) & N.has_token(x, block[1]))
-    rows = pages.select(*([F.col(page).alias("page")] if page else []), F.explode(F.filter(F.transform(blocks, one), lambda r: F.startswith(r["href"], F.lit(LISTED_LINK)))).alias("b"))
+    return F.filter(F.transform(blocks, one), lambda r: F.startswith(r["href"], F.lit(LISTED_LINK)))
+
+
+def listing_rows(pages: DataFrame, base_url: str = "", page: str | None = None, blocks: Column | None = None, **forms) -> DataFrame:
+    """One row per content block of listing pages: url, current_status, registration_number, signature_collection.
+
+    page: a column of the pages to bring along, as `page`; blocks: the blocks of each page, where they
+    are read already (`listed`); forms: classes of blocks, titles and labels, as `listed` takes them.
+    """
+    found = listed(F.col("nodes"), F.col("pieces"), **forms) if blocks is None else blocks
+    rows = pages.select(*([F.col(page).alias("page")] if page else []), F.explode(found).alias("b"))
     return rows.select(F.concat(F.lit(base_url), F.col("b.href")).alias("url"), "b.current_status", "b.registration_number", "b.signature_collection", *(["page"] if page else []))
 
 
 def next_page(nodes: Column) -> Column:
     """The target of a listing page's link to the next one."""
     items = F.filter(nodes, lambda x: (x["tag"] == "li") & N.has_token(x, "ecl-pagination__item--next"))
-    return N.first(nodes, lambda x: (x["tag"] == "a") & x["href"].isNotNull() & N.is_inside(x, items))["href"]
+    return T.bound(items, lambda own: N.first(nodes, lambda x: (x["tag"] == "a") & x["href"].isNotNull() & N.is_inside(x, own)))["href"]
 
 
 def response_links(pages: DataFrame, *more: Column) -> DataFrame:

@@ -110,9 +110,9 @@ def chained(pages: DataFrame, first: str, url: str = "url", following: str = "ne
     jumps = pages.where(F.col(url).isNotNull() & F.col(following).isNotNull()).groupBy(F.col(url).alias("u")).agg(F.min(following).alias("v"))
     reached = checkpointed(pages.where(F.col(url) == first).select(F.col(url).alias("u"), F.lit(1).cast("long").alias("place")).distinct())
     jumps, known, step = checkpointed(jumps), reached.count(), 1
+    there = checkpointed(pages.select(F.col(url).alias("u")).distinct())
     while known:
         further = reached.join(jumps, "u").select(F.col("v").alias("u"), (place + step).alias("place"))
-        there = pages.select(F.col(url).alias("u")).distinct()
         reached = checkpointed(reached.union(further.join(there, "u", "left_semi")).groupBy("u").agg(F.min("place").alias("place")))
         now = reached.count()
         if now == known:

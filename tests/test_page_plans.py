@@ -58,6 +58,11 @@ def test_keys_of_seven_digits(customers):
         assert rows(getattr(G, name)(customers).toPandas()) == rows(by_sql(name, customer=customers.customer))
 
 
+def test_pages_are_read_once_a_query(customers):
+    assert plan(G.answer_links(customers)).count("ArrowEvalPython") == 1
+    assert plan(G.listing_records(customers)).count("ArrowEvalPython") == 0  # the rows of the pages are stored
+
+
 def test_pages_are_parsed_in_parts(monkeypatch):
     html = ["<p>" + "x" * n + "</p>" for n in (5, 200, 1, 0, 90, 30)] + [None, "<a href='u'>b</a>"]
     whole, seen, part = N._parsed(pa.array(html)), [], N._parsed_part
@@ -79,3 +84,10 @@ def test_places_are_worked_out_once(spark):
     at = A.headed(n, "here")
     for c in (N.siblings(n, A.around(n, at)), N.inside(n, at), A.blocks(n, at)):
         assert pages.select(c.alias("v"))._jdf.queryExecution().analyzed().toString().count("= here)") == 1
+
+
+def test_rows_of_listing_pages_that_are_read_already(spark):
+    block = '<div class="ecl-content-block ecl-content-item__content-block"><div class="ecl-content-block__title"><a class="ecl-link" href="/initiatives/details/1">A</a></div></div>'
+    pages = N.with_nodes(spark.createDataFrame([(block,), ("<p>none",), (None,)], "html string"))
+    stored = pages.select(P.listed(F.col("nodes"), F.col("pieces")).alias("b"))
+    assert P.listing_rows(stored, "u", blocks=F.col("b")).collect() == P.listing_rows(pages, "u").collect()
