@@ -301,7 +301,7 @@ LEGISLATIVE = {
     ),
     "adopted": (
         r"(?:regulation|directive|law|amendment|legislation)(?:(?!\bnot\b).)*?(?:was |were )?(?:adopted|approved)",
-        r"(?<!vision\s)(?<!strategy\s)(?<!communication\s)(?<!roadmap\s)(?<!plan\s)(?<!framework\s)(?<!programme\s)(?<!program\s)(?<!initiative\s)(?<!agenda\s)(?<!approach\s)(?<!guideline\s)(?<!guidelines\s)(?<!report\s)(?<!study\s)(?<!assessment\s)(?<!review\s)(?<!consultation\s)(?<!opinion\s)(?<!document\s)(?:adopted|approved)(?:(?!\bnot\b).)*?(?:regulation|directive|law|amendment|legislation)",
+        r"(?=adopted|approved)(?<!vision\s)(?<!strategy\s)(?<!communication\s)(?<!roadmap\s)(?<!plan\s)(?<!framework\s)(?<!programme\s)(?<!program\s)(?<!initiative\s)(?<!agenda\s)(?<!approach\s)(?<!guideline\s)(?<!guidelines\s)(?<!report\s)(?<!study\s)(?<!assessment\s)(?<!review\s)(?<!consultation\s)(?<!opinion\s)(?<!document\s)(?:adopted|approved)(?:(?!\bnot\b).)*?(?:regulation|directive|law|amendment|legislation)",
     ),
     "proposed": (
         r"(?:revision|revised|recast|decided|proposal|proposed|tabled)(?:(?!\bnot\b).)*?(?:regulation|directive|law|amendment|legislation|legislative)",

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from civitas.functions import dates as D, fixed_values as V, json_ops as J, text as T
 from civitas.plans.analyses import query
+from civitas.sources.shared import spread
 
 LADDER = T.StatusLadder()
 
@@ -173,5 +174,5 @@ PASSAGES = (
 def legislative_status(t):
     """The patterns look around, which the oracle's regular expressions cannot; it knows what each passage tells."""
     text = F.get(F.array(*(F.lit(p) for p, _, _ in PASSAGES)), (F.col("o_orderkey") % len(PASSAGES)).cast("int"))
-    rows = t.orders.select("o_orderkey", F.concat_ws(" ", text, F.lit("Order"), F.col("o_orderkey")).alias("text"))
+    rows = spread(t.orders.select("o_orderkey"), "o_orderkey").select("o_orderkey", F.concat_ws(" ", text, F.lit("Order"), F.col("o_orderkey")).alias("text"))
     return rows.select("o_orderkey", T.first_class(F.col("text"), V.LEGISLATIVE).alias("status"), T.first_class(F.lower("text"), V.POLICY_TYPES, case_blind=False).alias("policy"))

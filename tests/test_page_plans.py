@@ -63,6 +63,13 @@ def test_pages_are_read_once_a_query(customers):
     assert plan(G.listing_records(customers)).count("ArrowEvalPython") == 0  # the rows of the pages are stored
 
 
+def test_one_file_is_spread_over_all_cores(spark, customers):
+    cores = spark.sparkContext.defaultParallelism
+    orders = Tables(orders=spark.range(10).select(F.col("id").alias("o_orderkey")).coalesce(1))
+    for df in (G.registry_pages(customers), G.response_pages(customers), G.followup_pages(customers), Q.legislative_status(orders)):
+        assert df.rdd.getNumPartitions() >= 4 * cores
+
+
 def test_pages_are_parsed_in_parts(monkeypatch):
     html = ["<p>" + "x" * n + "</p>" for n in (5, 200, 1, 0, 90, 30)] + [None, "<a href='u'>b</a>"]
     whole, seen, part = N._parsed(pa.array(html)), [], N._parsed_part
@@ -86,6 +93,16 @@ def test_places_are_worked_out_once(spark):
         assert pages.select(c.alias("v"))._jdf.queryExecution().analyzed().toString().count("= here)") == 1
 
 
+def test_patterns_in_one(spark):
+    kinds = [*V.POLICY_TYPES.values(), V.ABOUT_LAWS, (r"\bx|y", r"\bz"), (r"\b(?:a|b)c", r"\bd")]
+    words = "impact assessments public consultation efsa road xy roadmap strengthened y zz ac dx withdrawal no new legislation".split()
+    draw = random.Random(1)
+    texts = [" ".join(draw.choices(words, k=5)).replace("s p", "sp") for _ in range(200)]
+    for own in kinds:
+        assert [bool(re.search(T.any_of_patterns(own), t)) for t in texts] == [any(re.search(p, t) for p in own) for t in texts]
+    assert T.any_of_patterns(V.ABOUT_LAWS).startswith(r"\b(?:") and not T.any_of_patterns((r"\bx|y", r"\bz")).startswith(r"\b")
+
+
 def test_rows_of_listing_pages_that_are_read_already(spark):
     block = '<div class="ecl-content-block ecl-content-item__content-block"><div class="ecl-content-block__title"><a class="ecl-link" href="/initiatives/details/1">A</a></div></div>'
     pages = N.with_nodes(spark.createDataFrame([(block,), ("<p>none",), (None,)], "html string"))
