@@ -1,6 +1,7 @@
 """Sequence packing by non-negative least squares over length combinations.
 
-1. Every text is tokenised once; ids go to a table in the shared folder.
+1. Every text is tokenised once; ids go to a table in the shared folder. The distinct words
+   of a batch are looked up among those that the worker remembers, or given to the tokenizer.
 2. A document is cut into full windows and a tail. The histogram of tail lengths
    (at most as many rows as a window has tokens) goes to the driver.
 3. Lengths are grouped into classes of `UNIT` tokens. Combinations of up to three
@@ -21,18 +22,19 @@ import array
 import itertools
 import re
 import zlib
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from civitas.llm.common import column, parts, scratch, small_batches, stored, trimmed
+from civitas.llm.common import BATCH, column, parts, scratch, small_batches, stored, trimmed
 
 WINDOW = 2048
 UNIT = 16
 #: Pieces of one length in a bucket of ranks, about.
 BUCKET = 1_000
-#: Runs and words that a task remembers before it starts anew, all of fewer than `LONG` characters.
+#: Pieces in a generation that a worker remembers, all of fewer than `LONG` characters; of whole runs a quarter.
 REMEMBERED = 400_000
 LONG = 64
 
@@ -44,12 +46,38 @@ def vocabulary(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+class Remembered(dict):
+    """Values by key, made where they are missing.
+
+    Beyond `most` keys a new generation begins. The one before is kept, and what is asked
+    for again moves on from it, so that frequent keys stay and memory is bounded.
+    """
+
+    def __init__(self, make: Callable[[str], bytes], most: int):
+        super().__init__()
+        self.make, self.most, self.before = make, most, {}
+
+    def __missing__(self, key: str) -> bytes:
+        value = self.before.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(key) < LONG:
+            if len(self) >= self.most:
+                # a copy, as callers hold a method of this object
+                self.before = self.copy()
+                self.clear()
+            self[key] = value
+        return value
+
+
 class Encoder:
     """Token ids of whole texts, the same as the tokenizer gives, with words remembered.
 
     White space ends every token of these vocabularies, so a text's ids are those of
-    its runs of other characters. Runs of letters up to U+017F are split here and
-    given to the tokenizer's model piece by piece; others go through all of it.
+    its runs of other characters. Texts of printable characters up to U+017F are made
+    lower-case as a whole and parted before a mark that follows a letter or digit, where
+    the splitter parts them, too, so that words meet without their marks. Their pieces are
+    given to the tokenizer's model; runs with other characters go through all of it.
     """
 
     def __init__(self, path: str):
@@ -60,9 +88,12 @@ class Encoder:
         self.model = self.tokenizer.model
         self.wide = self.tokenizer.get_vocab_size() > 1 << 16
         self.kind = np.dtype("<u4" if self.wide else "<u2")
-        self.words: dict[str, bytes] = {}
-        self.pieces = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+").findall
-        self.simple = re.compile(r"[!-įı-ſ]+\Z").match
+        self.code = "I" if self.wide else "H"
+        self.pieces, self.runs = Remembered(self.piece, REMEMBERED), Remembered(self.run, REMEMBERED // 4)
+        self.split = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+").findall
+        self.simple = re.compile(r"[\x20\x09-\x0D!-~¡-¬®-įı-ſ]*\Z").match
+        self.marks = re.compile(r"[.,;:!?](?<=[^\W_].)").sub
+        self.several = re.compile(r"[!-/:-@\[-`{-~¡-©«-±´¶-¸»¿×÷][.,;:!?]").search
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
         spare = iter(range(256, 512))
         self.shown = {b: b if b in plain else next(spare) for b in range(256)}
@@ -70,42 +101,47 @@ class Encoder:
         self.odd = re.compile("[\x1c-\x1f]").search
 
     def packed(self, ids) -> bytes:
-        return array.array("I" if self.wide else "H", ids).tobytes()
-
-    def piece(self, piece: str) -> bytes:
-        have = self.words.get(piece)
-        if have is None:
-            shown = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.shown)
-            have = self.packed([t.id for t in self.model.tokenize(shown)])
-            self.remember(piece, have)
-        return have
-
-    def remember(self, run: str, ids: bytes) -> None:
-        if len(run) < LONG:
-            if len(self.words) >= REMEMBERED:
-                self.words.clear()
-            self.words[run] = ids
+        return array.array(self.code, ids).tobytes()
+
+    def piece(self, run: str) -> bytes:
+        """A lower-case run of simple characters, or a piece of one."""
+        if not run.isalpha() and (pieces := self.split(run)) != [run]:
+            return b"".join(map(self.pieces.__getitem__, pieces))
+        shown = run if run.isascii() else run.encode().decode("latin-1").translate(self.shown)
+        return self.packed([t.id for t in self.model.tokenize(shown)])
 
     def run(self, run: str) -> bytes:
-        plain = run.isprintable() and (run.isascii() or self.simple(run))
-        if plain and run.isalpha():
-            out = self.piece(run.lower())
-        elif plain and run[-1] in ".,;:!?" and run[:-1].isalpha():
-            out = self.piece(run[:-1].lower()) + self.piece(run[-1])
-        elif plain and "<|" not in run:
-            out = b"".join(map(self.piece, self.pieces(run.lower())))
-        else:
-            out = self.packed(self.tokenizer.encode(run, add_special_tokens=False).ids)
-        self.remember(run, out)
-        return out
+        if "<|" not in run and self.simple(run):
+            return self.pieces[run.lower()]
+        return self.packed(self.tokenizer.encode(run, add_special_tokens=False).ids)
+
+    def parted(self, text: str) -> str:
+        """The text with a space before each mark that follows a letter or digit; other spaces may be doubled."""
+        if self.several(text):
+            return self.marks(r" \g<0>", text)
+        for mark in ".,;:!?":
+            text = text.replace(mark, " " + mark)
+        return text
 
     def __call__(self, text: str) -> bytes:
+        if "<|" not in text and self.simple(text):
+            return b"".join(map(self.pieces.__getitem__, self.parted(text.lower()).split()))
         # str.split takes the four separators for white space, the vocabulary does not
         runs = filter(None, self.splits(text)) if self.odd(text) else text.split()
-        get, out = self.words.get, []
-        for run in runs:
-            out.append(get(run) or self.run(run))
-        return b"".join(out)
+        return b"".join(map(self.runs.__getitem__, runs))
+
+    def many(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text; a word of several simple texts is looked up once."""
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        simple = [len(x) <= BATCH and "<|" not in x and self.simple(x) is not None for x in texts]
+        words = pc.ascii_split_whitespace(pa.array([self.parted(x.lower()) for x, own in zip(texts, simple, strict=True) if own], pa.string()))
+        coded = words.flatten().dictionary_encode()
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False)
+        ids = pa.array([self.pieces[x] for x in distinct], pa.binary()).take(coded.indices)
+        joined = iter(pc.binary_join(pa.ListArray.from_arrays(words.offsets, ids), b"").to_pylist())
+        return [next(joined) if own else self(x) for x, own in zip(texts, simple, strict=True)]
 
 
 _encoders: dict[str, Encoder] = {}
@@ -121,11 +157,10 @@ def tokens(docs: DataFrame, path: str, end_id: int) -> DataFrame:
         encoder = _encoders.get(path) or _encoders.setdefault(path, Encoder(path))
         last = encoder.packed([end_id])
         for batch in batches:
-            for part in parts(batch):
-                ids = [encoder(x.as_py() or "") + last for x in column(part, "text")]
+            for part in parts(batch, BATCH):
+                ids = [x + last for x in encoder.many([x or "" for x in column(part, "text").to_pylist()])]
                 sizes = pa.array([len(x) // encoder.kind.itemsize for x in ids], pa.int64())
                 yield pa.record_batch([column(part, "doc_id"), sizes, pa.array(ids, pa.binary())], ["doc_id", "n_tokens", "ids"])
-        encoder.words.clear()
         trimmed()
 
     return docs.select("doc_id", "text").mapInArrow(encode, f"doc_id {doc_type}, n_tokens long, ids binary")

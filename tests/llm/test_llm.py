@@ -388,6 +388,33 @@ def test_packing(spark):
     assert packing.pack(spark, frame(spark, [])).collect() == []
 
 
+def test_words_are_tokenised_once():
+    encoder = packing.Encoder(packing.vocabulary())
+    rng = random.Random(8)
+    letters = [*"aÉßŸµª²¼9 \t\n'.,;:!?-_<|\xad\xa0\x85\x00\x1cİΣ\u0301世", "'s", "the ", "word, ", "...", "<|endoftext|>", "<|ENDOFTEXT|>"]
+    texts = ["".join(rng.choice(letters[: rng.choice([21, len(letters)])]) for _ in range(rng.randint(0, 12))) for _ in range(4000)]
+    texts += ["", " \n", "x" * 100 + ".", "ab, " * (packing.BATCH // 4 + 1)]
+    for text, ids in zip(texts, encoder.many(texts), strict=True):
+        want = encoder.tokenizer.encode(text, add_special_tokens=False).ids
+        assert ids == encoder(text) == np.array(want, encoder.kind).tobytes(), text[:50]
+    assert encoder.many([]) == []
+    # a word in other case, with marks, and in a later task's texts is the same piece
+    made, make = [], encoder.pieces.make
+    encoder.pieces.make = lambda piece: made.append(piece) or make(piece)
+    encoder.many(["Zyxwword, zyxwword.", "ZYXWWORD!"])
+    encoder.many(["zyxwword? Zyxwword;"])
+    assert made.count("zyxwword") == 1 and not any(len(x) > 8 for x in made)
+
+
+def test_frequent_words_stay_remembered():
+    made = []
+    words = packing.Remembered(lambda x: made.append(x) or x.encode(), 10)
+    for i in range(1000):
+        assert words["often"] == b"often" and words[f"w{i}"] == f"w{i}".encode()
+        assert len(words) <= 10 and len(words.before) <= 10
+    assert made.count("often") == 1 and words["y" * 100] == b"y" * 100 and "y" * 100 not in words
+
+
 def test_plan_pads_little():
     rng = np.random.default_rng(0)
     lengths = np.minimum(rng.lognormal(6.3, 1.1, 200_000).astype(int) + 1, 2047)
