@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, functions as F
 
 from civitas.functions import fixed_values as V
-from civitas.functions.text import MARK, bound
+from civitas.functions.text import MARK, bound, filled
 
 MONTHS = ("january", "february", "march", "april", "may", "june", "july", "august", "september", "october", "november", "december")
 MONTH = "(?:" + "|".join(MONTHS) + ")"
@@ -29,7 +29,7 @@ def _day_of(year: Column, month, day) -> Column:
 
 
 def _found(c: Column, pattern: str, group: int = 1) -> Column:
-    return F.nullif(F.regexp_extract(c, pattern, group), F.lit(""))
+    return filled(F.regexp_extract(c, pattern, group))
 
 
 #: d Month yyyy, d/m/yyyy and d-m-yyyy in the order of yyyy-m-d, where a month may be a name.
@@ -41,7 +41,7 @@ def _parts(c: Column) -> Column:
     out = F.lower(F.trim(c))
     for pattern, order in _ORDERED:
         out = F.regexp_replace(out, pattern, order)
-    return F.when(F.rlike(out, F.lit(r"^\d{4}(?:-[a-z]{3,9}|-(?:[a-z]{3,9}|\d{1,2})-\d{1,2})?$")), F.split(out, "-"))
+    return bound(out, lambda x: F.when(F.rlike(x, F.lit(r"^\d{4}(?:-[a-z]{3,9}|-(?:[a-z]{3,9}|\d{1,2})-\d{1,2})?$")), F.split(x, "-")))
 
 
 def _read(c: Column, month: str, year) -> Column:
@@ -63,8 +63,10 @@ def parsed(c: Column) -> Column:
 
 def parsed_end(c: Column) -> Column:
     """A date; coarser expressions mean the end of their period."""
-    low = F.lower(F.trim(c))
-    return F.coalesce(_read(c, "last", (12, 31)), _day_of(_found(low, r"end\s+(?:of\s+)?(\d{4})"), 12, 31), _day_of(_found(low, r"early\s+(?:in\s+)?(\d{4})"), 3, 31))
+    def day(low: Column) -> Column:
+        return F.coalesce(_read(low, "last", (12, 31)), _day_of(_found(low, r"end\s+(?:of\s+)?(\d{4})"), 12, 31), _day_of(_found(low, r"early\s+(?:in\s+)?(\d{4})"), 3, 31))
+
+    return bound(F.lower(F.trim(c)), day)
 
 
 # The last day meant by a phrase, by the first pattern that occurs.

@@ -315,6 +315,16 @@ LEGISLATIVE = {
     ),
 }
 
+# Words of which every match of a status's patterns holds one: texts without them need not be searched.
+LEGISLATIVE_SIGNS = {
+    "law_active": ("became applicable", "applies from", "apply from"),
+    "in_vacatio_legis": ("entered into force", "came into force"),
+    "withdrawn": ("withdraw", "withdrew"),
+    "adopted": ("adopted", "approved"),
+    "proposed": ("revision", "revised", "review", "recast", "decided", "proposal", "proposed", "tabled"),
+    "planned": ("will apply", "planned", "to be adopted", "foresees", "tariff code", "cn code", "standards"),
+}
+
 # Rows of a rule table: a label, groups of phrases (one of each group has to occur), and phrases none of which may occur.
 # The first row that holds gives the label.
 

@@ -12,9 +12,18 @@ from pyspark.sql import Column, functions as F
 from civitas.functions import fixed_values as V
 
 
+#: The characters that Unicode calls white space.
+WHITE = "\t\n\x0b\f\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+
+
+def stripped(c: Column) -> Column:
+    """Without (Unicode) white space at the ends."""
+    return F.trim(c, F.lit(WHITE))
+
+
 def normalized(c: Column) -> Column:
-    """Runs of (Unicode) white space become one blank; none at the ends."""
-    return F.trim(F.regexp_replace(c, r"(?U)\s+", " "))
+    """Runs of (Unicode) white space become one blank; none at the ends. Single blanks are no matches, so that most texts are only read."""
+    return F.trim(F.regexp_replace(c, r"(?U)[^\S ]\s*| \s+", " "))
 
 
 def comparable(c: Column) -> Column:
@@ -66,8 +75,7 @@ def unescaped(c: Column) -> Column:
 
 def complete_text(parts: Column) -> Column:
     """An array of strings, stripped and joined without anything between, decoded, lower-cased, normalised."""
-    stripped = F.transform(parts, lambda p: F.regexp_replace(p, r"(?U)^\s+|\s+$", ""))
-    return comparable(unescaped(F.array_join(stripped, "")))
+    return comparable(unescaped(F.array_join(F.transform(parts, stripped), "")))
 
 
 def contains_any(c: Column, phrases: Sequence[str]) -> Column:
@@ -89,11 +97,25 @@ def bound(value: Column, f: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), f), 1)
 
 
+def filled(c: Column) -> Column:
+    """The text, null where it is empty; worked out once also within a lambda, where nullif would work it out twice."""
+    return bound(c, lambda x: F.when(x != "", x))
+
+
+def by_letter(patterns: Sequence[str]) -> str:
+    """Alternatives in one pattern, those of one first letter together, so that at most places each letter is tried once."""
+    groups: dict[str, list[str]] = {}
+    for p in patterns:
+        letter = re.match(r"[A-Za-z](?![?*+{])", p)
+        groups.setdefault(letter[0] if letter and "|" not in re.sub(r"\([^()|]*(?:\|[^()|]*)*\)", "", p) else p, []).append(p)
+    return "|".join(own[0] if len(own) == 1 else k + "(?:" + "|".join(p[1:] for p in own) + ")" if len(k) == 1 else "|".join(own) for k, own in groups.items())
+
+
 def any_of_patterns(patterns: Sequence[str]) -> str:
     """One pattern that finds what any of some finds; a word boundary that all begin with stands once, so that most places fail at it."""
     outside = lambda p: re.sub(r"\\.|\[[^\]]*\]|\([^()|]*(?:\|[^()|]*)*\)", "", p)
     if all(p.startswith(r"\b") and "|" not in outside(p) for p in patterns):
-        return r"\b(?:" + "|".join(p[2:] for p in patterns) + ")"
+        return r"\b(?:" + by_letter([p[2:] for p in patterns]) + ")"
     return "(?:" + "|".join(patterns) + ")"
 
 
@@ -109,9 +131,23 @@ def categories(c: Column, keywords: dict[str, Sequence[str]], default: str = "Ot
     return bound(F.lower(F.coalesce(c, F.lit(""))), lambda low: bound(hits(low), lambda h: F.when(F.size(h) == 0, F.array(F.lit(default))).otherwise(h)))
 
 
-def first_class(c: Column, patterns: dict[str, Sequence[str]], case_blind: bool = True) -> Column:
-    """The first class, in declaration order, of which a pattern occurs; null if none does."""
-    return F.coalesce(*(F.when(matches_any(c, p, case_blind), F.lit(k)) for k, p in patterns.items()))
+def first_class(c: Column, patterns: dict[str, Sequence[str]], case_blind: bool = True, signs: dict[str, Sequence[str]] | None = None) -> Column:
+    """The first class, in declaration order, of which a pattern occurs; null if none does.
+
+    signs: lower-case words of each class, of which every match of its patterns holds one; only texts that do are searched.
+    """
+    if signs is None:
+        return F.coalesce(*(F.when(matches_any(c, p, case_blind), F.lit(k)) for k, p in patterns.items()))
+    return bound(F.lower(c), lambda low: F.coalesce(*(F.when(contains_any(low, signs[k]) & matches_any(c, p, case_blind), F.lit(k)) for k, p in patterns.items())))
+
+
+def beginnings(pattern: str) -> tuple[str, ...]:
+    """Words with one of which every match of a pattern begins: its plain letters and blanks, or those of a group; none where that cannot be told."""
+    if "|" in re.sub(r"\\.|\[[^\]]*\]|\([^()|]*(?:\|[^()|]*)*\)", "", pattern):
+        return ()
+    group = re.match(r"\(\?:([A-Za-z ]+(?:\|[A-Za-z ]+)*)\)(?![?*+{])", pattern)
+    plain = re.match(r"[A-Za-z ]+(?![?*+{A-Za-z ])", pattern)
+    return tuple(group[1].split("|")) if group else (plain[0],) if plain else ()
 
 
 def clean_status(c: Column) -> Column:
@@ -230,7 +266,7 @@ def sentence_around(before: Column, rest: Column) -> Column:
     """
     begun = F.regexp_replace(before, r"(?s)^.*(?:[.!?](?=\s)|•|\n\n)", "")
     ended = F.regexp_extract(rest, r"(?s)^.*?(?:[.!?]|(?=\n\n)|\z)", 0)
-    return F.nullif(normalized(without_leading_punctuation(F.regexp_replace(F.concat(begun, ended), r"(?U)^\s+|\s+$", ""))), F.lit(""))
+    return filled(normalized(without_leading_punctuation(stripped(F.concat(begun, ended)))))
 
 
 #: Marks the places of matches; texts that hold it themselves get a blank instead.

@@ -89,7 +89,7 @@ def answer_text(nodes: Column, pieces: Column) -> Column:
 
     def told(h: Column) -> Column:
         parts = F.transform(F.filter(blocks(nodes, h, stop), lambda n: ~is_documents(n)), part)
-        return F.regexp_replace(F.array_join(F.filter(parts, lambda x: x != ""), "\n"), r"(?U)^\s+|\s+$", "")
+        return T.stripped(F.array_join(F.filter(parts, lambda x: x != ""), "\n"))
 
     def more(h: Column) -> Column:
         after = T.bound(N.first(N.siblings(nodes, h), stop), lambda s: F.when(is_followup(s), s))
@@ -113,17 +113,26 @@ def documents(pieces: Column, anchors: Column) -> Column:
     return T.bound(N.kept_first(foreign, lambda a: a["url"]), lambda x: F.when(F.size(x) > 0, x))
 
 
-def paragraph_with(nodes: Column, pieces: Column, heading: Column, pattern: str) -> Column:
-    """The first paragraph after a heading, on its level, whose text has a pattern."""
-    return N.first(N.tagged(N.siblings(nodes, heading), "p"), lambda p: F.rlike(shown(pieces, p), F.lit(pattern)))
+def paragraphs_after(nodes: Column, pieces: Column, heading: Column) -> Column:
+    """array<struct<p, shown>>: the paragraphs after a heading, on its level, with their texts."""
+    return F.transform(N.tagged(N.siblings(nodes, heading), "p"), lambda p: F.struct(p.alias("p"), shown(pieces, p).alias("shown")))
 
 
-def response_documents(nodes: Column, pieces: Column, submission: Column) -> Column:
-    """Links of the paragraph on the adopted communication, links with a document's name, links of the follow-up's paragraph on it."""
+def paragraph_with(paragraphs: Column, pattern: str) -> Column:
+    """Of paragraphs with their texts the first whose text has a pattern."""
+    return F.try_element_at(F.filter(paragraphs, lambda x: F.rlike(x["shown"], F.lit(pattern))), F.lit(1))
+
+
+def response_documents(nodes: Column, pieces: Column, submission: Column, after: Column | None = None) -> Column:
+    """Links of the paragraph on the adopted communication, links with a document's name, links of the follow-up's paragraph on it.
+
+    after: the paragraphs after the submission's heading, where they are read already (`paragraphs_after`).
+    """
+    after = paragraphs_after(nodes, pieces, submission) if after is None else after
     links_of = lambda p: F.coalesce(F.filter(N.inside(nodes, p), lambda a: a["tag"] == "a"), F.slice(nodes, 1, 0))
-    of_paragraph = T.bound(paragraph_with(nodes, pieces, submission, r"(?i)Commission\s+adopted\s+a\s+Communication\s+on"), links_of)
+    of_paragraph = T.bound(paragraph_with(after, r"(?i)Commission\s+adopted\s+a\s+Communication\s+on")["p"], links_of)
     by_name = F.filter(N.tagged(nodes, "a"), lambda a: F.rlike(N.tight(pieces, a), F.lit(DOCUMENT_LINKS)))
-    of_followup = T.bound(paragraph_with(nodes, pieces, headed(nodes, FOLLOWUP), r"(?i)Communication\s+adopted\s+on"), links_of)
+    of_followup = T.bound(paragraph_with(paragraphs_after(nodes, pieces, headed(nodes, FOLLOWUP)), r"(?i)Communication\s+adopted\s+on")["p"], links_of)
     return documents(pieces, N.named_links(pieces, F.concat(of_paragraph, by_name, of_followup)))
 
 
@@ -140,7 +149,7 @@ def followup_documents(nodes: Column, pieces: Column) -> Column:
 def cleaned_deadline(c: Column) -> Column:
     """A deadline's words up to what does not belong to it; null without a year."""
     out = F.regexp_replace(F.regexp_replace(F.trim(c), r"(?i)\s+(?:to|for|in order to|with|amongst|among).*$", ""), r"[.,;]+$", "")
-    return F.when(F.rlike(out, F.lit(r"\d{4}")), F.trim(out))
+    return T.bound(out, lambda x: F.when(F.rlike(x, F.lit(r"\d{4}")), F.trim(x)))
 
 
 def deadline_hits(texts: Column, sentences: bool = True) -> Column:
@@ -151,7 +160,11 @@ def deadline_hits(texts: Column, sentences: bool = True) -> Column:
             around_ = T.sentence_around(F.substring(text, F.lit(1), hit["start"]), F.substring(text, hit["start"] + 1, F.char_length(text)))
             return F.struct(cleaned_deadline(hit["group"]).alias("words"), (around_ if sentences else T.normalized(text)).alias("told"))
 
-        hits = T.bound(F.lower(text), lambda low: F.flatten(F.array(*(T.matches(low, F.lit(p)) for p in V.DEADLINES))))
+        def found_by(low: Column, pattern: str) -> Column:
+            begun, hits = T.beginnings(pattern), T.matches(low, F.lit(pattern))
+            return F.when(T.contains_any(low, begun), hits).otherwise(F.array().cast("array<struct<start:int,group:string>>")) if begun else hits
+
+        hits = T.bound(F.replace(F.lower(text), F.lit(T.MARK), F.lit(" ")), lambda low: F.flatten(F.array(*(found_by(low, p) for p in V.DEADLINES))))
         return F.transform(hits, told)
 
     # words without a year are no deadline, so neither are those of a text without one
@@ -199,7 +212,7 @@ def law_actions(nodes: Column, pieces: Column, elements: Column) -> Column:
 
     def told(n: Column) -> Column:
         def parts(t: Column) -> Column:
-            status = T.first_class(t, V.LEGISLATIVE)
+            status = T.first_class(t, V.LEGISLATIVE, signs=V.LEGISLATIVE_SIGNS)
             urls = F.transform(F.filter(N.inside(nodes, n), lambda a: (a["tag"] == "a") & T.contains_any(a["href"], LAW_TARGETS)), lambda a: a["href"])
             return T.bound(status, lambda s: F.when(s.isNotNull(), F.struct(T.action_type(t).alias("type"), t.alias("description"), s.alias("status"), action_date(t, clauses_after(t, s)).alias("date"), _some(urls).alias("document_urls"))))
 
@@ -213,7 +226,8 @@ def policy_actions(pieces: Column, elements: Column, least: int = 20) -> Column:
 
     def kind(t: Column, low: Column) -> Column:
         heading = (F.endswith(t, F.lit(":")) & (F.char_length(t) < 100)) | T.contains_any(low, PART_HEADINGS)
-        return F.when((F.char_length(t) >= least) & ~heading & ~T.matches_any(low, V.ABOUT_LAWS), T.first_class(low, V.POLICY_TYPES, case_blind=False))
+        some = T.matches_any(low, [p for own in V.POLICY_TYPES.values() for p in own], case_blind=False)  # most passages tell of no measure
+        return F.when((F.char_length(t) >= least) & some & ~heading & ~T.matches_any(low, V.ABOUT_LAWS), T.first_class(low, V.POLICY_TYPES, case_blind=False))
 
     def told(n: Column) -> Column:
         return T.bound(shown(pieces, n), lambda t: T.bound(F.lower(t), lambda low: T.bound(kind(t, low), lambda k: F.struct(k.alias("type"), t.alias("description"), F.when(k.isNotNull(), action_date(t, F.array().cast("array<string>"))).alias("date")))))
@@ -288,17 +302,18 @@ def initiative_url(nodes: Column, base_url: str) -> Column:
 
 def hearing_date(text: Column) -> Column:
     """The first date after the first phrase of a hearing, in the sentence that has it."""
-    sentence = F.try_element_at(F.filter(F.split(T.comparable(text), r"(?<=[.!?])\s+"), lambda s: T.contains_any(s, HEARINGS)), F.lit(1))
-    rest = F.coalesce(*(F.when(F.contains(sentence, F.lit(p)), F.regexp_extract(sentence, f"^.*?{p}(.*)$", 1)) for p in HEARINGS))
+    first = F.try_element_at(F.filter(F.split(T.comparable(text), r"(?<=[.!?])\s+"), lambda s: T.contains_any(s, HEARINGS)), F.lit(1))
+    rest_of = lambda s: F.coalesce(*(F.when(F.contains(s, F.lit(p)), F.regexp_extract(s, f"^.*?{p}(.*)$", 1)) for p in HEARINGS))
     names = "|".join([*D.MONTHS, *(m[:3] for m in D.MONTHS)])
     forms = (rf"\b(\d{{1,2}}\s+(?:{names})\s+\d{{4}})\b", r"\b(\d{1,2}[/-]\d{1,2}[/-]\d{4})\b", r"\b(\d{4}[/-]\d{1,2}[/-]\d{1,2})\b")
-    told = F.coalesce(*(F.nullif(F.regexp_extract(rest, p, 1), F.lit("")) for p in forms))
+    told = T.bound(T.bound(first, rest_of), lambda rest: F.coalesce(*(T.filled(F.regexp_extract(rest, p, 1)) for p in forms)))
     return D.parsed(F.regexp_replace(told, r"^(\d{4})/(\d{1,2})/", "$1-$2-")).cast("string")
 
 
 def dated(text: Column, before: str) -> Column:
     """The date after a pattern, as day, month's name and year or with slashes."""
-    told = F.coalesce(*(F.nullif(F.regexp_extract(text, before + p, 1), F.lit("")) for p in (r"(\d{1,2}\s+\w+\s+\d{4})", r"(\d{1,2}/\d{1,2}/\d{4})")))
+    forms = (r"(\d{1,2}\s+\w+\s+\d{4})", r"(\d{1,2}/\d{1,2}/\d{4})")
+    told = T.bound(text, lambda t: F.coalesce(*(T.filled(F.regexp_extract(t, before + p, 1)) for p in forms)))
     return D.parsed(told).cast("string")
 
 
@@ -337,6 +352,9 @@ def response_record(pages: DataFrame, ladder: T.StatusLadder, as_of: Column, bas
         section("answer_at").alias("answer"),
         section("followup_at").alias("more"),
         N.tagged(section("submission_at"), "p").alias("asking"),
+        paragraphs_after(n, pieces, F.col("submission_at")).alias("after"),
+        section("acts_at").alias("acts"),
+        answer_text(n, pieces).alias("answered"),
         T.comparable(F.array_join(F.transform(named("answer_at"), lambda s: N.raw(pieces, s)), " ")).alias("content"),
     )
     out = out.select(
@@ -349,17 +367,17 @@ def response_record(pages: DataFrame, ladder: T.StatusLadder, as_of: Column, bas
         *_reached(ladder),
     )
     status, committed, rejected, nothing = F.col("status"), F.col("committed"), F.col("rejected"), F.slice(n, 1, 0)
-    laws = F.concat(*(F.coalesce(lines(n, section(c), "p", "li"), nothing) for c in ("updates_at", "acts_at", "answer_at")))
-    others = F.concat(*(F.coalesce(lines(n, section(c), "p"), nothing) for c in ("acts_at", "answer_at")))
+    laws = F.concat(*(F.coalesce(lines(n, c, "p", "li"), nothing) for c in (section("updates_at"), F.col("acts"), F.col("answer"))))
+    others = F.concat(*(F.coalesce(lines(n, c, "p"), nothing) for c in (F.col("acts"), F.col("answer"))))
     passed = ladder.reached(F.col("content"), "applicable", "adopted").isNotNull()
     no_laws = (rejected & ~committed) | (committed & ~passed & headed(n, FOLLOWUP).isNull())
     out = out.select("*", D.harvested(F.col("more_text")).alias("dates"), F.when(~no_laws, distinct_actions(law_actions(n, pieces, laws))).alias("laws"))
     flag = lambda kind: P.followup_flag(F.col("more_text"), kind)
     partners = F.array_join(F.transform(blocks(n, F.coalesce(*(headed(n, words=w, tag=t) for w in PARTNER_HEADINGS for t in ("h2", "h4")))), lambda x: N.spaced(pieces, x)), " ")
-    first_asked = N.first(N.tagged(N.siblings(n, F.col("submission_at")), "p"), lambda p: F.lit(True))
-    told_on = lambda p: T.bound(paragraph_with(n, pieces, F.col("submission_at"), p), lambda x: shown(pieces, x))
+    first_asked = F.try_element_at("after", F.lit(1))["p"]
+    told_on = lambda p: paragraph_with(F.col("after"), p)["shown"]
     debated = "|".join(P.DEBATED)
-    answer = answer_text(n, pieces)
+    answer = F.col("answered")
     return out.select(
         registration().alias("registration_number"),
         response_url(n, base_url).alias("response_url"),
@@ -372,9 +390,9 @@ def response_record(pages: DataFrame, ladder: T.StatusLadder, as_of: Column, bas
         hearing_date(F.array_join("asked", " ")).alias("parliament_hearing_date"),
         F.to_json(P.paragraph_links(n, F.col("asking"), HEARINGS)).alias("parliament_hearing_video_urls"),
         dated(told_on(debated), PLENARY_ON).alias("plenary_debate_date"),
-        F.to_json(P.paragraph_links(n, N.tagged(N.siblings(n, F.col("submission_at")), "p"), P.DEBATED, lower=False)).alias("plenary_debate_video_urls"),
+        F.to_json(P.paragraph_links(n, F.transform("after", lambda x: x["p"]), P.DEBATED, lower=False)).alias("plenary_debate_video_urls"),
         dated(told_on(ADOPTED_ON), ADOPTED_ON).alias("official_communication_adoption_date"),
-        F.to_json(response_documents(n, pieces, F.col("submission_at"))).alias("official_communication_document_urls"),
+        F.to_json(response_documents(n, pieces, F.col("submission_at"), F.col("after"))).alias("official_communication_document_urls"),
         answer.alias("commission_answer_text"),
         status.alias("final_outcome_status"),
         T.status_label(status).alias("final_outcome_label"),

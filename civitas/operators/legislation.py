@@ -37,7 +37,7 @@ def name_pattern(kind: str) -> str:
 
 
 def _trimmed(c: Column) -> Column:
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    return T.stripped(c)
 
 
 def _filled(texts: Column) -> Column:
@@ -84,7 +84,7 @@ def taken_apart(item: Column, kind: str) -> Column:
 def is_generic(item: Column, kind: str) -> Column:
     low = kind.lower()
     plain = [low, *(f"{a} {low}" for a in ("the", "a", "an")), *(f"{g} {a}{low}" for g in GENERIC for a in ("", "the ", "a "))]
-    return F.lower(_trimmed(item)).isin(*plain) | F.rlike(_trimmed(item), F.lit(rf"(?iU)^EU\s+{kind}$"))
+    return T.bound(_trimmed(item), lambda x: F.lower(x).isin(*plain) | F.rlike(x, F.lit(rf"(?iU)^EU\s+{kind}$")))
 
 
 def settled(items: Column, kind: str) -> Column:
@@ -107,10 +107,17 @@ def legislation_by_name(text: Column) -> Column:
     text: the page's pieces of text, one a line.
     """
 
-    def found(parts: Column, key: str) -> Column:
-        short = F.array_distinct(F.transform(_all(text, rf"(?iU)\b(?:{'|'.join(ABBREVIATIONS[key])})\b"), F.upper))
+    of = lambda abbreviations: rf"(?iU)\b(?:{T.by_letter(abbreviations)})\b"
+
+    def found(parts: Column, known: Column, key: str) -> Column:
+        own = F.filter(known, lambda x: F.rlike(x, F.lit(of(ABBREVIATIONS[key]))))
+        short = F.array_distinct(F.transform(own, F.upper))
         patterns = {"treaties": TREATIES, "charters": CHARTERS}.get(key, (name_pattern(KINDS[key]),))
-        names = F.flatten(F.transform(parts, lambda p: F.flatten(F.array(*(_all(p, x) for x in patterns)))))
+        named = F.filter(parts, lambda p: F.contains(p, F.lit(KINDS[key])))
+        names = F.flatten(F.transform(named, lambda p: F.flatten(F.array(*(_all(p, x) for x in patterns)))))
         return settled(F.concat(short, F.transform(names, _trimmed)), KINDS[key])
 
-    return T.bound(clauses(text), lambda parts: F.struct(*(found(parts, k).alias(k) for k in KINDS)))
+    # the whole text is searched once for the abbreviations of all kinds, then each kind takes its own
+    every = of([a for own in ABBREVIATIONS.values() for a in own])
+    read = T.bound(text, lambda x: F.struct(clauses(x).alias("parts"), _all(x, every).alias("known")))
+    return T.bound(read, lambda t: F.struct(*(found(t["parts"], t["known"], k).alias(k) for k in KINDS)))

@@ -239,7 +239,8 @@ JOURNAL = {"legislation": "L", "information_and_notices": "C"}
 
 def followup_flag(text: Column, kind: str, patterns: bool = False) -> Column:
     """Whether a follow-up tells of a roadmap, workshop or partnership."""
-    return T.matches_any(F.lower(text), FOLLOWUP_PATTERNS[kind]) if patterns else T.contains_any(F.lower(text), FOLLOWUP_WORDS[kind])
+    # contains_any names the text once for every word
+    return T.matches_any(F.lower(text), FOLLOWUP_PATTERNS[kind]) if patterns else T.bound(F.lower(text), lambda low: T.contains_any(low, FOLLOWUP_WORDS[kind]))
 
 
 def _some(values: Column) -> Column:
@@ -248,19 +249,29 @@ def _some(values: Column) -> Column:
 
 def court_cases(text: Column) -> Column:
     """struct of ordered distinct case numbers by court; courts without any are null, and so is a text without any."""
-    found = {k: F.array_distinct(F.regexp_extract_all(text, F.lit(p), F.lit(0))) for k, p in CASES.items()}
-    return F.when(sum((F.size(v) for v in found.values()), F.lit(0)) > 0, F.struct(*(_some(v).alias(k) for k, v in found.items())))
+    found = F.struct(*(F.array_distinct(F.regexp_extract_all(text, F.lit(p), F.lit(0))).alias(k) for k, p in CASES.items()))
+    return T.bound(found, lambda own: F.when(sum((F.size(own[k]) for k in CASES), F.lit(0)) > 0, F.struct(*(_some(own[k]).alias(k) for k in CASES))))
 
 
 def legislation_by_id(text: Column, hrefs: Column) -> Column:
     """struct of identifiers in a text and in the (decoded) targets of links; kinds without any are null."""
-    decoded = F.transform(hrefs, lambda h: F.regexp_replace(F.regexp_replace(F.regexp_replace(h, "(?i)%3A", ":"), "(?i)%2F", "/"), "(?i)%3D", "="))
-    linked = lambda p, g=1: F.filter(F.transform(decoded, lambda h: F.regexp_extract(h, f"(?i){p}", g)), lambda x: x != "")
-    found = {k: F.regexp_extract_all(text, F.lit(f"(?i){p}"), F.lit(1)) for k, p in ACTS.items()}
-    found["CELEX"] = F.concat(found["CELEX"], linked(CELEX))
-    issues = {k: _some(F.array_distinct(F.filter(F.transform(decoded, lambda h: F.regexp_replace(F.regexp_extract(h, rf"(?i)uri=uriserv:OJ\.{v}_\.(\d{{4}}\.\d{{1,3}})\.\d{{2}}\.\d{{4}}", 1), r"\.", ", ")), lambda x: x != ""))) for k, v in JOURNAL.items()}  # noqa: B023
-    journal = F.when(F.coalesce(*issues.values()).isNotNull(), F.struct(*(v.alias(k) for k, v in issues.items())))
-    return F.struct(*(_some(F.array_distinct(v)).alias(k) for k, v in found.items()), journal.alias("official_journal"))
+    plain = lambda h: F.regexp_replace(F.regexp_replace(F.regexp_replace(h, "(?i)%3A", ":"), "(?i)%2F", "/"), "(?i)%3D", "=")
+    # targets are decoded once, and only those and texts are searched that hold a word of what is looked for
+    decoded = F.transform(hrefs, lambda h: F.when(F.contains(h, F.lit("%")), plain(h)).otherwise(h))
+    none = F.array().cast("array<string>")
+
+    def of(text: Column, low: Column, decoded: Column) -> Column:
+        having = lambda word: F.filter(decoded, lambda h: F.contains(F.lower(h), F.lit(word)))
+        told = lambda form, own: F.filter(F.transform(own, lambda h: F.regexp_extract(h, f"(?i){form}", 1)), lambda x: x != "")
+        found = {k: F.when(~F.contains(low, F.lit(k.lower())), none).otherwise(F.regexp_extract_all(text, F.lit(f"(?i){p}"), F.lit(1))) for k, p in ACTS.items()}
+        found["CELEX"] = F.concat(found["CELEX"], told(CELEX, having("celex")))
+        issues = {k: told(rf"uri=uriserv:OJ\.{v}_\.(\d{{4}}\.\d{{1,3}})\.\d{{2}}\.\d{{4}}", having("uriserv")) for k, v in JOURNAL.items()}
+        issues = F.struct(*(_some(F.array_distinct(F.transform(v, lambda x: F.replace(x, F.lit("."), F.lit(", "))))).alias(k) for k, v in issues.items()))
+        journal = T.bound(issues, lambda i: F.when(F.coalesce(*(i[k] for k in JOURNAL)).isNotNull(), F.struct(*(i[k].alias(k) for k in JOURNAL))))
+        kinds = F.struct(*(F.array_distinct(v).alias(k) for k, v in found.items()))
+        return T.bound(kinds, lambda own: F.struct(*(_some(own[k]).alias(k) for k in found), journal.alias("official_journal")))
+
+    return T.bound(F.struct(text.alias("text"), F.lower(text).alias("low"), decoded.alias("decoded")), lambda x: of(x["text"], x["low"], x["decoded"]))
 
 
 def content(nodes: Column, heading: str, tags: tuple[str, ...] = ("p", "li")) -> Column:
@@ -301,7 +312,7 @@ def meeting_date(texts: Column) -> Column:
 def officials_met(texts: Column) -> Column:
     """Names and titles of the Commission's people at the meeting, joined by `; `."""
     def named(t: Column) -> Column:
-        who = F.coalesce(*(F.nullif(F.trim(F.regexp_extract(t, p, 1)), F.lit("")) for p in MET_WITH))
+        who = F.coalesce(*(T.filled(F.trim(F.regexp_extract(t, p, 1))) for p in MET_WITH))
         who = F.regexp_replace(F.regexp_replace(who, r"(?i)^(?:(?:the\s+)?European\s+)?Commission\s+", ""), r"\bFirst\s+Vice-President\b", "Vice-President")
         return F.array_join(F.filter(F.transform(F.split(who, TITLES), lambda x: F.regexp_replace(F.trim(x), ",+$", "")), lambda x: x != ""), "; ")
 
@@ -315,7 +326,7 @@ def paragraph_links(nodes: Column, paragraphs: Column, phrases: tuple[str, ...],
     """
     own = lambda t: F.lower(t) if lower else t
     inside = lambda p: F.filter(N.inside(nodes, p), lambda a: (a["tag"] == "a") & (a["href"] != "") & (a["text"] != ""))
-    told = F.transform(F.filter(paragraphs, lambda p: T.contains_any(own(p["text"]), phrases)), inside)
+    told = F.transform(F.filter(paragraphs, lambda p: T.bound(own(p["text"]), lambda t: T.contains_any(t, phrases))), inside)
     first = F.try_element_at(F.filter(told, lambda a: F.size(a) > 0) if lower else told, F.lit(1))
     return T.bound(first, lambda a: F.when(F.size(a) > 0, N.link_map(a, lower)))
 
@@ -323,7 +334,7 @@ def paragraph_links(nodes: Column, paragraphs: Column, phrases: tuple[str, ...],
 def applicable_date(texts: Column, applicable: Column) -> Column:
     """When a law applies, told by an answer that makes it applicable: the first in the order of its paragraphs."""
     day = r"(\d{1,2}\s+[A-Za-z]+\s+\d{4})"
-    when = lambda t, p: D.parsed(F.nullif(F.regexp_extract(t, f"(?i){p}{day}", 1), F.lit("")))
+    when = lambda t, p: D.parsed(T.filled(F.regexp_extract(t, f"(?i){p}{day}", 1)))
 
     def told(t: Column) -> Column:
         at_once = F.when(F.contains(F.lower(t), F.lit("became applicable immediately")), when(t, r"entered into force on\s+"))

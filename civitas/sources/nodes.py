@@ -13,6 +13,7 @@ from html.parser import HTMLParser
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from civitas.functions import text as T
 from civitas.functions.text import bound
 from civitas.sources.shared import small_batches
 
@@ -127,7 +128,7 @@ def with_nodes(pages: DataFrame, html: str = "html", texts: bool = True) -> Data
     """
     small_batches(pages)
     p = F.col("_p")
-    nodes = F.transform(p["nodes"], lambda n: F.struct(*(n[k].alias(k) for k in FIELDS), F.trim(F.regexp_replace(raw(p["pieces"], n), r"(?U)\s+", " ")).alias("text"))) if texts else p["nodes"]
+    nodes = F.transform(p["nodes"], lambda n: F.struct(*(n[k].alias(k) for k in FIELDS), T.normalized(raw(p["pieces"], n)).alias("text"))) if texts else p["nodes"]
     # called nondeterministic so that no filter on what pages tell is pushed below, where pages would be parsed for the filter and again for the rows
     parsed = F.arrow_udf(_parsed, PAGE).asNondeterministic()
     return pages.withColumn("_p", parsed(F.col(html))).select("*", nodes.alias("nodes"), "_p.pieces", "_p.parse_error").drop("_p")
@@ -142,7 +143,7 @@ def own_pieces(pieces: Column, n: Column) -> Column:
 
 def stripped(parts: Column) -> Column:
     """Pieces without white space at their ends, empty ones left out."""
-    return F.filter(F.transform(parts, lambda x: F.regexp_replace(x, r"(?U)^\s+|\s+$", "")), lambda x: x != "")
+    return F.filter(F.transform(parts, T.stripped), lambda x: x != "")
 
 
 def raw(pieces: Column, n: Column) -> Column:
@@ -240,8 +241,8 @@ def first(elements: Column, *tests) -> Column:
 
 
 def has_token(n: Column, name: str) -> Column:
-    """Whether a class is among an element's."""
-    return F.coalesce(F.array_contains(F.split(n["cls"], r"\s+"), name), F.lit(False))
+    """Whether a class is among an element's; classes are split only where they hold the name."""
+    return F.coalesce(F.contains(n["cls"], F.lit(name)) & F.array_contains(F.split(n["cls"], r"\s+"), name), F.lit(False))
 
 
 def tagged(nodes: Column, *tags: str) -> Column:

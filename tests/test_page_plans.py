@@ -1,5 +1,6 @@
 """Page queries on odd and large tables: how often pages are read, by how many tasks, and in what parts."""
 
+import itertools
 import random
 import re
 
@@ -8,8 +9,8 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from civitas.functions import fixed_values as V, text as T
-from civitas.operators import answers as A, pages as P
+from civitas.functions import dates as D, fixed_values as V, text as T
+from civitas.operators import answers as A, legislation as L, pages as P
 from civitas.plans import functions_queries as Q, page_queries as G
 from civitas.sources import nodes as N, shared
 
@@ -108,3 +109,35 @@ def test_rows_of_listing_pages_that_are_read_already(spark):
     pages = N.with_nodes(spark.createDataFrame([(block,), ("<p>none",), (None,)], "html string"))
     stored = pages.select(P.listed(F.col("nodes"), F.col("pieces")).alias("b"))
     assert P.listing_rows(stored, "u", blocks=F.col("b")).collect() == P.listing_rows(pages, "u").collect()
+
+
+def test_texts_are_worked_out_once(spark):
+    row = spark.createDataFrame([("a\x00b",)], "t string")
+    text = F.concat(F.col("t"), F.lit("__here__"))
+    hrefs = F.array(text)
+    for c in (P.followup_flag(text, "partnership"), A.hearing_date(text), A.dated(text, "on "), D.parsed(text), D.parsed_end(text), L.legislation_by_name(text), P.legislation_by_id(F.lit("x"), hrefs), T.filled(text)):
+        assert row.select(c.alias("v"))._jdf.queryExecution().analyzed().toString().count("__here__") == 1
+
+
+def test_white_space_of_all_kinds(spark):
+    draw = random.Random(2)
+    texts = ["".join(draw.choices("ab" + T.WHITE + " \x1c​", k=12)) for _ in range(400)] + ["", " ", "a", "a  b"]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select(T.stripped(F.col("t")), T.normalized(F.col("t")), F.regexp_replace("t", r"(?U)^\s+|\s+$", ""), F.trim(F.regexp_replace("t", r"(?U)\s+", " "))).collect()
+    assert all(r[0] == r[2] and r[1] == r[3] for r in got)
+
+
+def test_signs_and_beginnings_leave_no_match_out():
+    draw = random.Random(3)
+    words = "will table a legislative proposal by 2025, provide data for until run runs by in efsa report call consultation evidence launch assessment produce publish was not adopted approved directive law new standards planned review plans for proposals on withdrew became applicable entered into force".split()
+    texts = [" ".join(draw.choices(words, k=9)) for _ in range(3000)]
+    for p in V.DEADLINES:
+        assert T.beginnings(p) and all(m[0].startswith(T.beginnings(p)) for t in texts for m in re.finditer(p, t))
+    for k, own in V.LEGISLATIVE.items():
+        assert all(any(s in t for s in V.LEGISLATIVE_SIGNS[k]) for t in texts if re.search("|".join(own), t))
+    assert T.beginnings("ab c[d]") == ("ab c",) and T.beginnings("ab?c") == T.beginnings("a|b") == T.beginnings("(?:a|b)?c") == T.beginnings(r"\d") == ()
+
+
+def test_alternatives_by_letter():
+    words = ["abc", "b", "ad", "a?x", "(?:ab|cd)e", "reports? (?:was|were)", "b", "x|y", "xz"]
+    texts = ["".join(t) for n in (1, 2, 3) for t in itertools.product("abcdexyz", repeat=n)] + ["reports were"]
+    assert [bool(re.fullmatch(T.by_letter(words), t)) for t in texts] == [bool(re.fullmatch("|".join(words), t)) for t in texts]
